@@ -80,7 +80,11 @@ def round_doubles(df, scale: int = 6):
         if t in ("date", "timestamp", "timestamp_ntz"):
             out.append(F.col(f"`{f.name}`").cast("string").alias(f.name))
         elif t in ("double", "float", "decimal"):
-            out.append((F.round(F.col(f"`{f.name}`").cast("double"), scale) + F.lit(0.0)).alias(f.name))
+            # round(x * 10^s) / 10^s on the binary value: the same arithmetic on both engines,
+            # so half-way ties in the 7th decimal resolve identically
+            m = float(10 ** scale)
+            x = F.col(f"`{f.name}`").cast("double")
+            out.append((F.round(x * F.lit(m)) / F.lit(m) + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
