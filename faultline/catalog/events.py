@@ -1 +1,119 @@
-"""Registered queries."""
+"""Event queries (B19, C5, J1-J3, J8-J10): test-split alerts of the fixture score (p >= 0.3)
+against the raw failures of the same devices and dates, horizon 3 days."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from faultline.catalog.scoring import THR, _AP2, _CM2, _pred2, _s
+from faultline.operators import events as ev, scoring as sc
+from faultline.registry import query
+from faultline.sources.fixtures import FIXTURE_HORIZON, device_readings
+
+H = FIXTURE_HORIZON
+TESTA = f"SELECT device, date, CAST(p >= {THR} AS INTEGER) AS pred FROM scored WHERE split = 'test'"
+SUBSET = f"""SELECT device, date, failure FROM device_readings
+WHERE date >= (SELECT min(date) FROM scored WHERE split = 'test') AND date <= (SELECT max(date) FROM scored WHERE split = 'test')
+  AND device IN (SELECT DISTINCT device FROM scored WHERE split = 'test')"""
+
+
+def _alerts(spark, sf):
+    return sc.apply_threshold(_s(spark, sf, "test"), THR)
+
+
+def _subset(spark, sf):
+    return ev.subset_events(device_readings(spark, sf), _s(spark, sf, "test"))
+
+
+@query("b19_subset_events", SUBSET)
+def b19(spark, sf):
+    return _subset(spark, sf)
+
+
+_COVERED = f"""SELECT f.device, f.date AS fdate FROM ({SUBSET}) f
+WHERE f.failure = 1 AND EXISTS (SELECT 1 FROM ({TESTA}) a WHERE a.pred = 1 AND a.device = f.device
+                                AND a.date >= f.date - INTERVAL {H} DAY AND a.date < f.date)"""
+
+
+@query("c05_covered_failures", _COVERED)
+def c05(spark, sf):
+    return ev.covered_failures(_subset(spark, sf), _alerts(spark, sf), H)
+
+
+@query("j03_event_metrics", f"""
+SELECT (SELECT count(*) FROM ({_COVERED})) / greatest((SELECT count(*) FROM ({SUBSET}) WHERE failure = 1), 1) AS event_coverage,
+       100 * ((SELECT count(*) FROM ({TESTA}) WHERE pred = 1) /
+              ((SELECT count(DISTINCT device) FROM ({SUBSET})) * ((SELECT count(DISTINCT date) FROM ({SUBSET})) / 7.0::DOUBLE))) AS alerts_per_100dev_week,
+       (SELECT count(*) FROM ({_COVERED})) AS covered_failures,
+       (SELECT count(*) FROM ({SUBSET}) WHERE failure = 1) AS failures,
+       (SELECT count(*) FROM ({TESTA}) WHERE pred = 1) AS alerts""")
+def j03(spark, sf):
+    return ev.event_metrics(_subset(spark, sf), _alerts(spark, sf), H)
+
+
+_MATCH = f"""
+WITH e AS (SELECT device, date_diff('day', DATE '1970-01-01', date) AS d, 0 AS k FROM ({SUBSET}) WHERE failure = 1
+           UNION ALL
+           SELECT device, date_diff('day', DATE '1970-01-01', date) AS d, 1 AS k FROM ({TESTA}) WHERE pred = 1),
+g AS (SELECT device, list_sort(list({{'d': d, 'k': k}})) AS evs FROM e GROUP BY device HAVING max(CASE WHEN k = 0 THEN 1 ELSE 0 END) = 1),
+r AS (SELECT device, list_reduce(evs, lambda acc, x:
+        CASE WHEN x.k = 1 THEN {{'stack': list_append(acc.stack, x.d), 'tp': acc.tp, 'fn': acc.fn}}
+             WHEN len(acc.stack) > 0 AND acc.stack[-1] >= x.d - {H}
+                  THEN {{'stack': array_pop_back(acc.stack), 'tp': acc.tp + 1, 'fn': acc.fn}}
+             ELSE {{'stack': acc.stack, 'tp': acc.tp, 'fn': acc.fn + 1}} END,
+        {{'stack': []::BIGINT[], 'tp': 0, 'fn': 0}}) AS s FROM g)
+SELECT device, s.tp AS tp_events, s.fn AS fn_events, len(s.stack) AS fp_alerts FROM r"""
+
+
+@query("j01_match_alerts_failures", _MATCH)
+def j01(spark, sf):
+    return ev.match_alerts_failures(_subset(spark, sf), _alerts(spark, sf), H)
+
+
+_ROI = f"""
+SELECT tp_events, fn_events, fp_alerts,
+       (tp_events + fn_events) * 100000 - (fn_events * 100000 + fp_alerts * 25000) AS roi_abs,
+       CASE WHEN (tp_events + fn_events) * 100000 = 0 THEN 0.0
+            ELSE 1 - CAST(fn_events * 100000 + fp_alerts * 25000 AS DOUBLE) / ((tp_events + fn_events) * 100000) END AS roi_pct,
+       CASE WHEN tp_events + fp_alerts = 0 THEN 0.0 ELSE CAST(tp_events AS DOUBLE) / (tp_events + fp_alerts) END AS precision_event,
+       CASE WHEN tp_events + fn_events = 0 THEN 0.0 ELSE CAST(tp_events AS DOUBLE) / (tp_events + fn_events) END AS recall_event
+FROM (SELECT coalesce(sum(tp_events), 0) AS tp_events, coalesce(sum(fn_events), 0) AS fn_events,
+             coalesce(sum(fp_alerts), 0) AS fp_alerts FROM ({_MATCH}))"""
+
+
+@query("j02_event_roi", _ROI)
+def j02(spark, sf):
+    return ev.event_roi(ev.match_alerts_failures(_subset(spark, sf), _alerts(spark, sf), H))
+
+
+@query("j08_break_even_event", f"""
+SELECT *, 0.2 AS min_precision, CAST(precision_event >= 0.2 AS INTEGER) AS passes,
+       CASE WHEN precision_event < 0.2 THEN CAST(ceil(fp_alerts * (0.2 / (1 - 0.2))::DOUBLE) AS BIGINT) END AS needed_tp,
+       CASE WHEN precision_event < 0.2 THEN CAST(ceil(fp_alerts * (0.2 / (1 - 0.2))::DOUBLE) AS BIGINT) - tp_events END AS missing_tp
+FROM ({_ROI})""")
+def j08(spark, sf):
+    return ev.break_even_event(ev.event_roi(ev.match_alerts_failures(_subset(spark, sf), _alerts(spark, sf), H)))
+
+
+_MODELS = f"""
+SELECT cm.model, a.auc, 4 * cm.fn + cm.fp AS cost,
+       CASE WHEN cm.tp + cm.fp > 0 THEN CAST(cm.tp AS DOUBLE) / (cm.tp + cm.fp) ELSE 0.0 END AS precision,
+       CASE WHEN cm.tp + cm.fn > 0 THEN CAST(cm.tp AS DOUBLE) / (cm.tp + cm.fn) ELSE 0.0 END AS recall
+FROM ({_CM2}) cm JOIN ({_AP2}) a ON cm.model = a.model"""
+
+
+def _model_table(spark, sf):
+    d = _pred2(spark, sf)
+    cm = sc.with_metrics(sc.confusion(d, group_cols=["model"]))
+    auc = sc.ranking_metrics(d, group_cols=["model"]).select("model", "auc")
+    return cm.join(auc, on="model").select("model", "auc", "cost", "precision", "recall")
+
+
+@query("j09_compare_models", _MODELS)
+def j09(spark, sf):
+    return ev.compare_models(_model_table(spark, sf), use_holdout=False)
+
+
+@query("j10_select_best_model", f"SELECT * FROM ({_MODELS}) ORDER BY cost, model LIMIT 1")
+def j10(spark, sf):
+    return ev.select_best_model(_model_table(spark, sf), use_holdout=True)

@@ -10,8 +10,8 @@ Spark move every row into one task.  Instead:
 3. add the offset to a running sum partitioned by (group, bucket).
 
 Every task holds one bucket of one group, so a hot group is still spread over ``n`` tasks.
-Small inputs skip the bucketing (one bucket): callers pass reduced tables (one row per
-distinct score / value), and the plain path is only taken below ``small_rows``.
+Small inputs (fewer rows than the sample size) use one bucket; callers pass reduced tables
+(one row per distinct score / value).
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000
 SAMPLE_PER_BUCKET = 64
 
 
@@ -37,22 +36,26 @@ def _bucket_expr(key: Column, cuts: list, lo: int, hi: int) -> Column:
 
 
 def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None = None,
-                  seed: int = 17, small_rows: int = SMALL_ROWS) -> Column:
+                  seed: int = 17, small_rows: int | None = None) -> Column:
     """Deterministic range-bucket column over ``order_cols`` (non-null keys).
 
-    Cut points come from a sample of ~64 rows per bucket (bounded, independent of data size).
+    Cut points come from one bounded sample: the ``SAMPLE_PER_BUCKET * n`` rows with the
+    smallest hash of the key (a TakeOrdered of a fixed number of rows — per-task heaps, no
+    count, no full sort).  A table that returns fewer rows than asked for is small and gets
+    a single bucket.
     """
     spark = df.sparkSession
     if n_buckets is None:
         n_buckets = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 512))
-    total = df.count()
-    if total <= small_rows or n_buckets <= 1:
+    want = SAMPLE_PER_BUCKET * n_buckets
+    if small_rows is not None:
+        want = max(want, small_rows + 1)
+    rows = (df.select(*order_cols)
+            .orderBy(F.xxhash64(*[F.col(c) for c in order_cols], F.lit(seed)))
+            .limit(want).collect())
+    if len(rows) < want or n_buckets <= 1:
         return F.lit(0)
-    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / total)
-    rows = df.select(*order_cols).sample(False, frac, seed).collect()
     keys = sorted(tuple(r) for r in rows if all(v is not None for v in r))
-    if len(keys) < n_buckets:
-        return F.lit(0)
     step = len(keys) / n_buckets
     cuts = sorted({keys[int(i * step)] for i in range(1, n_buckets)})
     key = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])

@@ -92,11 +92,14 @@ def past_mean_lag_score(c: str, divisor: float) -> F.Column:
     return F.round(F.least(F.lit(1.0), raw), 6)
 
 
-def scored(spark: SparkSession, sf_dir: str, two_models: bool = False) -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str, two_models: bool = False,
+           checkpoint: bool = True) -> DataFrame:
     """Labelled, split and scored readings: device, date, y, p, split[, model].
 
     ``two_models`` stacks a second score (attribute2 / 600) under model ``m2`` for the
-    operators that compare models; the first model is ``m1``.
+    operators that compare models; the first model is ``m1``.  The table is reused by many
+    jobs of one report (threshold sweeps, quantiles, prefix sums), so by default its lineage is
+    cut with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
     """
     from faultline.operators.labels import early_warning_labels, temporal_split
 
@@ -109,8 +112,16 @@ def scored(spark: SparkSession, sf_dir: str, two_models: bool = False) -> DataFr
                         test_size=FIXTURE_SIZE)
     base = sp.where(F.col("split").isNotNull())
     if not two_models:
-        return base.select("device", "date", "y", F.col("p1").alias("p"), "split")
-    return base.select("device", "date", "y", "split",
+        out = base.select("device", "date", "y", F.col("p1").alias("p"), "split")
+        return _cut(out) if checkpoint else out
+    out = base.select("device", "date", "y", "split",
                        F.explode(F.array(F.struct(F.lit("m1").alias("model"), F.col("p1").alias("p")),
                                          F.struct(F.lit("m2").alias("model"), F.col("p2").alias("p")))
                                  ).alias("m")).select("device", "date", "y", "m.p", "split", "m.model")
+    return _cut(out) if checkpoint else out
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    from faultline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
