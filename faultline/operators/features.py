@@ -198,3 +198,30 @@ def past_median_impute(df: DataFrame, window: int = 14, min_periods: int = 3,
                                           F.percentile(F.col(c), 0.5).over(f))).alias(c)
            for c in cols}
     return df.select(*[rep.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+def feature_names(attrs: list[str] | None = None, max_lags: int = 7, enable_interactions: bool = True,
+                  label_col: str | None = "early_warn_target") -> list[str]:
+    """Column names of ``device_features`` in output order (no Spark needed)."""
+    attrs = attrs or [f"attribute{i}" for i in range(1, 10)]
+    first4 = attrs[:4]
+    names = ["device", "date", *attrs, "year", "dayofweek"]
+    names += [f"{n}_{t}" for n in ("month", "day", "doy", "week", "quarter") for t in ("sin", "cos")]
+    names += ["is_weekend", "is_month_start", "is_month_end", "is_quarter_start", "is_quarter_end",
+              "device_total_failures", "days_since_last_failure"]
+    for a in attrs:
+        names += [f"{a}_lag_{k}" for k in lag_windows(max_lags)]
+        names += [f"{a}_ma_{k}" for k in (3, 7, 14)] + [f"{a}_std_{k}" for k in (7, 14)]
+        names += [f"{a}_diff", f"{a}_pct_diff"]
+    names += ["device_obs_so_far", "days_since_last_record"] + [f"{a}_std_expanding" for a in first4]
+    if enable_interactions:
+        for i, a in enumerate(first4):
+            for b in first4[i + 1:]:
+                names += [f"{a}_{b}_sum", f"{a}_{b}_diff", f"{a}_{b}_ratio"]
+    names += [f"{a}_slope_{k}" for a in first4 for k in (7, 14)]
+    names += [f"{a}_normalized" for a in attrs] + [f"{a}_isna" for a in attrs]
+    for a in attrs:
+        names += [f"{a}_normalized_gt2sigma", f"{a}_normalized_lt-2sigma"]
+    if label_col:
+        names.append(label_col)
+    return names

@@ -19,3 +19,347 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     keys = [b.alias("bin")] + ([F.col(by)] if by else [])
     g = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return g.select("*", (lo + F.col("bin") * (hi - lo) / F.lit(float(bins))).alias("bin_start"))
+
+
+# ------------------------------------------------------------------ E1-E5 correlations
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+from faultline.functions.exprs import pearson  # noqa: E402
+from faultline.plans.prefix import exact_quantiles, prefix_sums  # noqa: E402
+
+
+def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairwise-complete Pearson correlation of two columns (one row; NULL if constant)."""
+    return df.agg(pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
+
+
+def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """E2 (long form): (var1, var2, i, j, corr) for every pair i < j of ``cols`` (or ``pairs``),
+    pairwise-complete like pandas ``DataFrame.corr``.
+
+    Two passes, both plain aggregates: column means (one row), then each row
+    emits one (pair, x - mean_x, y - mean_y) record per pair where both values are present and
+    a ``groupBy(pair)`` accumulates n, sums, squares and cross products (partial aggregation:
+    one small hash map of pairs per task).  Centering keeps the sums numerically stable; the
+    plan stays small however many pairs there are.  NULL for constant or too-short pairs."""
+    idx = {c: i for i, c in enumerate(cols)}
+    if pairs is None:
+        pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    used = list(dict.fromkeys([c for p in pairs for c in p]))
+    # one aggregate row of column means (size: number of columns) inlined as literals
+    mrow = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(used)]).first()
+    means = {c: (mrow[i] if mrow[i] is not None else 0.0) for i, c in enumerate(used)}
+
+    def centered(c):
+        return F.col(f"`{c}`").cast("double") - F.lit(float(means[c]))
+    rec = F.explode(F.array(*[F.struct(F.lit(k).alias("pid"), centered(a).alias("x"), centered(b).alias("y"))
+                              for k, (a, b) in enumerate(pairs)]))
+    e = df.select(rec.alias("r")).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    g = e.groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+                             F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
+                             F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    cxx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
+    cyy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    r = F.when((F.col("n") > 1) & (cxx > 0) & (cyy > 0), cxy / F.sqrt(cxx * cyy))
+    r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
+    names = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.lit(idx.get(a, -1)).alias("i"),
+                               F.lit(idx.get(b, -1)).alias("j")) for a, b in pairs])
+    # every pair appears even when it has no complete row (corr NULL): left join from the
+    # literal pair list (size: number of pairs)
+    spark = df.sparkSession
+    plist = spark.range(len(pairs)).select(F.col("id").cast("int").alias("pid")) \
+        .select("pid", F.element_at(names, F.col("pid") + 1).alias("nm"))
+    out = plist.join(g.select("pid", r.alias("corr")), on="pid", how="left")
+    return out.select("nm.var1", "nm.var2", "nm.i", "nm.j", "corr")
+
+
+def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7, strict: bool = False) -> DataFrame:
+    """Upper-triangle pairs with |r| >= threshold (> when ``strict``), tagged Original /
+    Criada and by feature family, sorted by |r| desc."""
+    from faultline.operators.offers import CATEGORICAL_COLS, DATE_COLS, NUMERIC_COLS, feature_family
+    originals = set(DATE_COLS + NUMERIC_COLS + CATEGORICAL_COLS)
+    tipo = {c: ("Original" if c in originals else "Criada") for c in cols}
+    fam = {c: feature_family(c) for c in cols}
+
+    def lookup(d, c):
+        return F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), F.col(c))
+    long = pairwise_correlations(df, cols)
+    r = F.abs(F.col("corr"))
+    keep = (r > threshold) if strict else (r >= threshold)
+    return long.where(keep).select(
+        F.col("var1").alias("Variavel_1"), lookup(tipo, "var1").alias("Tipo_1"),
+        lookup(fam, "var1").alias("Categoria_1"), F.col("var2").alias("Variavel_2"),
+        lookup(tipo, "var2").alias("Tipo_2"), lookup(fam, "var2").alias("Categoria_2"),
+        F.col("corr").alias("Correlacao"), r.alias("Correlacao_Abs"),
+        F.concat(lookup(tipo, "var1"), F.lit(" × "), lookup(tipo, "var2")).alias("Tipo_Relacao"),
+        "i", "j").orderBy(F.col("Correlacao_Abs").desc(), "i", "j").drop("i", "j")
+
+
+def correlated_pairs_report(pairs: DataFrame, top: int = 10) -> DataFrame:
+    """Number of pairs per relation type, with the strongest |r| of each type."""
+    return pairs.groupBy("Tipo_Relacao").agg(F.count(F.lit(1)).alias("n_pairs"),
+                                             F.max("Correlacao_Abs").alias("max_abs_corr"))
+
+
+# ------------------------------------------------------------------ E6, E7, E10 quartiles
+def _stack(df: DataFrame, cols: list[str], extra: list[str] | None = None) -> DataFrame:
+    """(extra..., variable, value) long form of numeric columns (one explode, no shuffle)."""
+    e = list(extra or [])
+    return df.select(*e, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols
+    ])).alias("__s")).select(*e, "__s.variable", "__s.value")
+
+
+def _quartiles(long: DataFrame, keys: list[str]) -> DataFrame:
+    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], keys)
+    return q.groupBy(*keys).agg(
+        F.max(F.when(F.col("q_idx") == 0, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("q_idx") == 1, F.col("value"))).alias("median"),
+        F.max(F.when(F.col("q_idx") == 2, F.col("value"))).alias("q3"))
+
+
+def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
+    """Rows below Q1 - 1.5 IQR or above Q3 + 1.5 IQR (linear-interpolated quartiles)."""
+    x = F.col(column)
+    q = exact_quantiles(df, column, [0.25, 0.75])
+    q1 = q.where("q_idx = 0").select("value").scalar()
+    q3 = q.where("q_idx = 1").select("value").scalar()
+    iqr = q3 - q1
+    return df.where((x < q1 - 1.5 * iqr) | (x > q3 + 1.5 * iqr))
+
+
+def outlier_report(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column the number and % (of all rows) of IQR outliers — one quartile job for
+    all columns (grouped by column) and one conditional count."""
+    long = _stack(df, cols)
+    qs = _quartiles(long, ["variable"])
+    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    n = df.select(F.count(F.lit(1))).scalar()
+    j = long.join(F.broadcast(qs), on="variable")  # one row per column: size bounded by len(cols)
+    out = j.groupBy("variable").agg(F.sum(F.when((F.col("value") < lo) | (F.col("value") > hi), 1)
+                                          .otherwise(0)).alias("n_outliers"))
+    return out.select("variable", "n_outliers", (F.col("n_outliers") / n * 100).alias("pct_outliers"))
+
+
+def box_summary(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
+    """Median, quartiles, whiskers (extreme values inside 1.5 IQR) and outlier count per
+    column (and per ``by`` group)."""
+    keys = ([by] if by else []) + ["variable"]
+    long = _stack(df.where(F.col(by).isNotNull()) if by else df, cols, [by] if by else [])
+    long = long.where(F.col("value").isNotNull())
+    qs = _quartiles(long, keys)
+    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    j = long.join(qs, on=keys)
+    inside = (F.col("value") >= lo) & (F.col("value") <= hi)
+    return j.groupBy(*keys).agg(F.first("q1").alias("q1"), F.first("median").alias("median"),
+                                F.first("q3").alias("q3"),
+                                F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                                F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+                                F.sum(F.when(inside, 0).otherwise(1)).alias("n_outliers"))
+
+
+# ------------------------------------------------------------------ E9 KDE
+def kde(df: DataFrame, column: str, grid_size: int = 100, by: str | None = None) -> DataFrame:
+    """Gaussian kernel density on ``grid_size`` points between min and max, Scott bandwidth
+    (sample std * n^(-1/5)), overall or per ``by`` group.
+
+    Values are first reduced to (value, count); each distinct value emits its weighted kernel
+    at every grid point (explode of a bounded array) and the points are summed with a
+    partial/final aggregate — no join with the data."""
+    d = df.where(F.col(column).isNotNull() & (F.col(by).isNotNull() if by else F.lit(True)))
+    if not by:
+        d = d.withColumn("__g", F.lit(0))
+    keys = [by or "__g"]
+    st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.stddev_samp(column).alias("__sd"),
+                              F.min(column).alias("__lo"), F.max(column).alias("__hi"))
+    st = st.select(*keys, "__n", "__lo", "__hi",
+                   (F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))).alias("__bw"))
+    v = d.groupBy(*keys, F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    j = v.join(F.broadcast(st), on=keys)  # one row per group (bounded by the group count)
+    pts = F.posexplode(F.array_repeat(F.lit(0), grid_size)).alias("gi", "__z")
+    e = j.select(*keys, "__v", "__c", "__n", "__lo", "__hi", "__bw", pts)
+    x = F.col("__lo") + F.col("gi") * (F.col("__hi") - F.col("__lo")) / F.lit(float(grid_size - 1))
+    z = (x - F.col("__v")) / F.col("__bw")
+    k = F.col("__c") * F.exp(-0.5 * z * z) / (F.col("__n") * F.col("__bw") * F.lit(float(np.sqrt(2 * np.pi))))
+    out = e.groupBy(*keys, "gi").agg(F.first(x).alias("x"), F.sum(k).alias("density"))
+    return out if by else out.drop("__g")
+
+
+# ------------------------------------------------------------------ E11
+def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Value counts per categorical column, long form (column, value, n)."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+                                          for c in cols])).alias("__s")).select("__s.*")
+    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ E12-E16 feature screening
+def leakage_check(df: DataFrame, target: str, threshold: float = 0.8,
+                  exclude=("device", "date")) -> DataFrame:
+    """|corr(feature, target)| > threshold, descending; the target itself is part of the
+    result (|r| = 1), as in the source; constant features (NULL r) are excluded."""
+    feats = [c for c in df.columns if c not in exclude]
+    pairs = [(c, target) for c in feats]
+    long = pairwise_correlations(df, feats, pairs)
+    return long.select(F.col("var1").alias("feature"), F.abs("corr").alias("abs_corr")) \
+        .where(F.col("abs_corr") > threshold).orderBy(F.col("abs_corr").desc(), "feature")
+
+
+def feature_correlation_prune(df: DataFrame, features: list[str], target: str,
+                              corr_threshold: float = 0.95, target_threshold: float = 0.01) -> DataFrame:
+    """A feature is removed when any *earlier* feature has |r| > corr_threshold with it;
+    recommended when not removed and |r with target| >= target_threshold (NULL r -> not kept).
+    Returns (feature, target_corr, removed, recommended)."""
+    long = pairwise_correlations(df, features)
+    rem = long.where(F.abs("corr") > corr_threshold).select(F.col("var2").alias("feature")).distinct() \
+        .select("feature", F.lit(1).alias("removed"))
+    tc = pairwise_correlations(df, features, [(c, target) for c in features]) \
+        .select(F.col("var1").alias("feature"), F.col("corr").alias("target_corr"))
+    out = tc.join(rem, on="feature", how="left").select(
+        "feature", "target_corr", F.coalesce("removed", F.lit(0)).alias("removed"))
+    return out.select("*", ((F.col("removed") == 0) & F.coalesce(F.abs("target_corr") >= target_threshold,
+                                                                   F.lit(False))).cast("int").alias("recommended"))
+
+
+def low_variance(df: DataFrame, features: list[str], threshold: float = 0.01) -> DataFrame:
+    """Sample variance per feature and a flag for variance < threshold."""
+    agg = df.agg(*[F.var_samp(F.col(f"`{c}`").cast("double")).alias(f"v{i}") for i, c in enumerate(features)])
+    long = agg.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias("variance"))
+                                          for i, c in enumerate(features)])).alias("s")).select("s.*")
+    return long.select("*", F.coalesce(F.col("variance") < threshold, F.lit(False)).cast("int").alias("low_variance"))
+
+
+def anova_f(df: DataFrame, features: list[str], target: str, max_features: int = 2000) -> DataFrame:
+    """One-way ANOVA F statistic per feature over the target classes (rows where the
+    feature is present), from per-class count / sum / sum of squares; plus the p-value from the
+    F distribution (regularised incomplete beta, computed per feature in an Arrow batch)."""
+    feats = features[:max_features]
+    long = _stack(df, feats, [target]).where(F.col("value").isNotNull())
+    # per-class count, mean and population variance (stable online aggregates), so a constant
+    # feature gives exactly zero within-class variance (F undefined -> NULL), not float noise
+    per = long.groupBy("variable", target).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"),
+                                               F.var_pop("value").alias("v"))
+    tot = per.groupBy("variable").agg(
+        F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("k"),
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
+        F.sum(F.col("n") * F.col("v")).alias("ssw"))
+    ssb = per.join(tot.select("variable", "grand"), on="variable").groupBy("variable").agg(
+        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("ssb"))
+    t = tot.join(ssb, on="variable")
+    f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n_all") - F.col("k")))
+    out = t.select(F.col("variable").alias("feature"), f.alias("f_score"),
+                   (F.col("k") - 1).cast("double").alias("df1"), (F.col("n_all") - F.col("k")).cast("double").alias("df2"))
+    return out.select("feature", "f_score", _f_sf(F.col("f_score"), F.col("df1"), F.col("df2")).alias("p_value"))
+
+
+def _betainc(a, b, x):
+    """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction (vectorised)."""
+    from math import lgamma
+    out = np.full(len(x), np.nan)
+    for i in range(len(x)):
+        ai, bi, xi = a[i], b[i], x[i]
+        if not (np.isfinite(ai) and np.isfinite(bi) and np.isfinite(xi)) or ai <= 0 or bi <= 0:
+            continue
+        if xi <= 0:
+            out[i] = 0.0
+            continue
+        if xi >= 1:
+            out[i] = 1.0
+            continue
+        flip = xi > (ai + 1) / (ai + bi + 2)
+        if flip:
+            ai, bi, xi = bi, ai, 1 - xi
+        lbeta = lgamma(ai + bi) - lgamma(ai) - lgamma(bi)
+        front = np.exp(np.log(xi) * ai + np.log1p(-xi) * bi + lbeta) / ai
+        c, d, f = 1.0, 0.0, 1.0
+        for m in range(0, 400):
+            for step in (0, 1):
+                if m == 0 and step == 0:
+                    num = 1.0
+                elif step == 0:
+                    num = m * (bi - m) * xi / ((ai + 2 * m - 1) * (ai + 2 * m))
+                else:
+                    num = -(ai + m) * (ai + bi + m) * xi / ((ai + 2 * m) * (ai + 2 * m + 1))
+                d = 1 + num * d
+                d = 1 / (d if abs(d) > 1e-300 else 1e-300)
+                c = 1 + num / (c if abs(c) > 1e-300 else 1e-300)
+                f *= c * d
+            if abs(1 - c * d) < 1e-15:
+                break
+        v = front * (f - 1)
+        out[i] = 1 - v if flip else v
+    return out
+
+
+def _f_sf(f, d1, d2):
+    """Survival function of the F distribution (Arrow-batched pandas UDF over the per-feature
+    result table only — one row per feature)."""
+    @F.pandas_udf("double")
+    def sf(fs: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        fv, av, bv = fs.to_numpy(float, na_value=np.nan), a.to_numpy(float), b.to_numpy(float)
+        x = bv / (bv + av * fv)
+        return pd.Series(_betainc(bv / 2, av / 2, x))
+    return sf(f, d1, d2)
+
+
+def mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 10,
+                       resolution: float = 1e-9) -> DataFrame:
+    """E16 (re-aimed): plug-in mutual information (nats) between the target and each feature
+    cut into ``bins`` equal-frequency bins (exact quantile cut points; a value's bin = number of
+    cut points <= value).  Deterministic, unlike the nearest-neighbour estimator of the source.
+    Values are binned at ``resolution`` (rounded first), so last-bit noise cannot move a point
+    across a cut."""
+    m = 1.0 / resolution
+    long = _stack(df, features, [target]).where(F.col("value").isNotNull()) \
+        .withColumn("value", F.round(F.col("value") * F.lit(m)) / F.lit(m))
+    probs = [i / bins for i in range(1, bins)]
+    cuts = exact_quantiles(long, "value", probs, ["variable"]) \
+        .groupBy("variable").agg(F.array_sort(F.collect_list("value")).alias("cuts"))  # bins-1 per feature
+    j = long.join(F.broadcast(cuts), on="variable")
+    b = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
+    ct = j.groupBy("variable", b.alias("bin"), F.col(target).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    w_f = Window.partitionBy("variable")
+    w_b = Window.partitionBy("variable", "bin")
+    w_y = Window.partitionBy("variable", "y")
+    t = ct.select("*", F.sum("n").over(w_f).alias("n_all"), F.sum("n").over(w_b).alias("nb"),
+                  F.sum("n").over(w_y).alias("ny"))
+    term = F.col("n") / F.col("n_all") * F.ln(F.col("n") * F.col("n_all") / (F.col("nb") * F.col("ny")))
+    return t.groupBy(F.col("variable").alias("feature")).agg(F.sum(term).alias("mi_score"))
+
+
+# ------------------------------------------------------------------ E17 KS drift
+def drift_ks(train: DataFrame, test: DataFrame, features: list[str], alpha: float = 0.05,
+             max_features: int = 10) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov D per feature (first ``max_features``), asymptotic
+    p-value, and a drift flag (p < alpha).
+
+    Both samples are reduced to (feature, value, count per side); the two empirical CDFs are
+    running sums over values per feature (range-bucketed prefix sums, so a feature with many
+    distinct values is spread over many tasks); D = max |F1 - F2|."""
+    feats = features[:max_features]
+    a = _stack(train, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(1).alias("c1"), F.lit(0).alias("c2"))
+    b = _stack(test, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(0).alias("c1"), F.lit(1).alias("c2"))
+    v = a.unionByName(b).groupBy("variable", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
+    cum = prefix_sums(v, ["value"], ["c1", "c2"], ["variable"])
+    n = v.groupBy("variable").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
+    j = cum.join(n, on="variable")
+    d = j.groupBy("variable", "n1", "n2").agg(
+        F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("ks_stat"))
+    ne = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
+    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks_stat")
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
+    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series))
+    return d.select(F.col("variable").alias("feature"), "ks_stat", p.alias("p_value"), "n1", "n2") \
+        .select("*", (F.col("p_value") < alpha).cast("int").alias("drift"))
+
+
+def remove_drift_features(df: DataFrame, drifted: list[str]) -> DataFrame:
+    """Drop drifted columns that start with ``attribute`` and are not ``_normalized``
+    (normalised versions are never dropped)."""
+    return df.drop(*[c for c in drifted if c.startswith("attribute") and not c.endswith("_normalized")])

@@ -82,7 +82,10 @@ def oracle_texts() -> dict[str, str]:
             continue
         kinds = cache.get(name)
         if kinds is None or cache.get(f"{name}#sql") != hash_text(e.sql):
-            kinds = describe_floats(e.sql)
+            try:
+                kinds = describe_floats(e.sql)
+            except Exception:  # noqa: BLE001 - an oracle DuckDB cannot bind is left out
+                continue
         out[name] = wrap(e.sql, kinds["float"], kinds["time"])
     return out
 
