@@ -1 +1,172 @@
-"""Registered queries."""
+"""Model and I/O queries.
+
+Model fits are Spark ML jobs whose scores are not reproducible in SQL, so most entries here
+have no oracle (rows-only check).  The AP-weighted ensemble over the deterministic fixture
+scores and the write/read round trips do have one.  Round trips write under the shared
+``spark.checkpoint.dir`` (one fresh folder per call)."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from faultline.catalog.devices import H
+from faultline.catalog.offers import _kpi_sql
+from faultline.catalog.scoring import _s2
+from faultline.operators import features as fe, kpis, ml, offers as ob, scoring as sc
+from faultline.registry import query
+from faultline.session import ensure_checkpoint_dir, materialize
+from faultline.sources import io
+from faultline.sources.fixtures import FIXTURE_PURGE, FIXTURE_SIZE, device_readings, offers
+
+TARGET = "early_warn_target"
+TREES = 10          # small ensembles keep the checks quick; the operators default higher
+
+
+def _scratch(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _features(spark, sf):
+    # the feature table feeds several fits: written once to the shared checkpoint folder
+    return materialize(fe.device_features(device_readings(spark, sf), forecast_horizon=H), "features")
+
+
+def _prepared(spark, sf, k=40):
+    table, feats = ml.prepare_dataset(_features(spark, sf), TARGET, FIXTURE_PURGE, FIXTURE_SIZE,
+                                      FIXTURE_SIZE, k=k, num_trees=20)
+    return materialize(table, "prepared"), feats
+
+
+# ------------------------------------------------------------------ A2-A7
+_RAW_OFFER_COLS = ["OFFER_START_DATE", "OFFER_START_DTTM", "OFFER_FINISH_DTTM", "OFFER_TYPE", "VERTICAL",
+                   "DOMAIN_ID", "DOM_DOMAIN_AGG1", "SHIPPING_PAYMENT_TYPE", "ORIGIN", "INVOLVED_STOCK",
+                   "REMAINING_STOCK_AFTER_END", "SOLD_AMOUNT", "SOLD_QUANTITY"]
+
+
+@query("a02_load_offers_csv", f"""
+SELECT CAST(OFFER_START_DATE AS TIMESTAMP) AS OFFER_START_DATE, OFFER_START_DTTM, OFFER_FINISH_DTTM,
+       {', '.join(_RAW_OFFER_COLS[3:])} FROM offers""")
+def a02(spark, sf):
+    path = _scratch(spark, "offers-csv")
+    offers(spark, sf).select(*_RAW_OFFER_COLS).write.option("header", True).csv(path)
+    return io.load_offers(spark, path)
+
+
+@query("a03_negative_remaining", "SELECT sum(CASE WHEN REMAINING_STOCK_AFTER_END < 0 THEN 1 ELSE 0 END) AS n_negative FROM offers")
+def a03(spark, sf):
+    return io.negative_remaining(io.coerce_types(offers(spark, sf)))
+
+
+@query("a04_a07_metrics_roundtrip", f"SELECT *, 'fixture' AS run_id FROM ({_kpi_sql(['VERTICAL'], 'WHERE VERTICAL IS NOT NULL')})")
+def a04(spark, sf):
+    path = _scratch(spark, "metrics")
+    rid = io.save_metrics(kpis.kpi_summary(ob.offer_features(offers(spark, sf)), "VERTICAL"), path, "fixture")
+    return io.load_metrics(spark, path, rid)
+
+
+@query("a05_a06_model_roundtrip")
+def a05(spark, sf):
+    table, feats = _prepared(spark, sf, k=20)
+    train = table.where(F.col("split") == "train")
+    m = ml.train_boosted(train, feats, TARGET, "A", max_iter=TREES, weighted=False)
+    path = _scratch(spark, "model")
+    io.save_model(m, path, {"features": feats, "threshold": 0.3, "type": "GBT_A"})
+    loaded, meta = io.load_model(path)
+    return ml.score(loaded, table.where(F.col("split") == "test"), meta["features"], TARGET, meta["type"])
+
+
+# ------------------------------------------------------------------ I1-I11
+@query("i01_prepare_dataset")
+def i01(spark, sf):
+    table, _ = _prepared(spark, sf)
+    return table.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(TARGET).alias("n_pos"))
+
+
+@query("i02_select_top_features")
+def i02(spark, sf):
+    f = _features(spark, sf)
+    from faultline.operators.labels import temporal_split
+    train = temporal_split(f, FIXTURE_PURGE, FIXTURE_SIZE, FIXTURE_SIZE).where(F.col("split") == "train")
+    return ml.select_top_features(train, ml.feature_columns(f, TARGET), TARGET, k=40, num_trees=20)
+
+
+def _boosted_scores(spark, sf):
+    table, feats = _prepared(spark, sf, k=40)
+    m = ml.train_boosted(table.where(F.col("split") == "train"), feats, TARGET, "A", max_iter=TREES)
+    return table, feats, m
+
+
+@query("i03_train_boosted")
+def i03(spark, sf):
+    table, feats, m = _boosted_scores(spark, sf)
+    return ml.score(m, table.where(F.col("split") == "test"), feats, TARGET, "GBT_A")
+
+
+@query("i04_calibrate_isotonic")
+def i04(spark, sf):
+    table, feats, m = _boosted_scores(spark, sf)
+    cal = ml.score(m, table.where(F.col("split") == "val_model"), feats, TARGET, "GBT_A")
+    return ml.calibrate(cal, ml.score(m, table.where(F.col("split") == "test"), feats, TARGET, "GBT_A"))
+
+
+@query("i05_timeaware_calibration")
+def i05(spark, sf):
+    table, feats, m = _boosted_scores(spark, sf)
+    # both score tables are reused by every fold: written once to the checkpoint folder
+    val = materialize(ml.score(m, table.where(F.col("split").isin("val_model", "val_hold")), feats, TARGET, "GBT_A"), "val")
+    test = materialize(ml.score(m, table.where(F.col("split") == "test"), feats, TARGET, "GBT_A"), "test")
+    return ml.timeaware_calibration(val, test, k=3)[1]
+
+
+_ENS = """
+WITH s AS (SELECT model, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+           FROM scored2 WHERE split = 'val' GROUP BY 1, 2),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY model ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS cp,
+             sum(neg) OVER (PARTITION BY model ORDER BY p DESC ROWS UNBOUNDED PRECEDING) AS cn,
+             sum(pos) OVER (PARTITION BY model) AS PP FROM s),
+ap AS (SELECT model, coalesce(CASE WHEN max(PP) > 0 THEN sum(CAST(pos AS DOUBLE) / PP * (CAST(cp AS DOUBLE) / (cp + cn))) END, 0.0) + 1e-9 AS w
+       FROM c GROUP BY model),
+tot AS (SELECT sum(w) AS tw FROM ap)
+SELECT t.device, t.date, t.y, sum(t.p * ap.w) / min(tot.tw) AS p, 'EnsembleAvg' AS model
+FROM scored2 t JOIN ap ON t.model = ap.model, tot WHERE t.split = 'test' GROUP BY 1, 2, 3"""
+
+
+@query("i06_ensemble_by_ap", _ENS)
+def i06(spark, sf):
+    return ml.ensemble_by_ap(_s2(spark, sf, "val"), _s2(spark, sf, "test"))
+
+
+@query("i07_rolling_origin_cv")
+def i07(spark, sf):
+    f = _features(spark, sf)
+    return ml.rolling_origin_cv(f, TARGET, 3, FIXTURE_PURGE, max_iter=TREES)[1]
+
+
+@query("i08_tune_neg_per_pos")
+def i08(spark, sf):
+    table, feats = _prepared(spark, sf, k=20)
+    cols = ["device", "date", TARGET, *feats]
+    return ml.tune_neg_per_pos(table.where(F.col("split") == "train").select(*cols),
+                               table.where(F.col("split").isin("val_model", "val_hold")).select(*cols),
+                               TARGET, ratios=(4, 8), max_iter=TREES)
+
+
+@query("i10_train_evaluate")
+def i10(spark, sf):
+    table, feats = _prepared(spark, sf, k=30)
+    return ml.train_evaluate(table, feats, TARGET, max_iter=TREES)[1]
+
+
+@query("i11_feature_importance")
+def i11(spark, sf):
+    table, feats, m = _boosted_scores(spark, sf)
+    return ml.feature_importance(m, feats)[1]
+
+
+@query("b27_feature_family")
+def b27(spark, sf):
+    table, feats, m = _boosted_scores(spark, sf)
+    return ml.feature_importance(m, feats)[0]

@@ -45,7 +45,7 @@ def main():
     from faultline.registry import load_all, oracle_texts
     from faultline.session import get_session
     from faultline.sources.tables import TABLES
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "12g"})
     reg = load_all()
     orc = oracle_texts()
     con = duckdb.connect()
