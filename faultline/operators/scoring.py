@@ -107,7 +107,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p",
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     above = F.col("cum_pos") - F.col("pos")
     a = j.groupBy(*g).agg(
-        F.sum(F.col("pos") / F.col("n_pos") * prec).alias("__ap"),
+        F.sum(F.try_divide(F.col("pos"), F.col("n_pos")) * prec).alias("__ap"),
         F.sum(F.col("neg") * (above + 0.5 * F.col("pos"))).alias("__u"),
         F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"))
     return a.select(*g, F.when(F.col("n_pos") > 0, F.col("__ap")).alias("ap"),

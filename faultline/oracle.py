@@ -149,11 +149,14 @@ scored2 AS (
 """
 
 
-def wrap(body: str, float_cols: list[str], time_cols: list[str] | None = None) -> str:
+def wrap(body: str, float_cols: list[str], time_cols: list[str] | None = None,
+         bigint_cols: list[str] | None = None) -> str:
     """Oracle text: shared prefix + body with floating columns rounded to 6 dp and
     dates/timestamps rendered as ISO text (the Spark side does the same)."""
     reps = [f'(round(CAST("{c}" AS DOUBLE) * 1e6) / 1e6 + 0.0) AS "{c}"' for c in float_cols]
     reps += [f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in (time_cols or [])]
+    # DuckDB sums integers into HUGEINT, which client libraries turn into floats
+    reps += [f'CAST("{c}" AS BIGINT) AS "{c}"' for c in (bigint_cols or [])]
     if reps:
         rep = ", ".join(reps)
         return f"{PREFIX}\nSELECT * REPLACE ({rep}) FROM (\n{body}\n) AS q"

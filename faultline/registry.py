@@ -70,7 +70,8 @@ def describe_floats(body: str, sf_dir: str = _SCHEMA_SF) -> dict:
     rows = con.execute(f"DESCRIBE {PREFIX} SELECT * FROM (\n{body}\n) AS q").fetchall()
     return {"float": [r[0] for r in rows if r[1] in _FLOAT_TYPES or r[1].startswith("DECIMAL")],
             "time": [r[0] for r in rows if r[1] in ("DATE", "TIMESTAMP", "TIMESTAMP_NS",
-                                                     "TIMESTAMP WITH TIME ZONE")]}
+                                                     "TIMESTAMP WITH TIME ZONE")],
+            "bigint": [r[0] for r in rows if r[1] in ("HUGEINT", "UHUGEINT", "UBIGINT")]}
 
 
 def oracle_texts() -> dict[str, str]:
@@ -86,7 +87,7 @@ def oracle_texts() -> dict[str, str]:
                 kinds = describe_floats(e.sql)
             except Exception:  # noqa: BLE001 - an oracle DuckDB cannot bind is left out
                 continue
-        out[name] = wrap(e.sql, kinds["float"], kinds["time"])
+        out[name] = wrap(e.sql, kinds["float"], kinds["time"], kinds.get("bigint", []))
     return out
 
 
