@@ -23,7 +23,10 @@ def _of(spark, sf):
 
 
 def _feat(spark, sf):
-    return fe.device_features(device_readings(spark, sf), forecast_horizon=H)
+    # the feature table is read by several passes of each screening report: written once to
+    # the shared checkpoint folder instead of recomputing ~190 window expressions per pass
+    from faultline.session import materialize
+    return materialize(fe.device_features(device_readings(spark, sf), forecast_horizon=H), "features")
 
 
 FEAT_SQL = f"({label_sql(feature_sql(), H)})"

@@ -182,20 +182,19 @@ def threshold_cost_or_budget(df: DataFrame, max_alert_rate: float = 0.05, y: str
     then ``max_alert_rate`` (source behaviour) and ``realized_rate`` is the true rate."""
     g = list(group_cols or [])
     probs = [float(x) for x in np.linspace(0, 1, 201)]
-    q = _quantile_cands(df, probs + [1.0 - max_alert_rate], p, g)
     fallback_idx = len(probs)
+    q = _quantile_cands(df, probs + [1.0 - max_alert_rate], p, g)
     keys = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
-    fixed = keys.select(*g, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("thr"))
-    cands = q.where(F.col("q_idx") < fallback_idx).select(*g, "thr").unionByName(fixed)
+    fixed = keys.select(*g, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("thr"), F.lit(False).alias("__fb"))
+    cands = q.select(*g, "thr", (F.col("q_idx") == fallback_idx).alias("__fb")).unionByName(fixed)
+    # regular candidates and the fallback threshold are counted in one ordered pass
     c = counts_at(df, cands, y, p, g)
     w = Window.partitionBy(*g).orderBy("cost", "thr") if g else Window.orderBy("cost", "thr")
-    best = c.select("*", F.row_number().over(w).alias("__r")).where("__r = 1")
-    fb = q.where(F.col("q_idx") == fallback_idx).select(*g, F.col("thr").alias("__fb"))
-    fb_counts = counts_at(df, fb.select(*g, F.col("__fb").alias("thr")), y, p, g) \
-        .select(*g, F.col("thr").alias("__fb"), F.col("alert_rate").alias("__fb_rate"))
-    j = _join(best, _join(fb, fb_counts, g + ["__fb"]) if g else fb.join(fb_counts, "__fb"), g)
+    best = c.where(~F.col("__fb")).select("*", F.row_number().over(w).alias("__r")).where("__r = 1").drop("__fb")
+    fb = c.where(F.col("__fb")).select(*g, F.col("thr").alias("__fbt"), F.col("alert_rate").alias("__fb_rate"))
+    j = _join(best, fb, g)
     over = F.col("alert_rate") > max_alert_rate
-    return j.select(*g, F.when(over, F.col("__fb")).otherwise(F.col("thr")).alias("thr"),
+    return j.select(*g, F.when(over, F.col("__fbt")).otherwise(F.col("thr")).alias("thr"),
                     F.when(over, F.lit(max_alert_rate)).otherwise(F.col("alert_rate")).alias("alert_rate"),
                     F.when(over, F.lit("budget_fallback")).otherwise(F.lit("cost_optimal")).alias("mode"),
                     F.when(over, F.col("__fb_rate")).otherwise(F.col("alert_rate")).alias("realized_rate"))
