@@ -35,7 +35,8 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
 
 
-def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None,
+                          method: str = "gram") -> DataFrame:
     """E2 (long form): (var1, var2, i, j, corr) for every pair i < j of ``cols`` (or ``pairs``),
     pairwise-complete like pandas ``DataFrame.corr``.
 
@@ -47,6 +48,8 @@ def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str,
     idx = {c: i for i, c in enumerate(cols)}
     if pairs is None:
         pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if method == "gram":
+        return _pairwise_gram(df, cols, pairs, idx)
     used = list(dict.fromkeys([c for p in pairs for c in p]))
     # one aggregate row of column means (size: number of columns) inlined as literals
     mrow = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(used)]).first()
@@ -76,6 +79,53 @@ def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str,
     return out.select("nm.var1", "nm.var2", "nm.i", "nm.j", "corr")
 
 
+def _pairwise_gram(df: DataFrame, cols, pairs, idx) -> DataFrame:
+    """Pairwise-complete correlations from one Gram matrix.
+
+    Each column c contributes three vector entries: the centered value with missing -> 0, its
+    square, and a presence mask.  Every pairwise-complete sum (n, sums, squares, cross product
+    over rows where both are present) is an entry of the Gram matrix of that vector, which
+    Spark ML computes in one pass with BLAS (per-task partial sums, tree-combined), plus one
+    Summarizer pass for means / variances.  Only the (3k x 3k) matrix reaches the driver —
+    bounded by the number of columns, not rows."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation, Summarizer
+    used = list(dict.fromkeys([c for p in pairs for c in p]))
+    # shift by a present value of each column (cheap: first rows only) for numerical stability
+    first = df.select(*[F.first(F.col(f"`{c}`").cast("double"), ignorenulls=True).alias(f"f{i}")
+                        for i, c in enumerate(used)]).first()
+    z = []
+    for i, c in enumerate(used):
+        x = F.col(f"`{c}`").cast("double") - F.lit(float(first[i] if first[i] is not None else 0.0))
+        z += [F.coalesce(x, F.lit(0.0)).alias(f"a{i}"), F.coalesce(x * x, F.lit(0.0)).alias(f"q{i}"),
+              x.isNotNull().cast("double").alias(f"m{i}")]
+    zz = df.select(*z)
+    vec = VectorAssembler(inputCols=zz.columns, outputCol="z").transform(zz).select("z")
+    sm = vec.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("z")).alias("s")).first()["s"]
+    n = float(sm["count"])
+    mu = sm["mean"].toArray()
+    sd = np.sqrt(np.maximum(sm["variance"].toArray(), 0.0))
+    corr = Correlation.corr(vec, "z").head()[0].toArray()
+    cov = np.where(np.isfinite(corr), corr, 0.0) * np.outer(sd, sd)
+    gram = (n - 1) * cov + n * np.outer(mu, mu)
+    pos = {c: i for i, c in enumerate(used)}
+    rows = []
+    for a, b in pairs:
+        ia, ib = pos[a], pos[b]
+        A, Q, M = (lambda i: 3 * i), (lambda i: 3 * i + 1), (lambda i: 3 * i + 2)
+        nab = float(np.rint(gram[M(ia), M(ib)]))
+        r = None
+        if nab > 1:
+            sa, sb = gram[A(ia), M(ib)], gram[A(ib), M(ia)]
+            saa, sbb, sab = gram[Q(ia), M(ib)], gram[Q(ib), M(ia)], gram[A(ia), A(ib)]
+            cxx, cyy = saa - sa * sa / nab, sbb - sb * sb / nab
+            # constant columns: the centered spread vanishes up to rounding -> undefined
+            if cxx > 1e-10 * max(abs(saa), 1e-300) and cyy > 1e-10 * max(abs(sbb), 1e-300):
+                r = float(np.clip((sab - sa * sb / nab) / np.sqrt(cxx * cyy), -1.0, 1.0))
+        rows.append((a, b, idx.get(a, -1), idx.get(b, -1), r))
+    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, i int, j int, corr double")
+
+
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7, strict: bool = False) -> DataFrame:
     """Upper-triangle pairs with |r| >= threshold (> when ``strict``), tagged Original /
     Criada and by feature family, sorted by |r| desc."""
