@@ -44,3 +44,9 @@ def join_on_small(df: DataFrame, small: DataFrame, on, how: str = "inner",
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_file(name: str) -> str:
+    """Where an installed public vocabulary file lies; queries take another path as a parameter."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import credentials, mixture, simhash
-from faultline.llm.common import table
+from faultline.llm import credentials, mixture, pieces, quality, simhash
+from faultline.llm.common import table, tokenizer_file
 
 
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.assess(docs, model).drop("text")
+
+
+def op8_sentencepiece_wfst(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, model or tokenizer_file("piece_bpe_32k.model"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.xxhash64("ids").alias("ids_xxh64"), "round_trip", "ids")
+
+
 def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = credentials.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -36,6 +49,6 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash_components, op9_credential_linking, op10_pivotal_mixing)}
+    f.__name__: f for f in (op4_simhash_components, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
 
 ORACLES: dict[str, str] = {}
