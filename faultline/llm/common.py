@@ -50,3 +50,22 @@ def tokenizer_file(name: str) -> str:
     """Where an installed public vocabulary file lies; queries take another path as a parameter."""
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+def open_folder(uri: str):
+    """(filesystem, path) of a folder that all executors share; any store that pyarrow reaches."""
+    import re
+
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+def put_file(folder: str, name: str, data: bytes) -> None:
+    """Write a file under its final name in one step.  A task that runs again writes the same
+    bytes under the same name; readers never see a part of a file."""
+    store, base = open_folder(folder)
+    store.create_dir(base, recursive=True)
+    draft = f"{base}/.{name}.{uuid.uuid4().hex}"
+    with store.open_output_stream(draft, compression=None) as out:
+        out.write(data)
+    store.move(draft, f"{base}/{name}")

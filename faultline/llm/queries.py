@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import credentials, mixture, pieces, quality, simhash
-from faultline.llm.common import table, tokenizer_file
+from faultline.llm import credentials, mixture, pieces, quality, simhash, tokenfile
+from faultline.llm.common import shared_folder, table, tokenizer_file
 
 
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_seekable_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    files = tokenfile.write(table(spark, sf_dir, "documents"), folder, tokenizer or tokenizer_file("byte_bpe_50k.json"))
+    return tokenfile.read(spark, folder, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -49,6 +55,6 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash_components, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
+    f.__name__: f for f in (op4_simhash_components, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
 
 ORACLES: dict[str, str] = {}
