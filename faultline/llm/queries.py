@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import credentials, mixture, pieces, quality, simhash, tokenfile
+from faultline.llm import archive, credentials, mixture, pieces, quality, simhash, tokenfile
 from faultline.llm.common import shared_folder, table, tokenizer_file
 
 
@@ -17,6 +17,13 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    archives = archive.write(table(spark, sf_dir, "pages"), folder)
+    return archive.read(spark, folder, archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_seekable_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     files = tokenfile.write(table(spark, sf_dir, "documents"), folder, tokenizer or tokenizer_file("byte_bpe_50k.json"))
@@ -55,6 +62,15 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash_components, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
-
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
+
+ORACLES: dict[str, str] = {
+    "op5_warc_zstd": """
+        with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                          sha1(coalesce(html, '')) as payload_digest, coalesce(html, '') as payload from pages),
+             g as (select payload, max(page_id) as latest from p where payload_bytes >= 1000 group by payload)
+        select p.page_id, p.payload_bytes, p.payload_digest,
+               case when g.latest <> p.page_id then 'revisit' else 'response' end as record_type,
+               case when g.latest <> p.page_id then g.latest end as refers_to
+        from p left join g on p.payload = g.payload""",
+}
