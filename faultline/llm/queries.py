@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import archive, credentials, mixture, pieces, quality, simhash, tokenfile
+from faultline.llm import archive, credentials, density, mixture, pieces, quality, simhash, tokenfile
 from faultline.llm.common import shared_folder, table, tokenizer_file
 
 
+def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.labelled(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -62,7 +66,7 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
+    f.__name__: f for f in (op2_text_density, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
 
 ORACLES: dict[str, str] = {
     "op5_warc_zstd": """
