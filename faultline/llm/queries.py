@@ -8,14 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import archive, credentials, density, mixture, pieces, quality, simhash, tokenfile
+from faultline.llm import archive, credentials, density, hamming, mixture, pieces, ppm, quality, simhash, tokenfile
 from faultline.llm.common import shared_folder, table, tokenizer_file
 
 
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hamming.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.labelled(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -66,9 +75,17 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_text_density, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
 
 ORACLES: dict[str, str] = {
+    "op1_multi_index_hashing": """
+        with c as (select distinct vec_id, list_aggregate(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end),
+                                                          'string_agg', '')::bit as code
+                   from embeddings where vec_id is not null and len(embedding) = (select max(len(embedding)) from embeddings)),
+             d as (select q.vec_id as query_id, c.vec_id, bit_count(xor(q.code, c.code)) as distance
+                   from c q join c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
+             r as (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from d)
+        select query_id, rank, vec_id, distance from r where rank <= 10""",
     "op5_warc_zstd": """
         with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
                           sha1(coalesce(html, '')) as payload_digest, coalesce(html, '') as payload from pages),
