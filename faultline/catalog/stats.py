@@ -22,14 +22,19 @@ def _of(spark, sf):
     return ob.offer_features(offers(spark, sf))
 
 
-def _feat(spark, sf):
-    # the feature table is read by several passes of each screening report: written once to
-    # the shared checkpoint folder instead of recomputing ~190 window expressions per pass
+def _feat(spark, sf, saved=True):
+    # screening reports read the table in two passes: it is written once to the shared folder.
+    # Reports of one pass over some columns read it as it is, and the windows of others are pruned
+    table = fe.device_features(device_readings(spark, sf), forecast_horizon=H)
+    if not saved:
+        return table
     from faultline.session import materialize
-    return materialize(fe.device_features(device_readings(spark, sf), forecast_horizon=H), "features")
+    return materialize(table, "features")
 
 
 FEAT_SQL = f"({label_sql(feature_sql(), H)})"
+#: The feature table as a CTE that DuckDB works out once.
+FF = f"WITH ff AS MATERIALIZED (SELECT * FROM {FEAT_SQL})"
 
 
 def _q(c):
@@ -85,7 +90,10 @@ def e03(spark, sf):
 
 
 @query("e04_correlated_pairs_report", f"""
-SELECT Tipo_Relacao, count(*) AS n_pairs, max(Correlacao_Abs) AS max_abs_corr FROM ({_pairs_tagged_sql('>= 0.7')}) GROUP BY 1""")
+SELECT * FROM (SELECT Tipo_Relacao, count(*) OVER (PARTITION BY Tipo_Relacao) AS n_pairs,
+                      max(Correlacao_Abs) OVER (PARTITION BY Tipo_Relacao) AS max_abs_corr,
+                      row_number() OVER (PARTITION BY Tipo_Relacao ORDER BY round(Correlacao_Abs, 9) DESC, Variavel_1, Variavel_2) AS rank,
+                      Variavel_1, Variavel_2, Correlacao FROM ({_pairs_tagged_sql('>= 0.7')})) WHERE rank <= 10""")
 def e04(spark, sf):
     return st.correlated_pairs_report(st.correlated_pairs(_of(spark, sf), NUM, 0.7))
 
@@ -167,9 +175,9 @@ def e11(spark, sf):
 _LEAK_COLS = FEATS + [TARGET]
 
 
-@query("e12_leakage_check", f"""
+@query("e12_leakage_check", f"""{FF}
 SELECT var1 AS feature, abs(corr) AS abs_corr FROM (
-{_pairs_sql(FEAT_SQL, [(c, TARGET) for c in _LEAK_COLS], {c: i for i, c in enumerate(_LEAK_COLS)})})
+{_pairs_sql('ff', [(c, TARGET) for c in _LEAK_COLS], {c: i for i, c in enumerate(_LEAK_COLS)})})
 WHERE abs(corr) > 0.8""")
 def e12(spark, sf):
     return st.leakage_check(_feat(spark, sf), TARGET, 0.8)
@@ -178,10 +186,10 @@ def e12(spark, sf):
 _SCREEN_IDX = {c: i for i, c in enumerate(SCREEN)}
 
 
-@query("e13_feature_correlation_prune", f"""
-WITH pc AS ({_pairs_sql(FEAT_SQL, _all_pairs(SCREEN), _SCREEN_IDX)}),
+@query("e13_feature_correlation_prune", f"""{FF},
+pc AS ({_pairs_sql('ff', _all_pairs(SCREEN), _SCREEN_IDX)}),
 rem AS (SELECT DISTINCT var2 AS feature FROM pc WHERE abs(corr) > 0.95),
-tc AS ({_pairs_sql(FEAT_SQL, [(c, TARGET) for c in SCREEN], _SCREEN_IDX)})
+tc AS ({_pairs_sql('ff', [(c, TARGET) for c in SCREEN], _SCREEN_IDX)})
 SELECT tc.var1 AS feature, tc.corr AS target_corr, CASE WHEN rem.feature IS NULL THEN 0 ELSE 1 END AS removed,
        CAST(rem.feature IS NULL AND coalesce(abs(tc.corr) >= 0.01, false) AS INTEGER) AS recommended
 FROM tc LEFT JOIN rem ON tc.var1 = rem.feature""")
@@ -189,24 +197,31 @@ def e13(spark, sf):
     return st.feature_correlation_prune(_feat(spark, sf), SCREEN, TARGET)
 
 
-@query("e14_low_variance", "\nUNION ALL ".join(
+@query("e14_low_variance", FF + "\n" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS feature, var_samp(CAST({_q(c)} AS DOUBLE)) AS variance, "
-    f"CAST(coalesce(var_samp(CAST({_q(c)} AS DOUBLE)) < 0.01, false) AS INTEGER) AS low_variance FROM {FEAT_SQL}"
+    f"CAST(coalesce(var_samp(CAST({_q(c)} AS DOUBLE)) < 0.01, false) AS INTEGER) AS low_variance FROM ff"
     for c in FEATS))
 def e14(spark, sf):
-    return st.low_variance(_feat(spark, sf), FEATS)
+    return st.low_variance(_feat(spark, sf, saved=False), FEATS)
 
 
-@query("e15_anova_f", f"""
-WITH l AS ({_long_sql(FEATS, FEAT_SQL, TARGET + ', ')}),
+# two classes: F(1, d) is the square of Student's t, whose tail is integrated by Simpson's rule
+@query("e15_anova_f", f"""{FF},
+l AS ({_long_sql(FEATS, 'ff', TARGET + ', ')}),
 per AS (SELECT variable, {TARGET}, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM l WHERE value IS NOT NULL GROUP BY 1, 2),
 tot AS (SELECT variable, sum(n) AS n_all, count(*) AS k, sum(n * m) / sum(n) AS grand, sum(n * v) AS ssw FROM per GROUP BY 1),
-sb AS (SELECT per.variable, sum(n * (m - grand) * (m - grand)) AS ssb FROM per JOIN tot ON per.variable = tot.variable GROUP BY 1)
-SELECT tot.variable AS feature,
-       CASE WHEN ssw / (n_all - k) <> 0 THEN (ssb / (k - 1)) / (ssw / (n_all - k)) END AS f_score
-FROM tot JOIN sb ON tot.variable = sb.variable""")
+sb AS (SELECT per.variable, sum(n * (m - grand) * (m - grand)) AS ssb FROM per JOIN tot ON per.variable = tot.variable GROUP BY 1),
+f AS (SELECT tot.variable AS feature, CAST(n_all - k AS DOUBLE) AS d,
+             CASE WHEN k > 1 AND ssw / (n_all - k) <> 0 THEN (ssb / (k - 1)) / (ssw / (n_all - k)) END AS f_score
+      FROM tot JOIN sb ON tot.variable = sb.variable),
+t AS (SELECT *, sqrt(f_score) AS x, exp(lgamma((d + 1) / 2) - lgamma(d / 2)) / sqrt(d * pi()) AS peak FROM f),
+s AS (SELECT feature, sum((CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+                          * peak * pow(1 + (x * i / 2000.0::DOUBLE) * (x * i / 2000.0::DOUBLE) / d, -(d + 1) / 2)) * x / 6000.0::DOUBLE AS half
+      FROM t, range(0, 2001) r(i) WHERE x IS NOT NULL GROUP BY feature, x)
+SELECT t.feature, t.f_score, CASE WHEN t.x IS NOT NULL THEN greatest(0.0, 1 - 2 * s.half) END AS p_value
+FROM t LEFT JOIN s ON t.feature = s.feature""")
 def e15(spark, sf):
-    return st.anova_f(_feat(spark, sf), FEATS, TARGET).select("feature", "f_score")
+    return st.anova_f(_feat(spark, sf, saved=False), FEATS, TARGET)
 
 
 @query("e16_mutual_information", f"""

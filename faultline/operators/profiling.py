@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 def dedup_readings(df: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
     """A1/H4: keep one row per (device, date).  File row order is not a Spark property, so
-    "first" is defined by ``tie_break`` columns (default: all attribute columns)."""
-    order = tie_break or [c for c in df.columns if c.startswith("attribute")] or ["date"]
+    "first" is defined by ``tie_break`` columns (default: all other columns, attributes first)."""
+    order = tie_break or sorted((c for c in df.columns if c not in ("device", "date")),
+                                key=lambda c: (not c.startswith("attribute"), c)) or ["date"]
     w = Window.partitionBy("device", "date").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.select("*", F.row_number().over(w).alias("__rn")).where("__rn = 1").drop("__rn")
 

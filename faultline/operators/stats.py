@@ -23,7 +23,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
 
 # ------------------------------------------------------------------ E1-E5 correlations
 import numpy as np  # noqa: E402
-import pandas as pd  # noqa: E402
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import Window  # noqa: E402
 
 from faultline.functions.exprs import pearson  # noqa: E402
@@ -35,95 +35,77 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
 
 
-def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None,
-                          method: str = "gram") -> DataFrame:
-    """E2 (long form): (var1, var2, i, j, corr) for every pair i < j of ``cols`` (or ``pairs``),
-    pairwise-complete like pandas ``DataFrame.corr``.
+#: Pairs whose products a worker holds at once for a batch of rows.
+PAIR_CHUNK = 256
+
 
-    Two passes, both plain aggregates: column means (one row), then each row
-    emits one (pair, x - mean_x, y - mean_y) record per pair where both values are present and
-    a ``groupBy(pair)`` accumulates n, sums, squares and cross products (partial aggregation:
-    one small hash map of pairs per task).  Centering keeps the sums numerically stable; the
-    plan stays small however many pairs there are.  NULL for constant or too-short pairs."""
+def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """E2 (long form): (var1, var2, i, j, corr) for every pair i < j of ``cols`` (or ``pairs``),
+    pairwise-complete like pandas ``DataFrame.corr``; NaN counts as missing.
+
+    Two passes over the rows.  The first sums each pair's columns over the rows where both are
+    present, the second sums squares and products of the deviations from exactly these means, so
+    that neither rows missing in the partner nor large offsets cost precision.  Each task reduces
+    its rows to one row per pair; nothing but (pair, sums) is shuffled, and the means, one pair of
+    numbers per pair of columns, are all that the driver sees.  NULL if a column is constant over
+    the pair's rows, or there are fewer than two."""
     idx = {c: i for i, c in enumerate(cols)}
     if pairs is None:
         pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if method == "gram":
-        return _pairwise_gram(df, cols, pairs, idx)
-    used = list(dict.fromkeys([c for p in pairs for c in p]))
-    # one aggregate row of column means (size: number of columns) inlined as literals
-    mrow = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(used)]).first()
-    means = {c: (mrow[i] if mrow[i] is not None else 0.0) for i, c in enumerate(used)}
-
-    def centered(c):
-        return F.col(f"`{c}`").cast("double") - F.lit(float(means[c]))
-    rec = F.explode(F.array(*[F.struct(F.lit(k).alias("pid"), centered(a).alias("x"), centered(b).alias("y"))
-                              for k, (a, b) in enumerate(pairs)]))
-    e = df.select(rec.alias("r")).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    g = e.groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                             F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-                             F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-    cxx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
-    cyy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    r = F.when((F.col("n") > 1) & (cxx > 0) & (cyy > 0), cxy / F.sqrt(cxx * cyy))
-    r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
-    names = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.lit(idx.get(a, -1)).alias("i"),
-                               F.lit(idx.get(b, -1)).alias("j")) for a, b in pairs])
-    # every pair appears even when it has no complete row (corr NULL): left join from the
-    # literal pair list (size: number of pairs)
-    spark = df.sparkSession
-    plist = spark.range(len(pairs)).select(F.col("id").cast("int").alias("pid")) \
-        .select("pid", F.element_at(names, F.col("pid") + 1).alias("nm"))
-    out = plist.join(g.select("pid", r.alias("corr")), on="pid", how="left")
-    return out.select("nm.var1", "nm.var2", "nm.i", "nm.j", "corr")
-
-
-def _pairwise_gram(df: DataFrame, cols, pairs, idx) -> DataFrame:
-    """Pairwise-complete correlations from one Gram matrix.
-
-    Each column c contributes three vector entries: the centered value with missing -> 0, its
-    square, and a presence mask.  Every pairwise-complete sum (n, sums, squares, cross product
-    over rows where both are present) is an entry of the Gram matrix of that vector, which
-    Spark ML computes in one pass with BLAS (per-task partial sums, tree-combined), plus one
-    Summarizer pass for means / variances.  Only the (3k x 3k) matrix reaches the driver —
-    bounded by the number of columns, not rows."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation, Summarizer
     used = list(dict.fromkeys([c for p in pairs for c in p]))
-    # shift by a present value of each column (cheap: first rows only) for numerical stability
-    first = df.select(*[F.first(F.col(f"`{c}`").cast("double"), ignorenulls=True).alias(f"f{i}")
-                        for i, c in enumerate(used)]).first()
-    z = []
-    for i, c in enumerate(used):
-        x = F.col(f"`{c}`").cast("double") - F.lit(float(first[i] if first[i] is not None else 0.0))
-        z += [F.coalesce(x, F.lit(0.0)).alias(f"a{i}"), F.coalesce(x * x, F.lit(0.0)).alias(f"q{i}"),
-              x.isNotNull().cast("double").alias(f"m{i}")]
-    zz = df.select(*z)
-    vec = VectorAssembler(inputCols=zz.columns, outputCol="z").transform(zz).select("z")
-    sm = vec.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("z")).alias("s")).first()["s"]
-    n = float(sm["count"])
-    mu = sm["mean"].toArray()
-    sd = np.sqrt(np.maximum(sm["variance"].toArray(), 0.0))
-    corr = Correlation.corr(vec, "z").head()[0].toArray()
-    cov = np.where(np.isfinite(corr), corr, 0.0) * np.outer(sd, sd)
-    gram = (n - 1) * cov + n * np.outer(mu, mu)
-    pos = {c: i for i, c in enumerate(used)}
-    rows = []
-    for a, b in pairs:
-        ia, ib = pos[a], pos[b]
-        A, Q, M = (lambda i: 3 * i), (lambda i: 3 * i + 1), (lambda i: 3 * i + 2)
-        nab = float(np.rint(gram[M(ia), M(ib)]))
-        r = None
-        if nab > 1:
-            sa, sb = gram[A(ia), M(ib)], gram[A(ib), M(ia)]
-            saa, sbb, sab = gram[Q(ia), M(ib)], gram[Q(ib), M(ia)], gram[A(ia), A(ib)]
-            cxx, cyy = saa - sa * sa / nab, sbb - sb * sb / nab
-            # constant columns: the centered spread vanishes up to rounding -> undefined
-            if cxx > 1e-10 * max(abs(saa), 1e-300) and cyy > 1e-10 * max(abs(sbb), 1e-300):
-                r = float(np.clip((sab - sa * sb / nab) / np.sqrt(cxx * cyy), -1.0, 1.0))
-        rows.append((a, b, idx.get(a, -1), idx.get(b, -1), r))
-    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, i int, j int, corr double")
+    at = {c: i for i, c in enumerate(used)}
+    left = np.array([at[a] for a, _ in pairs], np.int64)
+    right = np.array([at[b] for _, b in pairs], np.int64)
+    values = [F.col(f"`{c}`").cast("double") for c in used]
+    x = df.select(*[F.when(~F.isnan(v), v).alias(f"c{i}") for i, v in enumerate(values)])
+
+    def table_of(batch):
+        m = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+        return m, ~np.isnan(m)
+
+    def means_pass(batches):
+        n = s_left = s_right = 0
+        for batch in batches:
+            m, there = table_of(batch)
+            zero, one = np.where(there, m, 0.0), there.astype(np.float64)
+            both, sums = one.T @ one, zero.T @ one
+            n, s_left, s_right = n + both[left, right], s_left + sums[left, right], s_right + sums[right, left]
+        if not np.isscalar(n):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), pa.array(n), pa.array(s_left),
+                                              pa.array(s_right)], names=["pid", "n", "sa", "sb"])
+    sums = {r.pid: r for r in x.mapInArrow(means_pass, "pid int, n double, sa double, sb double").groupBy("pid").agg(
+        F.sum("n").alias("n"), F.sum("sa").alias("sa"), F.sum("sb").alias("sb")).collect()}
+    mean = np.zeros((2, len(pairs)))
+    for k, r in sums.items():
+        mean[:, k] = (r.sa / r.n, r.sb / r.n) if r.n else (0.0, 0.0)
+
+    def products_pass(batches):
+        total = None
+        for batch in batches:
+            m, there = table_of(batch)
+            part = np.empty((8, len(left)))
+            for lo in range(0, len(left), PAIR_CHUNK):
+                i, j, k = left[lo:lo + PAIR_CHUNK], right[lo:lo + PAIR_CHUNK], slice(lo, lo + PAIR_CHUNK)
+                both = there[:, i] & there[:, j]
+                a, b = np.where(both, m[:, i], np.nan), np.where(both, m[:, j], np.nan)
+                da, db = np.where(both, a - mean[0, k], 0.0), np.where(both, b - mean[1, k], 0.0)
+                part[:, k] = (both.sum(0), (da * db).sum(0), (da * da).sum(0), (db * db).sum(0),
+                              np.fmin.reduce(a, 0, initial=np.inf), np.fmax.reduce(a, 0, initial=-np.inf),
+                              np.fmin.reduce(b, 0, initial=np.inf), np.fmax.reduce(b, 0, initial=-np.inf))
+            total = part if total is None else np.vstack([total[:4] + part[:4], np.minimum(total[4], part[4]), np.maximum(total[5], part[5]),
+                                                          np.minimum(total[6], part[6]), np.maximum(total[7], part[7])])
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), *[pa.array(t) for t in total]],
+                                             names=["pid", *names])
+    names = ["n", "xy", "xx", "yy", "a0", "a1", "b0", "b1"]
+    g = x.mapInArrow(products_pass, "pid int, " + ", ".join(f"{c} double" for c in names)).groupBy("pid").agg(
+        *[F.sum(c).alias(c) for c in names[:4]], F.min("a0").alias("a0"), F.max("a1").alias("a1"),
+        F.min("b0").alias("b0"), F.max("b1").alias("b1"))
+    varied = (F.col("n") > 1) & (F.col("a0") < F.col("a1")) & (F.col("b0") < F.col("b1"))
+    r = F.when(varied, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))))
+    listed = df.sparkSession.createDataFrame([(k, a, b, idx.get(a, -1), idx.get(b, -1)) for k, (a, b) in enumerate(pairs)],
+                                             "pid int, var1 string, var2 string, i int, j int")
+    return listed.join(g.select("pid", r.alias("corr")), "pid", "left").select("var1", "var2", "i", "j", "corr")
 
 
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7, strict: bool = False) -> DataFrame:
@@ -149,9 +131,13 @@ def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7, str
 
 
 def correlated_pairs_report(pairs: DataFrame, top: int = 10) -> DataFrame:
-    """Number of pairs per relation type, with the strongest |r| of each type."""
-    return pairs.groupBy("Tipo_Relacao").agg(F.count(F.lit(1)).alias("n_pairs"),
-                                             F.max("Correlacao_Abs").alias("max_abs_corr"))
+    """Per relation type the number of pairs, the strongest |r| and the ``top`` pairs, one row
+    per pair with its rank in its type (ties by name); one row per pair of columns at most."""
+    by_type = Window.partitionBy("Tipo_Relacao")
+    best = by_type.orderBy(F.round("Correlacao_Abs", 9).desc(), "Variavel_1", "Variavel_2")
+    return pairs.select("Tipo_Relacao", F.count(F.lit(1)).over(by_type).alias("n_pairs"),
+                        F.max("Correlacao_Abs").over(by_type).alias("max_abs_corr"), F.row_number().over(best).alias("rank"),
+                        "Variavel_1", "Variavel_2", "Correlacao").where(F.col("rank") <= top)
 
 
 # ------------------------------------------------------------------ E6, E7, E10 quartiles
@@ -284,77 +270,61 @@ def low_variance(df: DataFrame, features: list[str], threshold: float = 0.01) ->
     return long.select("*", F.coalesce(F.col("variance") < threshold, F.lit(False)).cast("int").alias("low_variance"))
 
 
-def anova_f(df: DataFrame, features: list[str], target: str, max_features: int = 2000) -> DataFrame:
-    """One-way ANOVA F statistic per feature over the target classes (rows where the
-    feature is present), from per-class count / sum / sum of squares; plus the p-value from the
-    F distribution (regularised incomplete beta, computed per feature in an Arrow batch)."""
+def anova_f(df: DataFrame, features: list[str], target: str, max_features: int | None = None) -> DataFrame:
+    """One-way ANOVA F statistic and p-value per feature over the target classes (rows where
+    the feature is present).  One aggregate by class holds count, mean and variance of every
+    feature; the classes are then few rows.  ``max_features`` optionally limits the features."""
     feats = features[:max_features]
-    long = _stack(df, feats, [target]).where(F.col("value").isNotNull())
-    # per-class count, mean and population variance (stable online aggregates), so a constant
-    # feature gives exactly zero within-class variance (F undefined -> NULL), not float noise
-    per = long.groupBy("variable", target).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"),
-                                               F.var_pop("value").alias("v"))
-    tot = per.groupBy("variable").agg(
-        F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("k"),
-        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
-        F.sum(F.col("n") * F.col("v")).alias("ssw"))
-    ssb = per.join(tot.select("variable", "grand"), on="variable").groupBy("variable").agg(
-        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("ssb"))
-    t = tot.join(ssb, on="variable")
-    f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n_all") - F.col("k")))
-    out = t.select(F.col("variable").alias("feature"), f.alias("f_score"),
-                   (F.col("k") - 1).cast("double").alias("df1"), (F.col("n_all") - F.col("k")).cast("double").alias("df2"))
-    return out.select("feature", "f_score", _f_sf(F.col("f_score"), F.col("df1"), F.col("df2")).alias("p_value"))
-
-
-def _betainc(a, b, x):
-    """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction (vectorised)."""
-    from math import lgamma
-    out = np.full(len(x), np.nan)
-    for i in range(len(x)):
-        ai, bi, xi = a[i], b[i], x[i]
-        if not (np.isfinite(ai) and np.isfinite(bi) and np.isfinite(xi)) or ai <= 0 or bi <= 0:
-            continue
-        if xi <= 0:
-            out[i] = 0.0
-            continue
-        if xi >= 1:
-            out[i] = 1.0
-            continue
-        flip = xi > (ai + 1) / (ai + bi + 2)
-        if flip:
-            ai, bi, xi = bi, ai, 1 - xi
-        lbeta = lgamma(ai + bi) - lgamma(ai) - lgamma(bi)
-        front = np.exp(np.log(xi) * ai + np.log1p(-xi) * bi + lbeta) / ai
-        c, d, f = 1.0, 0.0, 1.0
-        for m in range(0, 400):
-            for step in (0, 1):
-                if m == 0 and step == 0:
-                    num = 1.0
-                elif step == 0:
-                    num = m * (bi - m) * xi / ((ai + 2 * m - 1) * (ai + 2 * m))
-                else:
-                    num = -(ai + m) * (ai + bi + m) * xi / ((ai + 2 * m) * (ai + 2 * m + 1))
-                d = 1 + num * d
-                d = 1 / (d if abs(d) > 1e-300 else 1e-300)
-                c = 1 + num / (c if abs(c) > 1e-300 else 1e-300)
-                f *= c * d
-            if abs(1 - c * d) < 1e-15:
-                break
-        v = front * (f - 1)
-        out[i] = 1 - v if flip else v
-    return out
-
-
-def _f_sf(f, d1, d2):
-    """Survival function of the F distribution (Arrow-batched pandas UDF over the per-feature
-    result table only — one row per feature)."""
-    @F.pandas_udf("double")
-    def sf(fs: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-        fv, av, bv = fs.to_numpy(float, na_value=np.nan), a.to_numpy(float), b.to_numpy(float)
-        x = bv / (bv + av * fv)
-        return pd.Series(_betainc(bv / 2, av / 2, x))
-    return sf(f, d1, d2)
+    x = [F.col(f"`{c}`").cast("double") for c in feats]
+    # stable aggregates per class, so a constant feature gives exactly zero within-class variance
+    # (F undefined -> NULL), not float noise
+    per = df.groupBy(F.col(target).alias("__y")).agg(*[
+        F.struct(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v")).alias(f"s{i}") for i, v in enumerate(x)])
+    long = per.select("__y", F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"s{i}").alias("s"))
+                                                 for i, c in enumerate(feats)])).alias("e")).select("__y", "e.variable", "e.s.*")
+    t = long.where("n > 0").groupBy("variable").agg(
+        F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("k"), F.collect_list(F.struct("n", "m")).alias("classes"),
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"), F.sum(F.col("n") * F.col("v")).alias("ssw"))
+    ssb = F.aggregate("classes", F.lit(0.0), lambda acc, c: acc + c["n"] * (c["m"] - F.col("grand")) * (c["m"] - F.col("grand")))
+    d1, d2 = (F.col("k") - 1).cast("double"), (F.col("n_all") - F.col("k")).cast("double")
+    f = F.try_divide(F.try_divide(ssb, d1), F.try_divide(F.col("ssw"), d2))
+    out = t.select(F.col("variable").alias("feature"), f.alias("f_score"), d1.alias("d1"), d2.alias("d2"))
+    return out.select("feature", "f_score", _f_tail(F.col("f_score"), F.col("d1"), F.col("d2")).alias("p_value"))
+
+
+def _ln_gamma(z):
+    """ln of the gamma function for z > 0: Stirling's series, shifted to where it is exact."""
+    shifted = z + 8
+    series = (shifted - 0.5) * F.ln(shifted) - shifted + 0.5 * float(np.log(2 * np.pi)) + 1 / (12 * shifted) \
+        - 1 / (360 * F.pow(shifted, F.lit(3.0))) + 1 / (1260 * F.pow(shifted, F.lit(5.0)))
+    product = F.lit(1.0)
+    for i in range(8):
+        product = product * (z + i)
+    return series - F.ln(product)
+
+
+def _f_tail(f, d1, d2):
+    """P(F > f): the regularised incomplete beta function by its continued fraction, evaluated
+    from the innermost of ``terms`` levels outwards; NULL where that many are too few."""
+    terms = 400
+    a, b, x = d2 / 2, d1 / 2, d2 / (d2 + d1 * f)
+
+    def beta(p, q, at):
+        def level(m):
+            down = -(p + m) * (p + q + m) * at / ((p + 2 * m) * (p + 2 * m + 1))
+            up = m * (q - m) * at / ((p + 2 * m - 1) * (p + 2 * m))
+            return down, up
+
+        def fold(n):
+            # 1 + d1/(1 + d2/(1 + ...)), d of level m: down(m - 1) then up(m)
+            return F.aggregate(F.sequence(F.lit(n), F.lit(1), F.lit(-1)), F.lit(0.0), lambda acc, m: (
+                level(m - 1)[0] / (1 + level(m)[1] / (1 + acc))))
+        front = F.exp(p * F.ln(at) + q * F.ln(1 - at) + _ln_gamma(p + q) - _ln_gamma(p) - _ln_gamma(q)) / p
+        long, short = front / (1 + fold(terms)), front / (1 + fold(terms // 2))
+        return F.when(F.abs(long - short) <= F.lit(1e-12) + F.lit(1e-9) * F.abs(long), long)
+    turned = x > (a + 1) / (a + b + 2)
+    value = F.when(turned, 1 - beta(b, a, 1 - x)).otherwise(beta(a, b, x))
+    return F.when(f <= 0, F.lit(1.0)).when(x <= 0, F.lit(0.0)).otherwise(F.when(value < 0, F.lit(0.0)).otherwise(value))
 
 
 def mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 10,
@@ -384,9 +354,9 @@ def mutual_information(df: DataFrame, features: list[str], target: str, bins: in
 
 # ------------------------------------------------------------------ E17 KS drift
 def drift_ks(train: DataFrame, test: DataFrame, features: list[str], alpha: float = 0.05,
-             max_features: int = 10) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov D per feature (first ``max_features``), asymptotic
-    p-value, and a drift flag (p < alpha).
+             max_features: int | None = None) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov D per feature (all, or the first ``max_features``),
+    asymptotic p-value, and a drift flag (p < alpha).
 
     Both samples are reduced to (feature, value, count per side); the two empirical CDFs are
     running sums over values per feature (range-bucketed prefix sums, so a feature with many

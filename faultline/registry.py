@@ -83,10 +83,7 @@ def oracle_texts() -> dict[str, str]:
             continue
         kinds = cache.get(name)
         if kinds is None or cache.get(f"{name}#sql") != hash_text(e.sql):
-            try:
-                kinds = describe_floats(e.sql)
-            except Exception:  # noqa: BLE001 - an oracle DuckDB cannot bind is left out
-                continue
+            kinds = describe_floats(e.sql)             # an oracle that DuckDB cannot bind is an error
         out[name] = wrap(e.sql, kinds["float"], kinds["time"], kinds.get("bigint", []))
     return out
 

@@ -47,11 +47,15 @@ def get_session(master: str | None = None, app: str = "faultline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is always honoured.  Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster this setting names shared storage and is always honoured; a folder of one
+    machine would lose rows there, so an unset setting is an error.  Only a session whose
+    executors are threads of the driver (local tests) gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
         d = tempfile.mkdtemp(prefix="faultline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -32,6 +32,12 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: str | None) -> DataF
     return spark.read.format(fmt).load(path)
 
 
+def _number(column: str):
+    """A column as double; text that is no number and NaN become NULL."""
+    x = F.col(f"`{column}`").cast("string").try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def load_device_readings(spark: SparkSession, path: str, fmt: str = "csv",
                          tie_break: list[str] | None = None) -> DataFrame:
     """A1: read readings, parse ``date``, coerce attributes and failure to numbers (bad values
@@ -39,10 +45,9 @@ def load_device_readings(spark: SparkSession, path: str, fmt: str = "csv",
     df = _read(spark, path, fmt, READINGS_SCHEMA if fmt == "csv" else None)
     attrs = [c for c in df.columns if c.startswith("attribute")]
     out = df.select(F.col("device").cast("string").alias("device"),
-                    F.coalesce(F.try_to_timestamp(F.col("date").cast("string")).cast("date"),
-                               F.col("date").cast("date") if fmt != "csv" else F.lit(None).cast("date")).alias("date"),
-                    *[F.col(a).cast("string").try_cast("double").alias(a) for a in attrs],
-                    F.col("failure").cast("string").try_cast("int").alias("failure"))
+                    F.try_to_timestamp(F.col("date").cast("string")).cast("date").alias("date"),
+                    *[_number(a).alias(a) for a in attrs],
+                    _number("failure").try_cast("int").alias("failure"))
     return dedup_readings(out.where(F.col("device").isNotNull() & F.col("date").isNotNull()), tie_break)
 
 
@@ -55,7 +60,7 @@ def coerce_types(df: DataFrame, date_cols=tuple(DATE_COLS), num_cols=tuple(NUMER
             rep[c] = F.try_to_timestamp(F.col(c).cast("string")).alias(c)
     for c in num_cols:
         if c in have:
-            rep[c] = F.col(c).cast("string").try_cast("double").alias(c)
+            rep[c] = _number(c).alias(c)
     return df.select(*[rep.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
