@@ -436,10 +436,13 @@ def d27b(spark, sf):
     return kpis.shipping_verdict(_of(spark, sf))
 
 
-@query("d28_stratum_score", f"""
-WITH l AS (SELECT VERTICAL, DURATION_BUCKET, coalesce(sell_through, 0.0) AS sell_through,
-                  coalesce(value_per_stock, 0.0) AS value_per_stock
-           FROM ({_SHIP}) WHERE SHIPPING_PAYMENT_TYPE = 'FREE'),
+# each stratum's own average over its FREE offers, strata without one included
+@query("d28_stratum_score", """
+WITH l AS (SELECT VERTICAL, DURATION_BUCKET,
+                  coalesce(avg(SELL_THROUGH) FILTER (WHERE SHIPPING_PAYMENT_TYPE = 'FREE'), 0.0) AS sell_through,
+                  coalesce(avg(VALUE_PER_STOCK_UNIT) FILTER (WHERE SHIPPING_PAYMENT_TYPE = 'FREE'), 0.0) AS value_per_stock
+           FROM offers_f WHERE VERTICAL IS NOT NULL AND DURATION_BUCKET IS NOT NULL AND SHIPPING_PAYMENT_TYPE IS NOT NULL
+           GROUP BY 1, 2),
 b AS (SELECT min(value_per_stock) AS lo, max(value_per_stock) AS hi FROM l)
 SELECT VERTICAL, DURATION_BUCKET, sell_through, value_per_stock,
        CASE WHEN b.hi > b.lo THEN 0.7 * sell_through + 0.3 * ((value_per_stock - b.lo) / (b.hi - b.lo))

@@ -306,7 +306,7 @@ def _value_runs(df: DataFrame, level: str, value_col: str) -> DataFrame:
             .groupBy(level, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
             .select(level, "__v", "__c",
                     (F.col("__v").cast("decimal(38,6)") * F.col("__c")).cast("decimal(38,6)").alias("__s")))
-    return prefix_sums(runs, ["__v"], ["__c", "__s"], [level], descending=True)
+    return prefix_sums(runs, ["__v"], ["__c", "__s"], [level], descending=True, total_prefix="all_")
 
 
 def pareto_concentration(df: DataFrame, level: str = "VERTICAL", top_frac: float = 0.1,
@@ -318,17 +318,12 @@ def pareto_concentration(df: DataFrame, level: str = "VERTICAL", top_frac: float
     top k counts whole, the run crossing rank k counts (k - rank before it) times its value.
     """
     runs = _value_runs(df, level, value_col)
-    tot = runs.groupBy(level).agg(F.sum("__c").alias("n_ofertas"),
-                                  F.sum("__s").cast("double").alias("gmv_total"))
-    k = F.greatest(F.lit(1), F.ceil(F.col("n_ofertas") * F.lit(top_frac))).cast("long")
-    t = tot.select(level, "n_ofertas", "gmv_total", k.alias("n_top"))
+    k = F.greatest(F.lit(1), F.ceil(F.col("all___c") * F.lit(top_frac))).cast("long")
     before = F.col("cum___c") - F.col("__c")
-    part = (runs.join(t.select(level, "n_top"), on=level)
-            .where(before < F.col("n_top"))
-            .select(level, (F.least(F.col("__c"), F.col("n_top") - before)
-                            * F.col("__v").cast("decimal(38,6)")).cast("decimal(38,6)").alias("__top")))
-    top = part.groupBy(level).agg(F.sum("__top").cast("double").alias("__top"))
-    out = t.join(top, on=level, how="left").select(
+    part = F.when(before < k, (F.least(F.col("__c"), k - before) * F.col("__v").cast("decimal(38,6)")).cast("decimal(38,6)"))
+    out = runs.groupBy(level).agg(
+        F.first("all___c").alias("n_ofertas"), F.first(k).alias("n_top"),
+        F.first("all___s").cast("double").alias("gmv_total"), F.sum(part).cast("double").alias("__top")).select(
         level, "n_ofertas", "n_top",
         (F.coalesce(F.col("__top"), F.lit(0.0)) / F.greatest(F.col("gmv_total"), F.lit(1.0))).alias("gmv_share_top"),
         "gmv_total")
@@ -343,11 +338,10 @@ def pareto_curve(df: DataFrame, level: str = "VERTICAL", value_col: str = "SOLD_
     The curve is piecewise linear and straight inside a run of equal values, so it is emitted
     exactly at run ends (one row per distinct value per group) instead of one row per offer."""
     runs = _value_runs(df, level, value_col)
-    tot = runs.groupBy(level).agg(F.sum("__c").alias("__n"), F.sum("__s").alias("__g"))
-    return runs.join(tot, on=level).select(
+    return runs.select(
         level, F.col("cum___c").alias("n_offers"),
-        (F.col("cum___c") / F.col("__n")).alias("offer_pct"),
-        F.when(F.col("__g") != 0, F.col("cum___s").cast("double") / F.col("__g").cast("double"))
+        (F.col("cum___c") / F.col("all___c")).alias("offer_pct"),
+        F.when(F.col("all___s") != 0, F.col("cum___s").cast("double") / F.col("all___s").cast("double"))
         .alias("revenue_pct"))
 
 
@@ -401,10 +395,13 @@ def shipping_verdict(df: DataFrame, a: str = "FREE", b: str = "PAID",
 
 def stratum_score(df: DataFrame, ship_type: str = "FREE",
                   ship_col: str = "SHIPPING_PAYMENT_TYPE") -> DataFrame:
-    """score = 0.7*sell-through + 0.3*min-max(GMV/stock) for one shipping type, missing
-    -> 0; when GMV/stock is constant the score is the sell-through.  Min/max are scalar
-    subqueries over the (small) strata table."""
-    long = shipping_comparison(df, ship_col).where(F.col(ship_col) == ship_type)
+    """score = 0.7*sell-through + 0.3*min-max(GMV/stock) for one shipping type over all
+    strata; a stratum without offers of that type counts 0; when GMV/stock is constant the score is
+    the sell-through.  Min/max are scalar subqueries over the (small) strata table."""
+    own = F.col(ship_col) == ship_type
+    long = shipping_comparison(df, ship_col).groupBy("VERTICAL", "DURATION_BUCKET").agg(
+        F.max(F.when(own, F.col("sell_through"))).alias("sell_through"),
+        F.max(F.when(own, F.col("value_per_stock"))).alias("value_per_stock"))
     v = F.coalesce(F.col("value_per_stock"), F.lit(0.0))
     st = F.coalesce(F.col("sell_through"), F.lit(0.0))
     lo = long.select(F.min(v)).scalar()
@@ -419,7 +416,7 @@ def kaplan_meier(df: DataFrame, time_col: str = "DURATION_HOURS", event_col: str
                  group_col: str = "SHIPPING_PAYMENT_TYPE") -> DataFrame:
     """Kaplan-Meier S(t) = prod_{t_i <= t} (1 - d_i / n_i) per group at distinct times.
 
-    at-risk n_i = offers with time >= t_i (reverse prefix sum); the product is a prefix sum of
+    at-risk n_i = offers with time >= t_i: the group's total less those before; the product is a prefix sum of
     logs of non-zero factors plus a running count of zero factors (a zero factor pins S to 0
     from then on).  Both prefix sums are range-bucketed, so no group is forced into one task.
     """
@@ -428,7 +425,8 @@ def kaplan_meier(df: DataFrame, time_col: str = "DURATION_HOURS", event_col: str
     tbl = (df.where(F.col(time_col).isNotNull() & F.col(group_col).isNotNull())
            .groupBy(group_col, F.col(time_col).alias("time"))
            .agg(F.sum(ev).alias("events"), F.count(F.lit(1)).alias("total")))
-    risk = prefix_sums(tbl, ["time"], ["total"], [group_col], descending=True, prefix="risk_")
+    seen = prefix_sums(tbl, ["time"], ["total"], [group_col], total_prefix="all_")
+    risk = seen.withColumn("risk_total", F.col("all_total") - F.col("cum_total") + F.col("total")).drop("cum_total", "all_total")
     fac = 1.0 - F.col("events") / F.col("risk_total")
     f = risk.select("*", F.when(fac > 0, F.ln(fac)).otherwise(F.lit(0.0)).alias("__lf"),
                     F.when(fac <= 0, 1).otherwise(0).alias("__zero"))

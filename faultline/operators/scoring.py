@@ -45,12 +45,11 @@ def totals(df: DataFrame, y: str = "y", group_cols: list[str] | None = None) ->
 
 
 def _join(a: DataFrame, b: DataFrame, g: list[str]) -> DataFrame:
-    # an empty key list means both sides are one-row-per-run tables; a constant key keeps
-    # it an equi-join (both sides are tiny and bounded by construction)
+    # ``a`` has a few rows per group (candidates), ``b`` one; without groups b is one row, whose
+    # values are scalar subqueries
     if g:
         return a.join(b, on=g, how="inner")
-    return a.withColumn("__j", F.lit(1)).join(F.broadcast(b.withColumn("__j", F.lit(1))),
-                                               on="__j").drop("__j")
+    return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
 
 
 def counts_at(df: DataFrame, cands: DataFrame, y: str = "y", p: str = "p",
@@ -101,9 +100,7 @@ def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p",
     tie-aware ROC AUC (Mann-Whitney with half credit for ties); NULL when a class is absent."""
     g = list(group_cols or [])
     st = score_table(df, y, p, g)
-    cum = prefix_sums(st, ["p"], ["pos", "neg"], g, descending=True)
-    t = totals(df.where(F.col(p).isNotNull()), y, g)
-    j = _join(cum, t, g)
+    j = prefix_sums(st, ["p"], ["pos", "neg"], g, descending=True, total_prefix="n_")
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     above = F.col("cum_pos") - F.col("pos")
     a = j.groupBy(*g).agg(
@@ -122,12 +119,12 @@ def threshold_for_rate(df: DataFrame, rate: float, y: str = "y", p: str = "p",
     """K1: largest distinct score whose alert rate (p >= score) is >= ``rate``; the maximum
     score when none qualifies (what the source's binary search returns)."""
     g = list(group_cols or [])
-    st = score_table(df, y, p, g).select(*g, "p", (F.col("pos") + F.col("neg")).alias("c"))
-    cum = prefix_sums(st, ["p"], ["c"], g, descending=True)
-    n = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"))
-    j = _join(cum, n, g)
+    # rows without a score count in the rate, below all scores
+    none = F.lit(float("-inf"))
+    st = df.groupBy(*g, F.coalesce(F.col(p), none).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    j = prefix_sums(st, ["p"], ["c"], g, descending=True, total_prefix="n_").where(F.col("p") > none)
     return j.groupBy(*g).agg(
-        F.coalesce(F.max(F.when(F.col("cum_c") / F.col("__n") >= rate, F.col("p"))),
+        F.coalesce(F.max(F.when(F.col("cum_c") / F.col("n_c") >= rate, F.col("p"))),
                    F.max("p")).alias("thr"))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa  # noqa: E402
 from pyspark.sql import Window  # noqa: E402
 
 from faultline.functions.exprs import pearson  # noqa: E402
-from faultline.plans.prefix import exact_quantiles, prefix_sums  # noqa: E402
+from faultline.plans.prefix import exact_quantiles, join_small, prefix_sums  # noqa: E402
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -190,7 +190,7 @@ def box_summary(df: DataFrame, cols: list[str], by: str | None = None) -> DataFr
     qs = _quartiles(long, keys)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    j = long.join(qs, on=keys)
+    j = join_small(long, qs, keys)
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
     return j.groupBy(*keys).agg(F.first("q1").alias("q1"), F.first("median").alias("median"),
                                 F.first("q3").alias("q3"),
@@ -216,7 +216,7 @@ def kde(df: DataFrame, column: str, grid_size: int = 100, by: str | None = None)
     st = st.select(*keys, "__n", "__lo", "__hi",
                    (F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))).alias("__bw"))
     v = d.groupBy(*keys, F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    j = v.join(F.broadcast(st), on=keys)  # one row per group (bounded by the group count)
+    j = join_small(v, st, keys)
     pts = F.posexplode(F.array_repeat(F.lit(0), grid_size)).alias("gi", "__z")
     e = j.select(*keys, "__v", "__c", "__n", "__lo", "__hi", "__bw", pts)
     x = F.col("__lo") + F.col("gi") * (F.col("__hi") - F.col("__lo")) / F.lit(float(grid_size - 1))
@@ -365,9 +365,7 @@ def drift_ks(train: DataFrame, test: DataFrame, features: list[str], alpha: floa
     a = _stack(train, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(1).alias("c1"), F.lit(0).alias("c2"))
     b = _stack(test, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(0).alias("c1"), F.lit(1).alias("c2"))
     v = a.unionByName(b).groupBy("variable", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
-    cum = prefix_sums(v, ["value"], ["c1", "c2"], ["variable"])
-    n = v.groupBy("variable").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
-    j = cum.join(n, on="variable")
+    j = prefix_sums(v, ["value"], ["c1", "c2"], ["variable"], total_prefix="n_").withColumnsRenamed({"n_c1": "n1", "n_c2": "n2"})
     d = j.groupBy("variable", "n1", "n2").agg(
         F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("ks_stat"))
     ne = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))

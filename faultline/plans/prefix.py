@@ -3,15 +3,18 @@
 A running sum over a whole table (``sum(x) over (order by k)`` without PARTITION BY) makes
 Spark move every row into one task.  Instead:
 
-1. cut the key range into ``n`` buckets with cut points taken from a bounded sample
-   (the same idea as Spark's RangePartitioner, but the bucket id is a real, deterministic
-   column, so retried tasks see identical buckets);
-2. total each (group, bucket), running-sum those few rows into per-bucket offsets;
-3. add the offset to a running sum partitioned by (group, bucket).
-
-Every task holds one bucket of one group, so a hot group is still spread over ``n`` tasks.
-Small inputs (fewer rows than the sample size) use one bucket; callers pass reduced tables
-(one row per distinct score / value).
+1. the reduced input (one row per distinct key) is written to the shared folder, so that the
+   steps below read it instead of working it out again;
+2. the range of (group, key) is cut into ``n`` buckets at the keys of a bounded sample of rows (the
+   same idea as Spark's RangePartitioner, but the bucket is a deterministic column, so retried
+   tasks see identical buckets);
+3. each (group, bucket) is totalled; running sums over these few rows give every bucket its
+   offset and every group its total;
+4. the offset is added to a running sum inside each (group, bucket).
+
+Rows are sampled, so a group of a third of all rows gets a third of the buckets, however its
+keys are distributed, and small groups share buckets.  Totals come with the offsets, so that
+callers need no second pass and no join on the group alone.
 """
 
 from __future__ import annotations
@@ -19,11 +22,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.session import materialize
+
 SAMPLE_PER_BUCKET = 64
+#: Rows up to which a table is broadcast; beyond, the same join is a shuffled one.
+SMALL_ROWS = 100_000
 
 
-def _lit_key(values):
-    return F.struct(*[F.lit(v) for v in values]) if len(values) > 1 else F.lit(values[0])
+def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a side whose rows are counted first, so that it is broadcast only if small."""
+    return df.join(F.broadcast(small) if small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else small, on, how)
 
 
 def _bucket_expr(key: Column, cuts: list, lo: int, hi: int) -> Column:
@@ -31,41 +39,58 @@ def _bucket_expr(key: Column, cuts: list, lo: int, hi: int) -> Column:
     if lo >= hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(key < _lit_key(cuts[mid]), _bucket_expr(key, cuts, lo, mid)) \
+    return F.when(key < F.struct(*[F.lit(v) for v in cuts[mid]]), _bucket_expr(key, cuts, lo, mid)) \
         .otherwise(_bucket_expr(key, cuts, mid + 1, hi))
 
 
-def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None = None,
-                  seed: int = 17, small_rows: int | None = None) -> Column:
-    """Deterministic range-bucket column over ``order_cols`` (non-null keys).
-
-    Cut points come from one bounded sample: the ``SAMPLE_PER_BUCKET * n`` rows with the
-    smallest hash of the key (a TakeOrdered of a fixed number of rows — per-task heaps, no
-    count, no full sort).  A table that returns fewer rows than asked for is small and gets
-    a single bucket.
-    """
-    spark = df.sparkSession
+def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None = None, seed: int = 17) -> Column:
+    """Deterministic range-bucket column over ``order_cols`` (non-null keys), by default as many
+    buckets as shuffle partitions.  The cuts come from the ``SAMPLE_PER_BUCKET * n`` rows with the
+    smallest hash, a TakeOrdered of a fixed number of rows: no count, no full sort."""
     if n_buckets is None:
-        n_buckets = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 512))
-    want = SAMPLE_PER_BUCKET * n_buckets
-    if small_rows is not None:
-        want = max(want, small_rows + 1)
-    rows = (df.select(*order_cols)
-            .orderBy(F.xxhash64(*[F.col(c) for c in order_cols], F.lit(seed)))
-            .limit(want).collect())
-    if len(rows) < want or n_buckets <= 1:
-        return F.lit(0)
+        n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cols = [F.col(c) for c in order_cols]
+    rows = df.select(*cols).orderBy(F.xxhash64(*cols, F.lit(seed)), *cols).limit(SAMPLE_PER_BUCKET * n_buckets).collect()
     keys = sorted(tuple(r) for r in rows if all(v is not None for v in r))
     step = len(keys) / n_buckets
-    cuts = sorted({keys[int(i * step)] for i in range(1, n_buckets)})
-    key = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
-    return _bucket_expr(key, cuts, 0, len(cuts))
+    cuts = sorted({keys[int(i * step)] for i in range(1, n_buckets)}) if keys else []
+    # without a cut the column is still one of the table: a constant would turn joins on it into
+    # cross joins
+    one = F.pmod(F.hash(*cols), F.lit(1))
+    return _bucket_expr(F.struct(*cols), cuts, 0, len(cuts)) + one
+
+
+def _ordered(df: DataFrame, order_cols: list[str], sum_cols: list[str], parts: list[str],
+             n_buckets: int | None, attach=None) -> DataFrame:
+    """``df`` with run_, off_ and tot_ of each ``sum_cols``: the running sum inside the row's
+    bucket, the sum of the group's earlier buckets and of the whole group.  ``attach``: further
+    columns of a bucket, worked out once per bucket from off_, tot_ and its own sum own_."""
+    df = materialize(df, "prefix")
+    keys = [f"__b_{c}" for c in parts]
+    tagged = df.withColumn("__bucket", range_buckets(df, [*parts, *order_cols], n_buckets))
+    totals = tagged.groupBy(*[F.col(c).alias(k) for c, k in zip(parts, keys)], F.col("__bucket").alias("__b")) \
+        .agg(*[F.sum(c).alias(f"own_{c}") for c in sum_cols])
+    # one row per (group, bucket)
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = totals.select(*keys, "__b", *[f"own_{c}" for c in sum_cols],
+                            *[F.coalesce(F.sum(f"own_{c}").over(before), F.lit(0)).alias(f"off_{c}") for c in sum_cols],
+                            *[F.sum(f"own_{c}").over(whole).alias(f"tot_{c}") for c in sum_cols])
+    if attach:
+        offsets = offsets.select("*", *attach)
+    w = Window.partitionBy(*parts, "__bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    run = tagged.select("*", *[F.sum(c).over(w).alias(f"run_{c}") for c in sum_cols])
+    on = F.col("__bucket") == F.col("__b")
+    for c, k in zip(parts, keys):
+        on = on & F.col(c).eqNullSafe(F.col(k))
+    return run.join(offsets, on).drop(*keys, "__b", "__bucket", *[f"own_{c}" for c in sum_cols])
 
 
 def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                 partition_cols: list[str] | None = None, descending: bool = False,
-                n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Add ``cum_<c>`` = inclusive running sum of each ``sum_cols`` in key order per group.
+                n_buckets: int | None = None, prefix: str = "cum_", total_prefix: str | None = None) -> DataFrame:
+    """Add ``cum_<c>`` = inclusive running sum of each ``sum_cols`` in key order per group, and
+    with ``total_prefix`` the group's total under that prefix.
 
     ``order_cols`` must be unique within a group (aggregate ties first) and non-null.
     ``descending`` runs the sum from the largest key down.
@@ -74,65 +99,40 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     if descending:
         neg = {c: f"__neg_{c}" for c in order_cols}
         tmp = df.select("*", *[(-F.col(c)).alias(n) for c, n in neg.items()])
-        out = prefix_sums(tmp, list(neg.values()), sum_cols, parts, False, n_buckets, prefix)
+        out = prefix_sums(tmp, list(neg.values()), sum_cols, parts, False, n_buckets, prefix, total_prefix)
         return out.drop(*neg.values())
-    b = range_buckets(df, order_cols, n_buckets)
-    tagged = df.select("*", b.alias("__bucket"))
-    totals = (tagged.groupBy(*parts, "__bucket")
-              .agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols]))
-    # one row per (group, bucket): small, so an ordinary per-group window is fine here
-    wb = Window.partitionBy(*parts).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "__bucket",
-                            *[F.coalesce(F.sum(f"__tot_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
-                              for c in sum_cols])
-    w = Window.partitionBy(*parts, "__bucket").orderBy(*order_cols) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    run = tagged.select("*", *[F.sum(c).over(w).alias(f"__run_{c}") for c in sum_cols])
-    j = run.join(offsets, on=[*parts, "__bucket"], how="inner")
+    j = _ordered(df, order_cols, sum_cols, parts, n_buckets)
     return j.select(*[F.col(f"`{c}`") for c in df.columns],
-                    *[(F.col(f"__run_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}")
-                      for c in sum_cols])
+                    *[(F.col(f"run_{c}") + F.col(f"off_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
+                    *[F.col(f"tot_{c}").alias(f"{total_prefix}{c}") for c in sum_cols if total_prefix])
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                     group_cols: list[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy default / DuckDB ``quantile_cont``).
 
-    Distributed: values are reduced to (value, count), ranked with ``prefix_sums`` and the two
-    order statistics around each position are picked by range filters.  Returns
+    One ordered pass: values are reduced to (value, count); a bucket knows which of the wanted
+    ranks fall into it from the totals, and its rows look among those only.  Returns
     (group..., q_idx, q, value).
     """
     g = list(group_cols or [])
     v = df.where(F.col(value_col).isNotNull()).groupBy(*g, F.col(value_col).alias("__v")) \
         .agg(F.count(F.lit(1)).alias("__n"))
-    ranked = prefix_sums(v, ["__v"], ["__n"], g)
-    tot = ranked.groupBy(*g).agg(F.sum("__n").alias("__N"))
-    qs = F.explode(F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("q"))
-                             for i, p in enumerate(probs)]))
-    pos = tot.select(*g, "__N", qs.alias("__q")).select(
-        *g, "__q.q_idx", "__q.q", (F.col("q") * (F.col("__N") - 1)).alias("__pos"))
-    pos = pos.select("*", F.floor("__pos").alias("__lo"), F.ceil("__pos").alias("__hi"))
-    # a value covers 0-based ranks [cum - n, cum - 1]; renamed so the self-join is unambiguous
-    r = ranked.select(*[F.col(c).alias(f"__r_{c}") for c in g], "__v",
-                      (F.col("cum___n") - F.col("__n")).alias("__from"),
-                      (F.col("cum___n") - 1).alias("__to"))
-    # join positions to the value rows whose rank range contains lo / hi: an equi join on
-    # the group key plus a range predicate; without groups the positions side is exactly
-    # len(probs) rows, so it is broadcast (size proven by construction)
-    pside = pos if g else F.broadcast(pos)
-
-    def pick(bound, name):
-        cond = [F.col(c) == F.col(f"__r_{c}") for c in g] + \
-            [F.col("__from") <= F.col(bound), F.col("__to") >= F.col(bound)]
-        cond_all = cond[0]
-        for c in cond[1:]:
-            cond_all = cond_all & c
-        return pside.join(r, on=cond_all, how="inner").select(
-            *g, "q_idx", "q", "__pos", "__lo", F.col("__v").alias(name))
-
-    a = pick("__lo", "__vlo")
-    bsel = pick("__hi", "__vhi").select(*g, "q_idx", "__vhi")
-    out = a.join(bsel, on=[*g, "q_idx"], how="inner")
-    frac = F.col("__pos") - F.col("__lo")
-    return out.select(*g, "q_idx", "q",
-                      (F.col("__vlo") + frac * (F.col("__vhi") - F.col("__vlo"))).alias("value"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("q")) for i, p in enumerate(probs)])
+    placed = F.transform(wanted, lambda x: F.struct(
+        x["q_idx"].alias("q_idx"), x["q"].alias("q"), (x["q"] * (F.col("tot___n") - 1)).alias("pos"),
+        F.floor(x["q"] * (F.col("tot___n") - 1)).alias("lo"), F.ceil(x["q"] * (F.col("tot___n") - 1)).alias("hi")))
+
+    def touches(x, first, end):
+        return ((x["lo"] >= first) & (x["lo"] < end)) | ((x["hi"] >= first) & (x["hi"] < end))
+    here = F.filter(placed, lambda x: touches(x, F.col("off___n"), F.col("off___n") + F.col("own___n")))
+    j = _ordered(v, ["__v"], ["__n"], g, None, attach=[here.alias("__here")])
+    end = F.col("run___n") + F.col("off___n")
+    rows = j.select(*g, "__v", (end - F.col("__n")).alias("__first"), end.alias("__end"), "__here") \
+        .select(*g, "__v", "__first", "__end", F.explode(F.filter("__here", lambda x: touches(x, F.col("__first"), F.col("__end")))).alias("x"))
+
+    def at(bound):
+        return F.max(F.when((F.col(f"x.{bound}") >= F.col("__first")) & (F.col(f"x.{bound}") < F.col("__end")), F.col("__v")))
+    found = rows.groupBy(*g, F.col("x.q_idx").alias("q_idx"), F.col("x.q").alias("q")).agg(
+        at("lo").alias("__lo"), at("hi").alias("__hi"), F.first(F.col("x.pos") - F.col("x.lo")).alias("__part"))
+    return found.select(*g, "q_idx", "q", (F.col("__lo") + F.col("__part") * (F.col("__hi") - F.col("__lo"))).alias("value"))
