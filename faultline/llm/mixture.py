@@ -178,12 +178,21 @@ def pivotal_copies(rows: DataFrame, source: str, size: str, expected: str, tie:
     return out.withColumn(name, (F.col("_m_whole") + F.col("_m_p").cast("long")).cast("int")).drop(*_OWN)
 
 
+def measure(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with mix_size, its words, and mix_tie, a hash that orders texts of one size."""
+    return docs.withColumns({"mix_size": n_words(F.col(text)), "mix_tie": F.xxhash64(F.col(text))})
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
         share: float = SHARE, most: float = MOST_COPIES, weights: tuple = WEIGHTS,
         seed: int = 17) -> DataFrame:
     """``docs`` with mix_size, mix_source_size, mix_target and mix_copies."""
-    sized = docs.withColumn("mix_size", n_words(F.col(text))).withColumn(
-        "_mix_text", F.xxhash64(F.col(text)))
+    return mix_measured(measure(docs, text), source, doc_id, share, most, weights, seed).drop("mix_tie")
+
+
+def mix_measured(sized: DataFrame, source: str = "source", doc_id: str = "doc_id", share: float = SHARE,
+                 most: float = MOST_COPIES, weights: tuple = WEIGHTS, seed: int = 17) -> DataFrame:
+    """As ``mix``, of rows that ``measure`` has been over; they need no text any more."""
     totals = sized.groupBy(F.col(source).alias("source")).agg(
         F.sum("mix_size").cast("long").alias("source_size"))
     targets = saved(source_targets(totals, share, most, weights), "mix-targets").select(
@@ -192,5 +201,5 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     rows = join_on_small(sized, targets, sized[source].eqNullSafe(F.col("_mix_source"))).withColumn(
         "_mix_r", F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size"))
         .otherwise(0.0))
-    return pivotal_copies(rows, source, "mix_size", "_mix_r", [doc_id, "_mix_text"], seed,
-                          "mix_copies").drop("_mix_source", "_mix_r", "_mix_text")
+    return pivotal_copies(rows, source, "mix_size", "_mix_r", [doc_id, "mix_tie"], seed,
+                          "mix_copies").drop("_mix_source", "_mix_r")

@@ -68,7 +68,8 @@ def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixture.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    sized = mixture.measure(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+    mixed = mixture.mix_measured(sized)
     return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
                         F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
                         F.col("mix_copies").alias("copies"))
