@@ -69,6 +69,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     """``docs`` with sec_spans: array<struct<start, kind, end, seen>> sorted by start, then kind
     (an index into ``KINDS``); start and end in code points, end exclusive; seen: the largest end
     of the spans before.  Never null."""
+    docs = docs.drop("sec_spans")                      # an old column of that name is replaced
     body = F.coalesce(F.col(text), F.lit(""))
     empty = F.expr("cast(array() as array<struct<kind:int,gap:int,len:int,ok:boolean>>)")
     parts = F.concat(*[F.coalesce(_parts(body, k), empty) for k in KINDS])

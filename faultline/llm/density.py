@@ -224,6 +224,7 @@ def _blocks(top: Node, threshold: float) -> str:
 
 def extract(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
     """``pages`` with the main text of each page's html in the column ``name``."""
+    pages = pages.drop(name)                           # an old column of that name is replaced
     schema = T.StructType([*pages.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches):

@@ -306,6 +306,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     gives the text back.  The model file is read where the query is built; executors get its bytes."""
     with open(model_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    docs = docs.drop(ids, *([round_trip] if round_trip else []))  # old columns of these names are replaced
     extra = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
     if round_trip:
         extra.append(T.StructField(round_trip, T.BooleanType()))
@@ -331,6 +332,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text
     """``rows`` with the text that the ids spell; null ids spell null."""
     with open(model_path, "rb") as f:
         shared = rows.sparkSession.sparkContext.broadcast(f.read())
+    rows = rows.drop(text)
     schema = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches):

@@ -33,6 +33,8 @@ MOST_REPEATED_PERCENT = 30
 
 BITS = 18
 MAX_ROWS = 4000
+#: Gradient steps of a fit, five rounds over the rows at least.
+STEPS = 15_000
 #: A text stays if its calibrated probability of good quality is at least this.
 KEEP_FROM = 0.3
 
@@ -122,7 +124,7 @@ def _sparse(body: bytes, words: list[bytes], bits: int) -> tuple[np.ndarray, np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        max_rows: int = MAX_ROWS, bits: int = BITS, epochs: int = 5) -> Model | None:
+        max_rows: int = MAX_ROWS, bits: int = BITS, steps: int = STEPS) -> Model | None:
     """A calibrated model, or None without labels of both kinds."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).cast("int").alias("_y")))
@@ -149,11 +151,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if len(set(y)) < 2:
         return None
     data = [(got["_where"][i].values.to_numpy(), got["_value"][i].values.to_numpy().astype(np.float64)) for i in order]
-    return train(data, y, bits, epochs)
+    return train(data, y, bits, steps)
 
 
-def train(data: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int = BITS, epochs: int = 5,
-          rate: float = 20.0, decay: float = 1e-6) -> Model:
+def train(data: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int = BITS, steps: int = STEPS,
+          rate: float = 0.6, decay: float = 1e-6) -> Model:
     """Logistic regression by adaptive gradient steps; every fourth row only calibrates.
 
     The classes count alike in the fit, so that a rare class shapes the weights; the calibration
@@ -165,13 +167,13 @@ def train(data: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int =
     w, g = np.zeros(1 << bits), np.full(1 << bits, 1e-8)
     share = np.array([max((y[~held] == c).mean(), 1e-9) for c in (0, 1)])
     at = np.flatnonzero(~held)
-    for _ in range(epochs):
+    for _ in range(max(5, -(-steps // max(len(at), 1)))):  # a few rows are gone over more often
         for i in rng.permutation(at):
             where, value = data[i]
             z = float(w[where] @ value)
             step = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[i]) * 0.5 / share[int(y[i])] * value + decay * w[where]
             g[where] += step * step
-            w[where] -= rate * 0.01 * step / np.sqrt(g[where])
+            w[where] -= rate * step / np.sqrt(g[where])
     check = np.flatnonzero(held) if held.any() else at
     z = np.array([float(w[data[i][0]] @ data[i][1]) for i in check])
     slope, offset = platt(z, y[check])
@@ -199,6 +201,7 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", keep_from:
            prefix: str = "") -> DataFrame:
     """``docs`` with the columns COUNTS, base_failed, quality_score and kept (names prefixed)."""
     names = [*COUNTS, "base_failed", "quality_score", "kept"]
+    docs = docs.drop(*[prefix + n for n in names])     # old columns of these names are replaced
     kinds = [T.LongType()] * len(COUNTS) + [T.BooleanType(), T.DoubleType(), T.BooleanType()]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(prefix + n, k) for n, k in zip(names, kinds)]])
     shared = docs.sparkSession.sparkContext.broadcast(model)      # 2 ** bits floats
