@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from faultline.catalog.scoring import THR, _AP2, _CM2, _pred2, _s
-from faultline.operators import events as ev, scoring as sc
+from faultline.catalog.scoring import K8_BUDGETS, K8_SQL, THR, _AP2, _BM2, _CM2, _pred2, _s, _s2
+from faultline.operators import events as ev, features as fe, scoring as sc, stats as st
 from faultline.registry import query
-from faultline.sources.fixtures import FIXTURE_HORIZON, device_readings
+from faultline.sources.fixtures import FIXTURE_HORIZON, FIXTURE_PURGE, device_readings
 
 H = FIXTURE_HORIZON
+FEATS = [c for c in fe.feature_names() if c not in ("device", "date", "early_warn_target")]
 TESTA = f"SELECT device, date, CAST(p >= {THR} AS INTEGER) AS pred FROM scored WHERE split = 'test'"
 SUBSET = f"""SELECT device, date, failure FROM device_readings
 WHERE date >= (SELECT min(date) FROM scored WHERE split = 'test') AND date <= (SELECT max(date) FROM scored WHERE split = 'test')
@@ -70,6 +71,28 @@ def j01(spark, sf):
     return ev.match_alerts_failures(_subset(spark, sf), _alerts(spark, sf), H)
 
 
+# the same greedy matching per model: alerts of either model against all failures
+def _match2(alerts):
+    return f"""
+WITH a AS ({alerts}),
+e AS (SELECT m.model, f.device, date_diff('day', DATE '1970-01-01', f.date) AS d, 0 AS k
+      FROM ({SUBSET}) f, (SELECT DISTINCT model FROM a) m WHERE f.failure = 1
+      UNION ALL SELECT model, device, date_diff('day', DATE '1970-01-01', date) AS d, 1 AS k FROM a WHERE pred = 1),
+g AS (SELECT model, device, list_sort(list({{'d': d, 'k': k}})) AS evs FROM e GROUP BY ALL HAVING min(k) = 0),
+r AS (SELECT model, list_reduce(evs, lambda acc, x:
+        CASE WHEN x.k = 1 THEN {{'stack': list_append(acc.stack, x.d), 'tp': acc.tp, 'fn': acc.fn}}
+             WHEN len(acc.stack) > 0 AND acc.stack[-1] >= x.d - {H}
+                  THEN {{'stack': array_pop_back(acc.stack), 'tp': acc.tp + 1, 'fn': acc.fn}}
+             ELSE {{'stack': acc.stack, 'tp': acc.tp, 'fn': acc.fn + 1}} END,
+        {{'stack': []::BIGINT[], 'tp': 0, 'fn': 0}}) AS s FROM g),
+t AS (SELECT model, sum(s.tp) AS tp_events, sum(s.fn) AS fn_events, sum(len(s.stack)) AS fp_alerts FROM r GROUP BY 1)
+SELECT *, CASE WHEN tp_events + fn_events = 0 THEN 0.0
+               ELSE 1 - (fn_events * 100000.0::DOUBLE + fp_alerts * 25000) / ((tp_events + fn_events) * 100000) END AS roi_event,
+       CASE WHEN tp_events + fp_alerts = 0 THEN 0.0 ELSE CAST(tp_events AS DOUBLE) / (tp_events + fp_alerts) END AS precision_event,
+       CASE WHEN tp_events + fn_events = 0 THEN 0.0 ELSE CAST(tp_events AS DOUBLE) / (tp_events + fn_events) END AS recall_event
+FROM t"""
+
+
 _ROI = f"""
 SELECT tp_events, fn_events, fp_alerts,
        (tp_events + fn_events) * 100000 - (fn_events * 100000 + fp_alerts * 25000) AS roi_abs,
@@ -117,3 +140,61 @@ def j09(spark, sf):
 @query("j10_select_best_model", f"SELECT * FROM ({_MODELS}) ORDER BY cost, model LIMIT 1")
 def j10(spark, sf):
     return ev.select_best_model(_model_table(spark, sf), use_holdout=True)
+
+
+# ------------------------------------------------------------------ K8 with events, J11, J12
+ALERTS2 = f"SELECT model, device, date, CAST(p >= {THR} AS INTEGER) AS pred FROM scored2 WHERE split = 'test'"
+
+
+def _subset2(spark, sf):
+    return ev.subset_events(device_readings(spark, sf), _s2(spark, sf, "test"))
+
+
+@query("k08_event_metrics", _match2(f"""SELECT t.model, t.device, t.date, CAST(t.p >= k.threshold AS INTEGER) AS pred
+      FROM scored2 t JOIN ({K8_SQL}) k ON t.model = k.model WHERE t.split = 'test'"""))
+def k08_events(spark, sf):
+    full = sc.apply_optimal_thresholds(_s2(spark, sf, "val"), _s2(spark, sf, "test"), K8_BUDGETS, 0.2,
+                                       readings=_subset2(spark, sf), horizon_days=H)
+    return full.select("model", "tp_events", "fn_events", "fp_alerts", "roi_event", "precision_event", "recall_event")
+
+
+def _evaluation(spark, sf):
+    test = _s2(spark, sf, "test")
+    thresholds = test.select("model").distinct().withColumn("threshold", F.lit(THR))
+    return ev.final_evaluation(test, thresholds, _subset2(spark, sf), H)
+
+
+_EVALUATION = f"""
+SELECT b.*, CAST({THR} AS DOUBLE) AS threshold, n.total_samples, n.positive_samples, n.negative_samples,
+       CAST(n.positive_samples AS DOUBLE) / n.total_samples AS positive_rate,
+       e.tp_events, e.fn_events, e.fp_alerts, e.roi_event, e.precision_event, e.recall_event
+FROM ({_BM2}) b JOIN (SELECT model, count(*) AS total_samples, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS positive_samples,
+                             sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS negative_samples
+                      FROM scored2 WHERE split = 'test' GROUP BY 1) n ON b.model = n.model
+LEFT JOIN ({_match2(ALERTS2)}) e ON b.model = e.model"""
+
+
+@query("j11_final_evaluation", _EVALUATION)
+def j11(spark, sf):
+    return _evaluation(spark, sf)
+
+
+# the fold table: cost and recall of the first model by day of the validation period
+@query("j12_final_summary", f"""
+WITH cv AS (SELECT date, sum(CASE WHEN y = 1 AND NOT p >= {THR} THEN 4 WHEN y <> 1 AND p >= {THR} THEN 1 ELSE 0 END) AS cost
+            FROM scored WHERE split = 'val' GROUP BY 1)
+SELECT v.model, a.auc, a.ap, v.threshold, v.cost, v.roi_event, v.precision_event, v.recall_event,
+       CAST(coalesce(v.precision_event, 0) >= 0.02 AS INTEGER) AS passes, v.tn, v.fp, v.fn, v.tp,
+       {', '.join(f"(SELECT {f}(date) FROM scored WHERE split = '{s}') AS {s}_{n}" for s in ('train', 'val', 'test') for f, n in (('min', 'start'), ('max', 'end')))},
+       1 AS purge_days, {len(FEATS)} AS n_features,
+       (SELECT avg(cost) FROM cv) AS cv_cost_mean, (SELECT stddev_samp(cost) FROM cv) AS cv_cost_std,
+       (SELECT count(*) FROM (SELECT corr(attribute{1}, y) AS r FROM scored s JOIN device_readings d ON s.device = d.device AND s.date = d.date)
+        WHERE abs(r) > 0.8) AS data_leakage_check
+FROM ({_EVALUATION}) v JOIN ({_AP2}) a ON v.model = a.model""")
+def j12(spark, sf):
+    first = _s(spark, sf)
+    folds = sc.cost_at_threshold(first.where("split = 'val'").withColumnRenamed("date", "fold"), THR, group_cols=["fold"]).select("fold", "cost")
+    table = first.select("device", "date", "y").join(device_readings(spark, sf).select("device", "date", "attribute1"), ["device", "date"])
+    suspicious = st.leakage_check(table, "y", 0.8)
+    ranking = sc.ranking_metrics(_s2(spark, sf, "test"), group_cols=["model"])
+    return ev.final_summary(_evaluation(spark, sf), ranking, first, len(FEATS), FIXTURE_PURGE, cv=folds, leakage=suspicious)

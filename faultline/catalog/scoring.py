@@ -265,7 +265,7 @@ _VAL2 = "SELECT * FROM scored2 WHERE split = 'val'"
 _TEST2 = "SELECT * FROM scored2 WHERE split = 'test'"
 
 
-@query("k08_apply_optimal_thresholds", f"""
+K8_SQL = f"""
 WITH bq AS (SELECT model, unnest(range(0, {len(K8_BUDGETS)})) AS budget_idx, unnest({_lits(K8_BUDGETS)}) AS budget, unnest(q) AS thr
             FROM (SELECT model, quantile_cont(p, {_lits([1.0 - b for b in K8_BUDGETS])}) AS q FROM ({_VAL2}) GROUP BY model)),
 k4 AS (SELECT model, thr AS t4, budget AS b4 FROM (
@@ -284,7 +284,10 @@ cm AS (SELECT model, sum(CASE WHEN y <> 1 AND pred = 0 THEN 1 ELSE 0 END) AS tn,
 SELECT cm.model, a.ap AS auc_pr, CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall_h,
        CAST(tp + fp AS DOUBLE) / (tn + fp + fn + tp) AS alert_rate, 4 * fn + fp AS cost, 4 * (tp + fn) - (4 * fn + fp) AS economy,
        tn, fp, fn, tp, ch.threshold, ch.applied_budget
-FROM cm JOIN ({_AP2}) a ON cm.model = a.model JOIN ch ON cm.model = ch.model""")
+FROM cm JOIN ({_AP2}) a ON cm.model = a.model JOIN ch ON cm.model = ch.model"""
+
+
+@query("k08_apply_optimal_thresholds", K8_SQL)
 def k08(spark, sf):
     return sc.apply_optimal_thresholds(_s2(spark, sf, "val"), _s2(spark, sf, "test"), K8_BUDGETS, 0.2)
 

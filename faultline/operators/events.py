@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.operators.scoring import business_metrics
+
 from faultline.operators.scoring import C_FN, C_FP
 
 
@@ -58,8 +60,10 @@ def event_metrics(readings: DataFrame, alerts: DataFrame, horizon_days: int = 10
 
 
 def match_alerts_failures(readings: DataFrame, alerts: DataFrame, horizon_days: int = 10,
-                          pred: str = "pred", count_unmatched_devices: bool = False) -> DataFrame:
-    """1:1 matching per device.  Failures in date order each take the latest unused alert in
+                          pred: str = "pred", count_unmatched_devices: bool = False,
+                          group_cols: list[str] | None = None) -> DataFrame:
+    """1:1 matching per device, and per ``group_cols`` of the alerts (models), each of which
+    faces all failures.  Failures in date order each take the latest unused alert in
     [f - H, f); unmatched failures are FN, unused alerts FP.  Devices without failures are
     ignored (source behaviour) unless ``count_unmatched_devices``.
 
@@ -67,13 +71,18 @@ def match_alerts_failures(readings: DataFrame, alerts: DataFrame, horizon_days:
     failure sorts before same-day alerts, which cannot cover it): a fold over the sorted event
     list with Catalyst's ``aggregate`` — no Python UDF.  The list is one device's history
     (bounded by its days), never a whole table.
-    Returns per device: tp_events, fn_events, fp_alerts."""
+    Returns per (group and) device: tp_events, fn_events, fp_alerts."""
+    keys = list(group_cols or [])
     ev_f = _failures(readings).select("device", F.datediff("fdate", F.lit("1970-01-01")).alias("d"),
                                       F.lit(0).alias("k"))
-    ev_a = _alerts(alerts, pred).select("device", F.datediff("adate", F.lit("1970-01-01")).alias("d"),
-                                        F.lit(1).alias("k"))
+    ev_a = alerts.where(F.col(pred) == 1).select(*keys, "device", F.datediff("date", F.lit("1970-01-01")).alias("d"),
+                                                 F.lit(1).alias("k"))
+    if keys:
+        # the list of models is one value; every failure is dealt to each of them
+        models = alerts.agg(F.collect_set(F.struct(*keys))).scalar()
+        ev_f = ev_f.select(F.explode(models).alias("__g"), "device", "d", "k").select("__g.*", "device", "d", "k")
     ev = ev_f.unionByName(ev_a)
-    g = ev.groupBy("device").agg(F.array_sort(F.collect_list(F.struct("d", "k"))).alias("evs"),
+    g = ev.groupBy(*keys, "device").agg(F.array_sort(F.collect_list(F.struct("d", "k"))).alias("evs"),
                                  F.max(F.when(F.col("k") == 0, 1).otherwise(0)).alias("has_fail"))
     if not count_unmatched_devices:
         g = g.where(F.col("has_fail") == 1)
@@ -87,8 +96,8 @@ def match_alerts_failures(readings: DataFrame, alerts: DataFrame, horizon_days:
         miss = F.struct(acc.stack.alias("stack"), acc.tp.alias("tp"), (acc.fn + 1).alias("fn"))
         return F.when(e.k == 1, alert).when(top_ok, hit).otherwise(miss)
 
-    r = g.select("device", F.aggregate("evs", init, step).alias("s"))
-    return r.select("device", F.col("s.tp").alias("tp_events"), F.col("s.fn").alias("fn_events"),
+    r = g.select(*keys, "device", F.aggregate("evs", init, step).alias("s"))
+    return r.select(*keys, "device", F.col("s.tp").alias("tp_events"), F.col("s.fn").alias("fn_events"),
                     F.size("s.stack").alias("fp_alerts"))
 
 
@@ -129,3 +138,52 @@ def compare_models(metrics: DataFrame, use_holdout: bool = False) -> DataFrame:
 def select_best_model(metrics: DataFrame, use_holdout: bool = True) -> DataFrame:
     """The first model of J9 (one row)."""
     return compare_models(metrics, use_holdout).limit(1)
+
+
+def event_columns(matched: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The event metrics that reports carry per model: J2's ROI, precision and recall."""
+    return event_roi(matched, group_cols=group_cols).select(
+        *group_cols, F.col("tp_events"), F.col("fn_events"), F.col("fp_alerts"),
+        F.col("roi_pct").alias("roi_event"), "precision_event", "recall_event")
+
+
+def final_evaluation(test: DataFrame, thresholds: DataFrame, readings: DataFrame, horizon_days: int = 10,
+                     y: str = "y", p: str = "p") -> DataFrame:
+    """The chosen models on the test rows: threshold, J5, event ROI and sample counts, one row
+    per model.  ``thresholds``: (model, threshold); ``test``: the models' (calibrated) scores;
+    ``readings``: those of the test devices and dates."""
+    g = ["model"]
+    scored = test.join(thresholds.select("model", "threshold"), g).select(
+        "*", F.coalesce(F.col(p) >= F.col("threshold"), F.lit(False)).cast("int").alias("pred"))
+    rows = scored.groupBy(*g).agg(
+        F.first("threshold").alias("threshold"), F.count(F.lit(1)).alias("total_samples"),
+        F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("positive_samples"),
+        F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("negative_samples"))
+    events = event_columns(match_alerts_failures(readings, scored, horizon_days, group_cols=g), g)
+    return (business_metrics(scored, y, "pred", p, g).join(rows, g).join(events, g, "left")
+            .withColumn("positive_rate", F.col("positive_samples") / F.col("total_samples")))
+
+
+def final_summary(evaluation: DataFrame, ranking: DataFrame, splits: DataFrame, n_features: int, purge_days: int = 7,
+                  min_precision: float = 0.02, cv: DataFrame | None = None, leakage: DataFrame | None = None) -> DataFrame:
+    """One row per model: AUC, AP, threshold, cost, event metrics, whether event precision
+    reaches ``min_precision``, confusion counts; and of the run: the first and last day of train,
+    val and test, purge, features, mean and sample deviation of each numeric column of the fold
+    table ``cv``, and suspicious features besides the target (``leakage``: one row each).
+
+    Run-level values are one-row aggregates, added as scalar subqueries."""
+    ev = evaluation.join(ranking.select("model", "auc", "ap"), "model")
+    out = ev.select("model", "auc", "ap", "threshold", "cost", "roi_event", "precision_event", "recall_event",
+                    (F.coalesce("precision_event", F.lit(0.0)) >= min_precision).cast("int").alias("passes"),
+                    "tn", "fp", "fn", "tp")
+    once = {}
+    for part in ("train", "val", "test"):
+        own = splits.where(F.col("split") == part)
+        once[f"{part}_start"] = own.select(F.min("date")).scalar()
+        once[f"{part}_end"] = own.select(F.max("date")).scalar()
+    once |= {"purge_days": F.lit(purge_days), "n_features": F.lit(n_features)}
+    for c, kind in cv.dtypes if cv is not None else []:
+        if c != "fold" and kind in ("int", "bigint", "double"):
+            once |= {f"cv_{c}_mean": cv.select(F.avg(c)).scalar(), f"cv_{c}_std": cv.select(F.stddev_samp(c)).scalar()}
+    n = leakage.select(F.greatest(F.count(F.lit(1)) - 1, F.lit(0))).scalar() if leakage is not None else F.lit(0)
+    return out.select("*", *[v.alias(k) for k, v in (once | {"data_leakage_check": n}).items()])

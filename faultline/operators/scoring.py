@@ -325,9 +325,11 @@ def false_negative_profile(df: DataFrame, y: str = "y", pred: str = "pred") -> d
 # ------------------------------------------------------------------ K8, K9
 def apply_optimal_thresholds(val: DataFrame, test: DataFrame, budgets=(0.01, 0.015, 0.02, 0.03),
                              min_precision: float = 0.2, y: str = "y", p: str = "p",
-                             group_cols: list[str] | None = None) -> DataFrame:
+                             group_cols: list[str] | None = None, readings: DataFrame | None = None,
+                             horizon_days: int = 10) -> DataFrame:
     """K8: per model, K4 on validation (fallback: K3 grid threshold with budget 0.01), applied
-    to the test scores; returns threshold, applied budget and the J5 metrics on test."""
+    to the test scores; returns threshold, applied budget and the J5 metrics on test, and with
+    the ``readings`` of the test devices and dates each model's event metrics."""
     g = list(group_cols or ["model"])
     k4 = tune_budget_min_precision(val, budgets, min_precision, y, p, g) \
         .select(*g, F.col("threshold").alias("__t4"), F.col("budget").alias("__b4"))
@@ -337,8 +339,11 @@ def apply_optimal_thresholds(val: DataFrame, test: DataFrame, budgets=(0.01, 0.0
         F.coalesce("__b4", F.lit(0.01)).alias("applied_budget"))
     scored = test.join(ch, on=g, how="inner")
     scored = scored.select("*", F.coalesce(F.col(p) >= F.col("threshold"), F.lit(False)).cast("int").alias("pred"))
-    bm = business_metrics(scored, y, "pred", p, g)
-    return bm.join(ch, on=g, how="inner")
+    out = business_metrics(scored, y, "pred", p, g).join(ch, on=g, how="inner")
+    if readings is not None:
+        from faultline.operators.events import event_columns, match_alerts_failures
+        out = out.join(event_columns(match_alerts_failures(readings, scored, horizon_days, group_cols=g), g), g, "left")
+    return out
 
 
 def budget_sweep(val: DataFrame, test: DataFrame, budgets=(0.002, 0.005, 0.01, 0.02, 0.03, 0.05),
