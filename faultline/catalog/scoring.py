@@ -292,9 +292,18 @@ def k08(spark, sf):
     return sc.apply_optimal_thresholds(_s2(spark, sf, "val"), _s2(spark, sf, "test"), K8_BUDGETS, 0.2)
 
 
-@query("k09_budget_sweep", f"""
+K9_SQL = f"""
 SELECT budget, thr, cost, precision, recall, alert_rate,
        CAST(precision >= 0.2 AND alert_rate <= budget AS INTEGER) AS kept
-FROM ({_metrics_sql(_counts_sql(_budget_cands_sql(K9_BUDGETS, VAL), TEST, "c.budget_idx, c.budget"))})""")
+FROM ({_metrics_sql(_counts_sql(_budget_cands_sql(K9_BUDGETS, VAL), TEST, "c.budget_idx, c.budget"))})"""
+
+
+@query("k09_budget_sweep", K9_SQL)
 def k09(spark, sf):
     return sc.budget_sweep(_s(spark, sf, "val"), _s(spark, sf, "test"), K9_BUDGETS, 0.2)
+
+
+@query("k09_best_budget", f"""
+SELECT budget, thr, cost, precision, recall, alert_rate FROM ({K9_SQL}) WHERE kept = 1 ORDER BY cost, budget LIMIT 1""")
+def k09_best(spark, sf):
+    return sc.best_budget(sc.budget_sweep(_s(spark, sf, "val"), _s(spark, sf, "test"), K9_BUDGETS, 0.2))

@@ -158,7 +158,7 @@ def final_evaluation(test: DataFrame, thresholds: DataFrame, readings: DataFrame
     rows = scored.groupBy(*g).agg(
         F.first("threshold").alias("threshold"), F.count(F.lit(1)).alias("total_samples"),
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("positive_samples"),
-        F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("negative_samples"))
+        F.sum(F.when(F.col(y) == 0, 1).otherwise(0)).alias("negative_samples"))
     events = event_columns(match_alerts_failures(readings, scored, horizon_days, group_cols=g), g)
     return (business_metrics(scored, y, "pred", p, g).join(rows, g).join(events, g, "left")
             .withColumn("positive_rate", F.col("positive_samples") / F.col("total_samples")))

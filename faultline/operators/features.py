@@ -143,13 +143,17 @@ def interaction_features(attrs: list[str]) -> dict[str, Column]:
 
 def device_features(df: DataFrame, target_col: str = "failure", forecast_horizon: int = 7,
                     enable_interactions: bool = True, max_lags: int = 7, narrow: bool = True,
-                    label: bool = True, zscore_window: int = 30) -> DataFrame:
+                    label: bool = True, zscore_window: int = 30,
+                    detailed: list[str] | None = None) -> DataFrame:
     """the full feature bundle, then the early-warning label (G1) and ``failure`` dropped.
 
+    ``detailed``: the attributes that get expanding deviations, slopes and interactions (F10, F11,
+    B22); by default the first four, as in the source.
+
     With ``label=False`` the unlabelled feature table is returned (target kept)."""
     w = _w()
     attrs = attribute_columns(df)
-    first4 = attrs[:4]
+    first4 = attrs[:4] if detailed is None else list(detailed)
     cols: dict[str, Column] = {}
     cal = calendar_features(F.col("date"))
     cols.update(narrow_types(cal) if narrow else cal)
@@ -201,10 +205,10 @@ def past_median_impute(df: DataFrame, window: int = 14, min_periods: int = 3,
 
 
 def feature_names(attrs: list[str] | None = None, max_lags: int = 7, enable_interactions: bool = True,
-                  label_col: str | None = "early_warn_target") -> list[str]:
+                  label_col: str | None = "early_warn_target", detailed: list[str] | None = None) -> list[str]:
     """Column names of ``device_features`` in output order (no Spark needed)."""
     attrs = attrs or [f"attribute{i}" for i in range(1, 10)]
-    first4 = attrs[:4]
+    first4 = attrs[:4] if detailed is None else list(detailed)
     names = ["device", "date", *attrs, "year", "dayofweek"]
     names += [f"{n}_{t}" for n in ("month", "day", "doy", "week", "quarter") for t in ("sin", "cos")]
     names += ["is_weekend", "is_month_start", "is_month_end", "is_quarter_start", "is_quarter_end",

@@ -126,8 +126,8 @@ def undersample(df: DataFrame, label_col: str = "y", neg_per_pos: int = 50,
     """All positives + exactly min(n_neg, r*n_pos, cap) negatives, uniformly drawn.
 
     No positives, or a target >= n_neg, leaves the input unchanged.  The draw is the
-    ``target`` smallest sample keys, found with a distributed rank (no TakeOrdered of a
-    data-sized n, no global sort into one task).
+    ``target`` smallest sample keys.  Only the keys are ranked (distributed, no global sort into
+    one task); the rows are then filtered by the largest key drawn.
     """
     y = F.col(label_col)
     counts = df.select(F.sum(F.when(y == 1, 1).otherwise(0)).alias("p"),
@@ -137,11 +137,17 @@ def undersample(df: DataFrame, label_col: str = "y", neg_per_pos: int = 50,
     target = F.least(n_neg, n_pos * F.lit(neg_per_pos))
     if max_neg_cap is not None:
         target = F.least(target, F.lit(max_neg_cap))
-    negs = df.where(y == 0).select("*", sample_key(seed).alias("__k"), F.lit(1).alias("__one"))
-    ranked = prefix_sums(negs, ["__k"], ["__one"])
-    keep_neg = ranked.where((n_pos == 0) | (target >= n_neg) | (F.col("cum___one") <= target))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return df.where(y != 0).select(*cols).unionByName(keep_neg.select(*cols))
+    key = sample_key(seed)
+    last = _last_drawn(df.where(y == 0), [key], target)
+    return df.where((y != 0) | ((y == 0) & ((n_pos == 0) | (target >= n_neg) | (key <= last["k0"]))))
+
+
+def _last_drawn(negatives: DataFrame, keys: list, target):
+    """The largest of the ``target`` smallest keys (a struct k0, k1, ..., as a scalar subquery)."""
+    names = [f"k{i}" for i in range(len(keys))]
+    counted = negatives.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = prefix_sums(counted, names, ["__n"])
+    return ranked.where(F.col("cum___n") <= target).select(F.max(F.struct(*names))).scalar()
 
 
 def undersample_hard_negatives(df: DataFrame, label_col: str = "y", neg_per_pos: int = 10,
@@ -158,18 +164,16 @@ def undersample_hard_negatives(df: DataFrame, label_col: str = "y", neg_per_pos:
     nxt = F.min(F.when(y == 1, F.col("date"))).over(desc)
     dist = F.coalesce(F.greatest(F.datediff(nxt, F.col("date")), F.lit(0)), F.lit(NO_FAILURE_DAYS))
     t = df.select("*", dist.alias("__dist"))
+    key2 = sample_key(seed)
     counts = df.select(F.sum(F.when(y == 1, 1).otherwise(0)).alias("p"),
                        F.sum(F.when(y == 0, 1).otherwise(0)).alias("n"))
     n_pos = counts.select(F.coalesce("p", F.lit(0))).scalar()
     n_neg = counts.select(F.coalesce("n", F.lit(0))).scalar()
     target = F.least(n_neg, n_pos * F.lit(neg_per_pos))
     key = -F.ln(sample_uniform01(seed)) * (F.lit(1.0) + F.col("__dist"))
-    negs = t.where(y == 0).select("*", key.alias("__k"), sample_key(seed).alias("__k2"),
-                                  F.lit(1).alias("__one"))
-    ranked = prefix_sums(negs, ["__k", "__k2"], ["__one"])
-    keep_neg = ranked.where((n_pos == 0) | (F.col("cum___one") <= target))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return df.where(y != 0).select(*cols).unionByName(keep_neg.select(*cols))
+    last = _last_drawn(t.where(y == 0), [key, key2], target)
+    drawn = (n_pos == 0) | (F.struct(key.alias("k0"), key2.alias("k1")) <= last)
+    return t.where((y != 0) | ((y == 0) & drawn)).drop("__dist")
 
 
 def median_impute(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:

@@ -184,9 +184,18 @@ def calibrate(cal_scores: DataFrame, scores: DataFrame, method: str = "isotonic"
     return out.select(*[c for c in scores.columns if c != "p"], vector_to_array("probability")[1].alias("p"))
 
 
+def contiguous_fold(position, n, k: int):
+    """The fold of a 0-based position among n rows: k runs, the first n mod k one row longer."""
+    size, longer = F.floor(n / F.lit(k)), n % F.lit(k)
+    edge = longer * (size + 1)
+    return F.when(position < edge, F.floor(position / (size + 1))).otherwise(
+        longer + F.floor((position - edge) / F.greatest(size, F.lit(1)))).cast("int")
+
+
 def timeaware_calibration(val_scores: DataFrame, test_scores: DataFrame, k: int = 5,
                           method: str = "isotonic") -> tuple[DataFrame, DataFrame]:
-    """K contiguous folds of the validation rows in (device, date) order (as the source);
+    """K contiguous folds of the validation rows in (device, date) order, the first n mod k
+    folds one row longer (as the source);
     each fold is calibrated by a map fitted on the other folds (out-of-fold scores), and test
     scores are the mean of the k calibrated versions."""
     n = val_scores.select(F.count(F.lit(1))).scalar()
@@ -196,7 +205,7 @@ def timeaware_calibration(val_scores: DataFrame, test_scores: DataFrame, k: int
     w = Window.partitionBy("device").orderBy("date")
     pos = val_scores.join(offs, on="device").select(*val_scores.columns,
                                                       (F.col("__off") + F.row_number().over(w) - 1).alias("__pos"))
-    folded = pos.select("*", F.floor(F.col("__pos") * k / n).cast("int").alias("fold")).drop("__pos")
+    folded = pos.select("*", contiguous_fold(F.col("__pos"), n, k).alias("fold")).drop("__pos")
     oof, tests = [], []
     for f in range(k):
         fit_on = folded.where(F.col("fold") != f)

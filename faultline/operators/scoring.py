@@ -30,9 +30,10 @@ def _and(conds):
 
 def score_table(df: DataFrame, y: str = "y", p: str = "p",
                 group_cols: list[str] | None = None) -> DataFrame:
-    """(group..., p, pos, neg): one row per distinct non-null score."""
+    """(group..., p, pos, neg): one row per distinct non-null score; rows without a label are in
+    no count, here and in ``totals`` and ``confusion``."""
     g = list(group_cols or [])
-    return (df.where(F.col(p).isNotNull())
+    return (df.where(F.col(p).isNotNull() & F.col(y).isNotNull())
             .groupBy(*g, F.col(p).alias("p"))
             .agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"),
                  F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg")))
@@ -40,7 +41,8 @@ def score_table(df: DataFrame, y: str = "y", p: str = "p",
 
 def totals(df: DataFrame, y: str = "y", group_cols: list[str] | None = None) -> DataFrame:
     g = list(group_cols or [])
-    return df.groupBy(*g).agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("n_pos"),
+    return df.where(F.col(y).isNotNull()).groupBy(*g).agg(
+                              F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("n_pos"),
                               F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("n_neg"))
 
 

@@ -34,12 +34,12 @@ def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataF
     return df.join(F.broadcast(small) if small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else small, on, how)
 
 
-def _bucket_expr(key: Column, cuts: list, lo: int, hi: int) -> Column:
+def _bucket_expr(key: Column, cuts: list[Column], lo: int, hi: int) -> Column:
     """Balanced CASE tree: bucket = number of cuts <= key, in O(log n) comparisons."""
     if lo >= hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(key < F.struct(*[F.lit(v) for v in cuts[mid]]), _bucket_expr(key, cuts, lo, mid)) \
+    return F.when(key < cuts[mid], _bucket_expr(key, cuts, lo, mid)) \
         .otherwise(_bucket_expr(key, cuts, mid + 1, hi))
 
 
@@ -54,6 +54,8 @@ def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None =
     keys = sorted(tuple(r) for r in rows if all(v is not None for v in r))
     step = len(keys) / n_buckets
     cuts = sorted({keys[int(i * step)] for i in range(1, n_buckets)}) if keys else []
+    kinds = dict(df.dtypes)
+    cuts = [F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for v, c in zip(cut, order_cols)]) for cut in cuts]
     # without a cut the column is still one of the table: a constant would turn joins on it into
     # cross joins
     one = F.pmod(F.hash(*cols), F.lit(1))

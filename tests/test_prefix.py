@@ -2,7 +2,9 @@
 import numpy as np
 import pandas as pd
 
-from faultline.plans.prefix import exact_quantiles, prefix_sums
+from pyspark.sql import functions as F
+
+from faultline.plans.prefix import exact_quantiles, prefix_sums, range_buckets
 
 
 def test_prefix_sums_bucketed_matches_cumsum(spark):
@@ -25,3 +27,33 @@ def test_exact_quantiles_numpy_linear(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
     got = [r["value"] for r in exact_quantiles(df, "x", probs).orderBy("q_idx").collect()]
     assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12)
+
+
+def test_no_nested_loops_and_hot_groups_use_many_buckets(spark):
+    # one value shared by very many groups, and one group with most of the distinct values
+    rows = [(f"g{i}", 0.0) for i in range(3000)] + [("hot", float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    q = exact_quantiles(df, "x", [0.25, 0.5], ["g"])
+    plan = q._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = {(r.g, r.q): r.value for r in q.collect()}
+    assert got["hot", 0.5] == 999.5 and got["g7", 0.25] == 0.0 and len(got) == 2 * 3001
+    keyed = df.distinct()
+    buckets = keyed.withColumn("b", range_buckets(keyed, ["g", "x"], 16))
+    assert buckets.where("g = 'hot'").select("b").distinct().count() >= 4
+
+
+def test_plans_without_groups_hold_no_cross_join(spark):
+    df = spark.range(5).select(F.col("id").cast("double").alias("x"))
+    for out in (exact_quantiles(df, "x", [0.5]), prefix_sums(df.groupBy("x").count(), ["x"], ["count"], total_prefix="all_")):
+        plan = out._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert exact_quantiles(df, "x", [0.5]).first().value == 2.0
+    assert exact_quantiles(df.limit(0), "x", [0.5]).count() == 0
+
+
+def test_contiguous_folds(spark):
+    from faultline.operators.ml import contiguous_fold
+    for n, k in ((10, 4), (7, 3), (3, 5), (12, 4)):
+        got = [r[0] for r in spark.range(n).select(contiguous_fold(F.col("id"), F.lit(n), k)).collect()]
+        assert got == [f for f, part in enumerate(np.array_split(np.arange(n), k)) for _ in part]
