@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import struct
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -37,63 +38,93 @@ ENTRY, ENTRY_BYTES, FOOTER, FOOTER_BYTES = "<III", 12, "<IBI", 9
 
 FILE_BYTES = 8 << 20
 END_ID = 0
-KEEP_WORDS = 300_000
+KEEP_WORDS = 800_000
+#: Unknown words encoded as one text, and how the vocabulary spells a space before a word.
+TOGETHER, SPACE_MARK = 500, "Ġ"
+
+
+# fixed values: the white space of the pre-tokenizer's patterns, and what is no single gap
+GAPS = " \n"
+UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u1680",
+           *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
 
 
 class Encoder:
-    """Ids of texts as bytes, by a tokenizer whose pre-tokens never reach from a word into the
-    single space or line end before the next word.  Words repeat, so their ids are remembered;
-    texts with any other white space are encoded whole."""
+    """Ids of texts as bytes, by a byte-level tokenizer whose pre-tokens never reach from a word
+    into the single space or line end before the next word.  Words repeat, so their ids are
+    remembered; words not known yet are encoded many at a time, as one text in
+    which their first tokens tell them apart.  Texts with any other white space are encoded whole."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        #: ids by word, for words behind a space and words at the start of a line
+        self.spaced: dict[str, bytes] = {}
+        self.leading: dict[str, bytes] = {}
+        self.line_end = self._whole(["\n"])[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, i in vocabulary.items():
+            self.opens[i] = piece.startswith(SPACE_MARK)
+        self.marks = dict(zip(",.", self._whole([",", "."])))
+        self.ends = np.zeros(len(self.opens), bool)
+        self.ends[np.frombuffer(self.line_end, "<u4")] = True
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, words: list[str], spaced: bool):
+        """(word, ids) of words without white space, each behind a space or at the start of a line."""
+        for lo in range(0, len(words), TOGETHER):
+            some = words[lo:lo + TOGETHER]
+            text = " " + " ".join(some) if spaced else "\n".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            if spaced:
+                start = np.flatnonzero(self.opens[ids])
+                stop = np.append(start[1:], len(ids))
+            else:
+                cut = np.flatnonzero(self.ends[ids])
+                start, stop = np.concatenate([[0], cut + 1]), np.append(cut, len(ids))
+            if len(start) != len(some):
+                raise ValueError("the tokenizer joins words over white space")
+            data = ids.tobytes()
+            yield from ((w, data[4 * i:4 * j]) for w, i, j in zip(some, start.tolist(), stop.tolist()))
+
+    def _learn(self, known: dict[str, bytes], missing: set[str], spaced: bool) -> None:
+        # letters and a mark behind them are pre-tokens of their own, and the mark's ids are the
+        # same behind any letter
+        cut = [w for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()]
+        missing.difference_update(cut)
+        missing.update(filterfalse(known.__contains__, [w[:-1] for w in cut]))
+        known.update(self._together(list(missing), spaced))
+        for w in cut:
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
+
     def payloads(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > KEEP_WORDS:
-            self.known = {}
-        cut, whole = [], []
+        for known in (self.spaced, self.leading):
+            if len(known) > KEEP_WORDS:
+                known.clear()
+        cut, whole, new, first = [], [], set(), set()
+        known, leading = self.spaced, self.leading
         for t in texts:
             t = t or ""
-            words = t.split()
-            gaps = t.count(" ") + t.count("\n")
-            # no other white space, no runs of it, none at the ends
-            if len(words) == gaps + 1 and sum(map(len, words)) + gaps == len(t):
-                cut.append(self._cut(t))
+            if t and t[0] not in GAPS and t[-1] not in GAPS and not any(g in t for g in UNUSUAL):
+                lines = []
+                for line in t.split("\n"):
+                    head, *words = line.split(" ")
+                    new.update(filterfalse(known.__contains__, words))
+                    if head not in leading:
+                        first.add(head)
+                    lines.append((head, words))
+                cut.append(lines)
             else:
                 cut.append(None)
                 whole.append(t)
-        known = self.known
-        missing = set().union(*[w for w in cut if w is not None]).difference(known)
-        stems, parts = set(), {}
-        for w in missing:
-            if len(w) > 2 and w[-1] in ",." and w[-2].isalpha():
-                parts[w] = w[:-1]
-                stems |= {w[:-1], w[-1]}
-            else:
-                stems.add(w)
-        order = list(stems.difference(known))
-        known.update(zip(order, self._ids(order)))
-        for w, stem in parts.items():
-            known[w] = known[stem] + known[w[-1]]
-        rest = iter(self._ids(whole))
-        return [next(rest) if w is None else b"".join(map(known.__getitem__, w)) for w in cut]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        """Pieces that are encoded alone: words with the space before them, and line ends."""
-        out: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append("\n")
-            words = line.split(" ")
-            out.append(words[0])
-            out += [" " + w for w in words[1:]]
-        return out
+        self._learn(known, new, True)
+        self._learn(leading, first, False)
+        rest = iter(self._whole(whole))
+        return [next(rest) if lines is None else self.line_end.join(
+            [leading[head] + b"".join(map(known.__getitem__, words)) for head, words in lines]) for lines in cut]
 
 
 def _skippable(magic: int, data: bytes) -> bytes:
