@@ -204,10 +204,11 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", keep_from:
     docs = docs.drop(*[prefix + n for n in names])     # old columns of these names are replaced
     kinds = [T.LongType()] * len(COUNTS) + [T.BooleanType(), T.DoubleType(), T.BooleanType()]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(prefix + n, k) for n, k in zip(names, kinds)]])
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # 2 ** bits floats
+    # 2 ** bits floats, as plain values that executors read without this package
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()) if model else None)
 
     def run(batches):
-        model = shared.value
+        model = Model(*shared.value) if shared.value else None
         for batch in batches:
             rows = []
             for t in batch.column(batch.schema.get_field_index(text)):
