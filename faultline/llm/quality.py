@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                  pa.array([w for w, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.list_(pa.float32()))],
                 names=["_id", "_y", "_where", "_value"])
     # a repeated document is one training row; at most max_rows rows reach the driver
-    got = rows.select(F.col("_id").cast("long"), "_y", "_text").mapInArrow(featurise, schema).toArrow()
+    got = rows.select(F.col("_id").cast("long"), "_y", "_text").mapInArrow(featurise, schema).toArrow().combine_chunks()
     first: dict[int, int] = {}
     for i, x in enumerate(got["_id"].to_pylist()):
         first.setdefault(x, i)
@@ -150,8 +150,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     y = np.array(got["_y"].to_pylist(), np.float64)[order] if order else np.empty(0)
     if len(set(y)) < 2:
         return None
-    data = [(got["_where"][i].values.to_numpy(), got["_value"][i].values.to_numpy().astype(np.float64)) for i in order]
-    return train(data, y, bits, steps)
+    # rows are slices of the two flat columns, not copies: the driver holds the sample once
+    where, value = (got[c].chunk(0) for c in ("_where", "_value"))
+    ends = where.offsets.to_numpy()
+    where, value = where.values.to_numpy(), value.values.to_numpy()
+    model = train([(where[ends[i]:ends[i + 1]], value[ends[i]:ends[i + 1]]) for i in order], y, bits, steps)
+    del got, where, value, ends
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def train(data: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, bits: int = BITS, steps: int = STEPS,
