@@ -14,10 +14,12 @@ far, in context of the token before (order 1) or without (order 0), with escapes
 the trie for tokens that are new in it.  The score is the mean of the three probabilities, which
 costs at most log10(3) over the best of them.
 
-Because contexts end at token borders, a token has one code length wherever it stands.  The
-corpus is therefore never joined byte by byte: documents are reduced to (chunk, token, postings),
-the vocabulary to (chunk, gram, postings), and each is joined once with its table of counts or
-code lengths by a shuffle.  Nothing that grows with the corpus is broadcast or collected.
+Because contexts end at token borders, a token has one code length wherever it stands.  The corpus
+is therefore never scored byte by byte: tokens are counted (a shuffle that grows with the corpus),
+each different token is scored once, and documents, reduced to (chunk, token, postings), are joined
+with the tokens by a shuffle.  The trie is the only broadcast: nodes rarer than one in
+``MOST_NODES`` symbols are left out, so an order holds that many at most (32 bytes each), whatever
+the size of the corpus.
 
 Defined cases: a null text is empty and consists of its end; a null doc_id counts for training;
 repeated rows are scored one by one; without training documents all bytes are equally likely; an
@@ -27,6 +29,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ from pyspark.sql import functions as F
 from faultline.llm.common import folded_words, saved
 
 ORDER = 5
+#: Nodes of an order of the trie at most, by a bound on their relative frequency.
+MOST_NODES = 1 << 22
 HOLD_OUT_MOD, HOLD_OUT_REST = 7, 2
 #: Tokens of a chunk of documents, and of a chunk of the vocabulary.
 CHUNK_TOKENS, CHUNK_DOCS, CHUNK_WORDS = 2_000_000, 60_000, 100_000
@@ -134,12 +139,13 @@ def adaptive_lengths(token: np.ndarray, doc: np.ndarray, n_docs: int):
 
 
 POSTING = [("doc", "<u2"), ("n", "u1")]
-HEAD = "array<struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,order0:double,order1:double>>"
+HEAD = [("doc_id", "<i8"), ("named", "?"), ("held_out", "?"), ("n_tokens", "<i8"), ("order0", "<f8"), ("order1", "<f8")]
 
 
 def _document_chunks(batches):
     """Worker over (doc_id, text, held_out): (chunk, token, postings), and a row per chunk with its
-    documents.  A posting is a document's number and a count of 1 to 255; 0 adds 255 to it."""
+    documents in place of postings, under a token that no word is.  A posting is a document's
+    number and a count of 1 to 255; 0 adds 255 to it."""
     from pyspark import TaskContext
 
     task, k = TaskContext.get().partitionId(), 0
@@ -174,15 +180,14 @@ def _document_chunks(batches):
         chunk = _chunk_id(task, k)
         postings = pa.Array.from_buffers(pa.binary(), len(tokens), [
             None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(packed[order].tobytes())])
-        names = ("doc_id", "held_out", "n_tokens", "order0", "order1")
-        head = [dict(zip(names, row)) for h in heads for row in zip(*(list(x) if isinstance(x, list) else x.tolist() for x in h))]
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                                   ("order0", pa.float64()), ("order1", pa.float64())]))
-        # the row of documents carries a token that no word is: it holds a blank
+        head = np.zeros(doc.max() + 1, HEAD)
+        ids_ = [i for h in heads for i in h[0]]
+        head["doc_id"], head["named"] = [i or 0 for i in ids_], [i is not None for i in ids_]
+        for k_, name in enumerate(("held_out", "n_tokens", "order0", "order1"), 1):
+            head[name] = np.concatenate([np.asarray(h[k_]) for h in heads])
         return pa.RecordBatch.from_arrays(
             [pa.array([chunk] * (len(tokens) + 1), pa.int64()), pa.array([*tokens, b" %d" % chunk], pa.binary()),
-             pa.concat_arrays([postings, pa.array([b""], pa.binary())]), pa.array([None] * len(tokens) + [head], kind)],
-            names=["chunk", "token", "postings", "head"])
+             pa.concat_arrays([postings, pa.array([head.tobytes()], pa.binary())])], names=["chunk", "token", "postings"])
     read, size, count = 0, 0, 0
     for batch in batches:
         for doc_id, text, held in zip(*(c.to_pylist() for c in batch.columns)):
@@ -250,160 +255,139 @@ def _node_counts(order: int):
     return run
 
 
-def _ones(bits) -> F.Column:
-    """A long with its lowest ``bits`` (a column) set."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), bits.cast("int")) - 1
-
-
-def trie(vocabulary: DataFrame, order: int = ORDER) -> DataFrame:
-    """(context, n, symbols, rest_n, rest_symbols) of the trie's contexts.
-
-    ``context`` holds its order in the top byte; ``symbols`` maps a following byte to its count.
-    ``rest_n`` and ``rest_symbols`` are the count and number of the symbols of the next shorter
-    context that did not follow this one: what an escape from here meets."""
-    nodes = saved(vocabulary.filter("c > 0").select("token", "c").mapInArrow(_node_counts(order), "key long, n long")
-                  .groupBy("key").agg(F.sum("n").alias("n")), "ppm-nodes")
-    level = F.shiftright("key", 56)
-    shorter = F.when(level > 0, F.shiftleft(level - 1, 56).bitwiseOR(
-        F.col("key").bitwiseAND(_ones(8 * level))))
-    # the top byte aside, a key without its oldest context byte is the shorter context's node
-    below = nodes.select("key", "n", shorter.alias("up")).join(
-        nodes.select(F.col("key").alias("up_key"), F.col("n").alias("up_n")), F.col("up") == F.col("up_key"), "left")
-    context = F.shiftleft(level, 48).bitwiseOR(F.shiftright(F.col("key").bitwiseAND(F.lit((1 << 56) - 1)), 8))
-    contexts = saved(below.select(context.alias("context"), F.col("key").bitwiseAND(255).cast("int").alias("symbol"), "n", "up_n")
-                     .groupBy("context").agg(
-                         F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("symbols"),
-                         F.sum("up_n").alias("covered")), "ppm-contexts")
-    up_level = F.shiftright("context", 48)
-    parent = F.when(up_level > 0, F.shiftleft(up_level - 1, 48).bitwiseOR(
-        F.col("context").bitwiseAND(_ones(8 * (up_level - 1)))))
-    up = contexts.select(F.col("context").alias("p_context"), F.col("n").alias("p_n"), F.size("symbols").alias("p_size"))
-    return saved(contexts.withColumn("parent", parent).join(up, F.col("parent") == F.col("p_context"), "left").select(
-        "context", "n", "symbols", (F.col("p_n") - F.col("covered")).alias("rest_n"),
-        (F.col("p_size") - F.size("symbols")).alias("rest_symbols")), "ppm-trie")
-
-
-def gram_lengths(grams: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram) -> (gram, log10p): a symbol in its longest possible context, from the trie.
-
-    Goes down the orders; each step joins the grams still open with the contexts of one order."""
-    split = grams.select("gram", F.shiftright("gram", 56).cast("int").alias("have"),
-                         F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << 56) - 1)), 8).alias("bytes"),
-                         F.col("gram").bitwiseAND(255).cast("int").alias("symbol"))
-    fresh = split.select("gram", "have", "bytes", "symbol", F.lit(0.0).alias("so_far"),
-                         F.lit(None).cast("long").alias("left_n"), F.lit(None).cast("int").alias("left_symbols"))
-    kept, open_ = [], None
-    for k in range(order, -1, -1):
-        here = fresh.filter(F.col("have") == k)
-        here = here if open_ is None else here.unionByName(open_)
-        own = F.lit(k << 48).cast("long").bitwiseOR(F.col("bytes").bitwiseAND(F.lit((1 << (8 * k)) - 1)))
-        met = here.withColumn("own", own).join(contexts, F.col("own") == F.col("context"), "left")
-        n = F.element_at("symbols", F.col("symbol"))
-        total = 2 * F.when(F.col("left_n").isNull(), F.col("n")).otherwise(F.col("left_n"))
-        left = F.when(F.col("left_n").isNull(), F.size("symbols")).otherwise(F.col("left_symbols"))
+@dataclass
+class Order:
+    """The trie's contexts of one length: nodes (context, symbol) with counts, and per context the
+    count and number of its symbols, and of those of the next shorter context that did not follow
+    it, which is what an escape from here meets.  All sorted by key."""
+    node: np.ndarray
+    count: np.ndarray
+    context: np.ndarray
+    total: np.ndarray
+    symbols: np.ndarray
+    rest_total: np.ndarray
+    rest_symbols: np.ndarray
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of ``wanted`` in sorted ``keys``, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def build_orders(key: np.ndarray, n: np.ndarray, order: int) -> list[Order]:
+    """The orders 0 to ``order`` of a node table (key, n)."""
+    out: list[Order] = []
+    for k in range(order + 1):
+        own = (key >> 56) == k
+        node, count = key[own] & ((1 << 56) - 1), n[own]
+        by = np.argsort(node)
+        node, count = node[by], count[by]
+        first = np.flatnonzero(np.concatenate([[True], (node[1:] >> 8) != (node[:-1] >> 8)])) if len(node) else np.empty(0, np.int64)
+        context = node[first] >> 8
+        total, symbols = np.add.reduceat(count, first) if len(node) else count, np.diff(np.append(first, len(node)))
+        rest_total, rest_symbols = np.zeros(len(context), np.int64), np.zeros(len(context), np.int64)
+        if k and len(node):
+            shorter = out[-1]
+            # without its oldest byte, a node is one of the shorter context
+            at, _ = _find(shorter.node, node & ((1 << (8 * k)) - 1))
+            up, _ = _find(shorter.context, context & ((1 << (8 * (k - 1))) - 1))
+            rest_total = shorter.total[up] - np.add.reduceat(shorter.count[at], first)
+            rest_symbols = shorter.symbols[up] - symbols
+        out.append(Order(node, count, context, total, symbols, rest_total, rest_symbols))
+    return out
+
+
+def trie(vocabulary: DataFrame, order: int = ORDER, most_nodes: int = MOST_NODES) -> list[Order]:
+    """The trie of the training tokens.
+
+    A node is kept if its count is at least one in ``most_nodes`` of all symbols.  The counts of an
+    order sum up to the symbols, so no order has more than ``most_nodes`` nodes, whatever the
+    corpus; a node's shorter contexts count at least as much, so they are kept with it."""
+    counted = vocabulary.filter("c > 0").select("token", "c")
+    symbols = counted.agg(F.coalesce(F.sum(F.col("c") * (F.octet_length("token") + 1)), F.lit(0))).first()[0]
+    nodes = (counted.mapInArrow(_node_counts(order), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") * most_nodes >= symbols).toArrow())
+    return build_orders(nodes["key"].to_numpy(), nodes["n"].to_numpy(), order)
+
+
+def gram_lengths(orders: list[Order], gram: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each gram: a symbol in its longest possible context."""
+    have, bytes_, symbol = gram >> 56, (gram & ((1 << 56) - 1)) >> 8, gram & 255
+    out, open_ = np.zeros(len(gram)), np.ones(len(gram), bool)
+    fresh = np.ones(len(gram), bool)                   # no context was seen so far, nothing is excluded
+    left_total, left_symbols = np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
+    for k in range(len(orders) - 1, -1, -1):
+        o = orders[k]
+        rows = np.flatnonzero(open_ & (have >= k))
+        context = bytes_[rows] & ((1 << (8 * k)) - 1)
+        at, seen = _find(o.context, context)
+        rows, context, at = rows[seen], context[seen], at[seen]
+        where, known = _find(o.node, context << 8 | symbol[rows])
+        first = fresh[rows]
+        total = 2 * np.where(first, o.total[at], left_total[rows])
+        left = np.where(first, o.symbols[at], left_symbols[rows])
+        hit = rows[known]
+        out[hit] += np.log10((2 * o.count[where[known]] - 1) / total[known])
+        open_[hit] = False
+        miss, at, left, total = rows[~known], at[~known], left[~known], total[~known]
         # with nothing left to follow, the escape is certain
-        escape = F.when(F.col("context").isNull() | (left == 0), 0.0).otherwise(F.log10(left / total))
-        step = saved(met.select(
-            "gram", "have", "bytes", "symbol", n.isNotNull().alias("found"),
-            (F.col("so_far") + F.when(n.isNotNull(), F.log10((2 * n - 1) / total)).otherwise(escape)).alias("so_far"),
-            F.when(F.col("context").isNotNull(), F.coalesce("rest_n", F.lit(0))).alias("left_n"),
-            F.when(F.col("context").isNotNull(), F.coalesce("rest_symbols", F.size("symbols"))).alias("left_symbols"),
-            F.size("symbols").alias("width")), f"ppm-order-{k}")
-        kept.append(step.filter("found").select("gram", F.col("so_far").alias("log10p")))
-        open_ = step.filter("not found").drop("found", "width")
+        some = left > 0
+        out[miss[some]] += np.log10(left[some] / total[some])
+        left_total[miss], left_symbols[miss], fresh[miss] = o.rest_total[at], o.rest_symbols[at], False
     # never seen at all: an equal share among the bytes that order 0 does not know
-    unseen = F.lit(256) - F.coalesce(F.when(F.col("width") > 0, F.col("width")), F.lit(0))
-    kept.append(step.filter("not found").select("gram", (F.col("so_far") - F.log10(unseen)).alias("log10p")))
-    out = kept[0]
-    for more in kept[1:]:
-        out = out.unionByName(more)
+    out[open_] -= np.log10(256 - len(orders[0].node))
     return out
 
 
-def _vocabulary_chunks(order: int):
-    """Worker over (token, c): (chunk, gram, postings) and one row per chunk with its tokens."""
-    from pyspark import TaskContext
-
+def _token_lengths(shared, order: int):
+    """Worker over (token, c): adds log10p, the sum over the token's symbols."""
     def run(batches):
-        task, k = TaskContext.get().partitionId(), 0
+        orders = [Order(*arrays) for arrays in shared.value]
         for batch in batches:
             for lo in range(0, batch.num_rows, CHUNK_WORDS):
                 part = batch.slice(lo, CHUNK_WORDS)
-                tokens, chunk = part.column(0).to_pylist(), _chunk_id(task, k)
-                k += 1
+                tokens = part.column(0).to_pylist()
                 token, symbol, have, contexts = _grams(tokens, order)
-                longest = np.choose(have, contexts)
-                gram, at = np.unique(_key(have, longest, symbol), return_inverse=True)
-                by = np.argsort(at, kind="stable")
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(gram)))]) * 4
-                postings = pa.Array.from_buffers(pa.binary(), len(gram), [
-                    None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(token[by].astype("<u4").tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * (len(gram) + 1), pa.int64()), pa.array(np.append(gram, -1 - chunk)),
-                     pa.concat_arrays([postings, pa.array([b""], pa.binary())]),
-                     pa.array([None] * len(gram) + [tokens], pa.list_(pa.binary())),
-                     pa.array([None] * len(gram) + [part.column(1).to_pylist()], pa.list_(pa.int64()))],
-                    names=["chunk", "gram", "postings", "tokens", "counts"])
+                gram, at = np.unique(_key(have, np.choose(have, contexts), symbol), return_inverse=True)
+                score = np.bincount(token, gram_lengths(orders, gram)[at], len(tokens))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=["token", "c", "log10p"])
     return run
 
 
-def _sum_vocabulary(batches):
-    """Worker over rows sorted by chunk: (token, c, log10p)."""
-    def close():
-        token, value = np.concatenate(where), np.concatenate(what)
-        score = np.bincount(token, value, len(tokens))
-        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array(counts, pa.int64()), pa.array(score)],
-                                          names=["token", "c", "log10p"])
-    now, tokens, counts, where, what = None, None, None, [], []
-    for batch in batches:
-        chunk, value = batch.column(0).to_numpy(), batch.column(1).fill_null(0.0).to_numpy()
-        for lo, hi in _runs(chunk):
-            if chunk[lo] != now:
-                if now is not None:
-                    yield close()
-                now, tokens, counts, where, what = chunk[lo], None, None, [], []
-            part = batch.slice(lo, hi - lo)
-            sizes = np.array([len(p) for p in part.column(2).to_pylist()]) // 4
-            where.append(np.frombuffer(b"".join(part.column(2).to_pylist()), "<u4").astype(np.int64))
-            what.append(np.repeat(value[lo:hi], sizes))
-            for t, c in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
-                if t is not None:
-                    tokens, counts = t, c
-    if now is not None:
-        yield close()
-
-
 def _runs(keys: np.ndarray):
     cuts = np.flatnonzero(np.diff(keys)) + 1
     return zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]) if len(keys) else ()
 
 
 def _sum_documents(batches):
-    """Worker over rows sorted by chunk: one row per document."""
+    """Worker over (chunk, c, log10p, postings) sorted by chunk: one row per document.  A row that
+    met no token of the vocabulary holds the chunk's documents."""
     names = ["doc_id", "held_out", "n_tokens", "n_known", "log10_counts", "pretrained", "score"]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
     def close():
-        d = len(head)
-        column = {n: [h[n] for h in head] for n in head[0]}
-        known, counts, fixed, once = (x[:d] for x in sums)
-        three = np.stack([fixed, np.array(column["order0"]) + once, np.array(column["order1"]) + once])
+        known, counts, fixed, once = (x[:len(head)] for x in sums)
+        three = np.stack([fixed, head["order0"] + once, head["order1"] + once])
         top = three.max(axis=0)
         mean = top + np.log10((10.0 ** (three - top)).sum(axis=0) / 3)
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
-            [column["doc_id"], column["held_out"], column["n_tokens"], known.round().astype(np.int64), counts, fixed, mean], kinds)],
+        return pa.RecordBatch.from_arrays([pa.array(head["doc_id"], pa.int64(), mask=~head["named"])] + [pa.array(x, t) for x, t in zip(
+            [head["held_out"], head["n_tokens"], known.round().astype(np.int64), counts, fixed, mean], kinds[1:])],
             names=names)
     now, head, sums = None, None, None
     for batch in batches:
         chunk, c = batch.column(0).to_numpy(), batch.column(1).fill_null(0).to_numpy()
-        length = batch.column(2).fill_null(0.0).to_numpy()
+        length, heading = batch.column(2).fill_null(0.0).to_numpy(), batch.column(1).is_null().to_numpy(zero_copy_only=False)
         for lo, hi in _runs(chunk):
             if chunk[lo] != now:
                 if now is not None:
                     yield close()
                 now, head, sums = chunk[lo], None, np.zeros((4, 1 << 16))
-            part = batch.slice(lo, hi - lo)
-            lists = part.column(3).to_pylist()
+            lists = batch.column(3).slice(lo, hi - lo).to_pylist()
+            for i in np.flatnonzero(heading[lo:hi]):
+                head, lists[i] = np.frombuffer(lists[i], HEAD), b""
             packed = np.frombuffer(b"".join(lists), POSTING)
             size = np.array([len(p) for p in lists]) // packed.itemsize
             doc, n = packed["doc"].astype(np.int64), packed["n"].astype(np.float64)
@@ -412,14 +396,12 @@ def _sum_documents(batches):
             for row, what in enumerate((n * np.repeat(c[lo:hi] > 0, size), n * np.repeat(np.log10(c[lo:hi] + 1.0), size),
                                         n * value, once * value)):
                 sums[row] += np.bincount(doc, what, 1 << 16)
-            for h in part.column(4).to_pylist():
-                if h is not None:
-                    head = h
     if now is not None:
         yield close()
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
+          most_nodes: int = MOST_NODES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     if not 1 <= order <= 5:
         raise ValueError("order must be 1 to 5: a context and its symbol share 48 bits of a key")
@@ -429,15 +411,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
                     .groupBy("token").agg(F.sum("n").alias("c")), "ppm-counts")
     totals = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
                          F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v")).first()
-    contexts = trie(counted, order)
-    pieces = saved(counted.mapInArrow(_vocabulary_chunks(order), "chunk long, gram long, postings binary, tokens array<binary>, counts array<long>"),
-                   "ppm-grams")
-    lengths = saved(gram_lengths(pieces.filter("gram >= 0").select("gram").distinct(), contexts, order), "ppm-lengths")
-    vocabulary = saved(pieces.join(lengths, "gram", "left").select("chunk", "log10p", "postings", "tokens", "counts")
-                       .repartition("chunk").sortWithinPartitions("chunk")
-                       .mapInArrow(_sum_vocabulary, "token binary, c long, log10p double"), "ppm-vocabulary")
-    postings = rows.mapInArrow(_document_chunks, f"chunk long, token binary, postings binary, head {HEAD}")
-    summed = (postings.join(vocabulary, "token", "left").select("chunk", "c", "log10p", "postings", "head")
+    # as plain arrays, which executors read without this package
+    shared = docs.sparkSession.sparkContext.broadcast([tuple(vars(o).values()) for o in trie(counted, order, most_nodes)])
+    vocabulary = counted.mapInArrow(_token_lengths(shared, order), "token binary, c long, log10p double")
+    postings = rows.mapInArrow(_document_chunks, "chunk long, token binary, postings binary")
+    summed = (postings.join(vocabulary, "token", "left").select("chunk", "c", "log10p", "postings")
               .repartition("chunk").sortWithinPartitions("chunk")
               .mapInArrow(_sum_documents, "doc_id long, held_out boolean, n_tokens long, n_known long, log10_counts double, "
                            "pretrained double, score double"))
