@@ -7,9 +7,10 @@ segment is indexed once per bit with that bit left out, so such a pair meets in
 on (left-out bit, rest of the segment), and the full distance is verified in the join.
 
 No group lists all its pairs: fingerprints are distinct before the join; each bucket first links
-its members to a pivot (linear), and only members that are not linked to the bucket's pivot are
-paired with the others.  Pairs that are both linked to a pivot are connected already.  Components
-come from alternating large-star and small-star rounds, each written to the shared folder.
+its members to a few pivots (linear), and the components of these links are taken.  The join then
+looks for links between different components only; pairs inside one are connected already.
+Components come from alternating large-star and small-star rounds, each written to the shared
+folder.
 
 Defined cases: a null or empty text has the fingerprint zero and links like any other; a text of
 fewer words than a shingle is one shingle; equal rows and equal texts share a fingerprint; a null
@@ -22,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,8 @@ from faultline.llm.common import folded_words, saved
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+#: Members of a bucket that all its members are compared with first.
+PIVOTS = 6
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -56,6 +59,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "_fp",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with a long column holding the 64 bits; other columns are passed through."""
+    docs = docs.drop(name)                             # an old column of that name is replaced
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches):
@@ -72,8 +76,9 @@ def _signed(x: int) -> int:
 
 
 def variants(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, bit, rest): the signatures of each fingerprint, 64 rows each.  ``bit`` is the position
-    left out and names its segment, ``rest`` the segment without it."""
+    """The columns of ``fps`` (fp and others) with (bit, rest): the signatures of each
+    fingerprint, 64 rows each.  ``bit`` is the position left out and names its segment, ``rest``
+    the segment without it."""
     n = max_bits // 2 + 1
     edges = [64 * k // n for k in range(n + 1)]
     masks = []
@@ -81,28 +86,46 @@ def variants(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         masks += [((1 << hi) - (1 << lo)) & ~(1 << bit) for bit in range(lo, hi)]
     array = F.array(*[F.struct(F.lit(bit).cast("byte").alias("bit"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("rest"))
                       for bit, m in enumerate(masks)])
-    return fps.select("fp", F.explode(array).alias("v")).select("fp", "v.bit", "v.rest")
-
-
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): links among the distinct fingerprints ``fps`` whose connected components are those
-    of all links within ``max_bits``; every row is a verified link."""
-    def differ(x, y):
-        return F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
-
-    index = variants(fps, max_bits)
-    buckets = (index.groupBy("bit", "rest").agg(F.min("fp").alias("pivot"), F.count(F.lit(1)).alias("n"))
-               .filter("n > 1").drop("n"))
-    met = saved(index.join(buckets, ["bit", "rest"])
-                .withColumn("linked", differ("fp", "pivot") <= max_bits), "simhash-met")
-    star = met.filter(F.col("linked") & (F.col("fp") != F.col("pivot"))).select(
-        F.col("fp").alias("a"), F.col("pivot").alias("b"))
-    left = met.filter(~F.col("linked")).select("bit", "rest", F.col("fp").alias("a"))
-    right = met.select("bit", "rest", F.col("fp").alias("b"), F.col("linked").alias("b_linked"))
-    close = left.hint("merge").join(right, (left.bit == right.bit) & (left.rest == right.rest)
-                                    & (F.col("b_linked") | (F.col("a") < F.col("b")))
-                                    & (differ("a", "b") <= max_bits)).select("a", "b")
-    return star.unionByName(close).distinct()
+    return fps.select("*", F.explode(array).alias("v")).select(*fps.columns, "v.bit", "v.rest")
+
+
+def _differ(x, y) -> F.Column:
+    return F.bit_count(x.bitwiseXOR(y))
+
+
+def star_links(fps: DataFrame, max_bits: int = MAX_BITS, pivots: int = PIVOTS) -> DataFrame:
+    """(a, b): each fingerprint with those of its buckets' pivots that are within ``max_bits``.
+
+    A pivot is the member of least hash, for ``pivots`` hashes; a bucket of n members gives
+    n * pivots rows at most, and in a dense group nearly all members meet one pivot or another."""
+    bucket = Window.partitionBy("bit", "rest")
+    chosen = F.array(*[F.min(F.struct(F.xxhash64("fp", F.lit(k)).alias("h"), "fp")).over(bucket)["fp"] for k in range(pivots)])
+    # dealt out before the hashes are taken, so that only signatures are shuffled
+    index = variants(fps.select("fp"), max_bits).repartition("bit", "rest")
+    return (index.withColumn("pivots", F.when(F.count(F.lit(1)).over(bucket) > 1, chosen))
+            .filter("pivots is not null")
+            .select("fp", F.array_distinct(F.filter("pivots", lambda p: (p != F.col("fp")) & (_differ(p, F.col("fp")) <= max_bits))).alias("met"))
+            .filter(F.size("met") > 0).select(F.col("fp").alias("a"), F.explode("met").alias("b")).distinct())
+
+
+def cross_links(grouped: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root) -> (a, b): all links between fingerprints of different roots.
+
+    Only buckets with several roots are looked at, and there only pairs with a member outside the
+    bucket's largest group, so that a group's own pairs are neither listed nor met."""
+    bucket = Window.partitionBy("bit", "rest")
+    sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("size"))
+    # most fingerprints are their own root, which need not be shuffled with each signature
+    narrow = grouped.join(sizes, "root").select("fp", F.when(F.col("root") != F.col("fp"), F.col("root")).alias("root"), "size")
+    index = variants(narrow, max_bits).repartition("bit", "rest").withColumn("root", F.coalesce("root", "fp"))
+    index = saved(index.withColumns({"least": F.min("root").over(bucket), "most": F.max("root").over(bucket),
+                                     "top": F.max(F.struct("size", "root")).over(bucket)["root"]})
+                  .filter("least <> most").select("bit", "rest", "fp", "root", "top"), "simhash-mixed")
+    left = index.filter("root <> top").select("bit", "rest", F.col("fp").alias("a"), F.col("root").alias("a_root"))
+    right = index.select("bit", "rest", F.col("fp").alias("b"), F.col("root").alias("b_root"), (F.col("root") == F.col("top")).alias("b_top"))
+    return left.hint("merge").join(right, (left.bit == right.bit) & (left.rest == right.rest) & (F.col("a_root") != F.col("b_root"))
+                                   & (F.col("b_top") | (F.col("a") < F.col("b")))
+                                   & (_differ(F.col("a"), F.col("b")) <= max_bits)).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -144,9 +167,14 @@ def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = saved(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "fp",
                               shingle_words).drop("text"), "simhash-fp")
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+    def group(edges):
+        roots = components(edges)
+        return saved(distinct.join(roots, distinct.fp == roots.node, "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-groups")
+    stars = saved(star_links(distinct, max_bits), "simhash-stars")
+    cross = cross_links(group(stars), max_bits)
+    rooted = group(stars.unionByName(cross))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     names = rooted.join(least, "root").select(F.col("fp").alias("n_fp"), "component_id")
     return rows.join(names, rows.fp == F.col("n_fp")).select("doc_id", "fp", "component_id")
