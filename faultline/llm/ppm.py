@@ -14,12 +14,13 @@ far, in context of the token before (order 1) or without (order 0), with escapes
 the trie for tokens that are new in it.  The score is the mean of the three probabilities, which
 costs at most log10(3) over the best of them.
 
-Because contexts end at token borders, a token has one code length wherever it stands.  The corpus
-is therefore never scored byte by byte: tokens are counted (a shuffle that grows with the corpus),
-each different token is scored once, and documents, reduced to (chunk, token, postings), are joined
-with the tokens by a shuffle.  The trie is the only broadcast: nodes rarer than one in
-``MOST_NODES`` symbols are left out, so an order holds that many at most (32 bytes each), whatever
-the size of the corpus.
+Because contexts end at token borders, a token has one code length wherever it stands.  The
+corpus is therefore never scored byte by byte: tokens are counted (a shuffle that grows with the
+corpus), each different token is scored once, and documents, reduced to (chunk, token, postings),
+are joined with the tokens by a shuffle.  The trie keeps every node and grows with the corpus.
+Contexts of up to ``BASE`` bytes have 256^3 nodes at most, whatever the corpus, and are broadcast;
+longer ones are dealt by their last ``BASE + 1`` bytes, and with them the vocabulary's grams, reduced
+to (chunk, gram, postings), so that all contexts that a gram may be coded in are in its partition.
 
 Defined cases: a null text is empty and consists of its end; a null doc_id counts for training;
 repeated rows are scored one by one; without training documents all bytes are equally likely; an
@@ -39,11 +40,13 @@ from pyspark.sql import functions as F
 from faultline.llm.common import folded_words, saved
 
 ORDER = 5
-#: Nodes of an order of the trie at most, by a bound on their relative frequency.
-MOST_NODES = 1 << 22
+#: Longest contexts whose nodes are few by the alphabet alone.
+BASE = 2
 HOLD_OUT_MOD, HOLD_OUT_REST = 7, 2
 #: Tokens of a chunk of documents, and of a chunk of the vocabulary.
 CHUNK_TOKENS, CHUNK_DOCS, CHUNK_WORDS = 2_000_000, 60_000, 100_000
+#: Nodes that are combined before they are sent or kept.
+COMBINE = 3_000_000
 #: Tokens whose adaptive codes are worked out at once.
 SETTLE_TOKENS = 300_000
 
@@ -229,29 +232,41 @@ def _key(order, context, symbol):
     return (order << 56) | (context << 8) | symbol
 
 
+def _combine(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, with the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    by = np.argsort(key)
+    key, n = key[by], n[by]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
+
+
+def _word_chunks(batches):
+    """(tokens, c) of up to about CHUNK_WORDS rows of (token, c) each."""
+    tokens, c = [], []
+    for batch in batches:
+        tokens += batch.column(0).to_pylist()
+        c.append(batch.column(1).to_numpy())
+        if len(tokens) >= CHUNK_WORDS:
+            yield tokens, np.concatenate(c)
+            tokens, c = [], []
+    if tokens:
+        yield tokens, np.concatenate(c)
+
+
 def _node_counts(order: int):
     """Worker over (token, c): (key, n), the trie nodes that the training tokens pass."""
     def run(batches):
-        def emit(keys, counts):
-            key, at = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(at, np.concatenate(counts)).round().astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-        keys, counts, size = [], [], 0
-        for batch in batches:
-            tokens, c = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for lo in range(0, len(tokens), CHUNK_WORDS):
-                token, symbol, have, contexts = _grams(tokens[lo:lo + CHUNK_WORDS], order)
-                weight = c[lo:lo + CHUNK_WORDS][token]
-                for k, context in enumerate(contexts):
-                    some = have >= k
-                    keys.append(_key(k, context[some], symbol[some]))
-                    counts.append(weight[some].astype(np.float64))
-                    size += int(some.sum())
-                if size > 3_000_000:
-                    yield emit(keys, counts)
-                    keys, counts, size = [], [], 0
-        if keys:
-            yield emit(keys, counts)
+        now = np.empty(0, np.int64), np.empty(0, np.int64)
+        for tokens, c in _word_chunks(batches):
+            token, symbol, have, contexts = _grams(tokens, order)
+            keys, counts = [now[0]], [now[1]]
+            for k, context in enumerate(contexts):
+                some = have >= k
+                keys.append(_key(k, context[some], symbol[some]))
+                counts.append(c[token[some]])
+            now = _combine(keys, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(now[0]), pa.array(now[1])], names=["key", "n"])
     return run
 
 
@@ -277,10 +292,10 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def build_orders(key: np.ndarray, n: np.ndarray, order: int) -> list[Order]:
-    """The orders 0 to ``order`` of a node table (key, n)."""
-    out: list[Order] = []
-    for k in range(order + 1):
+def build_orders(key: np.ndarray, n: np.ndarray, order: int, base: list[Order] | None = None) -> list[Order]:
+    """The orders 0 to ``order`` of a node table (key, n), of which ``base`` are built already."""
+    out: list[Order] = list(base or ())
+    for k in range(len(out), order + 1):
         own = (key >> 56) == k
         node, count = key[own] & ((1 << 56) - 1), n[own]
         by = np.argsort(node)
@@ -300,17 +315,25 @@ def build_orders(key: np.ndarray, n: np.ndarray, order: int) -> list[Order]:
     return out
 
 
-def trie(vocabulary: DataFrame, order: int = ORDER, most_nodes: int = MOST_NODES) -> list[Order]:
-    """The trie of the training tokens.
+def base_orders(vocabulary: DataFrame, order: int = ORDER) -> list[Order]:
+    """The trie's orders up to ``BASE``; their size is bounded by the alphabet."""
+    top = min(order, BASE)
+    nodes = (vocabulary.filter("c > 0").select("token", "c").mapInArrow(_node_counts(top), "key long, n long")
+             .groupBy("key").agg(F.sum("n").alias("n")).toArrow())
+    return build_orders(nodes["key"].to_numpy(), nodes["n"].to_numpy(), top)
 
-    A node is kept if its count is at least one in ``most_nodes`` of all symbols.  The counts of an
-    order sum up to the symbols, so no order has more than ``most_nodes`` nodes, whatever the
-    corpus; a node's shorter contexts count at least as much, so they are kept with it."""
-    counted = vocabulary.filter("c > 0").select("token", "c")
-    symbols = counted.agg(F.coalesce(F.sum(F.col("c") * (F.octet_length("token") + 1)), F.lit(0))).first()[0]
-    nodes = (counted.mapInArrow(_node_counts(order), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-             .filter(F.col("n") * most_nodes >= symbols).toArrow())
-    return build_orders(nodes["key"].to_numpy(), nodes["n"].to_numpy(), order)
+
+def long_orders(gram: np.ndarray, n: np.ndarray, order: int, base: list[Order]) -> list[Order]:
+    """``base`` and the orders above it.  (gram, n) are the nodes of longest context; without its
+    oldest bytes each counts for a node of every shorter order."""
+    have, node = gram >> 56, gram & ((1 << 56) - 1)
+    keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for k in range(len(base), order + 1):
+        some = have >= k
+        key, count = _combine([k << 56 | node[some] & ((1 << (8 * k + 8)) - 1)], [n[some]])
+        keys.append(key)
+        counts.append(count)
+    return build_orders(np.concatenate(keys), np.concatenate(counts), order, base)
 
 
 def gram_lengths(orders: list[Order], gram: np.ndarray) -> np.ndarray:
@@ -342,21 +365,124 @@ def gram_lengths(orders: list[Order], gram: np.ndarray) -> np.ndarray:
     return out
 
 
-def _token_lengths(shared, order: int):
-    """Worker over (token, c): adds log10p, the sum over the token's symbols."""
+PIECES = "at long, key long, n long, chunk long, postings binary"
+
+
+def _vocabulary_chunks(shared, order: int):
+    """Worker over (token, c): rows of PIECES, dealt by ``at``.
+
+    Grams of more than BASE bytes of context are postings (chunk, gram, numbers of tokens) and, from
+    training tokens, nodes (gram, n) without a chunk.  A chunk's tokens, their counts and the code
+    lengths of their shorter grams are one row without a key."""
+    from pyspark import TaskContext
+
+    deal = (1 << (8 * (BASE + 1))) - 1
+
+    def nodes(key, n):
+        none = pa.nulls(len(key), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(key >> 8 & deal), pa.array(key), pa.array(n), none, pa.nulls(len(key), pa.binary())],
+                                          names=["at", "key", "n", "chunk", "postings"])
+
+    def run(batches):
+        base = [Order(*arrays) for arrays in shared.value]
+        task, now = TaskContext.get().partitionId(), (np.empty(0, np.int64), np.empty(0, np.int64))
+        for k, (tokens, c) in enumerate(_word_chunks(batches)):
+            chunk = _chunk_id(task, k)
+            token, symbol, have, contexts = _grams(tokens, order)
+            key = _key(have, np.choose(have, contexts), symbol)
+            short = have <= BASE
+            gram, at = np.unique(key[short], return_inverse=True)
+            start = np.bincount(token[short], gram_lengths(base, gram)[at], len(tokens))
+            key, token = key[~short], token[~short]
+            by = np.argsort(key, kind="stable")
+            key, token = key[by], token[by]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+            gram = key[first]
+            postings = pa.Array.from_buffers(pa.binary(), len(gram), [
+                None, pa.py_buffer((np.append(first, len(key)) * 4).astype(np.int32).tobytes()), pa.py_buffer(token.astype("<u4").tobytes())])
+            heading = b"".join([len(tokens).to_bytes(8, "little"), c.astype("<i8").tobytes(), start.astype("<f8").tobytes(), b" ".join(tokens)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(gram >> 8 & deal, -1 - chunk)), pa.array([*gram, None], pa.int64()),
+                 pa.nulls(len(gram) + 1, pa.int64()), pa.array(np.full(len(gram) + 1, chunk)),
+                 pa.concat_arrays([postings, pa.array([heading], pa.binary())])], names=["at", "key", "n", "chunk", "postings"])
+            if len(gram):
+                n = np.add.reduceat(c[token], first)
+                now = _combine([now[0], gram[n > 0]], [now[1], n[n > 0]])
+            if len(now[0]) >= COMBINE:
+                yield nodes(*now)
+                now = np.empty(0, np.int64), np.empty(0, np.int64)
+        yield nodes(*now)
+    return run
+
+
+def _gram_lengths(shared, order: int):
+    """Worker over (key, n, chunk, postings) of some contexts, their nodes first: (chunk, log10p,
+    postings).  Only the nodes are held; a chunk's heading passes through."""
     def run(batches):
-        orders = [Order(*arrays) for arrays in shared.value]
+        base = [Order(*arrays) for arrays in shared.value]
+        keys, counts, size, orders = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0, None
         for batch in batches:
-            for lo in range(0, batch.num_rows, CHUNK_WORDS):
-                part = batch.slice(lo, CHUNK_WORDS)
-                tokens = part.column(0).to_pylist()
-                token, symbol, have, contexts = _grams(tokens, order)
-                gram, at = np.unique(_key(have, np.choose(have, contexts), symbol), return_inverse=True)
-                score = np.bincount(token, gram_lengths(orders, gram)[at], len(tokens))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=["token", "c", "log10p"])
+            nodes = batch.num_rows - batch.column(1).null_count
+            if nodes:
+                keys.append(batch.column(0).slice(0, nodes).to_numpy())
+                counts.append(batch.column(1).slice(0, nodes).to_numpy())
+                size += nodes
+                if size >= COMBINE + 2 * len(keys[0]):
+                    key, n = _combine(keys, counts)
+                    keys, counts, size = [key], [n], len(key)
+            if nodes == batch.num_rows:
+                continue
+            if orders is None:
+                orders = long_orders(*_combine(keys, counts), order, base)
+                keys = counts = None
+            asked = batch.slice(nodes)
+            heading = asked.column(0).is_null().to_numpy(zero_copy_only=False)
+            gram, at = np.unique(asked.column(0).fill_null(0).to_numpy(), return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [asked.column(2), pa.array(gram_lengths(orders, gram)[at], mask=heading), asked.column(3)],
+                names=["chunk", "log10p", "postings"])
     return run
 
 
+def _sum_vocabulary(batches):
+    """Worker over (chunk, log10p, postings) sorted by chunk: (token, c, log10p).  A row without
+    log10p is the chunk's heading."""
+    def close():
+        n = int.from_bytes(heading[:8], "little")
+        score = np.frombuffer(heading, "<f8", n, 8 + 8 * n) + np.bincount(
+            np.concatenate(where), np.concatenate(what), n)
+        return pa.RecordBatch.from_arrays([pa.array(heading[8 + 16 * n:].split(b" "), pa.binary()),
+                                           pa.array(np.frombuffer(heading, "<i8", n, 8)), pa.array(score)],
+                                          names=["token", "c", "log10p"])
+    now, heading, where, what = None, None, [], []
+    for batch in batches:
+        chunk, value = batch.column(0).to_numpy(), batch.column(1).fill_null(0.0).to_numpy()
+        headings = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+        for lo, hi in _runs(chunk):
+            if chunk[lo] != now:
+                if now is not None:
+                    yield close()
+                now, heading, where, what = chunk[lo], None, [np.empty(0, np.int64)], [np.empty(0)]
+            lists = batch.column(2).slice(lo, hi - lo).to_pylist()
+            for i in np.flatnonzero(headings[lo:hi]):
+                heading, lists[i] = lists[i], b""
+            where.append(np.frombuffer(b"".join(lists), "<u4").astype(np.int64))
+            what.append(np.repeat(value[lo:hi], np.array([len(p) for p in lists]) // 4))
+    if now is not None:
+        yield close()
+
+
+def token_lengths(vocabulary: DataFrame, order: int = ORDER) -> DataFrame:
+    """(token, c) with log10p, the sum over the token's symbols."""
+    # as plain arrays, which executors read without this package
+    shared = vocabulary.sparkSession.sparkContext.broadcast([tuple(vars(o).values()) for o in base_orders(vocabulary, order)])
+    return (vocabulary.mapInArrow(_vocabulary_chunks(shared, order), PIECES)
+            .repartition("at").select("key", "n", "chunk", "postings").sortWithinPartitions(F.col("n").isNull())
+            .mapInArrow(_gram_lengths(shared, order), "chunk long, log10p double, postings binary")
+            .repartition("chunk").sortWithinPartitions("chunk")
+            .mapInArrow(_sum_vocabulary, "token binary, c long, log10p double"))
+
+
 def _runs(keys: np.ndarray):
     cuts = np.flatnonzero(np.diff(keys)) + 1
     return zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]) if len(keys) else ()
@@ -400,8 +526,7 @@ def _sum_documents(batches):
         yield close()
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
-          most_nodes: int = MOST_NODES) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     if not 1 <= order <= 5:
         raise ValueError("order must be 1 to 5: a context and its symbol share 48 bits of a key")
@@ -411,9 +536,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
                     .groupBy("token").agg(F.sum("n").alias("c")), "ppm-counts")
     totals = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
                          F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)).alias("v")).first()
-    # as plain arrays, which executors read without this package
-    shared = docs.sparkSession.sparkContext.broadcast([tuple(vars(o).values()) for o in trie(counted, order, most_nodes)])
-    vocabulary = counted.mapInArrow(_token_lengths(shared, order), "token binary, c long, log10p double")
+    vocabulary = token_lengths(counted, order)
     postings = rows.mapInArrow(_document_chunks, "chunk long, token binary, postings binary")
     summed = (postings.join(vocabulary, "token", "left").select("chunk", "c", "log10p", "postings")
               .repartition("chunk").sortWithinPartitions("chunk")

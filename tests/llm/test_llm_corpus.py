@@ -146,6 +146,21 @@ def test_score_cases(spark):
     same_scores(ppm.score(spark.createDataFrame(only, "doc_id long, text string")).collect(), brute_scores(only))
 
 
+def test_rare_contexts_of_a_large_corpus_are_kept(spark):
+    # over 2^22 training symbols; the rare words occur once each
+    train, held = ([i for i in range(100) if (zlib.crc32(str(i).encode()) % 7 == 2) == h][:2] for h in (False, True))
+    rows = [(train[0], " ".join(["x" * 3000] * 1600)), (train[1], "quartz jackdaw"), (held[0], "quartz jackdaw quarter")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    same_scores(ppm.score(table).collect(), brute_scores(rows))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_shorter_orders(spark, docs, order):
+    rows = [(r.doc_id, r.text) for r in docs.limit(200).collect()]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    same_scores(ppm.score(table, order=order).collect(), brute_scores(rows, order))
+
+
 def test_model_predicts_held_out_text(spark):
     got = [r for r in queries.op3_ppm_scores(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     nats = -sum(r.score for r in got) / sum(r.n_tokens for r in got)
