@@ -6,9 +6,11 @@ Every element gets its characters per tag, adjusted for links:
 
 with C, T, LC, LT the characters, tags, link characters and link tags below it; zero denominators
 count as one, and without any link the adjustment is 1.  An element's density sum is the sum of
-its children's densities, text between them included.  The main text is the container of largest
-density sum; inside it, containers that are mostly links are left out if their density is below
-the threshold, the least density on the path from the body to the container.
+its children's densities, text between them included.  The threshold is the least density on the
+path from the body to the container of largest density sum.  That container is rarely the whole
+article (a section or a list may have the largest sum), so the main text is what the least element
+around it and all other blocks at or above the threshold holds; inside it, containers that are mostly
+links are left out if their density is below the threshold.
 
 Elements that are never part of an article (menus, forms, scripts, elements whose class, id or
 role names an advert, a notice, a side bar or reader comments, ...) have no density and no text.
@@ -55,13 +57,15 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out", "own", "inner", "dense")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list = []                       # nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
+        self.own = self.dense = 0                      # characters outside inner blocks; dense blocks from here down
+        self.inner = False                             # has blocks below it
 
 
 def _no_article(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -149,6 +153,7 @@ def _count(nodes: list[Node]) -> None:
     for node in reversed(nodes):
         own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
         node.chars += own
+        node.own += own
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
         up = node.parent
@@ -157,6 +162,9 @@ def _count(nodes: list[Node]) -> None:
             up.tags += node.tags + 1
             up.link_chars += node.link_chars
             up.link_tags += node.link_tags + (node.tag == "a")
+            up.inner = up.inner or node.inner or node.tag in BLOCKS
+            if node.tag not in BLOCKS and not node.out:
+                up.own += node.own
 
 
 def _density(node: Node, body: Node) -> float:
@@ -186,7 +194,21 @@ def main_text(page: str | None) -> str:
     while node.parent is not None:
         node = node.parent
         threshold = min(threshold, node.density)
-    return _blocks(best, threshold)
+    return _blocks(_around(best, nodes, threshold), threshold)
+
+
+def _around(best: Node, nodes: list[Node], threshold: float) -> Node:
+    """The least element that holds ``best`` and all blocks whose own text reaches the threshold.
+    Text beside inner blocks counts by its characters, as in the density sum."""
+    for node in reversed(nodes):
+        if (not node.out and node.own and (node.tag in BLOCKS) and 2 * node.link_chars <= node.chars
+                and (node.own if node.inner else node.density) >= threshold):
+            node.dense += 1
+        if node.parent is not None:
+            node.parent.dense += node.dense
+    while best.dense < nodes[0].dense:
+        best = best.parent
+    return best
 
 
 def _blocks(top: Node, threshold: float) -> str:

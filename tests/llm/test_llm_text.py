@@ -52,6 +52,29 @@ def test_main_text_cases(page, text):
     assert density.main_text(page) == text
 
 
+def _text(n, size):
+    return (f"t{n}" + " abcd" * size)[:size].strip()
+
+
+@pytest.mark.parametrize("sections, paragraphs, size", [(2, 3, 200), (4, 5, 300)])
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_main_text_has_all_sections(sections, paragraphs, size, tag):
+    texts = [[_text(f"{i}.{j}", size) for j in range(paragraphs)] for i in range(sections)]
+    body = "".join(f"<{tag}><h2>S{i}</h2>" + "".join(f"<p>{t}</p>" for t in ts) + f"</{tag}>" for i, ts in enumerate(texts))
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>link {i}</a></li>" for i in range(20)) + "</ul>"
+    expected = "\n".join(["T", *(x for i, ts in enumerate(texts) for x in (f"S{i}", *ts))])
+    assert density.main_text(f"<body><div>{menu}</div><article><h1>T</h1>{body}</article><div>{menu}</div></body>") == expected
+    # nested: all but the last section in a block of their own
+    cut = body.rindex(f"<{tag}>")
+    assert density.main_text(f"<body><div><h1>T</h1><div>{body[:cut]}</div>{body[cut:]}</div>{menu}</body>") == expected
+
+
+def test_main_text_has_the_paragraphs_beside_a_long_list():
+    texts, items = [_text(i, 300) for i in range(3)], [_text(f"i{i}", 150) for i in range(8)]
+    page = "<article><h1>T</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "<ul>" + "".join(f"<li>{t}</li>" for t in items) + "</ul></article>"
+    assert density.main_text(f"<body><nav>menu</nav>{page}<footer>foot</footer></body>") == "\n".join(["T", *texts, *items])
+
+
 def test_main_text_survives_anything():
     for page in ("<" * 5000, "<div>" * 3000 + "x", "<a \"" * 5000 + ">", "<!--" * 100, "&" * 1000, "<p " + "a=b " * 5000 + ">x"):
         density.main_text(page)
