@@ -13,7 +13,10 @@ around it and all other blocks at or above the threshold holds; inside it, conta
 links are left out if their density is below the threshold.
 
 Elements that are never part of an article (menus, forms, scripts, elements whose class, id or
-role names an advert, a notice, a side bar or reader comments, ...) have no density and no text.
+role names an advert, a notice, a side bar or reader comments, ...) have no density and no text.  A
+class or id names such a part if it consists of the names below and of qualifiers of place and
+shape ("sidebar-left", but not "has-sidebar" or "article-header").  A named element stays if it holds
+all article and main elements of the page or, on a page without these, most characters outside links.
 
 Defined cases: a null or empty page, and a page without text, give an empty text; unclosed and
 stray tags are repaired as far as paragraphs, list items and table cells close one another;
@@ -49,6 +52,14 @@ NO_ARTICLE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertis
     sidebar side comment comments disqus respond cookie cookies consent gdpr notice notices alert nav navbar navigation menu
     breadcrumb breadcrumbs footer header masthead related recommended share sharing social subscribe newsletter signup popup
     modal overlay toolbar pagination pager search contentinfo complementary""".split())
+#: What may stand beside these names in a class or id, and what only before those of READERS.
+QUALIFIERS = frozenset("""left right top bottom upper lower middle first last primary secondary main site page global box block
+    container wrapper wrap inner outer holder list item items area region section widget widgets unit slot space zone bar links
+    link buttons button icons form panel column col row text title menu mobile desktop sticky fixed google dfp id js wp the
+    small large big wide label thread post""".split())
+BESIDE_ARTICLE = frozenset("post article entry story content".split())
+READERS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar comment comments
+    disqus respond related recommended share sharing social subscribe newsletter signup nav navigation pagination""".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]{0,4096}+"|'[^']{0,4096}+'){0,4096}+)>|<[!?/][^>]*>""", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -57,28 +68,52 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out", "own", "inner", "dense")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out", "named", "own", "inner", "dense", "articles")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False):
+        self.tag, self.parent, self.out, self.named = tag, parent, out, named
         self.children: list = []                       # nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
         self.own = self.dense = 0                      # characters outside inner blocks; dense blocks from here down
         self.inner = False                             # has blocks below it
+        self.articles = 0                              # article and main elements from here down
 
 
-def _no_article(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in NO_ARTICLE:
-        return not (tag == "header" and inside_article)
+def _no_article(tag: str, inside_article: bool) -> bool:
+    return tag in NO_ARTICLE and not (tag == "header" and inside_article)
+
+
+def _named(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role names a part outside the article."""
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
     for found in _NAMES.findall(attributes):
-        if not NO_ARTICLE_NAMES.isdisjoint(_WORD.findall("".join(found).lower())):
-            return True
+        for value in "".join(found).lower().split():
+            words = [w for w in _WORD.findall(value) if not w.replace("x", "").isdigit()]
+            names = NO_ARTICLE_NAMES.intersection(words)
+            if not names:
+                continue
+            if len(words) > 1 and words[0] in BESIDE_ARTICLE and names <= READERS:
+                words = words[1:]
+            if all(w in NO_ARTICLE_NAMES or w in QUALIFIERS for w in words):
+                return True
     return False
 
 
+def _exclude(nodes: list[Node]) -> None:
+    """Strike out the named elements, with all below them, that do not hold the article."""
+    body = nodes[0]
+    for node in reversed(nodes):
+        node.articles += node.tag in ("article", "main") and not node.out
+        if node.parent is not None:
+            node.parent.articles += node.articles
+    for node in nodes[1:]:
+        holds = (node.articles == body.articles if body.articles else
+                 2 * (node.chars - node.link_chars) > body.chars - body.link_chars)
+        node.out = node.out or node.parent.out or node.named and not holds
+
+
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The body of a page and all its elements, parents first."""
     root = Node("body", None, False)
@@ -132,7 +167,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             if node.parent is not None and tag in CLOSED_BY.get(node.tag, ()):
                 here = node.parent
         inside = here.tag == "article" or (here.parent is not None and tag == "header" and _within(here, "article"))
-        made = Node(tag, here, here.out or _no_article(tag, attributes, inside))
+        made = Node(tag, here, here.out or _no_article(tag, inside), _named(tag, attributes))
         here.children.append(made)
         nodes.append(made)
         if tag not in VOID and not attributes.endswith("/"):
@@ -151,9 +186,8 @@ def _within(node: Node | None, tag: str) -> bool:
 def _count(nodes: list[Node]) -> None:
     """Characters and tags below each element, by one pass from the leaves up."""
     for node in reversed(nodes):
-        own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
-        node.chars += own
-        node.own += own
+        node.own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+        node.chars += node.own
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
         up = node.parent
@@ -163,8 +197,6 @@ def _count(nodes: list[Node]) -> None:
             up.link_chars += node.link_chars
             up.link_tags += node.link_tags + (node.tag == "a")
             up.inner = up.inner or node.inner or node.tag in BLOCKS
-            if node.tag not in BLOCKS and not node.out:
-                up.own += node.own
 
 
 def _density(node: Node, body: Node) -> float:
@@ -181,6 +213,7 @@ def main_text(page: str | None) -> str:
         return ""
     body, nodes = parse(page)
     _count(nodes)
+    _exclude(nodes)
     for node in nodes:
         node.density = _density(node, body)
     best, most = body, -1.0
@@ -201,9 +234,11 @@ def _around(best: Node, nodes: list[Node], threshold: float) -> Node:
     """The least element that holds ``best`` and all blocks whose own text reaches the threshold.
     Text beside inner blocks counts by its characters, as in the density sum."""
     for node in reversed(nodes):
-        if (not node.out and node.own and (node.tag in BLOCKS) and 2 * node.link_chars <= node.chars
-                and (node.own if node.inner else node.density) >= threshold):
-            node.dense += 1
+        if node.tag in BLOCKS:
+            node.dense += (not node.out and node.own > 0 and 2 * node.link_chars <= node.chars
+                           and (node.own if node.inner else node.density) >= threshold)
+        elif node.parent is not None and not node.out:
+            node.parent.own += node.own
         if node.parent is not None:
             node.parent.dense += node.dense
     while best.dense < nodes[0].dense:

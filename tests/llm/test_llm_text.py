@@ -75,6 +75,28 @@ def test_main_text_has_the_paragraphs_beside_a_long_list():
     assert density.main_text(f"<body><nav>menu</nav>{page}<footer>foot</footer></body>") == "\n".join(["T", *texts, *items])
 
 
+@pytest.mark.parametrize("name", [
+    "class='content has-sidebar'", "class=no-sidebar", "class='article-header'", "class='comments-open'",
+    "class='social-share-enabled'", "id='ad-free'", "class='sidebar'", "id=banner"])
+def test_main_text_inside_wrappers(name):
+    texts = "<h1>T</h1><p>some text of the article</p><p>and some more of it</p>"
+    side = "<div class='sidebar'>side</div><div id='comments-list'><p>a reader</p></div>"
+    expected = "T\nsome text of the article\nand some more of it"
+    assert density.main_text(f"<body><div {name}><article>{texts}</article></div>{side}</body>") == expected
+    assert density.main_text(f"<body><div {name}><article>{texts}</article>{side}</div></body>") == expected
+    assert density.main_text(f"<body><div {name}>{texts}</div>{side}</body>") == expected
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-left", "left-sidebar widget", "ad", "ad-slot-2", "ad-300x250", "cookie-banner",
+                                  "nav-menu", "site-footer", "social-share", "post-comments", "related_items", "x newsletter-signup"])
+def test_named_parts_are_left_out(name):
+    page = f"<body><div><h1>T</h1><p>some text of an article</p></div><div class='{name}'><p>not of it</p></div></body>"
+    assert density.main_text(page) == "T\nsome text of an article"
+    # readers' comments may be articles themselves, and longer than the page's own
+    page = f"<body><article><p>short</p></article><div class='{name}'><article>a long remark by a reader</article></div></body>"
+    assert density.main_text(page) == "short"
+
+
 def test_main_text_survives_anything():
     for page in ("<" * 5000, "<div>" * 3000 + "x", "<a \"" * 5000 + ">", "<!--" * 100, "&" * 1000, "<p " + "a=b " * 5000 + ">x"):
         density.main_text(page)
