@@ -208,22 +208,40 @@ class Machines:
         return [self.unknown] if None in found else found
 
     def word(self, word: str) -> list[int]:
-        """Ids of a normalised word, remembered in two generations of bounded size."""
-        ids = self.memory.get(word)
+        """Ids of a normalised word: those of its parts between the places that no piece spans."""
+        ids = self.known(word)
         if ids is None:
-            ids = self.older.get(word)
-            if ids is None:
-                if self.merges and word.startswith(SPACE + SPACE):
-                    # runs of white space tie among their pieces; the merges themselves settle ties
-                    ids = [x for p in self.merged(word) for x in ((self.ids[p],) if p in self.ids else self.spell(p))]
-                elif len(word) > 2 and word[-2:] not in self.pairs:
-                    ids = self.word(word[:-1]) + self.word(word[-1])  # no piece spans the cut
-                else:
-                    ids = self.path(word)
-            if len(word) <= KEEP_CHARS:
-                if len(self.memory) >= KEEP_WORDS:
-                    self.older, self.memory = self.memory, {}
-                self.memory[word] = ids
+            pairs = self.pairs
+            cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in pairs]
+            if cuts:
+                ids = []
+                for lo, hi in zip([0, *cuts], [*cuts, len(word)]):
+                    part = word[lo:hi]
+                    found = self.known(part)
+                    ids += self.keep(part, self.uncut(part)) if found is None else found
+            else:
+                ids = self.uncut(word)
+            self.keep(word, ids)
+        return ids
+
+    def uncut(self, part: str) -> list[int]:
+        if self.merges and part.startswith(SPACE + SPACE):
+            # runs of white space tie among their pieces; the merges themselves settle ties
+            return [x for p in self.merged(part) for x in ((self.ids[p],) if p in self.ids else self.spell(p))]
+        return self.path(part)
+
+    def known(self, word: str) -> list[int] | None:
+        """Ids remembered in two generations of bounded size."""
+        ids = self.memory.get(word)
+        if ids is None and (ids := self.older.get(word)) is not None:
+            self.keep(word, ids)
+        return ids
+
+    def keep(self, word: str, ids: list[int]) -> list[int]:
+        if len(word) <= KEEP_CHARS:
+            if len(self.memory) >= KEEP_WORDS:
+                self.older, self.memory = self.memory, {}
+            self.memory[word] = ids
         return ids
 
     def encode(self, text: str | None) -> list[int]:

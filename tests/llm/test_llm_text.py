@@ -262,6 +262,14 @@ def test_pieces_fuzz(machines, library):
         assert machines.encode(text) == library.encode(text), repr(text)
 
 
+def test_pieces_of_long_runs(machines, library):
+    rng = np.random.default_rng(6)
+    for text in ("".join(map(chr, rng.integers(0x4E00, 0x9FA5, 5000))), "中文" * 2500, "".join(map(str, rng.integers(0, 10, 5000))),
+                 "1" * 5000, "กข" * 2500, "🎉" * 5000, "  " + "中" * 5000 + " a1b2" * 1000, "a中1" * 1700):
+        assert machines.encode(text) == library.encode(text), text[:20]
+        assert machines.decode(machines.encode(text)) == text
+
+
 def test_unigram_path_is_the_least():
     m = pieces.Machines(["<unk>", "a", "b", "ab", "abc", "c"], [0, 1.0, 1.0, 1.5, 5.0, 1.0], [2, 1, 1, 1, 1, 1], False, False, False)
     m.ids = {p: i for i, p in enumerate(m.pieces) if i}
