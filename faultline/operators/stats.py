@@ -360,19 +360,20 @@ def drift_ks(train: DataFrame, test: DataFrame, features: list[str], alpha: floa
 
     Both samples are reduced to (feature, value, count per side); the two empirical CDFs are
     running sums over values per feature (range-bucketed prefix sums, so a feature with many
-    distinct values is spread over many tasks); D = max |F1 - F2|."""
+    distinct values is spread over many tasks); D = max |F1 - F2|.  A feature without values in one
+    sample cannot be tested: its D, p-value and flag are NULL."""
     feats = features[:max_features]
     a = _stack(train, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(1).alias("c1"), F.lit(0).alias("c2"))
     b = _stack(test, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(0).alias("c1"), F.lit(1).alias("c2"))
     v = a.unionByName(b).groupBy("variable", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
     j = prefix_sums(v, ["value"], ["c1", "c2"], ["variable"], total_prefix="n_").withColumnsRenamed({"n_c1": "n1", "n_c2": "n2"})
     d = j.groupBy("variable", "n1", "n2").agg(
-        F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("ks_stat"))
-    ne = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
+        F.max(F.abs(F.try_divide("cum_c1", "n1") - F.try_divide("cum_c2", "n2"))).alias("ks_stat"))
+    ne = F.nullif(F.col("n1") * F.col("n2"), F.lit(0)) / (F.col("n1") + F.col("n2"))
     lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks_stat")
     series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
                          lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
-    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series))
+    p = F.when(F.col("ks_stat").isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
     return d.select(F.col("variable").alias("feature"), "ks_stat", p.alias("p_value"), "n1", "n2") \
         .select("*", (F.col("p_value") < alpha).cast("int").alias("drift"))
 

@@ -87,3 +87,56 @@ class _Cluster:
 def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(_Cluster())
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    from faultline.catalog import stats
+    from faultline.operators import labels as lb
+    table = stats._feat(spark, "/root/testdata/sf0.001")
+    split = lb.temporal_split(table, stats.FIXTURE_PURGE, stats.FIXTURE_SIZE, stats.FIXTURE_SIZE)
+    frames = [t.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in [*stats.FEATS, stats.TARGET]]).toPandas()
+              for t in (table, split.where("split = 'train'"), split.where("split = 'test'"))]
+    return stats, frames
+
+
+def registered(spark, name):
+    from faultline.registry import load_all
+    load_all()
+    import __spark_entry__ as entry_mod
+    return {r.feature: r for r in entry_mod.queries()[name](spark, "/root/testdata/sf0.001").collect()}
+
+
+def test_drift_of_every_feature(spark, features):
+    stats, (_, train, test) = features
+    got = registered(spark, "e17_drift_ks_all")
+    some = [c for c in stats.FEATS if train[c].notna().any() or test[c].notna().any()]
+    assert set(got) == set(some) and len(some) > 150
+    for c in some:
+        a, b = np.sort(train[c].dropna()), np.sort(test[c].dropna())
+        if len(a) and len(b):
+            at = np.concatenate([a, b])
+            d = np.abs(np.searchsorted(a, at, "right") / len(a) - np.searchsorted(b, at, "right") / len(b)).max()
+            assert abs(got[c].ks_stat - d) < 2e-6 and (got[c].n1, got[c].n2) == (len(a), len(b)), c
+        else:                                          # nothing to compare with
+            assert (got[c].ks_stat, got[c].p_value, got[c].drift) == (None, None, None), c
+
+
+def test_redundancy_and_information_of_every_feature(spark, features):
+    stats, (table, _, _) = features
+    got = registered(spark, "e13_feature_correlation_prune_all")
+    assert set(got) == set(stats.FEATS)
+    for c in stats.FEATS:
+        x = table[[c, stats.TARGET]].dropna()
+        if len(x) > 2 and x[c].std() > 1e-6 * max(1.0, x[c].abs().max()) and x[stats.TARGET].std() > 0:
+            assert abs(got[c].target_corr - np.corrcoef(x[c], x[stats.TARGET])[0, 1]) < 1e-5, c
+    got = registered(spark, "e16_mutual_information_all")
+    assert set(got) == {c for c in stats.FEATS if table[c].notna().any()}
+    for c in got:
+        x = table[[c, stats.TARGET]].dropna()
+        value = (x[c] * 1e9).round() / 1e9
+        bins = np.searchsorted(np.quantile(value, np.arange(1, 10) / 10), value, "right")
+        n = pd.crosstab(bins, x[stats.TARGET].to_numpy()).to_numpy().astype(float)
+        p = n / n.sum()
+        part = p * np.log(np.where(p > 0, p / (p.sum(1, keepdims=True) * p.sum(0, keepdims=True)), 1.0))
+        assert abs(got[c].mi_score - part.sum()) < 5e-3, c
