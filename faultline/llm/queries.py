@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import archive, credentials, density, hamming, mixture, pieces, ppm, quality, simhash, tokenfile
-from faultline.llm.common import shared_folder, table, tokenizer_file
+from faultline.llm import archive, codes, credentials, density, hamming, mixture, pieces, ppm, quality, simhash, tokenfile
+from faultline.llm.common import saved, shared_folder, table, tokenizer_file
 
 
 def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +75,43 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_copies").alias("copies"))
 
 
+def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = codes.compress(table(spark, sf_dir, "embeddings"))
+    found = codes.with_label_error(saved(coded, "codes"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                        F.lit(codes.codebook_digest(codebooks)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing)}
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing,
+                              op13_product_codes)}
+
+def _product_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of op13 written out: nearest entries by a join with the codebook, floored means."""
+    ctes = [f"""k as (select row_number() over (order by vec_id, embedding) as r, vec_id, label,
+                      list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+               where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+            f"""w as (select len(v) // {parts} as w from k group by len(v) order by count(*) desc, len(v) limit 1)""",
+            f"""p as (select r, p, v[p * w + 1:p * w + w] as x from k, w, range({parts}) t(p))""",
+            f"""b0 as (select p, r - 1 as j, x as c from p where r <= {entries})"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} as materialized (
+            select r, p, any_value(x) as x, (min(d * {entries} + j) // {entries})::bigint as d, (min(d * {entries} + j) % {entries})::int as j
+            from (select r, p.p as p, j, x, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint as d
+                  from p join b{t} b on p.p = b.p) group by r, p)""")
+        if t < rounds:
+            ctes.append(f"""b{t + 1} as materialized (
+            select b.p, b.j, coalesce(m.c, b.c) as c from b{t} b left join (
+                select p, j, list(m order by i) as c from (select p, j, i, floor_mean as m from (
+                    select p, j, i, (sum(x[i + 1]) - ((sum(x[i + 1]) % count(*)) + count(*)) % count(*)) // count(*) as floor_mean
+                    from a{t}, w, range(w) q(i) group by p, j, i)) group by p, j) m on b.p = m.p and b.j = m.j)""")
+    return f"""with {", ".join(ctes)},
+        e as (select r, string_agg(printf('%02x', j), '' order by p) as code, sum(d)::bigint as error from a{rounds} group by r),
+        s as (select sha256(string_agg(x::varchar, ',' order by p, j, i)) as codebooks_sha256
+              from (select p, j, i, c[i + 1] as x from b{rounds}, w, range(w) q(i)))
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+        from k join e using (r), s"""
+
 
 ORACLES: dict[str, str] = {
     "op1_multi_index_hashing": """
@@ -95,4 +130,5 @@ ORACLES: dict[str, str] = {
                case when g.latest <> p.page_id then 'revisit' else 'response' end as record_type,
                case when g.latest <> p.page_id then g.latest end as refers_to
         from p left join g on p.payload = g.payload""",
+    "op13_product_codes": _product_codes_sql(),
 }
