@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import archive, codes, credentials, density, hamming, mixture, pieces, ppm, quality, simhash, tokenfile
+from faultline.llm import archive, codes, credentials, density, hamming, mixture, periodic, pieces, ppm, quality, simhash, tokenfile
 from faultline.llm.common import saved, shared_folder, table, tokenizer_file
 
 
@@ -75,6 +75,36 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_copies").alias("copies"))
 
 
+def _planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of op11: in those whose crc32(doc_id) is divisible by ten, the words from place
+    a = g % n on repeat the first 1 + (n - a) / (3 + g % 8) of them, g the crc32 over ten."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("_h", h).withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+    n, g = F.size("_words").cast("long"), F.floor(F.col("_h") / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    place = F.sequence(F.lit(0).cast("long"), n - 1)
+    again = F.transform(place, lambda i: F.get("_words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    text = F.when((F.col("_h") % 10 == 0) & (F.size("_words") > 0), F.array_join(again, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+    def greater_exponent(x, y):
+        order = x["length"] * y["period"] - y["length"] * x["period"]
+        before = (order > 0) | ((order == 0) & ((x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["period"] < y["period"]))))
+        return F.when(before, -1).otherwise(1)
+    best = F.get(F.array_sort("runs", greater_exponent), 0)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"_best.{c}").alias(c) for c in periodic.RUN.names],
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, codebooks = codes.compress(table(spark, sf_dir, "embeddings"))
     found = codes.with_label_error(saved(coded, "codes"))
@@ -83,7 +113,7 @@ def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing,
+    f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing, op11_periodic_runs,
                               op13_product_codes)}
 
 def _product_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
