@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import archive, codes, credentials, density, hamming, mixture, periodic, pieces, ppm, quality, simhash, tokenfile
+from faultline.llm import archive, codes, credentials, density, hamming, mixture, periodic, pieces, ppm, quality, simhash, tokenfile, toxicity
 from faultline.llm.common import saved, shared_folder, table, tokenizer_file
 
 
@@ -105,6 +105,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(remainder != 0))
+    scored = toxicity.assess(docs, model)
+    return scored.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "windows")
+
+
 def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, codebooks = codes.compress(table(spark, sf_dir, "embeddings"))
     found = codes.with_label_error(saved(coded, "codes"))
@@ -114,7 +122,7 @@ def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_multi_index_hashing, op2_text_density, op3_ppm_scores, op4_simhash_components, op5_warc_zstd, op6_seekable_token_files, op7_quality_rules, op8_sentencepiece_wfst, op9_credential_linking, op10_pivotal_mixing, op11_periodic_runs,
-                              op13_product_codes)}
+                              op12_toxicity, op13_product_codes)}
 
 def _product_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """The rounds of op13 written out: nearest entries by a join with the codebook, floored means."""
