@@ -89,10 +89,17 @@ def with_metrics(cm: DataFrame, fn_cost: int = C_FN_ROW, fp_cost: int = C_FP_ROW
                      F.when(n > 0, (tp + fp) / n).alias("alert_rate"))
 
 
-def _quantile_cands(df: DataFrame, probs: list[float], p: str, g: list[str],
-                    extra: dict | None = None) -> DataFrame:
-    q = exact_quantiles(df, p, probs, g)
-    return q.select(*g, "q_idx", "q", F.col("value").alias("thr"))
+def quantile_counts(df: DataFrame, probs: list[float], y: str = "y", p: str = "p",
+                    group_cols: list[str] | None = None) -> DataFrame:
+    """``counts_at`` for thresholds that are quantiles of the scores: (group..., q_idx, q, thr, counts).
+    Quantiles and counts come from one ordered pass."""
+    g = list(group_cols or [])
+    known = F.col(y).isNotNull()
+    q = exact_quantiles(df, p, probs, g, {"tp": F.when(known & (F.col(y) == 1), 1).otherwise(0),
+                                          "fp": F.when(known & (F.col(y) != 1), 1).otherwise(0)})
+    out = _join(q.withColumnRenamed("value", "thr"), totals(df, y, g), g)
+    return with_metrics(out.select("*", (F.col("n_pos") - F.col("tp")).alias("fn"),
+                                   (F.col("n_neg") - F.col("fp")).alias("tn")).drop("n_pos", "n_neg"))
 
 
 # ------------------------------------------------------------------ I9
@@ -115,6 +122,18 @@ def ranking_metrics(df: DataFrame, y: str = "y", p: str = "p",
                     "n_pos", "n_neg")
 
 
+def _counts_from(df: DataFrame, thrs, y: str, p: str, g: list[str]) -> DataFrame:
+    """``counts_at`` for a few fixed thresholds: one aggregate, no ordering."""
+    known = df.where(F.col(y).isNotNull())
+
+    def cnt(c):
+        return F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    at = [F.struct(F.lit(float(t)).alias("thr"), cnt((F.col(p) >= t) & (F.col(y) == 1)).alias("tp"), cnt((F.col(p) >= t) & (F.col(y) != 1)).alias("fp"),
+                   cnt(~F.coalesce(F.col(p) >= t, F.lit(False)) & (F.col(y) == 1)).alias("fn"),
+                   cnt(~F.coalesce(F.col(p) >= t, F.lit(False)) & (F.col(y) != 1)).alias("tn")) for t in thrs]
+    return with_metrics(known.groupBy(*g).agg(F.array(*at).alias("__at")).select(*g, F.inline("__at")))
+
+
 # ------------------------------------------------------------------ K1-K7
 def threshold_for_rate(df: DataFrame, rate: float, y: str = "y", p: str = "p",
                        group_cols: list[str] | None = None) -> DataFrame:
@@ -130,18 +149,17 @@ def threshold_for_rate(df: DataFrame, rate: float, y: str = "y", p: str = "p",
                    F.max("p")).alias("thr"))
 
 
-def _budget_cands(df, budgets, p, g):
-    probs = [1.0 - b for b in budgets]
-    q = _quantile_cands(df, probs, p, g)
+def _budget_counts(df, budgets, y, p, g):
+    c = quantile_counts(df, [1.0 - b for b in budgets], y, p, g)
     b = F.element_at(F.array(*[F.lit(float(x)) for x in budgets]), F.col("q_idx") + 1)
-    return q.select(*g, F.col("q_idx").alias("budget_idx"), b.alias("budget"), "thr")
+    return c.withColumn("budget", b).withColumnRenamed("q_idx", "budget_idx").drop("q")
 
 
 def tune_alert_budget(df: DataFrame, budgets=(0.01, 0.02, 0.03, 0.05), y: str = "y",
                       p: str = "p", group_cols: list[str] | None = None) -> DataFrame:
     """K2: per budget b, thr = quantile(p, 1 - b); keep the lowest cost (first budget on ties)."""
     g = list(group_cols or [])
-    c = counts_at(df, _budget_cands(df, budgets, p, g), y, p, g)
+    c = _budget_counts(df, budgets, y, p, g)
     w = Window.partitionBy(*g).orderBy("cost", "budget_idx") if g else \
         Window.orderBy("cost", "budget_idx")  # one row per budget: a handful of rows
     return c.select("*", F.row_number().over(w).alias("__r")).where("__r = 1").select(
@@ -167,7 +185,7 @@ def tune_budget_min_precision(df: DataFrame, budgets=(0.001, 0.002, 0.005, 0.007
                               group_cols: list[str] | None = None) -> DataFrame:
     """K4: as K2 restricted to precision >= ``min_precision``; no row when none qualifies."""
     g = list(group_cols or [])
-    c = counts_at(df, _budget_cands(df, budgets, p, g), y, p, g).where(F.col("precision") >= min_precision)
+    c = _budget_counts(df, budgets, y, p, g).where(F.col("precision") >= min_precision)
     w = Window.partitionBy(*g).orderBy("cost", "budget_idx") if g else Window.orderBy("cost", "budget_idx")
     return c.select("*", F.row_number().over(w).alias("__r")).where("__r = 1").select(
         *g, "budget", F.col("thr").alias("threshold"), "cost", "recall", "precision",
@@ -182,12 +200,9 @@ def threshold_cost_or_budget(df: DataFrame, max_alert_rate: float = 0.05, y: str
     g = list(group_cols or [])
     probs = [float(x) for x in np.linspace(0, 1, 201)]
     fallback_idx = len(probs)
-    q = _quantile_cands(df, probs + [1.0 - max_alert_rate], p, g)
-    keys = df.select(*g).distinct() if g else df.sparkSession.range(1).select()
-    fixed = keys.select(*g, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("thr"), F.lit(False).alias("__fb"))
-    cands = q.select(*g, "thr", (F.col("q_idx") == fallback_idx).alias("__fb")).unionByName(fixed)
-    # regular candidates and the fallback threshold are counted in one ordered pass
-    c = counts_at(df, cands, y, p, g)
+    # quantiles, the fallback threshold and their counts come from one ordered pass
+    q = quantile_counts(df, probs + [1.0 - max_alert_rate], y, p, g).withColumn("__fb", F.col("q_idx") == fallback_idx)
+    c = q.drop("q_idx", "q").unionByName(_counts_from(df, (0.0, 1.0), y, p, g).withColumn("__fb", F.lit(False)))
     w = Window.partitionBy(*g).orderBy("cost", "thr") if g else Window.orderBy("cost", "thr")
     best = c.where(~F.col("__fb")).select("*", F.row_number().over(w).alias("__r")).where("__r = 1").drop("__fb")
     fb = c.where(F.col("__fb")).select(*g, F.col("thr").alias("__fbt"), F.col("alert_rate").alias("__fb_rate"))
@@ -205,10 +220,8 @@ def threshold_min_precision(df: DataFrame, min_precision: float = 0.20, y: str =
     the first (highest) with precision >= min wins; else the highest precision seen first."""
     g = list(group_cols or [])
     probs = [float(x) for x in np.linspace(0.90, 1.0, 200)]
-    q = _quantile_cands(df, probs, p, g).select(*g, "thr")
-    mx = df.groupBy(*g).agg(F.max(p).alias("thr"))
-    c = counts_at(df, q.unionByName(mx), y, p, g).select(*g, "thr", "precision", "alert_rate").distinct()
-    ok = c.where(F.col("precision") >= min_precision)
+    # the last quantile is the maximum
+    c = quantile_counts(df, probs, y, p, g).select(*g, "thr", "precision", "alert_rate").distinct()
     a = c.groupBy(*g).agg(
         F.max(F.when(F.col("precision") >= min_precision, F.col("thr"))).alias("__ok"),
         F.max_by("thr", F.struct("precision", "thr")).alias("__best"))
@@ -354,7 +367,8 @@ def budget_sweep(val: DataFrame, test: DataFrame, budgets=(0.002, 0.005, 0.01, 0
     """K9: per budget the validation quantile threshold, its test cost / precision / recall /
     alert rate, and whether it is kept (precision >= min and alert rate <= budget)."""
     g = list(group_cols or [])
-    c = _budget_cands(val, budgets, p, g)
+    b = F.element_at(F.array(*[F.lit(float(x)) for x in budgets]), F.col("q_idx") + 1)
+    c = exact_quantiles(val, p, [1.0 - x for x in budgets], g).select(*g, F.col("q_idx").alias("budget_idx"), b.alias("budget"), F.col("value").alias("thr"))
     t = counts_at(test, c, y, p, g)
     return t.select(*g, "budget", "thr", "cost", "precision", "recall", "alert_rate",
                     ((F.col("precision") >= min_precision) & (F.col("alert_rate") <= F.col("budget")))

@@ -3,17 +3,16 @@
 A running sum over a whole table (``sum(x) over (order by k)`` without PARTITION BY) makes
 Spark move every row into one task.  Instead:
 
-1. the reduced input (one row per distinct key) is written to the shared folder, so that the
-   steps below read it instead of working it out again;
-2. the range of (group, key) is cut into ``n`` buckets at the keys of a bounded sample of rows (the
-   same idea as Spark's RangePartitioner, but the bucket is a deterministic column, so retried
-   tasks see identical buckets);
-3. each (group, bucket) is totalled; running sums over these few rows give every bucket its
+1. the reduced input (one row per distinct key) is shuffled by ranges of (group, key), and the
+   partition that Spark's range partitioner chose is written with each row to the shared folder.
+   The cuts stay inside the partitioner: no plan holds them, whatever the number of partitions,
+   and a retried task reads the buckets that were written;
+2. each (group, bucket) is totalled; running sums over these few rows give every bucket its
    offset and every group its total;
-4. the offset is added to a running sum inside each (group, bucket).
+3. the offset is added to a running sum inside each (group, bucket).
 
-Rows are sampled, so a group of a third of all rows gets a third of the buckets, however its
-keys are distributed, and small groups share buckets.  Totals come with the offsets, so that
+The partitioner samples rows, so a group of a third of all rows gets a third of the buckets, however
+its keys are distributed, and small groups share buckets.  Totals come with the offsets, so that
 callers need no second pass and no join on the group alone.
 """
 
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 from faultline.session import materialize
 
-SAMPLE_PER_BUCKET = 64
 #: Rows up to which a table is broadcast; beyond, the same join is a shuffled one.
 SMALL_ROWS = 100_000
 
@@ -34,32 +32,12 @@ def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataF
     return df.join(F.broadcast(small) if small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else small, on, how)
 
 
-def _bucket_expr(key: Column, cuts: list[Column], lo: int, hi: int) -> Column:
-    """Balanced CASE tree: bucket = number of cuts <= key, in O(log n) comparisons."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < cuts[mid], _bucket_expr(key, cuts, lo, mid)) \
-        .otherwise(_bucket_expr(key, cuts, mid + 1, hi))
-
-
-def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None = None, seed: int = 17) -> Column:
-    """Deterministic range-bucket column over ``order_cols`` (non-null keys), by default as many
-    buckets as shuffle partitions.  The cuts come from the ``SAMPLE_PER_BUCKET * n`` rows with the
-    smallest hash, a TakeOrdered of a fixed number of rows: no count, no full sort."""
-    if n_buckets is None:
-        n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def range_buckets(df: DataFrame, order_cols: list[str], n_buckets: int | None = None) -> DataFrame:
+    """``df``, written and read back, with ``__bucket``: its range partition by ``order_cols``.  Without
+    ``n_buckets`` there are as many as shuffle partitions, fewer where Spark merges small ones."""
     cols = [F.col(c) for c in order_cols]
-    rows = df.select(*cols).orderBy(F.xxhash64(*cols, F.lit(seed)), *cols).limit(SAMPLE_PER_BUCKET * n_buckets).collect()
-    keys = sorted(tuple(r) for r in rows if all(v is not None for v in r))
-    step = len(keys) / n_buckets
-    cuts = sorted({keys[int(i * step)] for i in range(1, n_buckets)}) if keys else []
-    kinds = dict(df.dtypes)
-    cuts = [F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for v, c in zip(cut, order_cols)]) for cut in cuts]
-    # without a cut the column is still one of the table: a constant would turn joins on it into
-    # cross joins
-    one = F.pmod(F.hash(*cols), F.lit(1))
-    return _bucket_expr(F.struct(*cols), cuts, 0, len(cuts)) + one
+    ranged = df.repartitionByRange(n_buckets, *cols) if n_buckets else df.repartitionByRange(*cols)
+    return materialize(ranged.withColumn("__bucket", F.spark_partition_id()), "prefix")
 
 
 def _ordered(df: DataFrame, order_cols: list[str], sum_cols: list[str], parts: list[str],
@@ -67,9 +45,8 @@ def _ordered(df: DataFrame, order_cols: list[str], sum_cols: list[str], parts: l
     """``df`` with run_, off_ and tot_ of each ``sum_cols``: the running sum inside the row's
     bucket, the sum of the group's earlier buckets and of the whole group.  ``attach``: further
     columns of a bucket, worked out once per bucket from off_, tot_ and its own sum own_."""
-    df = materialize(df, "prefix")
     keys = [f"__b_{c}" for c in parts]
-    tagged = df.withColumn("__bucket", range_buckets(df, [*parts, *order_cols], n_buckets))
+    tagged = range_buckets(df, [*parts, *order_cols], n_buckets)
     totals = tagged.groupBy(*[F.col(c).alias(k) for c, k in zip(parts, keys)], F.col("__bucket").alias("__b")) \
         .agg(*[F.sum(c).alias(f"own_{c}") for c in sum_cols])
     # one row per (group, bucket)
@@ -109,17 +86,20 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                     *[F.col(f"tot_{c}").alias(f"{total_prefix}{c}") for c in sum_cols if total_prefix])
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str] | None = None,
+                    sums: dict[str, Column] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy default / DuckDB ``quantile_cont``).
 
     One ordered pass: values are reduced to (value, count); a bucket knows which of the wanted
     ranks fall into it from the totals, and its rows look among those only.  Returns
-    (group..., q_idx, q, value).
+    (group..., q_idx, q, value).  ``sums`` adds columns, by name the sum of an expression over the
+    group's rows whose value is at least the quantile: these rows start at one of the two values that
+    the quantile lies between, so the same pass knows them.
     """
     g = list(group_cols or [])
+    names = {name: f"__s{i}" for i, name in enumerate(sums or {})}
     v = df.where(F.col(value_col).isNotNull()).groupBy(*g, F.col(value_col).alias("__v")) \
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.sum(e).alias(names[k]) for k, e in (sums or {}).items()])
     wanted = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("q")) for i, p in enumerate(probs)])
     placed = F.transform(wanted, lambda x: F.struct(
         x["q_idx"].alias("q_idx"), x["q"].alias("q"), (x["q"] * (F.col("tot___n") - 1)).alias("pos"),
@@ -128,13 +108,22 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     def touches(x, first, end):
         return ((x["lo"] >= first) & (x["lo"] < end)) | ((x["hi"] >= first) & (x["hi"] < end))
     here = F.filter(placed, lambda x: touches(x, F.col("off___n"), F.col("off___n") + F.col("own___n")))
-    j = _ordered(v, ["__v"], ["__n"], g, None, attach=[here.alias("__here")])
+    j = _ordered(v, ["__v"], ["__n", *names.values()], g, None, attach=[here.alias("__here")])
     end = F.col("run___n") + F.col("off___n")
-    rows = j.select(*g, "__v", (end - F.col("__n")).alias("__first"), end.alias("__end"), "__here") \
-        .select(*g, "__v", "__first", "__end", F.explode(F.filter("__here", lambda x: touches(x, F.col("__first"), F.col("__end")))).alias("x"))
-
-    def at(bound):
-        return F.max(F.when((F.col(f"x.{bound}") >= F.col("__first")) & (F.col(f"x.{bound}") < F.col("__end")), F.col("__v")))
+    # what a row's values and all greater ones sum to, and the greater ones alone
+    left = [x for s in names.values() for x in (
+        (F.col(f"tot_{s}") - F.col(f"run_{s}") - F.col(f"off_{s}") + F.col(s)).alias(f"__from{s}"),
+        (F.col(f"tot_{s}") - F.col(f"run_{s}") - F.col(f"off_{s}")).alias(f"__above{s}"))]
+    rows = j.select(*g, "__v", (end - F.col("__n")).alias("__first"), end.alias("__end"), "__here", *left) \
+        .select("*", F.explode(F.filter("__here", lambda x: touches(x, F.col("__first"), F.col("__end")))).alias("x"))
+
+    def at(bound, col="__v"):
+        return F.max(F.when((F.col(f"x.{bound}") >= F.col("__first")) & (F.col(f"x.{bound}") < F.col("__end")), F.col(col)))
     found = rows.groupBy(*g, F.col("x.q_idx").alias("q_idx"), F.col("x.q").alias("q")).agg(
-        at("lo").alias("__lo"), at("hi").alias("__hi"), F.first(F.col("x.pos") - F.col("x.lo")).alias("__part"))
-    return found.select(*g, "q_idx", "q", (F.col("__lo") + F.col("__part") * (F.col("__hi") - F.col("__lo"))).alias("value"))
+        at("lo").alias("__lo"), at("hi").alias("__hi"), F.first(F.col("x.pos") - F.col("x.lo")).alias("__part"),
+        *[x for s in names.values() for x in (at("lo", f"__from{s}").alias(f"__lo{s}"), at("hi", f"__from{s}").alias(f"__hi{s}"),
+                                              at("hi", f"__above{s}").alias(f"__end{s}"))])
+    found = found.withColumn("value", F.col("__lo") + F.col("__part") * (F.col("__hi") - F.col("__lo")))
+    return found.select(*g, "q_idx", "q", "value", *[
+        F.when(F.col("value") <= F.col("__lo"), F.col(f"__lo{s}")).when(F.col("value") <= F.col("__hi"), F.col(f"__hi{s}"))
+        .otherwise(F.col(f"__end{s}")).alias(k) for k, s in names.items()])

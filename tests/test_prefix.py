@@ -39,8 +39,34 @@ def test_no_nested_loops_and_hot_groups_use_many_buckets(spark):
     got = {(r.g, r.q): r.value for r in q.collect()}
     assert got["hot", 0.5] == 999.5 and got["g7", 0.25] == 0.0 and len(got) == 2 * 3001
     keyed = df.distinct()
-    buckets = keyed.withColumn("b", range_buckets(keyed, ["g", "x"], 16))
-    assert buckets.where("g = 'hot'").select("b").distinct().count() >= 4
+    buckets = range_buckets(keyed, ["g", "x"], 16)
+    assert buckets.where("g = 'hot'").select("__bucket").distinct().count() >= 4
+
+
+def test_plans_do_not_grow_with_the_partitions(spark):
+    df = spark.range(3000).selectExpr("id % 7 as g", "cast(hash(id) % 1000 as double) as x")
+    sizes = []
+    for n in (4, 400):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            q = exact_quantiles(df, "x", [0.1, 0.5], ["g"])
+            sizes.append(len(q._jdf.queryExecution().optimizedPlan().toString()))
+            assert q.count() == 14
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_sums_from_quantiles_up(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 4000), "x": np.round(rng.normal(size=4000), 1), "w": rng.integers(0, 5, 4000)})
+    probs = [0.0, 0.01, 0.3, 0.5, 0.777, 0.99, 1.0]
+    got = {(r.g, r.q_idx): r for r in exact_quantiles(spark.createDataFrame(pdf), "x", probs, ["g"], {"s": F.col("w")}).collect()}
+    for g, part in pdf.groupby("g"):
+        for i, q in enumerate(probs):
+            r = got[g, i]
+            assert r.value == np.quantile(part["x"], q) or abs(r.value - np.quantile(part["x"], q)) < 1e-12
+            assert r.s == part.loc[part["x"] >= r.value, "w"].sum()
 
 
 def test_plans_without_groups_hold_no_cross_join(spark):
