@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faultline.oracle import sql_div
 from faultline.operators import features as fe, labels as lb, profiling as pr
 from faultline.registry import query
+from faultline.sources import io
 from faultline.sources.fixtures import (ATTRS, FIXTURE_HORIZON, FIXTURE_PURGE, FIXTURE_SIZE,
                                         device_readings, scored)
 
@@ -25,6 +26,34 @@ def a01(spark, sf):
     return pr.dedup_readings(_dr(spark, sf))
 
 
+def _messy_files(spark, sf):
+    """Readings written as CSV with a byte that is no UTF-8 in some names, dates that are none, labels as
+    1.0, and repeated rows of larger readings."""
+    from faultline.catalog.models import _scratch
+    d = _dr(spark, sf)
+    again = d.where(F.dayofmonth("date") % 5 == 0).withColumn("attribute1", F.col("attribute1") + 1)
+    rows = d.unionByName(again)
+    name = F.when(F.col("attribute1") % 2 == 0, F.concat(F.lit("D\u00ff"), F.substring("device", 2, 99))).otherwise(F.col("device"))
+    date = F.when(F.dayofmonth("date") == 13, F.lit("no date")).otherwise(F.col("date").cast("string"))
+    path = _scratch(spark, "readings-csv")
+    rows.select(name.alias("device"), date.alias("date"), *ATTRS, F.col("failure").cast("double").alias("failure")) \
+        .write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return path
+
+
+@query("a01_h04_messy_readings", "SELECT * FROM device_readings WHERE day(date) <> 13")
+def a01_messy(spark, sf):
+    return io.load_device_readings(spark, _messy_files(spark, sf))
+
+
+@query("a01_readings_report", """
+SELECT count(*) + sum(CASE WHEN day(date) % 5 = 0 THEN 1 ELSE 0 END) AS rows_read, 0 AS rows_corrupt, 0 AS rows_without_device,
+       sum(CASE WHEN day(date) = 13 THEN 1 ELSE 0 END) AS rows_without_date, sum(CASE WHEN day(date) % 5 = 0 THEN 1 ELSE 0 END) AS rows_repeated,
+       sum(CASE WHEN day(date) <> 13 THEN 1 ELSE 0 END) AS rows_kept FROM device_readings""")
+def a01_report(spark, sf):
+    return io.readings_report(spark, _messy_files(spark, sf))
+
+
 @query("d01_data_completeness", """
 WITH pd AS (SELECT device, count(*) AS n FROM device_readings GROUP BY 1),
 pt AS (SELECT date, count(*) AS n FROM device_readings GROUP BY 1),

@@ -66,6 +66,36 @@ def b21(spark, sf):
     return ob.log_transform(_of(spark, sf), "SOLD_AMOUNT", "log1p").select(*OFFER_KEY, "SOLD_AMOUNT_log1p")
 
 
+@query("b21_sqrt_amount", f"""
+SELECT {', '.join(OFFER_KEY)}, sqrt(SOLD_AMOUNT) AS SOLD_AMOUNT_sqrt FROM offers_f WHERE SOLD_AMOUNT >= 0""")
+def b21_sqrt(spark, sf):
+    return ob.log_transform(_of(spark, sf), "SOLD_AMOUNT", "sqrt").select(*OFFER_KEY, "SOLD_AMOUNT_sqrt")
+
+
+@query("b21_log_rate", f"""
+SELECT {', '.join(OFFER_KEY)}, ln(SALES_RATE) AS SALES_RATE_log FROM offers_f WHERE SALES_RATE > 0""")
+def b21_log(spark, sf):
+    return ob.log_transform(_of(spark, sf), "SALES_RATE", "log").select(*OFFER_KEY, "SALES_RATE_log")
+
+
+# offers that come with the inconsistent metric of the source lose it among the features
+@query("b14_drop_inconsistent_metric", f"SELECT {', '.join(OFFER_KEY)}, SALES_RATE, SELL_THROUGH FROM offers_f")
+def b14(spark, sf):
+    out = ob.offer_features(offers(spark, sf).withColumn("VALUE_CONVERSION_RATE", F.col("SOLD_AMOUNT") / 2))
+    kept = [c for c in ("VALUE_CONVERSION_RATE",) if c in out.columns]
+    return out.select(*OFFER_KEY, "SALES_RATE", "SELL_THROUGH", *kept)
+
+
+# the catalog's groups, with how many of their columns the feature table holds and how many values
+@query("b15_column_catalog", "\nUNION ALL ".join(
+    f"SELECT '{g}' AS group_name, {len(cols)} AS n_columns, {' + '.join(f'count({c})' for c in cols) or '0'} AS n_values FROM offers_f"
+    for g, cols in ob.column_catalog().items()))
+def b15(spark, sf):
+    cells = F.array(*[F.struct(F.lit(g).alias("group_name"), F.lit(len(cols)).alias("n_columns"),
+                               sum((F.count(c) for c in cols), F.lit(0).cast("long")).alias("n_values")) for g, cols in ob.column_catalog().items()])
+    return _of(spark, sf).agg(cells.alias("c")).select(F.inline("c"))
+
+
 # ------------------------------------------------------------------ D5 / D6 KPI tables
 def _kpi_sql(keys, where="", display=False):
     k = ", ".join(keys)
@@ -112,6 +142,18 @@ def d06b(spark, sf):
     return kpis.kpi_pivot(long, "VERTICAL", "DAYPART", "v", list(ob.DAYPARTS))
 
 
+# the other pivots of the report: a metric by vertical over the values of a second column
+_PIVOTS = {"gmv_daypart": ("GMV", "DAYPART", tuple(ob.DAYPARTS), 1, 2), "stockout_duration": ("stockout_rate", "DURATION_BUCKET", (ob.BUCKET_SHORT, ob.BUCKET_MEDIUM, ob.BUCKET_LONG), 100, 1),
+           "sell_through_duration": ("SELL_THROUGH", "DURATION_BUCKET", (ob.BUCKET_SHORT, ob.BUCKET_MEDIUM, ob.BUCKET_LONG), 100, 1),
+           "offers_shipping": ("n_ofertas", "SHIPPING_PAYMENT_TYPE", ("FREE", "PAID"), 1, 0), "oversell_shipping": ("pct_oversell", "SHIPPING_PAYMENT_TYPE", ("FREE", "PAID"), 100, 1)}
+for _name, (_metric, _by, _values, _times, _digits) in _PIVOTS.items():
+    def _pivot(spark, sf, m=_metric, by=_by, values=_values, times=_times, digits=_digits):
+        long = kpis.kpi_summary_2d(_of(spark, sf), "VERTICAL", by).select("VERTICAL", by, F.round(F.col(m).cast("double") * times, digits).alias("v"))
+        return kpis.kpi_pivot(long, "VERTICAL", by, "v", list(values))
+    query(f"d06_kpi_pivot_{_name}", "SELECT VERTICAL, " + ", ".join(f"""round(max(CASE WHEN {_by} = '{v}' THEN {_metric} END)::DOUBLE * {_times}, {_digits}) AS "{v}\"""" for v in _values)
+          + f" FROM ({_kpi_sql(['VERTICAL', _by])}) GROUP BY VERTICAL")(_pivot)
+
+
 # ------------------------------------------------------------------ D7-D9
 _PBV = f"""SELECT VERTICAL, {_cat_sums()}, count(*) AS Total, avg(SALES_RATE) AS mean_sales_rate
 FROM offers_f WHERE VERTICAL IS NOT NULL GROUP BY VERTICAL"""
@@ -138,6 +180,16 @@ def d08b(spark, sf):
     return kpis.top_groups(per, "VERTICAL", ob.CAT_SOLD_OUT, 5)
 
 
+_RANKINGS = [("sold_out", '"Esgotada"'), ("mean_rate", "mean_sales_rate"), ("total", '"Total"')]
+
+
+@query("d08_vertical_rankings", f"WITH v AS (SELECT *, {_cat_pcts('Total')} FROM ({_PBV}))\n" + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS ranking, row_number() OVER (ORDER BY {m} DESC, VERTICAL) AS rank, VERTICAL, CAST({m} AS DOUBLE) AS value, "
+    f"""{', '.join(f'"pct_{c}"' for c in CATS)} FROM v QUALIFY rank <= 5""" for name, m in _RANKINGS))
+def d08c(spark, sf):
+    return kpis.vertical_rankings(_of(spark, sf))
+
+
 @query("d09_drilldown_summary_sold_out", """
 SELECT sum(CASE WHEN PERFORMANCE_CATEGORY = 'Esgotada' THEN 1 ELSE 0 END) AS n,
        CAST(sum(CASE WHEN PERFORMANCE_CATEGORY = 'Esgotada' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) * 100 AS pct_of_all,
@@ -269,6 +321,15 @@ def d16b(spark, sf):
     return kpis.daily_rate(_of(spark, sf), by_vertical=True)
 
 
+@query("d16_daily_rate_grid", """
+WITH c AS (SELECT CAST(OFFER_START_DTTM AS DATE) AS day, VERTICAL, avg(SALES_RATE) AS r
+           FROM offers_f WHERE OFFER_START_DTTM IS NOT NULL AND VERTICAL IS NOT NULL GROUP BY 1, 2)
+SELECT d.day, v.VERTICAL, coalesce(c.r, 0.0) AS mean_sales_rate
+FROM (SELECT DISTINCT day FROM c) d CROSS JOIN (SELECT DISTINCT VERTICAL FROM c) v LEFT JOIN c ON c.day = d.day AND c.VERTICAL = v.VERTICAL""")
+def d16c(spark, sf):
+    return kpis.daily_rate_grid(_of(spark, sf))
+
+
 @query("d17_trend_first_last", """
 WITH d AS (SELECT CAST(OFFER_START_DTTM AS DATE) AS day, SALES_RATE, weekofyear(OFFER_START_DTTM) AS wk
            FROM offers_f WHERE OFFER_START_DTTM IS NOT NULL),
@@ -422,6 +483,20 @@ def d27a(spark, sf):
     return kpis.shipping_diff_ranking(_of(spark, sf))
 
 
+for _metric in _MS[1:]:
+    def _diffs(spark, sf, m=_metric):
+        return kpis.shipping_diff_ranking(_of(spark, sf), metric=m)
+    query(f"d27_shipping_diff_ranking_{_metric}", f"""
+WITH w AS (SELECT VERTICAL, DURATION_BUCKET,
+  {', '.join(f"max(CASE WHEN SHIPPING_PAYMENT_TYPE = '{t}' THEN {m} END) AS {m}_{t}" for m in _MS for t in ('FREE', 'PAID'))},
+  max(CASE WHEN SHIPPING_PAYMENT_TYPE = 'FREE' THEN 1 END) AS ha, max(CASE WHEN SHIPPING_PAYMENT_TYPE = 'PAID' THEN 1 END) AS hb
+  FROM ({_SHIP}) GROUP BY 1, 2)
+SELECT VERTICAL, DURATION_BUCKET, {', '.join(f"{m}_{t}" for m in _MS for t in ('FREE', 'PAID'))},
+  {', '.join(f"{m}_FREE - {m}_PAID AS diff_{m}" for m in _MS)}
+FROM w WHERE ha IS NOT NULL AND hb IS NOT NULL
+ORDER BY diff_{_metric} DESC NULLS LAST, VERTICAL, DURATION_BUCKET LIMIT 10""")(_diffs)
+
+
 @query("d27_shipping_verdict", f"""
 WITH w AS (SELECT VERTICAL, DURATION_BUCKET,
   max(CASE WHEN SHIPPING_PAYMENT_TYPE = 'FREE' THEN sell_through END) AS a,
@@ -437,7 +512,7 @@ def d27b(spark, sf):
 
 
 # each stratum's own average over its FREE offers, strata without one included
-@query("d28_stratum_score", """
+_STRATA = """
 WITH l AS (SELECT VERTICAL, DURATION_BUCKET,
                   coalesce(avg(SELL_THROUGH) FILTER (WHERE SHIPPING_PAYMENT_TYPE = 'FREE'), 0.0) AS sell_through,
                   coalesce(avg(VALUE_PER_STOCK_UNIT) FILTER (WHERE SHIPPING_PAYMENT_TYPE = 'FREE'), 0.0) AS value_per_stock
@@ -447,11 +522,23 @@ b AS (SELECT min(value_per_stock) AS lo, max(value_per_stock) AS hi FROM l)
 SELECT VERTICAL, DURATION_BUCKET, sell_through, value_per_stock,
        CASE WHEN b.hi > b.lo THEN 0.7 * sell_through + 0.3 * ((value_per_stock - b.lo) / (b.hi - b.lo))
             ELSE sell_through END AS score
-FROM l, b""")
+FROM l, b"""
+
+
+@query("d28_stratum_score", _STRATA)
 def d28(spark, sf):
     return kpis.stratum_score(_of(spark, sf))
 
 
+@query("d28_stratum_extremes", f"""
+WITH s AS (SELECT * FROM ({_STRATA}))
+SELECT 'top' AS side, row_number() OVER (ORDER BY score DESC, VERTICAL, DURATION_BUCKET) AS rank, VERTICAL, DURATION_BUCKET, score FROM s QUALIFY rank <= 5
+UNION ALL
+SELECT 'bottom', row_number() OVER (ORDER BY score, VERTICAL, DURATION_BUCKET) AS rank, VERTICAL, DURATION_BUCKET, score FROM s QUALIFY rank <= 5""")
+def d28b(spark, sf):
+    return kpis.stratum_extremes(_of(spark, sf))
+
+
 _KM = """
 WITH t AS (SELECT SHIPPING_PAYMENT_TYPE, DURATION_HOURS AS time,
                   sum(CASE WHEN STOCKOUT_FLAG = 1 THEN 1 ELSE 0 END) AS events, count(*) AS total

@@ -115,6 +115,21 @@ def k04(spark, sf):
     return sc.tune_budget_min_precision(_s(spark, sf, "val"), K4_BUDGETS, 0.2)
 
 
+# per model, at a precision that one of the two reaches
+_K4_SQL = f"""
+WITH b AS (SELECT model, unnest(range(0, {len(K4_BUDGETS)})) AS budget_idx, unnest({_lits(K4_BUDGETS)}) AS budget, unnest(q) AS thr
+           FROM (SELECT model, quantile_cont(p, {_lits([1.0 - b for b in K4_BUDGETS])}) AS q FROM scored2 WHERE split = 'val' GROUP BY model))
+SELECT model, budget, thr AS threshold, cost, recall, precision, tp + fp AS alerts FROM (
+  SELECT *, row_number() OVER (PARTITION BY model ORDER BY cost, budget_idx) AS rk FROM (
+    {_metrics_sql(_counts_sql("SELECT * FROM b", "SELECT * FROM scored2 WHERE split = 'val'", "c.model, c.budget_idx, c.budget", "c.model = r.model"))})
+  WHERE precision >= 0.1) WHERE rk = 1"""
+
+
+@query("k04_budget_per_model", _K4_SQL)
+def k04_models(spark, sf):
+    return sc.tune_budget_min_precision(_s2(spark, sf, "val"), K4_BUDGETS, 0.1, group_cols=["model"])
+
+
 _K5_PROBS = [float(x) for x in np.linspace(0, 1, 201)]
 
 
@@ -307,3 +322,10 @@ def k09(spark, sf):
 SELECT budget, thr, cost, precision, recall, alert_rate FROM ({K9_SQL}) WHERE kept = 1 ORDER BY cost, budget LIMIT 1""")
 def k09_best(spark, sf):
     return sc.best_budget(sc.budget_sweep(_s(spark, sf, "val"), _s(spark, sf, "test"), K9_BUDGETS, 0.2))
+
+
+# with a demand that two budgets meet
+@query("k09_best_budget_reached", f"""
+SELECT budget, thr, cost, precision, recall, alert_rate FROM ({K9_SQL}) WHERE precision >= 0.05 AND alert_rate <= budget ORDER BY cost, budget LIMIT 1""")
+def k09_reached(spark, sf):
+    return sc.best_budget(sc.budget_sweep(_s(spark, sf, "val"), _s(spark, sf, "test"), K9_BUDGETS, 0.05))

@@ -111,6 +111,14 @@ def e06(spark, sf):
     return st.iqr_outliers(_of(spark, sf), "SOLD_AMOUNT").select(*OFFER_KEY, "SOLD_AMOUNT")
 
 
+@query("e06_iqr_outliers_readings", """
+WITH q AS (SELECT quantile_cont(attribute4, 0.25) AS q1, quantile_cont(attribute4, 0.75) AS q3 FROM device_readings)
+SELECT device, date, attribute4 FROM device_readings, q
+WHERE attribute4 < q1 - 1.5 * (q3 - q1) OR attribute4 > q3 + 1.5 * (q3 - q1)""")
+def e06_readings(spark, sf):
+    return st.iqr_outliers(device_readings(spark, sf), "attribute4").select("device", "date", "attribute4")
+
+
 def _long_sql(cols, src, extra=""):
     return "\nUNION ALL ".join(f"SELECT {extra}'{c}' AS variable, CAST({_q(c)} AS DOUBLE) AS value FROM {src}"
                                for c in cols)
@@ -139,6 +147,19 @@ def e08(spark, sf):
     return st.histogram(_of(spark, sf), "SELL_THROUGH", 30, by="SHIPPING_PAYMENT_TYPE")
 
 
+_TRANSFORMS = {"log1p": ("ln(1 + x)", "x >= 0"), "sqrt": ("sqrt(x)", "x >= 0"), "log": ("ln(x)", "x > 0")}
+for _kind, (_fn, _ok) in _TRANSFORMS.items():
+    def _histogram(spark, sf, kind=_kind):
+        return st.transformed_histogram(_of(spark, sf), "SALES_RATE", "SHIPPING_PAYMENT_TYPE", kind, 30)
+    query(f"e08_histogram_{_kind}", f"""
+WITH d AS (SELECT {_fn} AS x, SHIPPING_PAYMENT_TYPE FROM (SELECT SALES_RATE AS x, SHIPPING_PAYMENT_TYPE FROM offers_f) WHERE {_ok}),
+l AS (SELECT min(x) AS lo, max(x) AS hi FROM d),
+b AS (SELECT CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor((x - lo) / (hi - lo) * 30) AS INTEGER), 29) END AS bin, SHIPPING_PAYMENT_TYPE, lo, hi FROM d, l),
+g AS (SELECT 'all' AS level, NULL AS SHIPPING_PAYMENT_TYPE, bin, count(*) AS n FROM b GROUP BY bin
+      UNION ALL SELECT 'group', SHIPPING_PAYMENT_TYPE, bin, count(*) FROM b GROUP BY 2, 3)
+SELECT level, SHIPPING_PAYMENT_TYPE, bin, n, lo + bin * (hi - lo) / 30.0 AS bin_start FROM g, l""")(_histogram)
+
+
 @query("e09_kde_sales_rate", """
 WITH d AS (SELECT SHIPPING_PAYMENT_TYPE AS g, SALES_RATE AS v FROM offers_f WHERE SALES_RATE IS NOT NULL AND SHIPPING_PAYMENT_TYPE IS NOT NULL),
 s AS (SELECT g, count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw FROM d GROUP BY g),
@@ -251,12 +272,13 @@ def e16_all(spark, sf):
 _KS_FEATS = FEATS[:10]
 
 
-def _ks_split(spark, sf):
-    f = lb.temporal_split(_feat(spark, sf), FIXTURE_PURGE, FIXTURE_SIZE, FIXTURE_SIZE)
-    return f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
+def _ks_sides(spark, sf):
+    """Training and test rows in one table; windows of features that are not asked for are pruned."""
+    f = lb.temporal_split(_feat(spark, sf, saved=False), FIXTURE_PURGE, FIXTURE_SIZE, FIXTURE_SIZE)
+    return f.where(F.col("split").isin("train", "test")).withColumn("side", F.when(F.col("split") == "train", 1).otherwise(2))
 
 
-@query("e17_drift_ks", f"""
+_KS_SQL = f"""
 WITH f AS (SELECT * FROM {FEAT_SQL}),
 b AS (SELECT max(date) AS hi, date_diff('day', min(date), max(date)) AS span FROM f),
 s AS (SELECT f.*, CASE WHEN date <= CAST(b.hi - to_days(2 * CAST(floor(b.span * 0.3::DOUBLE) AS INTEGER)) AS DATE) - INTERVAL 1 DAY THEN 1
@@ -273,13 +295,44 @@ lam AS (SELECT *, (sqrt(CAST(n1 * n2 AS DOUBLE) / (n1 + n2)) + 0.12 + 0.11 / sqr
 p AS (SELECT variable, least(1.0, greatest(0.0, 2 * sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * l * l)))) AS p_value
       FROM lam, range(1, 101) t(k) GROUP BY variable)
 SELECT lam.variable AS feature, ks_stat, p_value, n1, n2, CAST(p_value < 0.05 AS INTEGER) AS drift
-FROM lam JOIN p ON lam.variable = p.variable""")
+FROM lam JOIN p ON lam.variable = p.variable"""
+
+
+@query("e17_drift_ks", _KS_SQL)
 def e17(spark, sf):
-    tr, te = _ks_split(spark, sf)
-    return st.drift_ks(tr, te, _KS_FEATS)
+    return st.drift_between(_ks_sides(spark, sf), "side", _KS_FEATS)
 
 
 @query("e17_drift_ks_all")
 def e17_all(spark, sf):
-    tr, te = _ks_split(spark, sf)
-    return st.drift_ks(tr, te, FEATS)
+    return st.drift_between(_ks_sides(spark, sf), "side", FEATS)
+
+
+# the columns tested for drift that stay, with the values each has left
+@query("b25_remove_drift_features", f"""
+WITH report AS ({_KS_SQL}), n AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, count({_q(c)}) AS n_values FROM {FEAT_SQL}" for c in _KS_FEATS)})
+SELECT n.feature, n_values FROM n JOIN report ON n.feature = report.feature
+WHERE NOT (coalesce(drift, 0) = 1 AND starts_with(n.feature, 'attribute') AND NOT suffix(n.feature, '_normalized'))""")
+def b25(spark, sf):
+    report = st.drift_between(_ks_sides(spark, sf), "side", _KS_FEATS)
+    drifted = [r["feature"] for r in report.where("drift = 1").select("feature").collect()]        # names of columns
+    left = st.remove_drift_features(_feat(spark, sf, saved=False).select(*_KS_FEATS), drifted)
+    return left.agg(F.array(*[F.struct(F.lit(c).alias("feature"), F.count(F.col(f"`{c}`")).alias("n_values")) for c in left.columns]).alias("c")).select(F.inline("c"))
+
+
+# every feature with its family, and the values it has
+_FAMILY_SQL = ("CASE WHEN contains(f, '_lag_') THEN 'Temporal (Lag)' WHEN contains(f, '_ma_') THEN 'Temporal (Média Móvel)' "
+               "WHEN contains(f, '_std_') THEN 'Temporal (Desvio Padrão)' WHEN contains(f, '_diff') THEN 'Temporal (Diferença)' "
+               "WHEN contains(f, '_slope_') THEN 'Temporal (Tendência)' WHEN contains(f, 'device') THEN 'Dispositivo' "
+               "WHEN f IN ('year', 'month', 'day', 'dayofweek', 'dayofyear', 'weekofyear', 'quarter') THEN 'Temporal (Data)' "
+               "WHEN starts_with(f, 'is_') THEN 'Sazonalidade' WHEN contains(f, '_sum') OR contains(f, '_ratio') THEN 'Interação' ELSE 'Original' END")
+
+
+@query("b27_feature_families", f"""
+WITH c AS (SELECT unnest({FEATS}) AS f, unnest([{", ".join(f"count({_q(c)})" for c in FEATS)}]) AS n_values FROM {FEAT_SQL})
+SELECT f AS feature, {_FAMILY_SQL} AS family, n_values FROM c""")
+def b27_families(spark, sf):
+    from faultline.operators.ml import feature_family
+    f = _feat(spark, sf, saved=False)
+    cells = f.agg(F.array(*[F.struct(F.lit(c).alias("feature"), F.count(F.col(f"`{c}`")).alias("n_values")) for c in FEATS]).alias("c")).select(F.inline("c"))
+    return cells.select("feature", feature_family("feature").alias("family"), "n_values")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.operators.scoring import business_metrics
+from faultline.operators.scoring import business_metrics, confusion, ranking_metrics, with_metrics
 
 from faultline.operators.scoring import C_FN, C_FP
 
@@ -140,6 +140,25 @@ def select_best_model(metrics: DataFrame, use_holdout: bool = True) -> DataFrame
     return compare_models(metrics, use_holdout).limit(1)
 
 
+def holdout_comparison(pred: DataFrame) -> DataFrame:
+    """J9/J10 figures of each model (model, y, p, pred, split): AUC on test; cost, precision, recall and F1 on
+    the hold-out, or on test where the model has no hold-out rows; ``metrics_source`` says which."""
+    cm = with_metrics(confusion(pred.where(F.col("split").isin("hold", "test")), group_cols=["model", "split"]))
+    p, r = F.col("precision"), F.col("recall")
+    cm = cm.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0)))
+    first = F.struct((F.col("split") != "hold").alias("test"), *[F.col(c) for c in ("cost", "precision", "recall", "f1", "split")])
+    own = cm.groupBy("model").agg(F.min(first).alias("m")).select(
+        "model", "m.cost", "m.precision", "m.recall", "m.f1",
+        F.when(F.col("m.split") == "hold", "holdout").otherwise("test_fallback").alias("metrics_source"))
+    auc = ranking_metrics(pred.where("split = 'test'"), group_cols=["model"]).select("model", "auc", "ap")
+    return own.join(auc, "model", "left").select("model", "auc", "ap", "cost", "precision", "recall", "f1", "metrics_source")
+
+
+def best_on_holdout(pred: DataFrame) -> DataFrame:
+    """The model of least cost (names break ties), with its figures: one row."""
+    return holdout_comparison(pred).orderBy("cost", "model").limit(1)
+
+
 def event_columns(matched: DataFrame, group_cols: list[str]) -> DataFrame:
     """The event metrics that reports carry per model: J2's ROI, precision and recall."""
     return event_roi(matched, group_cols=group_cols).select(

@@ -104,6 +104,22 @@ def performance_drilldown_counts(df: DataFrame, category: str, by: str) -> DataF
             .groupBy(by).agg(F.count(F.lit(1)).alias("n")))
 
 
+def vertical_rankings(df: DataFrame, k: int = 5, group_col: str = "VERTICAL") -> DataFrame:
+    """The ``k`` groups with most sold-out offers, with the highest mean rate and with most offers, in
+    one table (ranking, rank, group, value), with the shares of the performance categories of each.  Each
+    list is a TakeOrdered over the per-group table; ties go to the smaller key."""
+    per = performance_by_vertical(df, group_col)
+    lists = [("sold_out", CAT_SOLD_OUT), ("mean_rate", "mean_sales_rate"), ("total", "Total")]
+    out = None
+    for name, metric in lists:
+        top = top_groups(per, group_col, metric, k)
+        order = Window.orderBy(F.col(metric).desc(), F.col(group_col))            # k rows
+        top = top.select(F.lit(name).alias("ranking"), F.row_number().over(order).alias("rank"), group_col,
+                         F.col(metric).cast("double").alias("value"), *[f"pct_{c}" for c in PERFORMANCE_CATEGORIES])
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
 def performance_drilldown_summary(df: DataFrame, category: str) -> DataFrame:
     """D9 header: count, % of all offers, mean sales rate, share with rate > 1 (one row)."""
     cat = F.col("PERFORMANCE_CATEGORY") == category
@@ -199,6 +215,15 @@ def daily_rate(df: DataFrame, by_vertical: bool = False) -> DataFrame:
     return d.groupBy(*keys).agg(F.avg("SALES_RATE").alias("mean_sales_rate"))
 
 
+def daily_rate_grid(df: DataFrame) -> DataFrame:
+    """D16, the chart by vertical: every day with every vertical, 0 where a vertical had no offer that
+    day (or no rate).  The spine is the table's days, each exploded over the one array of verticals."""
+    cells = daily_rate(df, by_vertical=True)
+    verticals = cells.select(F.array_sort(F.collect_set("VERTICAL"))).scalar()    # one name a vertical
+    grid = cells.select("day").distinct().select("day", F.explode(verticals).alias("VERTICAL"))
+    return grid.join(cells, ["day", "VERTICAL"], "left").select("day", "VERTICAL", F.coalesce("mean_sales_rate", F.lit(0.0)).alias("mean_sales_rate"))
+
+
 def trend_first_last(df: DataFrame) -> DataFrame:
     """Mean rate on the first vs last day, verdict, number of days / ISO weeks, period."""
     day = F.col("OFFER_START_DTTM").cast("date")
@@ -412,6 +437,18 @@ def stratum_score(df: DataFrame, ship_type: str = "FREE",
                        v.alias("value_per_stock"), score.alias("score"))
 
 
+def stratum_extremes(df: DataFrame, k: int = 5, ship_type: str = "FREE",
+                     ship_col: str = "SHIPPING_PAYMENT_TYPE") -> DataFrame:
+    """The ``k`` strata of highest and of lowest score (side, rank, stratum, score)."""
+    scores = stratum_score(df, ship_type, ship_col)
+    keys, out = ["VERTICAL", "DURATION_BUCKET"], None
+    for side, first in (("top", F.col("score").desc()), ("bottom", F.col("score").asc())):
+        some = scores.orderBy(first, *keys).limit(k)
+        some = some.select(F.lit(side).alias("side"), F.row_number().over(Window.orderBy(first, *keys)).alias("rank"), *keys, "score")  # k rows
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
 def kaplan_meier(df: DataFrame, time_col: str = "DURATION_HOURS", event_col: str = "STOCKOUT_FLAG",
                  group_col: str = "SHIPPING_PAYMENT_TYPE") -> DataFrame:
     """Kaplan-Meier S(t) = prod_{t_i <= t} (1 - d_i / n_i) per group at distinct times.

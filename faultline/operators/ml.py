@@ -8,16 +8,20 @@ operators consume.  Scores are not expected to equal the source's numerically.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators import labels as lb
 from faultline.operators import scoring as sc
+from faultline.operators.isotonic import isotonic_apply, isotonic_blocks
+from faultline.plans.prefix import prefix_sums
+from faultline.session import materialize
 
 KEYS = ["device", "date"]
 
@@ -92,12 +96,13 @@ def select_top_features(train: DataFrame, feats: list[str], target: str, k: int
 
 def prepare_dataset(features: DataFrame, target: str, purge_days: int = 7, val_size: float = 0.2,
                     test_size: float = 0.2, k: int = 80, holdout_frac: float = 0.2, seed: int = 42,
-                    num_trees: int = 50):
+                    num_trees: int = 50, impute: bool = False):
     """Purged temporal split (G2), feature columns, top-k selection fitted on train only
     (I2), and the positional model/hold-out split of validation (G4).
 
     Returns (table, selected) where ``table`` = keys + target + split (train / val_model /
-    val_hold / test) + selected features."""
+    val_hold / test) + selected features; with ``impute`` their missing values are the exact training
+    medians (G7), as the source hands them on (models here fit their own medians otherwise)."""
     sp = lb.temporal_split(features, purge_days, val_size, test_size).where(F.col("split").isNotNull())
     feats = feature_columns(features, target)
     train = sp.where(F.col("split") == "train")
@@ -109,19 +114,24 @@ def prepare_dataset(features: DataFrame, target: str, purge_days: int = 7, val_s
     rest = sp.where(F.col("split") != "val")
     cols = [*KEYS, target, "split", *selected]
     table = rest.select(*[F.col(f"`{c}`") for c in cols]).unionByName(val.select(*[F.col(f"`{c}`") for c in cols]))
+    if impute:
+        table = lb.median_impute(train, table, selected)
     return table, selected
 
 
-def _fit_pipeline(train: DataFrame, feats: list[str], target: str, clf, weight_col: str | None = None):
-    feats = usable_features(train, feats)
-    safe = [_safe(c) for c in feats]
-    t = _double_features(train, feats)
-    t = t.select("*", *[F.col(f"`{c}`").alias(s) for c, s in zip(feats, safe) if c != s],
-                 F.col(target).cast("double").alias("label"))
+def _prepared_columns(df: DataFrame, feats: list[str], target: str) -> DataFrame:
+    """Feature columns as doubles under names that Spark ML accepts, and the label."""
+    t = _double_features(df, feats)
+    return t.select("*", *[F.col(f"`{c}`").alias(_safe(c)) for c in feats if c != _safe(c)],
+                    F.col(target).cast("double").alias("label"))
+
+
+def _median_vector(train: DataFrame, feats: list[str], target: str) -> PipelineModel:
+    """Medians of the training rows' features, and the vector of the filled features."""
+    safe = [_safe(c) for c in usable_features(train, feats)]
     stages = [Imputer(inputCols=safe, outputCols=[f"{s}__i" for s in safe], strategy="median"),
-              VectorAssembler(inputCols=[f"{s}__i" for s in safe], outputCol="features",
-                              handleInvalid="keep"), clf]
-    return Pipeline(stages=stages).fit(t)
+              VectorAssembler(inputCols=[f"{s}__i" for s in safe], outputCol="features", handleInvalid="keep")]
+    return Pipeline(stages=stages).fit(_prepared_columns(train, feats, target))
 
 
 def score(model: PipelineModel, df: DataFrame, feats: list[str], target: str, name: str) -> DataFrame:
@@ -142,48 +152,91 @@ def class_weight_col(train: DataFrame, target: str, out: str = "w") -> DataFrame
     return train.select("*", w.cast("double").alias(out))
 
 
-def train_boosted(train: DataFrame, feats: list[str], target: str, variant: str = "A",
-                  max_iter: int = 50, weighted: bool = True, seed: int = 42,
-                  validation: DataFrame | None = None) -> PipelineModel:
-    """Boosted trees.  Variant A: depth 6, step 0.1, row/feature subsampling 0.8;
-    variant B: step 0.03, min 200 rows per leaf (Spark GBT has no leaf count or L1/L2 terms).
-    ``validation`` rows enable early stopping through ``validationIndicatorCol``."""
-    d = class_weight_col(train, target) if weighted else train.withColumn("w", F.lit(1.0))
-    vcol = None
-    if validation is not None:
-        v = class_weight_col(validation, target) if weighted else validation.withColumn("w", F.lit(1.0))
-        d = d.withColumn("__val", F.lit(False)).unionByName(v.withColumn("__val", F.lit(True)),
-                                                            allowMissingColumns=True)
-        vcol = "__val"
-    params = dict(labelCol="label", featuresCol="features", weightCol="w", maxIter=max_iter,
+#: Rounds of the source's models: A and B stop early, the one of the cross-validation (CV) does not.
+ROUNDS = {"A": 1000, "B": 1500, "CV": 800}
+PATIENCE = 10
+#: Rounds fitted before the losses are first looked at; then twice as many each time.
+FIRST_ROUNDS = 16
+
+
+def best_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(rounds to keep, whether training has stopped): the first round without a better one among the next
+    ``patience``, as early stopping sees the losses one after the other."""
+    best, at = float("inf"), -1
+    for i, x in enumerate(losses):
+        if x < best:
+            best, at = x, i
+        elif i - at >= patience:
+            return at + 1, True
+    return at + 1, False
+
+
+def _classifier(variant: str, rounds: int, seed: int) -> GBTClassifier:
+    params = dict(labelCol="label", featuresCol="features", weightCol="w", maxIter=rounds,
                   maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    if variant == "A":
-        params.update(stepSize=0.1)
-    else:
+    if variant == "B":
         params.update(stepSize=0.03, minInstancesPerNode=200)
-    if vcol:
-        params.update(validationIndicatorCol=vcol)
-    return _fit_pipeline(d, feats, target, GBTClassifier(**params))
+    else:
+        params.update(stepSize=0.05 if variant == "CV" else 0.1)
+    return GBTClassifier(**params)
 
 
-def calibrate(cal_scores: DataFrame, scores: DataFrame, method: str = "isotonic") -> DataFrame:
-    """I4: map raw scores to calibrated probabilities fitted on ``cal_scores`` (y, p).
-    Isotonic (ties averaged, clipped outside the fitted range) or a 1-D logistic map."""
-    train = cal_scores.select(F.col("p").alias("raw"), F.col("y").cast("double").alias("label"))
-    if method == "isotonic":
-        vec = VectorAssembler(inputCols=["raw"], outputCol="f")
-        m = IsotonicRegression(featuresCol="f", labelCol="label", predictionCol="cal").fit(vec.transform(train))
-        out = m.transform(vec.transform(scores.withColumnRenamed("p", "raw")))
-        return out.drop("f").withColumnRenamed("cal", "p").drop("raw")
+def train_boosted(train: DataFrame, feats: list[str], target: str, variant: str = "A",
+                  max_iter: int | None = None, weighted: bool = True, seed: int = 42,
+                  validation: DataFrame | None = None, patience: int = PATIENCE) -> PipelineModel:
+    """Boosted trees.  Variant A: depth 6, step 0.1, row/feature subsampling 0.8, up to 1000 rounds;
+    variant B: step 0.03, min 200 rows per leaf, up to 1500 (Spark GBT has no leaf count or L1/L2
+    terms); CV: step 0.05, 800 rounds.
+
+    ``validation`` rows stop the training: the model keeps the rounds up to the lowest loss that
+    ``patience`` further rounds did not lower.  Spark fits a given number of rounds, and the trees of a
+    seed do not depend on it; so FIRST_ROUNDS are fitted, then twice as many until the losses show the
+    stop, and the model is fitted once more with the rounds to keep: at most four times the rounds that a
+    training in one go would take, and no round beyond the best is kept.  Medians and usable features come
+    from the training rows alone."""
+    most = max_iter or ROUNDS[variant]
+    d = class_weight_col(train, target) if weighted else train.withColumn("w", F.lit(1.0))
+    head = _median_vector(d, feats, target)
+    wanted = ["features", "label", "w"]
+    rows = materialize(head.transform(_prepared_columns(d, feats, target)).select(*wanted), "boosted")
+    if validation is None:
+        return PipelineModel([*head.stages, _classifier(variant, most, seed).fit(rows)])
+    v = validation.withColumn("w", F.lit(1.0))
+    held = materialize(head.transform(_prepared_columns(v, feats, target)).select(*wanted), "boosted-check")
+    rounds = min(FIRST_ROUNDS, most)
+    while True:
+        model = _classifier(variant, rounds, seed).fit(rows)
+        keep, stopped = best_round(model.evaluateEachIteration(held), patience)
+        if stopped or rounds >= most:
+            break
+        rounds = min(2 * rounds, most)
+    if keep < rounds:
+        model = _classifier(variant, max(keep, 1), seed).fit(rows)
+    return PipelineModel([*head.stages, model])
+
+
+def _logistic(train: DataFrame, scores: DataFrame) -> DataFrame:
     vec = VectorAssembler(inputCols=["raw"], outputCol="f")
+    rows = train.groupBy("raw", "label").agg(F.count(F.lit(1)).cast("double").alias("w"))    # a weighted row per score
     n = train.count()
-    lr = LogisticRegression(featuresCol="f", labelCol="label", regParam=1.0 / max(n, 1),
+    lr = LogisticRegression(featuresCol="f", labelCol="label", weightCol="w", regParam=1.0 / max(n, 1),
                             standardization=False, maxIter=200)
-    m = lr.fit(vec.transform(train))
+    m = lr.fit(vec.transform(rows))
     out = m.transform(vec.transform(scores.withColumnRenamed("p", "raw")))
     return out.select(*[c for c in scores.columns if c != "p"], vector_to_array("probability")[1].alias("p"))
 
 
+def calibrate(cal_scores: DataFrame, scores: DataFrame, method: str = "isotonic") -> DataFrame:
+    """I4: map raw scores to calibrated probabilities fitted on ``cal_scores`` (y, p).
+    Isotonic (ties averaged, linear between blocks, clipped outside the fitted range; pooled range by
+    range, see ``operators.isotonic``) or a 1-D logistic map.  Columns keep their order only for
+    isotonic maps; the logistic one puts ``p`` last."""
+    if method == "isotonic":
+        return isotonic_apply(isotonic_blocks(cal_scores), scores)
+    train = cal_scores.where(F.col("p").isNotNull() & F.col("y").isNotNull()).select(F.col("p").alias("raw"), F.col("y").cast("double").alias("label"))
+    return _logistic(train, scores)
+
+
 def contiguous_fold(position, n, k: int):
     """The fold of a 0-based position among n rows: k runs, the first n mod k one row longer."""
     size, longer = F.floor(n / F.lit(k)), n % F.lit(k)
@@ -192,31 +245,56 @@ def contiguous_fold(position, n, k: int):
         longer + F.floor((position - edge) / F.greatest(size, F.lit(1)))).cast("int")
 
 
-def timeaware_calibration(val_scores: DataFrame, test_scores: DataFrame, k: int = 5,
-                          method: str = "isotonic") -> tuple[DataFrame, DataFrame]:
-    """K contiguous folds of the validation rows in (device, date) order, the first n mod k
-    folds one row longer (as the source);
-    each fold is calibrated by a map fitted on the other folds (out-of-fold scores), and test
-    scores are the mean of the k calibrated versions."""
+def fold_rows(val_scores: DataFrame, k: int) -> DataFrame:
+    """``val_scores`` with ``fold``: k contiguous runs of the rows in (device, date) order."""
     n = val_scores.select(F.count(F.lit(1))).scalar()
     counts = val_scores.groupBy("device").agg(F.count(F.lit(1)).alias("__n"))
-    from faultline.plans.prefix import prefix_sums
     offs = prefix_sums(counts, ["device"], ["__n"]).select("device", (F.col("cum___n") - F.col("__n")).alias("__off"))
     w = Window.partitionBy("device").orderBy("date")
     pos = val_scores.join(offs, on="device").select(*val_scores.columns,
                                                       (F.col("__off") + F.row_number().over(w) - 1).alias("__pos"))
-    folded = pos.select("*", contiguous_fold(F.col("__pos"), n, k).alias("fold")).drop("__pos")
+    return pos.select("*", contiguous_fold(F.col("__pos"), n, k).alias("fold")).drop("__pos")
+
+
+def calibration_curves(folded: DataFrame, k: int) -> DataFrame:
+    """The isotonic blocks of the k maps, each fitted on the rows of the other folds, in one job: a row
+    counts in k - 1 maps, after rows of equal score and label are counted."""
+    cells = folded.where(F.col("p").isNotNull() & F.col("y").isNotNull()).groupBy("fold", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("s"))
+    maps = F.filter(F.array(*[F.lit(i) for i in range(k)]), lambda f: f != F.col("fold"))
+    return isotonic_blocks(cells.select(F.explode(maps).alias("fold"), "p", "n", "s"), ["fold"], counted=("n", "s"))
+
+
+def mean_of_curves(curves: DataFrame, scores: DataFrame, k: int) -> DataFrame:
+    """``scores`` with ``p`` replaced by the mean of the k calibrated versions; only distinct scores are
+    multiplied by k."""
+    asked = scores.where(F.col("p").isNotNull()).select("p").distinct().select(
+        F.col("p").alias("__raw"), "p", F.explode(F.array(*[F.lit(i) for i in range(k)])).alias("fold"))
+    mean = isotonic_apply(curves, asked, ["fold"]).groupBy("__raw").agg(F.avg("p").alias("__cal"))
+    out = scores.join(mean, scores.p == F.col("__raw"), "left")
+    return out.select(*[F.col("__cal").alias("p") if c == "p" else F.col(f"`{c}`") for c in scores.columns])
+
+
+def timeaware_calibration(val_scores: DataFrame, test_scores: DataFrame, k: int = 5,
+                          method: str = "isotonic") -> tuple[DataFrame, DataFrame]:
+    """K contiguous folds of the validation rows in (device, date) order, the first n mod k
+    folds one row longer (as the source);
+    each fold is calibrated by a map fitted on the other folds (out-of-fold scores), and test
+    scores are the mean of the k calibrated versions."""
+    folded = fold_rows(val_scores, k)
+    if method == "isotonic":
+        folded = materialize(folded, "folded")
+        curves = calibration_curves(folded, k)
+        return isotonic_apply(curves, folded, ["fold"]), mean_of_curves(curves, test_scores, k)
     oof, tests = [], []
     for f in range(k):
         fit_on = folded.where(F.col("fold") != f)
         oof.append(calibrate(fit_on, folded.where(F.col("fold") == f), method))
         tests.append(calibrate(fit_on, test_scores, method).withColumn("fold", F.lit(f)))
-    from functools import reduce
     val_cal = reduce(lambda a, b: a.unionByName(b), oof)
     test_all = reduce(lambda a, b: a.unionByName(b), tests)
     keys = [c for c in test_scores.columns if c != "p"]
-    test_cal = test_all.groupBy(*keys).agg(F.avg("p").alias("p"))
-    return val_cal, test_cal
+    return val_cal, test_all.groupBy(*keys).agg(F.avg("p").alias("p"))
 
 
 def ensemble_by_ap(val_scores: DataFrame, test_scores: DataFrame, name: str = "EnsembleAvg") -> DataFrame:
@@ -230,57 +308,64 @@ def ensemble_by_ap(val_scores: DataFrame, test_scores: DataFrame, name: str = "E
         .select(*KEYS, "y", "p", F.lit(name).alias("model"))
 
 
+def fold_summary(scores: DataFrame, alert_quantile: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """I7 reports of a score table (fold, y, p): per fold the cost, AP and recall at the fold's
+    ``alert_quantile`` of its scores; and means, sample deviations and the fold of least cost."""
+    at = sc.quantile_counts(scores, [alert_quantile], group_cols=["fold"]).select("fold", "cost", "recall")
+    ap = sc.ranking_metrics(scores, group_cols=["fold"]).select("fold", F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    cv = at.join(ap, "fold").select("fold", "cost", "ap", "recall")
+    summary = cv.agg(F.avg("cost").alias("mean_cost"), F.avg("ap").alias("mean_ap"),
+                     F.avg("recall").alias("mean_recall"), F.stddev_samp("cost").alias("std_cost"),
+                     F.stddev_samp("ap").alias("std_ap"), F.stddev_samp("recall").alias("std_recall"),
+                     F.min_by("fold", F.struct("cost", "fold")).alias("best_fold"), F.min("cost").alias("best_cost"))
+    return cv, summary
+
+
 def rolling_origin_cv(features: DataFrame, target: str, n_splits: int = 3, purge_days: int = 7,
-                      alert_quantile: float = 0.95, max_iter: int = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Per rolling-origin fold (G3) fit a boosted model on train, threshold the validation
-    scores at their ``alert_quantile`` quantile, report cost / AP / recall; summary =
-    mean, sample std and the best (lowest-cost) fold."""
+                      alert_quantile: float = 0.95, max_iter: int | None = None, seed: int = 42, k: int = 80,
+                      num_trees: int = 50, chosen: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per rolling-origin fold (G3) the medians, the ``k`` features (I2) and a boosted model are
+    fitted on the fold's training rows alone; all folds' validation scores are written once and reported
+    by ``fold_summary``.  ``chosen`` gets each fold's features."""
     folds = lb.rolling_origin_folds(features, n_splits, purge_days)
     feats = feature_columns(features, target)
-    rows = []
-    from functools import reduce
+    scored = []
     for f in range(1, n_splits + 1):
         tr = folds.where((F.col("fold") == f) & (F.col("split") == "train")).drop("fold", "split")
         va = folds.where((F.col("fold") == f) & (F.col("split") == "val")).drop("fold", "split")
-        m = train_boosted(tr, feats, target, "A", max_iter=max_iter, weighted=False, seed=seed)
-        s = score(m, va, feats, target, f"fold{f}")
-        thr = sc.exact_quantiles(s, "p", [alert_quantile]).select("value").scalar()
-        pred = s.select("*", F.coalesce(F.col("p") >= thr, F.lit(False)).cast("int").alias("pred"))
-        cm = sc.confusion(pred, with_cost=True)
-        ap = sc.ranking_metrics(s).select(F.coalesce("ap", F.lit(0.0)).alias("ap")).scalar()
-        rows.append(cm.select(F.lit(f).alias("fold"), "cost", ap.alias("ap"),
-                                            F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn")))
-                                            .otherwise(F.lit(0.0)).alias("recall")))
-    cv = reduce(lambda a, b: a.unionByName(b), rows)
-    summary = cv.agg(F.avg("cost").alias("mean_cost"), F.avg("ap").alias("mean_ap"),
-                     F.avg("recall").alias("mean_recall"), F.stddev_samp("cost").alias("std_cost"),
-                     F.stddev_samp("ap").alias("std_ap"), F.stddev_samp("recall").alias("std_recall"),
-                     F.min_by("fold", F.struct("cost", "fold")).alias("best_fold"), F.min("cost").alias("best_cost"))
-    return cv, summary
+        top = [r["feature"] for r in select_top_features(tr, feats, target, k, num_trees, seed).orderBy("rank").collect()]  # k names
+        if chosen is not None:
+            chosen[f] = top
+        m = train_boosted(tr, top, target, "CV", max_iter=max_iter, weighted=False, seed=seed)
+        scored.append(score(m, va, top, target, "cv").select(F.lit(f).alias("fold"), *KEYS, "y", "p"))
+    return fold_summary(materialize(reduce(lambda a, b: a.unionByName(b), scored), "cv"), alert_quantile)
 
 
 def tune_neg_per_pos(train: DataFrame, val: DataFrame, target: str, ratios=(6, 8, 10, 12, 15, 20),
-                     min_precision: float = 0.0, max_iter: int = 20, seed: int = 42) -> DataFrame:
+                     min_precision: float = 0.0, max_iter: int | None = None, seed: int = 42) -> DataFrame:
     """I8: per negatives-per-positive ratio: undersample train (G5), fit a quick model, pick the
     validation threshold with K5, cost there (infinite when precision < ``min_precision``).
     Returns one row per ratio and ``best`` = 1 on the first lowest finite cost (none when all
-    are infinite)."""
+    are infinite).  All ratios' scores are written once; thresholds and costs are worked out together."""
     feats = feature_columns(train, target)
-    rows = []
-    from functools import reduce
-    for r in ratios:
+    scored = []
+    for i, r in enumerate(ratios):
         bal = lb.undersample(train, target, neg_per_pos=r, seed=seed)
-        m = train_boosted(bal, feats, target, "A", max_iter=max_iter, weighted=False, seed=seed)
-        s = score(m, val, feats, target, f"r{r}")
-        t = sc.threshold_cost_or_budget(s).select("thr")
-        thr = t.select("thr").scalar()
-        cm = sc.with_metrics(sc.confusion(s.select("*", F.coalesce(F.col("p") >= thr, F.lit(False)).cast("int").alias("pred"))))
-        rows.append(cm.select(F.lit(r).alias("neg_per_pos"), thr.alias("thr"), "precision",
-                              F.when(F.col("precision") >= min_precision, F.col("cost").cast("double"))
-                              .otherwise(F.lit(float("inf"))).alias("cost")))
-    out = reduce(lambda a, b: a.unionByName(b), rows)
-    w = Window.orderBy("cost", F.array_position(F.array(*[F.lit(x) for x in ratios]), F.col("neg_per_pos")))
-    ranked = out.select("*", F.row_number().over(w).alias("__r"))  # one row per ratio (a handful)
+        m = train_boosted(bal, feats, target, "A", max_iter=max_iter, weighted=False, seed=seed, validation=val)
+        scored.append(score(m, val, feats, target, "r").select("y", "p", F.lit(r).alias("neg_per_pos"), F.lit(i).alias("__i")))
+    s = materialize(reduce(lambda a, b: a.unionByName(b), scored), "ratios")
+    return ratio_report(s, min_precision)
+
+
+def ratio_report(scores: DataFrame, min_precision: float = 0.0) -> DataFrame:
+    """I8 report of a score table (neg_per_pos, __i its place in the list, y, p)."""
+    g = ["neg_per_pos", "__i"]
+    thr = sc.threshold_cost_or_budget(scores, group_cols=g).select(*g, "thr")
+    pred = scores.join(F.broadcast(thr), g).select("*", F.coalesce(F.col("p") >= F.col("thr"), F.lit(False)).cast("int").alias("pred"))  # one row per ratio
+    cm = sc.with_metrics(sc.confusion(pred, group_cols=[*g, "thr"]))
+    out = cm.select(*g, "thr", "precision", F.when(F.col("precision") >= min_precision, F.col("cost").cast("double"))
+                    .otherwise(F.lit(float("inf"))).alias("cost"))
+    ranked = out.select("*", F.row_number().over(Window.orderBy("cost", "__i")).alias("__r"))  # one row per ratio
     return ranked.select("neg_per_pos", "thr", "precision", "cost",
                          ((F.col("__r") == 1) & (F.col("cost") < float("inf"))).cast("int").alias("best"))
 
@@ -303,31 +388,77 @@ def feature_importance(model: PipelineModel, feats: list[str], top_n: int | None
     return t, fam
 
 
-def train_evaluate(table: DataFrame, feats: list[str], target: str, max_iter: int = 30,
-                   neg_per_pos: int = 8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Hard-negative rebalancing (G6) of train, boosted models A and B, isotonic
-    calibration on the validation model part, AP-weighted ensemble (I6), and per-model test
-    metrics at the K3 validation threshold.  Returns (scores, metrics)."""
-    train = table.where(F.col("split") == "train")
-    vm = table.where(F.col("split") == "val_model")
-    vh = table.where(F.col("split") == "val_hold")
-    te = table.where(F.col("split") == "test")
-    bal = lb.undersample_hard_negatives(train, target, neg_per_pos, seed)
-    scored_val, scored_test = [], []
+ENSEMBLE = "EnsembleAvg"
+
+
+def threshold_chain(val: DataFrame, min_precision: float = 0.2, alert_budgets=(0.01, 0.015, 0.02, 0.03),
+                    use_alert_budget: bool = True, ensemble: str = ENSEMBLE) -> DataFrame:
+    """(model, threshold, budget, rule) from validation scores (model, y, p).
+
+    With budgets: a model takes the budget of least cost that reaches ``min_precision`` (K4), else its
+    highest threshold (K6 without a demand), whose alert rate is then its budget; the ensemble takes the
+    budget of least cost (K2).  Without: the grid threshold of least cost (K3) and 0.01 for all."""
+    if not use_alert_budget:
+        k3 = sc.threshold_min_cost(val, group_cols=["model"])
+        return k3.select("model", F.col("thr").alias("threshold"), F.lit(0.01).alias("budget"), F.lit("K3").alias("rule"))
+    single, both = val.where(F.col("model") != ensemble), val.where(F.col("model") == ensemble)
+    k4 = sc.tune_budget_min_precision(single, min_precision=min_precision, group_cols=["model"]).select(
+        "model", F.col("threshold").alias("__t"), F.col("budget").alias("__b"))
+    k6 = sc.threshold_min_precision(single, 0.0, group_cols=["model"])
+    own = k6.join(k4, "model", "left").select("model", F.coalesce("__t", "thr").alias("threshold"), F.coalesce("__b", "alert_rate").alias("budget"),
+                                              F.when(F.col("__t").isNotNull(), "K4").otherwise("K6").alias("rule"))
+    k2 = sc.tune_alert_budget(both, alert_budgets, group_cols=["model"])
+    return own.unionByName(k2.select("model", F.col("thr").alias("threshold"), "budget", F.lit("K2").alias("rule")))
+
+
+def decided(scores: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """``scores`` with ``pred`` at each model's threshold (one row per model)."""
+    t = thresholds.select("model", "threshold")
+    return scores.join(F.broadcast(t), "model").select(*scores.columns, F.coalesce(F.col("p") >= F.col("threshold"), F.lit(False)).cast("int").alias("pred"))
+
+
+def with_ensemble(scores: DataFrame, name: str = ENSEMBLE) -> DataFrame:
+    """``scores`` (device, date, y, p, model, split) and, for every split, the rows of the ensemble whose
+    weights are the validation APs."""
+    val = scores.where(F.col("split") == "val")
+    ap = sc.ranking_metrics(val, group_cols=["model"]).select("model", (F.coalesce(F.col("ap"), F.lit(0.0)) + 1e-9).alias("__w"))
+    tot = ap.select(F.sum("__w")).scalar()
+    both = (scores.join(F.broadcast(ap), "model").groupBy(*KEYS, "y", "split")          # one row per model
+            .agg((F.sum(F.col("p") * F.col("__w")) / tot).alias("p")))
+    return scores.unionByName(both.select(*KEYS, "y", "p", F.lit(name).alias("model"), "split"))
+
+
+def evaluate_scores(scores: DataFrame, **chain) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(scores with pred, thresholds, test metrics) of a score table (device, date, y, p, model, split) with
+    the splits val, hold and test: thresholds from val, predictions for every split."""
+    thresholds = materialize(threshold_chain(scores.where(F.col("split") == "val"), **chain), "thresholds")
+    pred = decided(scores, thresholds)
+    test = pred.where(F.col("split") == "test")
+    metrics = sc.business_metrics(test, group_cols=["model"]).join(
+        sc.ranking_metrics(test, group_cols=["model"]).select("model", "auc"), "model").join(thresholds, "model")
+    return pred, thresholds, metrics
+
+
+def train_evaluate(table: DataFrame, feats: list[str], target: str, max_iter: int | None = None,
+                   neg_per_pos: int = 50, seed: int = 42, folds: int = 5, models: dict | None = None,
+                   **chain) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hard-negative rebalancing (G6) of train, boosted models A and B stopped early on the
+    validation rows, time-aware isotonic calibration (I5: out-of-fold on validation, the mean of the
+    maps elsewhere), an ensemble weighted by validation AP (I6), the threshold chain on validation, and
+    predictions for validation, hold-out and test.  Returns (scores with split and pred, thresholds,
+    test metrics); ``models`` gets name -> (model, curves)."""
+    rows = {"val": table.where(F.col("split") == "val_model"), "hold": table.where(F.col("split") == "val_hold"),
+            "test": table.where(F.col("split") == "test")}
+    bal = materialize(lb.undersample_hard_negatives(table.where(F.col("split") == "train"), target, neg_per_pos, seed), "balanced")
+    out = []
     for name, variant in (("GBT_A", "A"), ("GBT_B", "B")):
-        m = train_boosted(bal, feats, target, variant, max_iter=max_iter, weighted=False, seed=seed)
-        cal = score(m, vm, feats, target, name)
-        scored_val.append(calibrate(cal, score(m, vh, feats, target, name)))
-        scored_test.append(calibrate(cal, score(m, te, feats, target, name)))
-    val_all = scored_val[0].unionByName(scored_val[1])
-    test_all = scored_test[0].unionByName(scored_test[1])
-    ens_val = ensemble_by_ap(val_all, val_all)
-    ens_test = ensemble_by_ap(val_all, test_all)
-    val_all = val_all.unionByName(ens_val)
-    test_all = test_all.unionByName(ens_test)
-    thr = sc.threshold_min_cost(val_all, group_cols=["model"]).select("model", F.col("thr").alias("threshold"))
-    pred = test_all.join(thr, on="model").select("*", F.coalesce(F.col("p") >= F.col("threshold"), F.lit(False))
-                                                 .cast("int").alias("pred"))
-    metrics = sc.business_metrics(pred, group_cols=["model"]).join(
-        sc.ranking_metrics(test_all, group_cols=["model"]).select("model", "auc"), on="model").join(thr, on="model")
-    return test_all, metrics
+        m = train_boosted(bal, feats, target, variant, max_iter=max_iter, weighted=False, seed=seed, validation=rows["val"])
+        raw = {s: materialize(score(m, d, feats, target, name), "raw") for s, d in rows.items()}
+        folded = materialize(fold_rows(raw["val"], folds), "folded")
+        curves = calibration_curves(folded, folds)
+        cal = {"val": isotonic_apply(curves, folded, ["fold"]), **{s: mean_of_curves(curves, raw[s], folds) for s in ("hold", "test")}}
+        out += [d.select(*KEYS, "y", "p", "model", F.lit(s).alias("split")) for s, d in cal.items()]
+        if models is not None:
+            models[name] = m, curves
+    scores = materialize(reduce(lambda a, b: a.unionByName(b), out), "scores")
+    return evaluate_scores(materialize(with_ensemble(scores), "ensemble"), **chain)

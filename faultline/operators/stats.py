@@ -21,6 +21,21 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     return g.select("*", (lo + F.col("bin") * (hi - lo) / F.lit(float(bins))).alias("bin_start"))
 
 
+def transformed_histogram(df: DataFrame, column: str, by: str, transform: str | None = "log1p", bins: int = 30) -> DataFrame:
+    """Histogram of a transformed column (B21: log1p and sqrt of x >= 0, log of x > 0) over all rows
+    and per value of ``by``, on the same bins, in one pass over grouping sets: (level, by, bin, n,
+    bin_start), level "all" or "group"."""
+    from faultline.operators.offers import log_transform
+    d = log_transform(df, column, transform).withColumn("__x", F.col(f"{column}_{transform}")) if transform else df.withColumn("__x", F.col(column).cast("double"))
+    d = d.where(F.col("__x").isNotNull()).select(F.col(by).alias(by), "__x")
+    lo, hi = d.select(F.min("__x")).scalar(), d.select(F.max("__x")).scalar()
+    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("__x") - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1)))
+    g = d.withColumn("bin", b).groupingSets([[F.col("bin")], [F.col("bin"), F.col(by)]], "bin", by).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping(by).alias("__all"))
+    return g.select(F.when(F.col("__all") == 1, "all").otherwise("group").alias("level"), by, "bin", "n",
+                    (lo + F.col("bin") * (hi - lo) / F.lit(float(bins))).alias("bin_start"))
+
+
 # ------------------------------------------------------------------ E1-E5 correlations
 import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
@@ -170,15 +185,14 @@ def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
 def outlier_report(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column the number and % (of all rows) of IQR outliers — one quartile job for
     all columns (grouped by column) and one conditional count."""
-    long = _stack(df, cols)
-    qs = _quartiles(long, ["variable"])
-    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
-    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    n = df.select(F.count(F.lit(1))).scalar()
-    j = long.join(F.broadcast(qs), on="variable")  # one row per column: size bounded by len(cols)
-    out = j.groupBy("variable").agg(F.sum(F.when((F.col("value") < lo) | (F.col("value") > hi), 1)
-                                          .otherwise(0)).alias("n_outliers"))
-    return out.select("variable", "n_outliers", (F.col("n_outliers") / n * 100).alias("pct_outliers"))
+    qs = {r["variable"]: r for r in _quartiles(_stack(df, cols), ["variable"]).collect()}     # one row per column
+    cells = []
+    for c in cols:
+        x, q = F.col(f"`{c}`").cast("double"), qs.get(c)
+        far = (x < q["q1"] - 1.5 * (q["q3"] - q["q1"])) | (x > q["q3"] + 1.5 * (q["q3"] - q["q1"])) if q else F.lit(False)
+        cells.append(F.struct(F.lit(c).alias("variable"), F.sum(F.when(far, 1).otherwise(0)).alias("n_outliers")))
+    one = df.agg(F.array(*cells).alias("__c"), F.count(F.lit(1)).alias("__n"))
+    return one.select(F.explode("__c").alias("c"), "__n").select("c.variable", "c.n_outliers", (F.col("c.n_outliers") / F.col("__n") * 100).alias("pct_outliers"))
 
 
 def box_summary(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
@@ -363,9 +377,16 @@ def drift_ks(train: DataFrame, test: DataFrame, features: list[str], alpha: floa
     distinct values is spread over many tasks); D = max |F1 - F2|.  A feature without values in one
     sample cannot be tested: its D, p-value and flag are NULL."""
     feats = features[:max_features]
-    a = _stack(train, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(1).alias("c1"), F.lit(0).alias("c2"))
-    b = _stack(test, feats).where(F.col("value").isNotNull()).select("variable", "value", F.lit(0).alias("c1"), F.lit(1).alias("c2"))
-    v = a.unionByName(b).groupBy("variable", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
+    both = train.select(*[F.col(f"`{c}`") for c in feats], F.lit(1).alias("__side")).unionByName(
+        test.select(*[F.col(f"`{c}`") for c in feats], F.lit(2).alias("__side")))
+    return drift_between(both, "__side", feats, alpha)
+
+
+def drift_between(df: DataFrame, side: str, features: list[str], alpha: float = 0.05) -> DataFrame:
+    """E17 for one table whose column ``side`` is 1 (training) or 2 (test): both samples in one pass."""
+    long = _stack(df, features, [side]).where(F.col("value").isNotNull())
+    v = long.groupBy("variable", "value").agg(F.sum(F.when(F.col(side) == 1, 1).otherwise(0)).alias("c1"),
+                                              F.sum(F.when(F.col(side) == 2, 1).otherwise(0)).alias("c2"))
     j = prefix_sums(v, ["value"], ["c1", "c2"], ["variable"], total_prefix="n_").withColumnsRenamed({"n_c1": "n1", "n_c2": "n2"})
     d = j.groupBy("variable", "n1", "n2").agg(
         F.max(F.abs(F.try_divide("cum_c1", "n1") - F.try_divide("cum_c2", "n2"))).alias("ks_stat"))

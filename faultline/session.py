@@ -22,6 +22,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Scratch folders of local sessions without a folder of their own, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, app: str = "faultline",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
@@ -56,8 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="faultline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        # the setting is fixed once a session runs, so the folder is remembered beside it
+        d = _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="faultline-ckpt-")
+        _LOCAL_FOLDERS[spark.sparkContext.applicationId] = d
     spark.sparkContext.setCheckpointDir(d)
     return d
 
