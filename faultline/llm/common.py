@@ -52,6 +52,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def worker_memory(kind: str, key, make):
+    """``make()``, kept by the Python worker process for its later tasks; of each kind the one made last
+    stays.  What is kept bounds its own size."""
+    import sys
+    import types
+    held = sys.modules.setdefault("faultline_worker_memory", types.ModuleType("faultline_worker_memory")).__dict__
+    if kind not in held or held[kind][0] != key:
+        held.pop(kind, None)
+        held[kind] = key, make()
+    return held[kind][1]
+
+
+def spread(files: DataFrame, total_bytes: int, task_bytes: int = 128 << 20) -> DataFrame:
+    """Rows that name files, dealt to tasks that read about ``task_bytes`` each, and to as many tasks as
+    the cluster runs at once where there is less.  The count is explicit: Spark would put so few small
+    rows into one task, which then reads every file."""
+    n = max(files.sparkSession.sparkContext.defaultParallelism, -(-total_bytes // task_bytes))
+    return files.repartition(n)
+
+
 def open_folder(uri: str):
     """(filesystem, path) of a folder that all executors share; any store that pyarrow reaches."""
     import re

@@ -23,21 +23,28 @@ unknown piece to its surface; an empty table gives an empty result; other column
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
+from array import array
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from faultline.llm.common import worker_memory
+
 SPACE = "▁"
 # fixed values of the model file: piece types, model types, the unknown piece's surface
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 UNKNOWN_SURFACE = " ⁇ "
-#: Words whose paths a task remembers, and the longest word worth remembering.
-KEEP_WORDS, KEEP_CHARS = 250_000, 48
+#: Words whose paths a worker remembers in each of two generations (some 250 bytes a word), the longest
+#: word worth remembering, and the tested bigrams remembered (some 130 bytes each).
+KEEP_WORDS, KEEP_CHARS, KEEP_BIGRAMS = 150_000, 48, 250_000
+#: Texts encoded at a time: their ids are the largest thing that a task holds.
+TOGETHER = 500
 INFINITE = float("inf")
 
 
@@ -100,18 +107,30 @@ class Machines:
     # bigrams ----------------------------------------------------------------------------------
     def merged(self, text: str) -> list[str]:
         """Characters merged best score first, leftmost first among equals: what a bigram must
-        survive."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = INFINITE, -1
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and self.weight[piece] < best:
-                    best, at = self.weight[piece], i
-            if at < 0:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        survive.  Candidates wait in a heap; one whose parts have changed meanwhile is passed over."""
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def propose(i: int, j: int) -> None:
+            both = parts[i] + parts[j]
+            piece = self.ids.get(both)
+            if piece is not None and self.weight[piece] < INFINITE:
+                heapq.heappush(heap, (self.weight[piece], i, both))
+        for i in range(len(parts) - 1):
+            propose(i, i + 1)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= len(parts) or parts[i] + parts[j] != both:
+                continue
+            parts[i], parts[j], after[i] = both, None, after[j]
+            if after[i] < len(parts):
+                before[after[i]] = i
+                propose(i, after[i])
+            if before[i] >= 0:
+                propose(before[i], i)
+        return [x for x in parts if x is not None]
 
     def follows(self, last: int, piece: int) -> bool:
         """Whether the bigram machine has the transition; -1 is the byte fallback of a character."""
@@ -121,7 +140,7 @@ class Machines:
         ok = self.allowed.get(key)
         if ok is None:
             a, b = self.pieces[last], self.pieces[piece]
-            if len(self.allowed) >= 4 * KEEP_WORDS:
+            if len(self.allowed) >= KEEP_BIGRAMS:
                 self.allowed.clear()
             ok = self.allowed[key] = self.merged(a + b) == [a, b]
         return ok
@@ -331,18 +350,21 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     schema = T.StructType([*docs.schema.fields, *extra])
 
     def run(batches):
-        machines = compile_model(shared.value)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
-            found, same = [], []
-            for t in texts:
-                t = t.as_py()
-                x = machines.encode(t)
-                found.append(x)
-                if round_trip:
-                    same.append(machines.decode(x) == (machines.normalise(t or "")[machines.prefix:].replace(SPACE, " ")))
-            columns = [*batch.columns, pa.array(found, pa.list_(pa.int32()))] + ([pa.array(same, pa.bool_())] if round_trip else [])
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *[f.name for f in extra]])
+        machines = worker_memory("pieces", shared.value, lambda: compile_model(shared.value))
+        for whole in batches:
+            for k in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(k, TOGETHER)
+                flat, ends, same = array("i"), [0], []
+                for t in batch.column(batch.schema.get_field_index(text)):
+                    t = t.as_py()
+                    x = machines.encode(t)
+                    flat.extend(x)
+                    ends.append(len(flat))
+                    if round_trip:
+                        same.append(machines.decode(x) == (machines.normalise(t or "")[machines.prefix:].replace(SPACE, " ")))
+                found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
+                columns = [*batch.columns, found] + ([pa.array(same, pa.bool_())] if round_trip else [])
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *[f.name for f in extra]])
     return docs.mapInArrow(run, schema)
 
 
@@ -354,7 +376,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text
     schema = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches):
-        machines = compile_model(shared.value)
+        machines = worker_memory("pieces", shared.value, lambda: compile_model(shared.value))
         for batch in batches:
             found = [None if x.as_py() is None else machines.decode(x.as_py())
                      for x in batch.column(batch.schema.get_field_index(ids))]
