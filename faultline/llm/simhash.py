@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import folded_words, saved
+from faultline.llm.common import folded_words, join_on_small, saved
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -164,6 +164,11 @@ def components(edges: DataFrame) -> DataFrame:
 def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of ``docs``."""
+    return _rooted(docs, doc_id, text, shingle_words, max_bits).drop("root")
+
+
+def _rooted(docs: DataFrame, doc_id: str, text: str, shingle_words: int, max_bits: int) -> DataFrame:
+    """(doc_id, fp, component_id, root): the root tells components apart."""
     rows = saved(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "fp",
                               shingle_words).drop("text"), "simhash-fp")
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
@@ -176,18 +181,25 @@ def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cross = cross_links(group(stars), max_bits)
     rooted = group(stars.unionByName(cross))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = rooted.join(least, "root").select(F.col("fp").alias("n_fp"), "component_id")
-    return rows.join(names, rows.fp == F.col("n_fp")).select("doc_id", "fp", "component_id")
+    names = rooted.join(least, "root").select(F.col("fp").alias("n_fp"), "component_id", "root")
+    return rows.join(names, rows.fp == F.col("n_fp")).select("doc_id", "fp", "component_id", "root")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id.  Rows without an id
-    go if their component has one; of a component without any id the first text stays."""
-    found = saved(labelled(docs, doc_id, text, shingle_words, max_bits), "simhash-labelled")
-    stay = found.filter("doc_id = component_id").select(F.col("component_id").alias("_keep")).distinct()
-    named = docs.join(stay, docs[doc_id] == F.col("_keep"), "left_semi").dropDuplicates([doc_id])
-    nameless = found.filter("component_id is null").select(F.col("fp").alias("_keep")).distinct()
-    orphans = (fingerprints(docs.filter(F.col(doc_id).isNull()), text, "_fp", shingle_words)
-               .join(nameless, F.col("_fp") == F.col("_keep"), "left_semi").dropDuplicates(["_fp"]).drop("_fp"))
-    return named.unionByName(orphans)
+    """``docs`` with one row of each component: that of the smallest doc_id.  Where several rows of a
+    component have this id, or none has an id, the one with the least fingerprint stays; an id on rows
+    of several components stays in each that it is the smallest of."""
+    found = saved(_rooted(docs, doc_id, text, shingle_words, max_bits), "simhash-labelled")
+    stay = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+            .agg(F.first("component_id").alias("_id"), F.min("fp").alias("_fp")))
+    stay = saved(stay.select("_id", "_fp"), "simhash-stay")
+    often = saved(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                  .filter("n > 1").select(F.col("doc_id").alias("_often")), "simhash-often")
+    # an id of one row names it; only rows of other ids and of none are looked at by fingerprint
+    once = stay.filter("_id is not null").join(often, F.col("_id") == F.col("_often"), "left_anti")
+    named = docs.join(once, docs[doc_id] == F.col("_id"), "left_semi")
+    again = docs.filter(F.col(doc_id).isNull()).unionByName(join_on_small(docs, often, docs[doc_id] == F.col("_often"), "left_semi"))
+    again = fingerprints(again, text, "_own", shingle_words)
+    again = again.join(stay, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_fp")), "left_semi")
+    return named.unionByName(again.dropDuplicates([doc_id, "_own"]).drop("_own"))
