@@ -8,15 +8,21 @@ with C, T, LC, LT the characters, tags, link characters and link tags below it;
 count as one, and without any link the adjustment is 1.  An element's density sum is the sum of
 its children's densities, text between them included.  The threshold is the least density on the
 path from the body to the container of largest density sum.  That container is rarely the whole
-article (a section or a list may have the largest sum), so the main text is what the least element
-around it and all other blocks at or above the threshold holds; inside it, containers that are mostly
-links are left out if their density is below the threshold.
+article (a section or a list may have the largest sum).  Inside an article element (or main, on a page
+without one) the main text is that whole element; an article inside an article is a reader's remark and
+goes, if the outer one has dense text of its own.  On other pages the container grows to the parents
+that hold further blocks at or above the threshold, but only such that are its like: paragraphs,
+headings, lists and tables beside it, and containers with its own class and id; other containers beside
+it stay out.  Containers that are mostly links and below the threshold are left out there, unless they
+stand between two dense blocks.
 
 Elements that are never part of an article (menus, forms, scripts, elements whose class, id or
 role names an advert, a notice, a side bar or reader comments, ...) have no density and no text.  A
 class or id names such a part if it consists of the names below and of qualifiers of place and
-shape ("sidebar-left", but not "has-sidebar" or "article-header").  A named element stays if it holds
-all article and main elements of the page or, on a page without these, most characters outside links.
+shape ("sidebar-left", but not "has-sidebar" or "article-header"), or if its last word names adverts,
+notices, sharing, lists of other texts or reader comments ("user-comments").  An element named for its
+place alone stays if it holds all article and main elements of the page or, on a page without these, most
+characters outside links; one named for such contents never does.
 
 Defined cases: a null or empty page, and a page without text, give an empty text; unclosed and
 stray tags are repaired as far as paragraphs, list items and table cells close one another;
@@ -57,48 +63,69 @@ QUALIFIERS = frozenset("""left right top bottom upper lower middle first last pr
     container wrapper wrap inner outer holder list item items area region section widget widgets unit slot space zone bar links
     link buttons button icons form panel column col row text title menu mobile desktop sticky fixed google dfp id js wp the
     small large big wide label thread post""".split())
+#: Names of contents: these are never part of an article, however long.
+CONTENTS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments
+    disqus respond cookie cookies consent gdpr notice notices related recommended share sharing social subscribe newsletter
+    signup popup modal""".split())
+#: Before such a name: the element says whether there is one, and is none.
+STATES = frozenset("has no not with without is are hide hides show shows enable disable".split())
 BESIDE_ARTICLE = frozenset("post article entry story content".split())
 READERS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar comment comments
     disqus respond related recommended share sharing social subscribe newsletter signup nav navigation pagination""".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]{0,4096}+"|'[^']{0,4096}+'){0,4096}+)>|<[!?/][^>]*>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]{0,4096}+"|'[^']{0,4096}+'){0,4096}+)>|<[!?/][^>]*>""", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+_CLOSERS = frozenset().union(*CLOSED_BY.values())
+#: Blocks of text that belong to the container they stand in.
+PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hgroup center address caption".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out", "named", "own", "inner", "dense", "articles")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "out", "named", "contents", "own", "inner",
+                 "dense", "articles", "kind", "in_article", "mark")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False):
-        self.tag, self.parent, self.out, self.named = tag, parent, out, named
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False, contents: bool = False, kind: tuple = ()):
+        self.tag, self.parent, self.out, self.named, self.contents, self.kind = tag, parent, out, named, contents, kind
         self.children: list = []                       # nodes and texts in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
         self.own = self.dense = 0                      # characters outside inner blocks; dense blocks from here down
         self.inner = False                             # has blocks below it
         self.articles = 0                              # article and main elements from here down
+        self.in_article = tag == "article" or parent is not None and parent.in_article
+        #: The nearest element from here up that a start tag may close, or beyond which it closes none.
+        self.mark = self if parent is None or tag in SCOPES or tag in CLOSED_BY else parent.mark
 
 
 def _no_article(tag: str, inside_article: bool) -> bool:
     return tag in NO_ARTICLE and not (tag == "header" and inside_article)
 
 
-def _named(tag: str, attributes: str) -> bool:
-    """Whether a class, id or role names a part outside the article."""
+def _named(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether a class, id or role names a part outside the article, and whether it names contents."""
+    named = contents = False
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return named, contents
     for found in _NAMES.findall(attributes):
         for value in "".join(found).lower().split():
             words = [w for w in _WORD.findall(value) if not w.replace("x", "").isdigit()]
             names = NO_ARTICLE_NAMES.intersection(words)
             if not names:
                 continue
+            if words[-1] in CONTENTS and not STATES.intersection(words):
+                return True, True
             if len(words) > 1 and words[0] in BESIDE_ARTICLE and names <= READERS:
                 words = words[1:]
             if all(w in NO_ARTICLE_NAMES or w in QUALIFIERS for w in words):
-                return True
-    return False
+                named, contents = True, contents or bool(names & CONTENTS)
+    return named, contents
+
+
+def _kind(attributes: str) -> tuple:
+    """The class and id values of an element, by which its like are known."""
+    return tuple(sorted({w for found in _NAMES.findall(attributes) for w in "".join(found).lower().split()})) if attributes else ()
 
 
 def _exclude(nodes: list[Node]) -> None:
@@ -109,15 +136,16 @@ def _exclude(nodes: list[Node]) -> None:
         if node.parent is not None:
             node.parent.articles += node.articles
     for node in nodes[1:]:
-        holds = (node.articles == body.articles if body.articles else
-                 2 * (node.chars - node.link_chars) > body.chars - body.link_chars)
+        holds = not node.contents and (node.articles == body.articles if body.articles else
+                                       2 * (node.chars - node.link_chars) > body.chars - body.link_chars)
         node.out = node.out or node.parent.out or node.named and not holds
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The body of a page and all its elements, parents first."""
     root = Node("body", None, False)
-    nodes, at, here, size = [root], 0, root, len(page)
+    nodes, at, here, size, last = [root], 0, root, len(page), page.rfind(">")
+    open_: dict[str, int] = {}                         # open elements by tag: a stray end tag closes nothing
 
     def text(piece: str):
         if "&" in piece:
@@ -125,9 +153,18 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if piece:
             here.children.append(piece)
 
+    def close(until: Node) -> Node:
+        """Closes the elements from here up to ``until``; its parent is where the page goes on."""
+        node = here
+        while True:
+            open_[node.tag] -= 1
+            if node is until:
+                return node.parent
+            node = node.parent
+
     while at < size:
         start = page.find("<", at)
-        if start < 0 or page.find(">", start) < 0 and not page.startswith("<!--", start):
+        if start < 0 or start > last and not page.startswith("<!--", start):
             text(page[at:])
             break
         # the second form is a tag with an unbalanced quote or very many attributes
@@ -143,13 +180,12 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             continue
         closing, tag, attributes = found.group(1), found.group(2).lower(), found.group(3)
         if closing:
-            if tag in RAW or tag in VOID:
+            if tag in RAW or tag in VOID or not open_.get(tag):
                 continue
             node = here
-            while node.parent is not None and node.tag != tag:
+            while node.tag != tag:
                 node = node.parent
-            if node.parent is not None:                # a stray end tag closes nothing
-                here = node.parent
+            here = close(node)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -157,32 +193,24 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             continue
         if tag in ("html", "body"):
             continue
-        node = here
-        while node.parent is not None and node.tag not in SCOPES:
-            if tag in CLOSED_BY.get(node.tag, ()):
-                here = node.parent
+        node = here.mark
+        while tag in _CLOSERS and node.parent is not None:
+            if tag in CLOSED_BY.get(node.tag, ()):     # and what that one stood in: a list item closes
+                here = close(node)                     # the paragraph of the item before, and the item
+                node = here.mark
+            elif node.tag in SCOPES:
                 break
-            node = node.parent
-        else:
-            if node.parent is not None and tag in CLOSED_BY.get(node.tag, ()):
-                here = node.parent
-        inside = here.tag == "article" or (here.parent is not None and tag == "header" and _within(here, "article"))
-        made = Node(tag, here, here.out or _no_article(tag, inside), _named(tag, attributes))
+            else:
+                node = node.parent.mark
+        made = Node(tag, here, here.out or _no_article(tag, here.in_article), *_named(tag, attributes), kind=_kind(attributes))
         here.children.append(made)
         nodes.append(made)
         if tag not in VOID and not attributes.endswith("/"):
             here = made
+            open_[tag] = open_.get(tag, 0) + 1
     return root, nodes
 
 
-def _within(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
-
-
 def _count(nodes: list[Node]) -> None:
     """Characters and tags below each element, by one pass from the leaves up."""
     for node in reversed(nodes):
@@ -227,12 +255,17 @@ def main_text(page: str | None) -> str:
     while node.parent is not None:
         node = node.parent
         threshold = min(threshold, node.density)
-    return _blocks(_around(best, nodes, threshold), threshold)
+    _mark_dense(nodes, threshold)
+    article = _article(best, nodes)
+    if article is not None:
+        _strike_remarks(article, nodes)
+        return _blocks(article, None)
+    return _blocks(_around(best), threshold)
 
 
-def _around(best: Node, nodes: list[Node], threshold: float) -> Node:
-    """The least element that holds ``best`` and all blocks whose own text reaches the threshold.
-    Text beside inner blocks counts by its characters, as in the density sum."""
+def _mark_dense(nodes: list[Node], threshold: float) -> None:
+    """Counts the blocks whose own text reaches the threshold.  Text beside inner blocks counts by its
+    characters, as in the density sum."""
     for node in reversed(nodes):
         if node.tag in BLOCKS:
             node.dense += (not node.out and node.own > 0 and 2 * node.link_chars <= node.chars
@@ -241,31 +274,95 @@ def _around(best: Node, nodes: list[Node], threshold: float) -> Node:
             node.parent.own += node.own
         if node.parent is not None:
             node.parent.dense += node.dense
-    while best.dense < nodes[0].dense:
-        best = best.parent
-    return best
 
 
-def _blocks(top: Node, threshold: float) -> str:
-    blocks: list[str] = []
+def _article(best: Node, nodes: list[Node]) -> Node | None:
+    """The article element (main, on a page without one) that holds the container of largest density
+    sum; if none does, the one of most characters, unless the container has more than twice as many."""
+    for tag in ("article", "main"):
+        found = [n for n in nodes if n.tag == tag and not n.out]
+        if not found:
+            continue
+        node, outer = best, None
+        while node is not None:
+            outer = node if node.tag == tag else outer
+            node = node.parent
+        if outer is not None:
+            return outer
+        longest = max(found, key=lambda n: n.chars)
+        if best.parent is None or best.chars <= 2 * longest.chars or _holds(best, longest):
+            return longest
+        return None
+    return None
+
+
+def _holds(outer: Node, node: Node | None) -> bool:
+    while node is not None and node is not outer:
+        node = node.parent
+    return node is outer
+
+
+def _strike_remarks(article: Node, nodes: list[Node]) -> None:
+    inner = [n for n in nodes if n.tag == "article" and n is not article and not n.out and n.in_article]
+    first = [n for n in inner if not n.parent.in_article or _nearest_article(n.parent) is article]
+    if article.dense > sum(n.dense for n in first):
+        for n in first:
+            n.out = True
+
+
+def _nearest_article(node: Node) -> Node | None:
+    while node is not None and node.tag != "article":
+        node = node.parent
+    return node
+
+
+def _around(best: Node) -> Node:
+    """The least element that holds ``best`` and the dense blocks of its like; containers of another kind
+    on the way are struck out."""
+    top, node = best, best
+    while node.parent is not None:
+        up, more = node.parent, False
+        for child in up.children:
+            if isinstance(child, str) or child is node or child.out or not child.dense:
+                continue
+            if child.tag in PLAIN or child.tag not in CONTAINERS or child.kind == node.kind:
+                more = True
+            else:
+                child.out = True
+        if more or up.own and up.dense > sum(c.dense for c in up.children if isinstance(c, Node)):
+            top = up
+        node = up
+    return top
+
+
+def _blocks(top: Node, threshold: float | None) -> str:
+    """Texts of the blocks below ``top``.  With a threshold, containers below it that are mostly links
+    are kept only between dense blocks."""
+    blocks: list[tuple[str, bool]] = []                # texts, and whether they stand in such a container
     line: list[str] = []
+    dense_at: list[int] = []
+    doubtful = 0
 
     def end():
         if line and (block := " ".join("".join(line).split())):
-            blocks.append(block)
+            blocks.append((block, doubtful > 0))
         line.clear()
 
     stack: list = [iter(top.children)]
-    tags = [top.tag]
+    open_ = [(top, False)]
     while stack:
         child = next(stack[-1], None)
         if child is None:
             stack.pop()
-            if tags.pop() in BLOCKS:
+            node, doubt = open_.pop()
+            if node.tag in BLOCKS:
                 end()
+                if node.dense and not node.inner:
+                    dense_at.append(len(blocks) - 1)
+            doubtful -= doubt
         elif isinstance(child, str):
             line.append(child)
-        elif child.out or (child.tag in CONTAINERS and child.density < threshold and 2 * child.link_chars > child.chars):
+        elif child.out:
             if child.tag in BLOCKS:
                 end()
         else:
@@ -273,10 +370,13 @@ def _blocks(top: Node, threshold: float) -> str:
                 end()
             elif child.tag == "br":
                 line.append(" ")
+            doubt = threshold is not None and child.tag in CONTAINERS and child.density < threshold and 2 * child.link_chars > child.chars
+            doubtful += doubt
             stack.append(iter(child.children))
-            tags.append(child.tag)
+            open_.append((child, doubt))
     end()
-    return "\n".join(blocks)
+    first, last = (dense_at[0], dense_at[-1]) if dense_at else (len(blocks), -1)
+    return "\n".join(b for i, (b, doubt) in enumerate(blocks) if not doubt or first < i < last)
 
 
 def extract(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 """Extraction, archives, token files, SentencePiece and quality rules against brute force."""
 import html
+import math
 import re
 import zlib
 
@@ -11,7 +12,9 @@ from hypothesis import strategies as st
 tokenizers = pytest.importorskip("public_tokenizers")
 
 from faultline.llm import archive, density, pieces, quality, queries, tokenfile  # noqa: E402
-from faultline.llm.common import open_folder, shared_folder  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from faultline.llm.common import open_folder, shared_folder, tokenizer_file  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,6 +100,106 @@ def test_named_parts_are_left_out(name):
     assert density.main_text(page) == "short"
 
 
+STORY = [_text(i, 260) for i in range(3)]
+PARAGRAPHS = "".join(f"<p>{t}</p>" for t in STORY)
+
+
+@pytest.mark.parametrize("beside", [
+    "<div><p>Copyright 2020 by the paper, all rights reserved, no copies of any kind are allowed anywhere</p></div>",
+    "<section id='reviews'><p>" + _text(9, 300) + "</p><p>" + _text(8, 200) + "</p></section>",
+    "<div class='user-comments'><p>" + _text(9, 300) + "</p></div>", "<div class='cookie-consent'><p>" + _text(9, 3000) + "</p></div>"])
+def test_nothing_beside_an_article_is_taken(beside):
+    page = f"<body>{beside}<div><article><h1>T</h1>{PARAGRAPHS}</article>{beside}</div>{beside}</body>"
+    assert density.main_text(page) == "\n".join(["T", *STORY])
+
+
+@pytest.mark.parametrize("name", ["top-stories", "legal", "reader-comments", "cookie-consent"])
+def test_containers_of_another_kind_beside_a_story_stay_out(name):
+    other = f"<div class='{name}'><p>{_text(9, 200)}</p></div>"
+    page = f"<body>{other}<div class='story'><h1>T</h1>{PARAGRAPHS}</div>{other}</body>"
+    assert density.main_text(page) == "\n".join(["T", *STORY])
+
+
+def test_named_contents_are_never_the_article():
+    page = f"<body><div><p>{STORY[0]}</p></div><div class='cookie-consent'><p>{_text(9, 3000)}</p></div></body>"
+    assert density.main_text(page) == STORY[0]
+    page = f"<body><article>{PARAGRAPHS}<div class='user-comments'><p>{_text(9, 500)}</p></div></article></body>"
+    assert density.main_text(page) == "\n".join(STORY)
+
+
+def test_links_inside_an_article_stay():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>link {i}</a></li>" for i in range(6)) + "</ul>"
+    names = [f"link {i}" for i in range(6)]
+    assert density.main_text("<body><article><p><a href='/x'>all of it</a></p></article></body>") == "all of it"
+    assert density.main_text(f"<body><article><p>{STORY[0]}</p>{links}<p>{STORY[1]}</p></article></body>") == "\n".join([STORY[0], *names, STORY[1]])
+    # without an article element a list of links needs text on both sides
+    page = f"<body><div>{links}<p>{STORY[0]}</p>{links}<p>{STORY[1]}</p>{links}</div></body>"
+    assert density.main_text(page) == "\n".join([STORY[0], *names, STORY[1]])
+
+
+def test_articles_inside_an_article_are_remarks():
+    page = f"<body><article>{PARAGRAPHS}<div><article><p>a remark</p></article><article><p>another</p></article></div></article></body>"
+    assert density.main_text(page) == "\n".join(STORY)
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    pages = ["<div>" * 20_000 + "</b>" * 100_000, "<b>" * 20_000 + "x", "<" * 500_000 + ">", "<![CDATA[" * 60_000 + "x",
+             "<header>" * 20_000, "<li><p>" * 10_000 + "<b>" * 10_000, "<a \"" * 100_000, "<p>" * 50_000, "<!" * 200_000 + ">"]
+    for page in pages:
+        began = time.process_time()
+        density.main_text(page)
+        assert time.process_time() - began < 4, page[:20]
+
+
+def test_densities_are_those_of_the_formula():
+    """Against counts taken anew from each element's own subtree."""
+    import random
+    rng = random.Random(7)
+
+    def tree(depth):
+        tag = rng.choice(["div", "section", "p", "a", "b", "span"])
+        inner = "".join(tree(depth - 1) if depth and rng.random() < 0.6 else "w" * rng.randint(1, 30) + " " for _ in range(rng.randint(1, 4)))
+        return f"<{tag}>{inner}</{tag}>"
+
+    def texts(node):
+        for c in node.children:
+            if isinstance(c, str):
+                yield c
+            else:
+                yield from texts(c)
+
+    def below(node):
+        for c in node.children:
+            if not isinstance(c, str):
+                yield c
+                yield from below(c)
+
+    def links(node):
+        """Outermost links from here down, this element too."""
+        if node.tag == "a":
+            return [node]
+        return [x for c in node.children if not isinstance(c, str) for x in links(c)]
+
+    def counts(node):
+        chars = sum(len(" ".join(t.split())) for t in texts(node))
+        link_chars = sum(len(" ".join(t.split())) for x in links(node) for t in texts(x))
+        link_tags = len(list(below(node))) if node.tag == "a" else sum(len(list(below(x))) + 1 for x in links(node))
+        return chars, len(list(below(node))), link_chars, link_tags
+    for _ in range(60):
+        body, nodes = density.parse("".join(tree(4) for _ in range(3)))
+        density._count(nodes)
+        bc, _, blc, _ = counts(body)
+        for node in nodes:
+            c, t, lc, lt = counts(node)
+            assert (node.chars, node.tags, node.link_chars, node.link_tags) == (c, t, lc, lt)
+            want = 0.0
+            if c:
+                scale = math.log(math.log(c / max(c - lc, 1) * lc + blc / max(bc, 1) * c + math.e))
+                want = c / max(t, 1) * (math.log(c / max(lc, 1) * max(t, 1) / max(lt, 1)) / scale if scale > 1e-9 else 1)
+            assert density._density(node, body) == pytest.approx(want)
+
+
 def test_main_text_survives_anything():
     for page in ("<" * 5000, "<div>" * 3000 + "x", "<a \"" * 5000 + ">", "<!--" * 100, "&" * 1000, "<p " + "a=b " * 5000 + ">x"):
         density.main_text(page)
@@ -293,6 +396,34 @@ def test_piece_columns(spark, machines):
 
 
 # ------------------------------------------------------------------------------ quality rules
+def test_blank_runs_are_linear():
+    import time
+
+    import sentencepiece
+    path = tokenizer_file("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        machines = pieces.compile_model(f.read())
+    text = "a" + " " * 100_000 + "b" + " " * 7
+    began = time.process_time()
+    got = machines.encode(text)
+    assert time.process_time() - began < 5
+    assert got == sentencepiece.SentencePieceProcessor(model_file=path).encode(text)
+
+
+def test_files_are_read_back_in_many_tasks(spark, tmp_path):
+    rows = spark.range(400).selectExpr("id as page_id", "concat('http://x/', id) as url", "repeat(cast(id as string), 500) as html")
+    folder = str(tmp_path / "many")
+    made = archive.write(rows, folder, archive_bytes=2000)
+    assert made.count() >= 100
+    back = archive.read(spark, folder, made, payloads=False).withColumn("task", F.spark_partition_id())
+    assert back.count() == 400 and back.select("task").distinct().count() > 1
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('word ', 50) as text")
+    files = tokenfile.write(docs, folder + "-ids", tokenizer_file("byte_bpe_50k.json"), file_bytes=200)
+    assert files.count() >= 100
+    back = tokenfile.read(spark, folder + "-ids", files).withColumn("task", F.spark_partition_id())
+    assert back.count() == 400 and back.select("task").distinct().count() > 1
+
+
 def brute_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -349,6 +480,44 @@ def test_quality_cases(spark):
     assert quality.assess(rows.limit(0), None).count() == 0
 
 
+def test_an_id_of_many_rows_is_fitted_once(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("case when id < 19990 then 5 else id end as doc_id", "concat('word ', id, ' and more') as text")
+    labels = spark.createDataFrame([(5, 1), (19990, 0), (19991, 1), (19992, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda data, y, *_: seen.append((len(data), sorted(y))))
+    quality.fit(rows, labels)
+    assert seen == [(4, [0, 0, 1, 1])]
+
+
+def test_long_texts_send_a_bounded_part_to_the_fit():
+    rng = np.random.default_rng(3)
+    text = "".join(map(chr, rng.integers(97, 123, 200_000))).replace("q", " ")
+    where, value = quality._sparse(text, text.encode().split(), quality.BITS, 5000)
+    whole = quality._sparse(text, text.encode().split(), quality.BITS, 1 << 30)
+    assert len(where) == 5000 and set(where) <= set(whole[0].tolist()) and value.sum() == pytest.approx(whole[1].sum(), rel=0.2)
+
+
+def test_scores_are_those_of_the_listed_features():
+    """The probability by loops over words and characters."""
+    rng = np.random.default_rng(4)
+    model = quality.Model(rng.normal(size=1 << quality.BITS).astype(np.float32), 0.7, -0.2)
+    wide = (1 << 64) - 1
+
+    def weight(x, family):
+        return float(model.weights[((x + (family << 40)) * 0x9E3779B97F4A7C15 & wide) >> (64 - quality.BITS)])
+    for text in ("one two two three éa", "a", "", "日本 日本 x", "ab " * 30):
+        words, raw = text.encode().split(), 0.0
+        h = [zlib.crc32(w) for w in words]
+        c = [ord(x) for x in text]
+        three = [c[i] << 42 | c[i + 1] << 21 | c[i + 2] for i in range(len(c) - 2)]
+        four = [(three[i] * 0x100000001B3 + c[i + 3]) & wide for i in range(len(c) - 3)]
+        pairs = [0 if a == b else (a * 0x100000001B3 + b) & wide for a, b in zip(h, h[1:])]
+        for family, grams in enumerate((h, pairs, three, four), 1):
+            if grams:
+                raw += sum(weight(g, family) for g in grams) / len(grams)
+        assert model.probability(text, words) == pytest.approx(1 / (1 + math.exp(-(0.7 * raw - 0.2))), rel=1e-4)
+
+
 def test_calibration_follows_the_labels():
     rng = np.random.default_rng(1)
     z = rng.normal(size=4000)
