@@ -539,17 +539,15 @@ def d28b(spark, sf):
     return kpis.stratum_extremes(_of(spark, sf))
 
 
+# the product of the factors up to each time, over the offers still at risk then
 _KM = """
 WITH t AS (SELECT SHIPPING_PAYMENT_TYPE, DURATION_HOURS AS time,
                   sum(CASE WHEN STOCKOUT_FLAG = 1 THEN 1 ELSE 0 END) AS events, count(*) AS total
            FROM offers_f WHERE DURATION_HOURS IS NOT NULL AND SHIPPING_PAYMENT_TYPE IS NOT NULL GROUP BY 1, 2),
-r AS (SELECT *, sum(total) OVER (PARTITION BY SHIPPING_PAYMENT_TYPE ORDER BY time DESC ROWS UNBOUNDED PRECEDING) AS at_risk
-      FROM t),
-f AS (SELECT *, 1.0 - CAST(events AS DOUBLE) / at_risk AS fac FROM r)
-SELECT SHIPPING_PAYMENT_TYPE, time, events, total, at_risk,
-       CASE WHEN sum(CASE WHEN fac <= 0 THEN 1 ELSE 0 END) OVER w > 0 THEN 0.0
-            ELSE exp(sum(CASE WHEN fac > 0 THEN ln(fac) ELSE 0.0 END) OVER w) END AS survival
-FROM f WINDOW w AS (PARTITION BY SHIPPING_PAYMENT_TYPE ORDER BY time ROWS UNBOUNDED PRECEDING)"""
+r AS (SELECT a.SHIPPING_PAYMENT_TYPE, a.time, a.events, a.total, sum(b.total) AS at_risk
+      FROM t a JOIN t b ON a.SHIPPING_PAYMENT_TYPE = b.SHIPPING_PAYMENT_TYPE AND b.time >= a.time GROUP BY ALL)
+SELECT a.SHIPPING_PAYMENT_TYPE, a.time, a.events, a.total, a.at_risk, product(1.0::DOUBLE - CAST(b.events AS DOUBLE) / b.at_risk) AS survival
+FROM r a JOIN r b ON a.SHIPPING_PAYMENT_TYPE = b.SHIPPING_PAYMENT_TYPE AND b.time <= a.time GROUP BY ALL"""
 
 
 @query("d29_kaplan_meier", _KM)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.plans.prefix import exact_quantiles, prefix_sums
+from faultline.plans.prefix import exact_quantiles, join_small, prefix_sums
 
 C_FN_ROW, C_FP_ROW = 4, 1
 C_FN, C_FP = 100_000, 25_000
@@ -260,9 +260,9 @@ def confusion(df: DataFrame, y: str = "y", pred: str = "pred",
 def topk_alerts(df: DataFrame, k: int = 10, p: str = "p", out: str = "pred",
                 key_cols=("device", "date")) -> DataFrame:
     """H3: the k highest scores alert (ties broken by the row key).  The k winners come from a
-    TakeOrdered of k rows and are joined back by broadcast (size: k rows)."""
+    TakeOrdered of k rows and are joined back, by broadcast if they are few."""
     top = df.orderBy(F.col(p).desc(), *key_cols).limit(k).select(*key_cols, F.lit(1).alias(out))
-    return df.join(F.broadcast(top), on=list(key_cols), how="left") \
+    return join_small(df, top, list(key_cols), "left") \
         .select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col(out), F.lit(0)).alias(out))
 
 
