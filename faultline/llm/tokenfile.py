@@ -18,6 +18,7 @@ one another, ordered by a hash of their text; an empty table writes no file.
 from __future__ import annotations
 
 import json
+import re
 import struct
 from itertools import filterfalse
 
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import open_folder, put_file, saved
+from faultline.llm.common import open_folder, put_file, saved, spread, worker_memory
 
 # fixed values of the Zstandard seekable format
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -38,7 +39,8 @@ ENTRY, ENTRY_BYTES, FOOTER, FOOTER_BYTES = "<III", 12, "<IBI", 9
 
 FILE_BYTES = 8 << 20
 END_ID = 0
-KEEP_WORDS = 800_000
+#: Words that a worker remembers, some 150 bytes each.
+KEEP_WORDS = 600_000
 #: Unknown words encoded as one text, and how the vocabulary spells a space before a word.
 TOGETHER, SPACE_MARK = 500, "Ġ"
 
@@ -49,15 +51,27 @@ UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1d
            *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
 
 
+#: Words that are one pre-token, whatever the age of the pre-tokenizer's tables: Latin letters only.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+
+
 class Encoder:
     """Ids of texts as bytes, by a byte-level tokenizer whose pre-tokens never reach from a word
     into the single space or line end before the next word.  Words repeat, so their ids are
     remembered; words not known yet are encoded many at a time, as one text in
-    which their first tokens tell them apart.  Texts with any other white space are encoded whole."""
+    which their first tokens tell them apart.  A word of letters is a pre-token by itself, so such words
+    are handed over in the vocabulary's own spelling of bytes, cut at blanks, which spares the
+    pre-tokenizer's patterns.  Texts with any other white space are encoded whole."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.by_blank = Tokenizer.from_str(tokenizer_json)
+        self.by_blank.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]      # bytes that spell themselves; the rest follow U+0100
+        rest = iter(range(256, 512))
+        self.spelling = {b: b if b in printable else next(rest) for b in range(256)}
+        self.spelling[32] = f" {SPACE_MARK}"
         #: ids by word, for words behind a space and words at the start of a line
         self.spaced: dict[str, bytes] = {}
         self.leading: dict[str, bytes] = {}
@@ -73,12 +87,15 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _together(self, words: list[str], spaced: bool):
+    def _together(self, words: list[str], spaced: bool, letters: bool = False):
         """(word, ids) of words without white space, each behind a space or at the start of a line."""
+        tokenizer = self.by_blank if letters else self.tokenizer
         for lo in range(0, len(words), TOGETHER):
             some = words[lo:lo + TOGETHER]
             text = " " + " ".join(some) if spaced else "\n".join(some)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            if letters:
+                text = text.encode().decode("latin-1").translate(self.spelling)
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             if spaced:
                 start = np.flatnonzero(self.opens[ids])
                 stop = np.append(start[1:], len(ids))
@@ -96,6 +113,9 @@ class Encoder:
         cut = [w for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()]
         missing.difference_update(cut)
         missing.update(filterfalse(known.__contains__, [w[:-1] for w in cut]))
+        simple = [w for w in missing if LETTERS(w)] if spaced else []
+        missing.difference_update(simple)
+        known.update(self._together(simple, True, True))
         known.update(self._together(list(missing), spaced))
         for w in cut:
             known[w] = known[w[:-1]] + self.marks[w[-1]]
@@ -112,16 +132,15 @@ class Encoder:
                 lines = []
                 for line in t.split("\n"):
                     head, *words = line.split(" ")
-                    new.update(filterfalse(known.__contains__, words))
-                    if head not in leading:
-                        first.add(head)
+                    new.update(words)
+                    first.add(head)
                     lines.append((head, words))
                 cut.append(lines)
             else:
                 cut.append(None)
                 whole.append(t)
-        self._learn(known, new, True)
-        self._learn(leading, first, False)
+        self._learn(known, new.difference(known), True)
+        self._learn(leading, first.difference(leading), False)
         rest = iter(self._whole(whole))
         return [next(rest) if lines is None else self.line_end.join(
             [leading[head] + b"".join(map(known.__getitem__, words)) for head, words in lines]) for lines in cut]
@@ -210,7 +229,8 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, doc_id: str = "doc_
     def run(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part, seq = Encoder(shared.value), TaskContext.get().partitionId(), 0
+        encoder = worker_memory("token encoder", shared.value, lambda: Encoder(shared.value))
+        part, seq = TaskContext.get().partitionId(), 0
         held, size, meta = [], 0, {"format": "token ids", "dtype": "<u4", "end": end_id}
 
         def flush():
@@ -253,7 +273,8 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(f.doc_ids, pa.int64()), pa.array(start + np.cumsum(n) - n), pa.array(n),
                      pa.array(payloads, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
-    return files.select("name", "start").repartition("name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    total = 4 * (files.agg(F.sum("n_tokens")).first()[0] or 0)
+    return spread(files.select("name", "start"), total).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def lookup(folder: str, names: list[str], wanted: set) -> dict:
