@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm.common import join_on_small, open_folder, put_file, saved
+from faultline.llm.common import join_on_small, open_folder, put_file, saved, spread
 
 # fixed values of the formats
 DICTIONARY_MAGIC, FRAME_MAGIC, TRAINED_MAGIC = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
@@ -170,7 +170,8 @@ def read_archive(data: bytes):
 
 def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
           least_revisit: int = LEAST_REVISIT, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write a record per row into archives in ``folder``; returns the archives (name, n_records)."""
+    """Write a record per row into archives in ``folder``; returns the archives (name, n_records, n_bytes before
+    compression)."""
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "utf-8")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     big = F.octet_length(F.coalesce(F.col("html"), F.lit(""))) >= least_revisit
@@ -189,7 +190,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
         def flush():
             name = f"{part:08d}-{seq:06d}.warc.zst"
             put_file(folder, name, build_archive(held))
-            return pa.RecordBatch.from_pylist([{"name": name, "n_records": len(held)}], schema=made)
+            return pa.RecordBatch.from_pylist([{"name": name, "n_records": len(held), "n_bytes": size}], schema=made)
         for batch in batches:
             for i, u, h, key, latest, shared in zip(*(c.to_pylist() for c in batch.columns)):
                 copy = copy + 1 if before == (i, key) else 0
@@ -201,8 +202,8 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
                     seq, held, size = seq + 1, [], 0
         if held:
             yield flush()
-    made = pa.schema([("name", pa.string()), ("n_records", pa.int64())])
-    return saved(ordered.mapInArrow(run, "name string, n_records long"), "warc-files")
+    made = pa.schema([("name", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64())])
+    return saved(ordered.mapInArrow(run, "name string, n_records long, n_bytes long"), "warc-files")
 
 
 def read(spark: SparkSession, folder: str, archives: DataFrame, payloads: bool = True) -> DataFrame:
@@ -225,4 +226,5 @@ def read(spark: SparkSession, folder: str, archives: DataFrame, payloads: bool =
                         held = []
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
-    return archives.select("name").repartition("name").mapInArrow(run, ", ".join(fields))
+    total = archives.agg(F.sum("n_bytes")).first()[0] or 0
+    return spread(archives.select("name"), total).mapInArrow(run, ", ".join(fields))
