@@ -12,14 +12,16 @@ of them, which are all that k answers can need.  The k-th distance to a bounded
 limits from above what can be an answer; the join tests it, so that no other pair is produced.
 ``segment_bits`` should be about log2 of the number of codes: 16 up to 10^6, 32 beyond 10^8.
 
-Defined cases: rows without id, with a null vector or with a vector of another length than the
-longest are not indexed; a null component is a zero bit; repeated rows count once; a query is not
+Defined cases: codes of one width are searched, a parameter or else the commonest one (of equally
+common ones the smaller); a warning counts the vectors of other widths, which have no distance to
+these.  Rows without id or with a null vector are not indexed; a null component is a zero bit; repeated rows count once; a query is not
 its own answer; ties go to the smaller id; fewer than k other codes are all returned; an empty
 table gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -31,14 +33,22 @@ SEGMENT_BITS = 16
 SAMPLE = 1000
 
 
-def codes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> tuple[DataFrame, int]:
-    """(id, code) of distinct rows, the code as an array of 64-bit words, and the number of bits."""
-    bits = vectors.agg(F.max(F.size(embedding))).first()[0] or 0
-    bits = max(bits, 0)
+def codes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
+          width: int | None = None) -> tuple[DataFrame, int, int]:
+    """(id, code) of distinct rows, the code as an array of 64-bit words; the number of bits; and how
+    many rows have an id and a vector, but of another width."""
+    there = vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull())
+    sizes = there.groupBy(F.size(embedding).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    of = F.lit(width) if width is not None else F.lit(None).cast("int")
+    row = sizes.agg(F.min(F.struct((-F.col("n")).alias("n"), "w"))["w"].alias("w"), F.sum("n").alias("n"),
+                    F.sum(F.when(F.col("w") == of, F.col("n"))).alias("mine"), (-F.min(-F.col("n"))).alias("most")).first()
+    bits = width if width is not None else row["w"] or 0
+    others = (row["n"] or 0) - ((row["mine"] if width is not None else row["most"]) or 0)
     words = [F.aggregate(F.slice(embedding, 64 * j + 1, 64), F.lit(0).cast("long"), lambda acc, x: F.shiftleft(acc, 1)
                          .bitwiseOR(F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))) for j in range((bits + 63) // 64)]
-    rows = vectors.filter(F.col(vec_id).isNotNull() & (F.size(embedding) == bits) & F.lit(bits > 0))
-    return rows.select(F.col(vec_id).alias("id"), (F.array(*words) if words else F.array(F.lit(0).cast("long"))).alias("code")).distinct(), bits
+    rows = there.filter((F.size(embedding) == bits) & F.lit(bits > 0))
+    code = F.array(*words) if words else F.array(F.lit(0).cast("long"))
+    return rows.select(F.col(vec_id).alias("id"), code.alias("code")).distinct(), bits, others
 
 
 def _distance(a, b, n_words: int) -> F.Column:
@@ -53,11 +63,13 @@ def _segment(code, j: int, width: int) -> F.Column:
 
 
 def nearest(vectors: DataFrame, queries, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding",
-            segment_bits: int = SEGMENT_BITS) -> DataFrame:
+            segment_bits: int = SEGMENT_BITS, width: int | None = None) -> DataFrame:
     """(query_id, rank, id, distance) for the rows that the condition ``queries`` on ``id`` selects."""
     if 64 % segment_bits:
         raise ValueError("segment_bits must divide 64")
-    rows, bits = codes(vectors, vec_id, embedding)
+    rows, bits, others = codes(vectors, vec_id, embedding, width)
+    if others:
+        warnings.warn(f"{others} vectors are not of {bits} components and left out of the search", stacklevel=2)
     rows = saved(rows, "mih-codes")
     n_words, m = max(1, (bits + 63) // 64), -(-bits // segment_bits) or 1
     # a code's k + 1 smallest ids: one of them may be the query itself.  Spark limits the groups

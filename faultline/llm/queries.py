@@ -153,9 +153,11 @@ def _product_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> st
 
 ORACLES: dict[str, str] = {
     "op1_multi_index_hashing": """
-        with c as (select distinct vec_id, list_aggregate(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end),
+        with w as (select len(embedding) as w from embeddings where vec_id is not null and embedding is not null
+                   group by w order by count(*) desc, w limit 1),
+             c as (select distinct vec_id, list_aggregate(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end),
                                                           'string_agg', '')::bit as code
-                   from embeddings where vec_id is not null and len(embedding) = (select max(len(embedding)) from embeddings)),
+                   from embeddings, w where vec_id is not null and len(embedding) = w.w),
              d as (select q.vec_id as query_id, c.vec_id, bit_count(xor(q.code, c.code)) as distance
                    from c q join c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
              r as (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from d)
