@@ -1,12 +1,14 @@
 """Quality rules: counted rules first, then a logistic regression on hashed n-grams.
 
-Features are the word uni- and bigrams and the 3- and 4-grams of bytes, hashed into 2 ** BITS
+Features are the word uni- and bigrams and the 3- and 4-grams of characters, hashed into 2 ** BITS
 buckets; a feature's value is its share of the text's n-grams of that family.  The regression is
 fitted on labelled rows, its scores are calibrated by a logistic curve on rows held out from the
 fit, and every text is scored in Arrow batches against a fixed probability.
 
-The fit uses at most ``max_rows`` labelled rows (the bound is a parameter; rows are chosen by a
-hash of their id); everything else covers all rows and whole texts.
+The fit uses at most ``max_rows`` labelled texts, one an id, and of each at most ``max_features``
+buckets, whose values are scaled up by what is left out (both bounds are parameters; ids and buckets
+are chosen by hashes); so at most 8 * max_rows * max_features bytes reach the driver.  Everything else
+covers all rows and whole texts.
 
 Defined cases: a null or empty text has no words and fails the counted rules; labels other than
 0 and 1, and labels without a document, are left out, of repeated labels the lowest counts;
@@ -33,6 +35,7 @@ MOST_REPEATED_PERCENT = 30
 
 BITS = 18
 MAX_ROWS = 4000
+MAX_FEATURES = 8192
 #: Gradient steps of a fit, five rounds over the rows at least.
 STEPS = 15_000
 #: A text stays if its calibrated probability of good quality is at least this.
@@ -81,7 +84,7 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < LEAST_WORDS or 100 * n_repeat_words > MOST_REPEATED_PERCENT * n_words
 
 
-def families(body: bytes, words: list[bytes], bits: int = BITS) -> list[np.ndarray]:
+def families(text: str, words: list[bytes], bits: int = BITS) -> list[np.ndarray]:
     """Hash buckets of each n-gram of a text, by family."""
     drop = np.uint64(64 - bits)
 
@@ -89,10 +92,9 @@ def families(body: bytes, words: list[bytes], bits: int = BITS) -> list[np.ndarr
         return (((x + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)) >> drop).astype(np.int32)
 
     one = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-    a = np.frombuffer(body, np.uint8).astype(np.uint64)
-    two = (a[:-1] << np.uint64(8)) | a[1:]
-    three = (two[:-1] << np.uint64(8)) | a[2:]
-    four = (three[:-1] << np.uint64(8)) | a[3:]
+    a = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)       # code points, 21 bits each
+    three = (a[:-2] << np.uint64(42)) | (a[1:-1] << np.uint64(21)) | a[2:]
+    four = three[:-1] * np.uint64(0x100000001B3) + a[3:]
     # a word followed by itself is one bigram whatever the word, so that stutter can be learnt
     pair = np.where(one[:-1] == one[1:], np.uint64(0), one[:-1] * np.uint64(0x100000001B3) + one[1:])
     return [bucket(one, 1 << 40), bucket(pair, 2 << 40),
@@ -107,46 +109,54 @@ class Model:
     offset: float = 0.0
     bits: int = BITS
 
-    def raw(self, body: bytes, words: list[bytes]) -> float:
-        return sum(float(self.weights[f].mean()) for f in families(body, words, self.bits) if len(f))
+    def raw(self, text: str, words: list[bytes]) -> float:
+        return sum(float(self.weights[f].mean()) for f in families(text, words, self.bits) if len(f))
 
-    def probability(self, body: bytes, words: list[bytes]) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.raw(body, words) + self.offset, -60, 60))))
+    def probability(self, text: str, words: list[bytes]) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.slope * self.raw(text, words) + self.offset, -60, 60))))
 
 
-def _sparse(body: bytes, words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = [f for f in families(body, words, bits) if len(f)]
+def _sparse(text: str, words: list[bytes], bits: int, most: int = MAX_FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and values of a text; beyond ``most`` buckets a part chosen by hash, scaled up."""
+    parts = [f for f in families(text, words, bits) if len(f)]
     if not parts:
         return np.empty(0, np.int32), np.empty(0, np.float32)
     where, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    value = np.concatenate([np.full(len(f), 1 / len(f)) for f in parts])
-    return where.astype(np.int32), np.bincount(inverse, value).astype(np.float32)
+    value = np.bincount(inverse, np.concatenate([np.full(len(f), 1 / len(f)) for f in parts]))
+    if len(where) > most:
+        salt = np.uint64(zlib.crc32(words[0])) if words else np.uint64(0)
+        some = np.sort(np.argsort((where.astype(np.uint64) + salt) * np.uint64(0x9E3779B97F4A7C15), kind="stable")[:most])
+        where, value = where[some], value[some] * (len(where) / most)
+    return where.astype(np.int32), value.astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        max_rows: int = MAX_ROWS, bits: int = BITS, steps: int = STEPS) -> Model | None:
+        max_rows: int = MAX_ROWS, bits: int = BITS, steps: int = STEPS, max_features: int = MAX_FEATURES) -> Model | None:
     """A calibrated model, or None without labels of both kinds."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).cast("int").alias("_y")))
     # the labels chosen: at most max_rows narrow rows, so the join may broadcast them
     chosen = known.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(max_rows)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
-    schema = "_id long, _y int, _where array<int>, _value array<float>"
+    schema = "_id long, _y int, _hash long, _where array<int>, _value array<float>"
 
     def featurise(batches):
+        # an id of many rows has one text, that of the least hash, and sends one row a task
+        best: dict[int, tuple] = {}
         for batch in batches:
-            d = batch.to_pydict()
-            found = [_sparse(body, body.split(), bits) for body in ((t or "").encode() for t in d["_text"])]
+            for i, y, h, t in zip(*(c.to_pylist() for c in batch.columns)):
+                if i not in best or h < best[i][1]:
+                    best[i] = y, h, *_sparse(t or "", (t or "").encode().split(), bits, max_features)
+        if best:
+            y, h, where, value = zip(*best.values())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(d["_id"], pa.int64()), pa.array(d["_y"], pa.int32()),
-                 pa.array([w for w, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.list_(pa.float32()))],
-                names=["_id", "_y", "_where", "_value"])
-    # a repeated document is one training row; at most max_rows rows reach the driver
-    got = rows.select(F.col("_id").cast("long"), "_y", "_text").mapInArrow(featurise, schema).toArrow().combine_chunks()
-    first: dict[int, int] = {}
-    for i, x in enumerate(got["_id"].to_pylist()):
-        first.setdefault(x, i)
-    order = [i for _, i in sorted(first.items())]
+                [pa.array(best, pa.int64()), pa.array(y, pa.int32()), pa.array(h, pa.int64()),
+                 pa.array(where, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))],
+                names=["_id", "_y", "_hash", "_where", "_value"])
+    texts = rows.select(F.col("_id").cast("long"), "_y", F.xxhash64("_text").alias("_hash"), "_text").mapInArrow(featurise, schema)
+    one = texts.groupBy("_id").agg(F.min_by(F.struct("_y", "_where", "_value"), "_hash").alias("r"))
+    got = one.select("_id", "r.*").toArrow().combine_chunks()
+    order = np.argsort(np.array(got["_id"].to_pylist(), np.int64), kind="stable").tolist()
     y = np.array(got["_y"].to_pylist(), np.float64)[order] if order else np.empty(0)
     if len(set(y)) < 2:
         return None
@@ -223,7 +233,7 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", keep_from:
                 words = body.split()
                 found = counts(t, body, words)
                 failed = base_failed(found[0], found[4])
-                p = model.probability(body, words) if model else None
+                p = model.probability(t or "", words) if model else None
                 rows.append((*found, failed, p, not failed and (p is None or p >= keep_from)))
             made = list(zip(*rows)) or [()] * len(names)
             types = [pa.int64()] * len(COUNTS) + [pa.bool_(), pa.float64(), pa.bool_()]
