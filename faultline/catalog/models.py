@@ -252,12 +252,6 @@ def i10(spark, sf):
     return ml.train_evaluate(table, feats, TARGET, max_iter=STOPPED_ROUNDS)[2]
 
 
-@query("i10_holdout_predictions")
-def i10_hold(spark, sf):
-    table, feats = _prepared(spark, sf)
-    return ml.train_evaluate(table, feats, TARGET, max_iter=STOPPED_ROUNDS)[0].where("split = 'hold'")
-
-
 # ------------------------------------------------------------------ I10 after the training, over fixture scores
 def _chain_scores(spark, sf):
     """Two models and their ensemble; the validation rows' second half, by position, is the hold-out."""
