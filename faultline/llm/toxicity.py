@@ -39,7 +39,7 @@ PIECE = 16
 WINDOW = 24
 STRIDE = 12
 MAX_ROWS = 2000
-MAX_WINDOWS = 40
+MAX_WINDOWS = 24
 ROUNDS = 8
 STEPS = 80         # per round
 BATCH = 128
@@ -243,36 +243,65 @@ def train_step(p, words, rows, tokens, y):
     return loss, grads
 
 
-def train(windows: list[list[list[bytes]]], labels: list[int], rounds: int = ROUNDS, steps: int = STEPS, batch: int = BATCH,
+def project(p: dict[str, np.ndarray], words: list[bytes], rows: np.ndarray, block: int = 4096) -> np.ndarray:
+    """The input projections of pieces."""
+    out = np.empty((len(words), 6 * STATE), np.float32)
+    for i in range(0, len(words), block):
+        out[i:i + block] = word_inputs(p, words[i:i + block], rows[i:i + block])[0] @ p["w_w"] + p["w_b"]
+    return out
+
+
+def window_logits(p: dict[str, np.ndarray], table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """One logit a window of piece numbers [row, step]; number 0 is padding."""
+    out = np.empty(len(tokens), np.float32)
+    top = Layer(p, "w")
+    for i in range(0, len(tokens), BLOCK):
+        at = np.ascontiguousarray(tokens[i:i + BLOCK].T)
+        there = at > 0
+        there[0] |= ~there.any(0)
+        out[i:i + BLOCK] = p["out"] @ top.forward(table, at, there) + p["bias"]
+    return out
+
+
+def train(windows: list[list[bytes]], labels: list[int], rounds: int = ROUNDS, steps: int = STEPS, batch: int = BATCH,
           rate: float = RATE, seed: int = 3) -> tuple[dict[str, np.ndarray], dict[bytes, int]]:
-    """Parameters and vocabulary, from the sampled windows of labelled texts of both classes.
+    """Parameters and vocabulary, from the sampled windows (pieces joined by spaces) of labelled texts of
+    both classes.
 
     Most windows of a toxic text are harmless.  The first round draws from all windows; each later one
     scores all windows first and draws, for toxic texts, from the highest eighth of a text's windows, and
     for others every second time."""
-    seen = Counter(w for doc in windows for w in {w for x in doc for w in x})
+    number: dict[bytes, int] = {b"": 0}
+    tokens = np.zeros((sum(map(len, windows)), WINDOW), np.int32)
+    first = np.concatenate([[0], np.cumsum([len(doc) for doc in windows])]).tolist()
+    in_texts = Counter()
+    for doc, at in zip(windows, first):
+        for r, x in enumerate(doc, at):
+            x = x.split()
+            tokens[r, :len(x)] = [number.setdefault(w, len(number)) for w in x]
+        in_texts.update(np.unique(tokens[at:at + len(doc)]).tolist())
+    words = list(number)
+    del number, in_texts[0]
     least = 3 if len(windows) >= 30 else 2
-    common = sorted((w for w, c in seen.items() if c >= least), key=lambda w: (-seen[w], w))[:VOCABULARY - 1]
-    vocabulary = {w: i + 1 for i, w in enumerate(common)}          # row 0: all others
-    p = initial(len(vocabulary) + 1)
+    common = sorted((i for i, c in in_texts.items() if c >= least), key=lambda i: (-in_texts[i], words[i]))[:VOCABULARY - 1]
+    rows = np.zeros(len(words), np.int64)                          # row 0: all others
+    rows[common] = np.arange(1, len(common) + 1)
+    p = initial(len(common) + 1)
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     rng = np.random.default_rng(seed)
     side = [[i for i, y in enumerate(labels) if y == c] for c in (0, 1)]
-    best = [range(len(doc)) for doc in windows]
+    best = [range(a, b) for a, b in zip(first, first[1:])]
     for step in range(1, rounds * steps + 1):
         if step % steps == 1 and step > 1:
-            best = [np.argsort(-z, kind="stable")[:-(-len(z) // 8)].tolist() for z in Scorer(p, vocabulary).windows(windows)]
+            z = window_logits(p, project(p, words, rows), tokens)
+            best = [(a + np.argsort(-z[a:b], kind="stable")[:-((a - b) // 8)]).tolist() for a, b in zip(first, first[1:])]
         chosen = []
         for c in (0, 1):
             for i in rng.choice(side[c], batch // 2):
-                some = best[i] if c or rng.random() < 0.5 else range(len(windows[i]))
-                chosen.append((windows[i][some[rng.integers(len(some))]], c))
-        words: dict[bytes, int] = {b"": 0}
-        tokens = np.zeros((len(chosen), WINDOW), np.int64)
-        for r, (x, _) in enumerate(chosen):
-            tokens[r, :len(x)] = [words.setdefault(w, len(words)) for w in x]
-        rows = np.array([vocabulary.get(w, 0) for w in words])
-        _, grads = train_step(p, list(words), rows, tokens, np.array([c for _, c in chosen], np.float32))
+                some = best[i] if c or rng.random() < 0.5 else range(first[i], first[i + 1])
+                chosen.append((some[rng.integers(len(some))], c))
+        some, here = np.unique(np.append(0, tokens[[i for i, _ in chosen]]), return_inverse=True)
+        _, grads = train_step(p, [words[i] for i in some], rows[some], here[1:].reshape(-1, WINDOW), np.array([c for _, c in chosen], np.float32))
         size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         now = rate * (1 - 0.9 * step / (rounds * steps))
         for k, g in grads.items():
@@ -281,7 +310,7 @@ def train(windows: list[list[list[bytes]]], labels: list[int], rounds: int = ROU
             v[k] += 0.01 * (g * g - v[k])
             p[k] -= (now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-7)).astype(np.float32)
         p["words"] *= 1 - now * 0.1
-    return p, vocabulary
+    return p, {words[i]: n for n, i in enumerate(common, 1)}
 
 
 class Scorer:
@@ -289,7 +318,6 @@ class Scorer:
 
     def __init__(self, p: dict[str, np.ndarray], vocabulary: dict[bytes, int], keep: int = KEEP):
         self.p, self.vocabulary, self.keep = p, vocabulary, keep
-        self.top = Layer(p, "w")
         self._forget()
 
     def _forget(self):
@@ -298,8 +326,7 @@ class Scorer:
         self.table[0] = self._project([b""])[0]
 
     def _project(self, words: list[bytes]) -> np.ndarray:
-        rows = np.array([self.vocabulary.get(w, 0) for w in words])
-        return word_inputs(self.p, words, rows)[0] @ self.p["w_w"] + self.p["w_b"]
+        return project(self.p, words, np.array([self.vocabulary.get(w, 0) for w in words]))
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Rows of the table; call once per block, the rows hold until the next call."""
@@ -310,31 +337,10 @@ class Scorer:
         known.update(zip(new, range(before, before + len(new))))
         while len(self.table) < len(known):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            self.table[before + i:before + i + len(part)] = self._project(part)
+        if new:
+            self.table[before:len(known)] = self._project(new)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def logits(self, tokens: np.ndarray) -> np.ndarray:
-        """One logit a window of piece numbers [row, step]."""
-        at = np.ascontiguousarray(tokens.T)
-        there = at > 0
-        there[0] |= ~there.any(0)
-        return self.p["out"] @ self.top.forward(self.table, at, there) + self.p["bias"]
-
-    def windows(self, docs: list[list[list[bytes]]], block: int = BLOCK) -> list[np.ndarray]:
-        """The logit of each window of each of some texts, given as windows."""
-        flat = [x for doc in docs for x in doc]
-        out = np.empty(len(flat), np.float32)
-        for a in range(0, len(flat), block):
-            part = flat[a:a + block]
-            numbers, tokens, place = self.numbers(list(chain.from_iterable(part))), np.zeros((len(part), WINDOW), np.int64), 0
-            for r, x in enumerate(part):
-                tokens[r, :len(x)] = numbers[place:place + len(x)]
-                place += len(x)
-            out[a:a + len(part)] = self.logits(tokens)
-        return np.split(out, np.cumsum([len(doc) for doc in docs])[:-1])
-
     def highest(self, texts: list[str | None]) -> list[tuple[float, int, int]]:
         """(logit, first piece, windows) of the highest window of each text.
 
@@ -349,7 +355,7 @@ class Scorer:
                 k = min(WINDOW, len(words))
                 tokens[r:r + len(starts), :k] = flat[place + starts[:, None] + np.arange(k)]
                 place, r = place + len(words), r + len(starts)
-            got, r = self.logits(tokens), 0
+            got, r = window_logits(self.p, self.table, tokens), 0
             for i, _, first, starts in waiting:
                 best = int(got[r:r + len(starts)].argmax())
                 logit, at, n = out[i]
@@ -375,13 +381,13 @@ class Scorer:
 
 
 # ---------------------------------------------------------------------------- Spark
-def _sampled(text: str | None, most: int, salt: int) -> list[list[bytes]]:
-    """At most ``most`` windows of a text, chosen by hashes of their places."""
+def _sampled(text: str | None, most: int, salt: int) -> list[bytes]:
+    """At most ``most`` windows of a text, chosen by hashes of their places, as pieces joined by spaces."""
     words = pieces(text)
     starts = window_starts(len(words))
     if len(starts) > most:
         starts = sorted(starts.tolist(), key=lambda s: zlib.crc32(b"%d:%d" % (salt, s)))[:most]
-    return [words[s:s + WINDOW] for s in starts]
+    return [b" ".join(words[s:s + WINDOW]) for s in starts]
 
 
 class Model:
@@ -416,7 +422,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 for r in batch.to_pylist():
                     if r["_id"] not in best or r["_hash"] < best[r["_id"]][3]:
                         best[r["_id"]] = r["_id"], r["_y"], r["_check"], r["_hash"], make(r["_id"], r["_text"])
-            made = pa.list_(pa.list_(pa.binary())) if isinstance(kind, T.ArrayType) else pa.float64()
+            made = pa.list_(pa.binary()) if isinstance(kind, T.ArrayType) else pa.float64()
             if best:
                 cols = list(zip(*best.values()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), made])], names=schema.names)
@@ -425,19 +431,20 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def collected(part, make, kind):
         run, schema = once(make, kind)
         got = part.mapInArrow(run, schema).groupBy("_id").agg(F.min_by(F.struct("_y", "_made"), "_hash").alias("r")).select("_id", "r.*")
-        return sorted(got.collect(), key=lambda r: r["_id"])
+        got = got.toArrow().sort_by("_id")
+        return got["_made"].to_pylist(), got["_y"].to_pylist()
 
-    data = collected(rows.filter("not _check"), lambda i, t: _sampled(t, max_windows, i), T.ArrayType(T.ArrayType(T.BinaryType())))
-    y = [r["_y"] for r in data]
+    windows, y = collected(rows.filter("not _check"), lambda i, t: _sampled(t, max_windows, i), T.ArrayType(T.BinaryType()))
     if len(set(y)) < 2:
         return None
-    p, vocabulary = train([[[bytes(w) for w in x] for x in r["_made"]] for r in data], y, rounds)
-    del data
+    p, vocabulary = train(windows, y, rounds)
+    del windows
+    pa.default_memory_pool().release_unused()
     shared = docs.sparkSession.sparkContext.broadcast((p, vocabulary))
-    check = collected(rows.filter("_check"), _logit_of(shared), T.DoubleType())
-    if len({r["_y"] for r in check}) < 2:
-        check = collected(rows, _logit_of(shared), T.DoubleType())
-    slope, offset = platt(np.array([r["_made"] for r in check]), np.array([r["_y"] for r in check], np.float64))
+    logits, y = collected(rows.filter("_check"), _logit_of(shared), T.DoubleType())
+    if len(set(y)) < 2:
+        logits, y = collected(rows, _logit_of(shared), T.DoubleType())
+    slope, offset = platt(np.array(logits), np.array(y, np.float64))
     return Model(p, vocabulary, slope, offset)
 
 
