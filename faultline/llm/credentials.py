@@ -73,10 +73,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     body = F.coalesce(F.col(text), F.lit(""))
     empty = F.expr("cast(array() as array<struct<kind:int,gap:int,len:int,ok:boolean>>)")
     parts = F.concat(*[F.coalesce(_parts(body, k), empty) for k in KINDS])
-    # the key of a text with parts; other rows have no key and meet nothing in the join
-    rows = docs.withColumn("_sec_key", F.when(F.regexp_like(body, F.lit("|".join(f"(?:{PATTERNS[k]})" for k in KINDS))),
-                                              F.sha2(body, 256)).otherwise(F.lit("")))
-    some = (rows.filter(F.col("_sec_key") != "")
+    # the patterns run once over each text, on the side that looks for parts; the side that keeps the
+    # rows needs only the text's key
+    rows = docs.withColumn("_sec_key", F.sha2(body, 256))
+    some = (rows.filter(F.regexp_like(body, F.lit("|".join(f"(?:{PATTERNS[k]})" for k in KINDS))))
             .select(F.col(doc_id).alias("id"), F.col("_sec_key").alias("key"), parts.alias("parts"))
             .groupBy("id", "key").agg(F.first("parts").alias("parts")))
     one = some.select("id", "key", F.posexplode("parts").alias("i", "p")).select("id", "key", "i", "p.*")
