@@ -42,7 +42,7 @@ UNIGRAM, MERGES = 1, 2
 UNKNOWN_SURFACE = " ⁇ "
 #: Words whose paths a worker remembers in each of two generations (some 250 bytes a word), the longest
 #: word worth remembering, and the tested bigrams remembered (some 130 bytes each).
-KEEP_WORDS, KEEP_CHARS, KEEP_BIGRAMS = 150_000, 48, 250_000
+KEEP_WORDS, KEEP_CHARS, KEEP_BIGRAMS = 220_000, 48, 500_000
 #: Texts encoded at a time: their ids are the largest thing that a task holds.
 TOGETHER = 500
 INFINITE = float("inf")
