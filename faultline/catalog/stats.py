@@ -29,7 +29,8 @@ def _feat(spark, sf, saved=True):
     if not saved:
         return table
     from faultline.session import materialize
-    return materialize(table, "features")
+    # doubles that seldom repeat: a dictionary of each would be built and dropped
+    return materialize(table, "features", {"parquet.enable.dictionary": "false"})
 
 
 FEAT_SQL = f"({label_sql(feature_sql(), H)})"
