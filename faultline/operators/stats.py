@@ -43,6 +43,7 @@ from pyspark.sql import Window  # noqa: E402
 
 from faultline.functions.exprs import pearson  # noqa: E402
 from faultline.plans.prefix import exact_quantiles, join_small, prefix_sums  # noqa: E402
+from faultline.session import materialize  # noqa: E402
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -50,20 +51,17 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
 
 
-#: Pairs whose products a worker holds at once for a batch of rows.
-PAIR_CHUNK = 256
-
-
 def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """E2 (long form): (var1, var2, i, j, corr) for every pair i < j of ``cols`` (or ``pairs``),
     pairwise-complete like pandas ``DataFrame.corr``; NaN counts as missing.
 
-    Two passes over the rows.  The first sums each pair's columns over the rows where both are
+    Two passes over the rows.  The first counts and sums each column over the rows where each other one is
     present, the second sums squares and products of the deviations from exactly these means, so
-    that neither rows missing in the partner nor large offsets cost precision.  Each task reduces
-    its rows to one row per pair; nothing but (pair, sums) is shuffled, and the means, one pair of
-    numbers per pair of columns, are all that the driver sees.  NULL if a column is constant over
-    the pair's rows, or there are fewer than two."""
+    that neither rows missing in the partner nor large offsets cost precision.  Columns that are present in the
+    same rows (their counts agree with their common one) have the same partners' means: their products are
+    one matrix product.  Each task reduces its rows to one row per pair; nothing but (pair, sums) is shuffled, and
+    the counts and sums, one pair of numbers per pair of columns, are all that the driver sees.  NULL if a column
+    is constant over the pair's rows, or there are fewer than two."""
     idx = {c: i for i, c in enumerate(cols)}
     if pairs is None:
         pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
@@ -79,38 +77,64 @@ def pairwise_correlations(df: DataFrame, cols: list[str], pairs: list[tuple[str,
         return m, ~np.isnan(m)
 
     def means_pass(batches):
-        n = s_left = s_right = 0
+        n = total = None
         for batch in batches:
             m, there = table_of(batch)
-            zero, one = np.where(there, m, 0.0), there.astype(np.float64)
-            both, sums = one.T @ one, zero.T @ one
-            n, s_left, s_right = n + both[left, right], s_left + sums[left, right], s_right + sums[right, left]
-        if not np.isscalar(n):
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), pa.array(n), pa.array(s_left),
-                                              pa.array(s_right)], names=["pid", "n", "sa", "sb"])
-    sums = {r.pid: r for r in x.mapInArrow(means_pass, "pid int, n double, sa double, sb double").groupBy("pid").agg(
-        F.sum("n").alias("n"), F.sum("sa").alias("sa"), F.sum("sb").alias("sb")).collect()}
-    mean = np.zeros((2, len(pairs)))
-    for k, r in sums.items():
-        mean[:, k] = (r.sa / r.n, r.sb / r.n) if r.n else (0.0, 0.0)
+            one = there.astype(np.float64)
+            both, sums = one.T @ one, np.where(there, m, 0.0).T @ one
+            n, total = (both, sums) if n is None else (n + both, total + sums)
+        if n is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n.size, dtype=np.int32)), pa.array(n.ravel()), pa.array(total.ravel())],
+                                             names=["cell", "n", "s"])
+    n, total = np.zeros((2, len(used), len(used)))
+    for r in x.mapInArrow(means_pass, "cell int, n double, s double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect():
+        n.flat[r.cell], total.flat[r.cell] = r.n, r.s
+    mean = np.divide(total, n, out=np.zeros_like(total), where=n > 0)
+    # the first column that is present in the same rows
+    like = np.array([next(j for j in range(i + 1) if n[i, j] == n[i, i] == n[j, j]) for i in range(len(used))], np.int64)
+    groups = {}
+    for k, (i, j) in enumerate(zip(left, right)):
+        groups.setdefault((min(like[i], like[j]), max(like[i], like[j])), []).append(k)
+    blocks = []
+    for (p, q), members in groups.items():
+        k = np.array(members)
+        turned = like[left[k]] != p
+        a, b = np.where(turned, right[k], left[k]), np.where(turned, left[k], right[k])
+        ca, ia = np.unique(a, return_inverse=True)
+        cb, ib = np.unique(b, return_inverse=True)
+        blocks.append((p, q, k, turned, ca, ia, mean[ca, q], cb, ib, mean[cb, p]))
+
+    def sums_of(v, means):
+        d = v - means
+        return d, np.vstack([(d * d).sum(0), v.min(0), v.max(0)])
+
+    def plus(a, b):
+        return b if a is None else np.vstack([a[:1] + b[:1], np.minimum(a[1], b[1]), np.maximum(a[2], b[2])])
 
     def products_pass(batches):
-        total = None
+        counts, xy, of_a, of_b = ([v] * len(blocks) for v in (0.0, 0.0, None, None))
+        seen = False
         for batch in batches:
             m, there = table_of(batch)
-            part = np.empty((8, len(left)))
-            for lo in range(0, len(left), PAIR_CHUNK):
-                i, j, k = left[lo:lo + PAIR_CHUNK], right[lo:lo + PAIR_CHUNK], slice(lo, lo + PAIR_CHUNK)
-                both = there[:, i] & there[:, j]
-                a, b = np.where(both, m[:, i], np.nan), np.where(both, m[:, j], np.nan)
-                da, db = np.where(both, a - mean[0, k], 0.0), np.where(both, b - mean[1, k], 0.0)
-                part[:, k] = (both.sum(0), (da * db).sum(0), (da * da).sum(0), (db * db).sum(0),
-                              np.fmin.reduce(a, 0, initial=np.inf), np.fmax.reduce(a, 0, initial=-np.inf),
-                              np.fmin.reduce(b, 0, initial=np.inf), np.fmax.reduce(b, 0, initial=-np.inf))
-            total = part if total is None else np.vstack([total[:4] + part[:4], np.minimum(total[4], part[4]), np.maximum(total[5], part[5]),
-                                                          np.minimum(total[6], part[6]), np.maximum(total[7], part[7])])
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), *[pa.array(t) for t in total]],
+            seen = True
+            for g, (p, q, _, _, ca, _, ma, cb, _, mb) in enumerate(blocks):
+                both = there[:, p] & there[:, q]
+                if not both.any():
+                    continue
+                rows = m if both.all() else m[both]
+                da, a = sums_of(rows[:, ca], ma)
+                db, b = sums_of(rows[:, cb], mb)
+                counts[g], xy[g] = counts[g] + len(rows), xy[g] + da.T @ db
+                of_a[g], of_b[g] = plus(of_a[g], a), plus(of_b[g], b)
+        if seen:
+            out = np.zeros((8, len(left)))
+            out[[4, 6]], out[[5, 7]] = np.inf, -np.inf
+            for g, (_, _, k, turned, _, ia, _, _, ib, _) in enumerate(blocks):
+                if of_a[g] is not None:
+                    a, b = of_a[g][:, ia], of_b[g][:, ib]
+                    first, second = np.where(turned, b, a), np.where(turned, a, b)
+                    out[:, k] = (np.full(len(k), counts[g]), xy[g][ia, ib], first[0], second[0], first[1], first[2], second[1], second[2])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(left), dtype=np.int32)), *[pa.array(t) for t in out]],
                                              names=["pid", *names])
     names = ["n", "xy", "xx", "yy", "a0", "a1", "b0", "b1"]
     g = x.mapInArrow(products_pass, "pid int, " + ", ".join(f"{c} double" for c in names)).groupBy("pid").agg(
@@ -265,11 +289,13 @@ def feature_correlation_prune(df: DataFrame, features: list[str], target: str,
     """A feature is removed when any *earlier* feature has |r| > corr_threshold with it;
     recommended when not removed and |r with target| >= target_threshold (NULL r -> not kept).
     Returns (feature, target_corr, removed, recommended)."""
-    long = pairwise_correlations(df, features)
-    rem = long.where(F.abs("corr") > corr_threshold).select(F.col("var2").alias("feature")).distinct() \
+    # the pairs with the target, told apart by their place (-1 if it is no feature), come from the same two passes
+    both = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
+    long = materialize(pairwise_correlations(df, features, list(dict.fromkeys(both + [(c, target) for c in features]))), "pairs")
+    earlier = F.col("i") < F.col("j")
+    rem = long.where(earlier & (F.abs("corr") > corr_threshold)).select(F.col("var2").alias("feature")).distinct() \
         .select("feature", F.lit(1).alias("removed"))
-    tc = pairwise_correlations(df, features, [(c, target) for c in features]) \
-        .select(F.col("var1").alias("feature"), F.col("corr").alias("target_corr"))
+    tc = long.where(F.col("var2") == target).select(F.col("var1").alias("feature"), F.col("corr").alias("target_corr"))
     out = tc.join(rem, on="feature", how="left").select(
         "feature", "target_corr", F.coalesce("removed", F.lit(0)).alias("removed"))
     return out.select("*", ((F.col("removed") == 0) & F.coalesce(F.abs("target_corr") >= target_threshold,

@@ -19,6 +19,24 @@ def _table(spark, n=120):
     return rows, spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double, y int")
 
 
+def test_prune_reads_the_table_in_one_pair_of_passes(spark, monkeypatch):
+    rows, df = _table(spark)
+    calls, real = [], st.pairwise_correlations
+    monkeypatch.setattr(st, "pairwise_correlations", lambda *a, **k: calls.append(1) or real(*a, **k))
+    names = ["a", "b", "c", "d", "e", "f"]
+    got = {r["feature"]: r for r in st.feature_correlation_prune(df, names, "y", 0.5).collect()}
+    assert len(calls) == 1 and sorted(got) == names
+
+    def r(i, j):
+        both = [(x[i], x[j]) for x in rows if x[i] is not None and x[j] is not None]
+        p, q = np.array(both).T if both else (np.array([0.0]),) * 2
+        return None if np.ptp(p) == 0 or np.ptp(q) == 0 else float(np.corrcoef(p - p.mean(), q - q.mean())[0, 1])
+    for i, name in enumerate(names):
+        want = r(i, 6)
+        assert got[name]["target_corr"] == (None if want is None else pytest.approx(want, abs=1e-9))
+        assert got[name]["removed"] == int(any((r(j, i) is not None and abs(r(j, i)) > 0.5) for j in range(i)))
+
+
 def test_label_before_or_after_the_features(spark):
     rows = [(f"D{d}", dt.date(2024, 1, 1) + dt.timedelta(i), float((i * 7 + d) % 5) if i % 4 else None, float(i), int((i + d) % 6 == 0))
             for d in range(3) for i in range(12)]
