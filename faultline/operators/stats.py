@@ -367,6 +367,22 @@ def _f_tail(f, d1, d2):
     return F.when(f <= 0, F.lit(1.0)).when(x <= 0, F.lit(0.0)).otherwise(F.when(value < 0, F.lit(0.0)).otherwise(value))
 
 
+def _rounded(x):
+    """``round(x)`` of a double (halves away from zero) without its decimal arithmetic: the fraction is exact
+    below 2^52, and greater numbers, infinities and NaN are left as they are."""
+    whole = F.floor(F.abs(x)).cast("double")
+    up = whole + F.when(F.abs(x) - whole >= 0.5, 1.0).otherwise(0.0)
+    return F.when(F.abs(x) < float(2 ** 52), F.when((x < 0) & (up > 0), -up).otherwise(up)).otherwise(x)
+
+
+def _cuts_upto(x, cuts, lo: int, hi: int):
+    """How many of the ascending ``cuts`` are at most ``x``, at least ``lo`` and at most ``hi`` of them: by halves."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x < cuts[mid], _cuts_upto(x, cuts, lo, mid)).otherwise(_cuts_upto(x, cuts, mid + 1, hi))
+
+
 def mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 10,
                        resolution: float = 1e-9) -> DataFrame:
     """E16 (re-aimed): plug-in mutual information (nats) between the target and each feature
@@ -375,14 +391,17 @@ def mutual_information(df: DataFrame, features: list[str], target: str, bins: in
     Values are binned at ``resolution`` (rounded first), so last-bit noise cannot move a point
     across a cut."""
     m = 1.0 / resolution
-    long = _stack(df, features, [target]).where(F.col("value").isNotNull()) \
-        .withColumn("value", F.round(F.col("value") * F.lit(m)) / F.lit(m))
-    probs = [i / bins for i in range(1, bins)]
-    cuts = exact_quantiles(long, "value", probs, ["variable"]) \
-        .groupBy("variable").agg(F.array_sort(F.collect_list("value")).alias("cuts"))  # bins-1 per feature
-    j = long.join(F.broadcast(cuts), on="variable")
-    b = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
-    ct = j.groupBy("variable", b.alias("bin"), F.col(target).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    # features go by their place; their cut points (bins - 1 each) are all that the driver sees
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("variable"), F.col(f"`{c}`").cast("double").alias("x")) for i, c in enumerate(features)]))
+                     .alias("s"), F.col(target).alias("y")).where(F.col("s.x").isNotNull()) \
+        .select("s.variable", (_rounded(F.col("s.x") * F.lit(m)) / F.lit(m)).alias("value"), "y")
+    cuts = [[] for _ in features]
+    for r in exact_quantiles(long, "value", [i / bins for i in range(1, bins)], ["variable"]).collect():
+        cuts[r["variable"]].append(r["value"])
+    held = F.array(*[F.array(*[F.lit(c) for c in sorted(of, key=lambda c: (c != c, c))]).cast("array<double>") for of in cuts])
+    ct = long.groupBy("variable", _cuts_upto(F.col("value"), F.element_at(held, F.col("variable") + 1), 0, bins - 1).alias("bin"), "y") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    ct = ct.withColumn("variable", F.element_at(F.array(*[F.lit(c) for c in features]), F.col("variable") + 1))
     w_f = Window.partitionBy("variable")
     w_b = Window.partitionBy("variable", "bin")
     w_y = Window.partitionBy("variable", "y")

@@ -37,6 +37,27 @@ def test_prune_reads_the_table_in_one_pair_of_passes(spark, monkeypatch):
         assert got[name]["removed"] == int(any((r(j, i) is not None and abs(r(j, i)) > 0.5) for j in range(i)))
 
 
+def test_rounding_without_decimals_is_round(spark):
+    xs = [0.0, -0.0, 0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 123456789.5, 4503599627370495.5,
+          -4503599627370495.5, 2.0 ** 52, 2.0 ** 53 + 2, 9.3e18, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", F.round("x").alias("old"), st._rounded(F.col("x")).alias("new")).collect()
+    for r in got:
+        assert r["old"] == r["new"] or (math.isnan(r["old"]) and math.isnan(r["new"])), r
+
+
+def test_mutual_information_of_bins(spark):
+    rows, df = _table(spark)
+    got = {r["feature"]: r["mi_score"] for r in st.mutual_information(df, ["a", "c", "e", "f"], "y", 4).collect()}
+    assert sorted(got) == ["a", "c", "e"]
+    for i, name in ((0, "a"), (2, "c"), (4, "e")):
+        v = np.array([x[i] for x in rows if x[i] is not None]).round(9)
+        y = np.array([x[6] for x in rows if x[i] is not None])
+        bins = (v[:, None] >= np.quantile(v, [0.25, 0.5, 0.75])[None]).sum(1)
+        want = sum((m := ((bins == b) & (y == k)).mean()) and m * math.log(m / ((bins == b).mean() * (y == k).mean()))
+                   for b in set(bins) for k in set(y))
+        assert got[name] == pytest.approx(want, abs=1e-9)
+
+
 def test_label_before_or_after_the_features(spark):
     rows = [(f"D{d}", dt.date(2024, 1, 1) + dt.timedelta(i), float((i * 7 + d) % 5) if i % 4 else None, float(i), int((i + d) % 6 == 0))
             for d in range(3) for i in range(12)]
