@@ -58,6 +58,20 @@ def test_mutual_information_of_bins(spark):
         assert got[name] == pytest.approx(want, abs=1e-9)
 
 
+def test_selection_reads_the_wide_rows_twice(spark):
+    rows, df = _table(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+    wide = df.withColumn("a", counted.asNondeterministic()("a"))
+    top = ml.select_top_features(wide, ["a", "b", "c", "f"], "y", 2, num_trees=3).collect()
+    assert [r["rank"] for r in top] == [1, 2] and top[0]["feature"] == "c"
+    assert seen.value <= 2 * len(rows)
+
+
 def test_label_before_or_after_the_features(spark):
     rows = [(f"D{d}", dt.date(2024, 1, 1) + dt.timedelta(i), float((i * 7 + d) % 5) if i % 4 else None, float(i), int((i + d) % 6 == 0))
             for d in range(3) for i in range(12)]
