@@ -72,6 +72,23 @@ def test_selection_reads_the_wide_rows_twice(spark):
     assert seen.value <= 2 * len(rows)
 
 
+def test_ratios_draw_once(spark, monkeypatch):
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(f"D{i}", day, float(i), int(i % 9 == 0)) for i in range(60)], "device string, date date, a double, y int")
+    kept = []
+
+    class Enough(Exception):
+        pass
+
+    def fit(train, *_, **__):
+        kept.append(train.storageLevel.useDisk)
+        raise Enough
+    monkeypatch.setattr(ml, "train_boosted", fit)
+    with pytest.raises(Enough):
+        ml.tune_neg_per_pos(df, df, "y", ratios=(2,))
+    assert kept == [True]
+
+
 def test_label_before_or_after_the_features(spark):
     rows = [(f"D{d}", dt.date(2024, 1, 1) + dt.timedelta(i), float((i * 7 + d) % 5) if i % 4 else None, float(i), int((i + d) % 6 == 0))
             for d in range(3) for i in range(12)]
