@@ -89,6 +89,15 @@ def test_ratios_draw_once(spark, monkeypatch):
     assert kept == [True]
 
 
+def test_medians_are_fields(spark):
+    _, df = _table(spark)
+    filled = lb.median_impute(df, df, ["b", "f"])
+    assert "map_from_entries" not in filled._jdf.queryExecution().optimizedPlan().toString()
+    got = filled.select("b", "f").collect()
+    want = float(np.median([r["b"] for r in df.where("b is not null").collect()]))
+    assert [r["b"] for r in got][:5] == pytest.approx([want] * 5) and all(r["f"] is None for r in got)
+
+
 def test_label_before_or_after_the_features(spark):
     rows = [(f"D{d}", dt.date(2024, 1, 1) + dt.timedelta(i), float((i * 7 + d) % 5) if i % 4 else None, float(i), int((i + d) % 6 == 0))
             for d in range(3) for i in range(12)]
