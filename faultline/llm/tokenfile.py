@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -39,8 +40,10 @@ ENTRY, ENTRY_BYTES, FOOTER, FOOTER_BYTES = "<III", 12, "<IBI", 9
 
 FILE_BYTES = 8 << 20
 END_ID = 0
-#: Words that a worker remembers, some 150 bytes each.
-KEEP_WORDS = 600_000
+#: Words and runs of marks that a worker remembers in each of two generations, some 200 bytes each.
+KEEP_WORDS = 300_000
+#: Bytes of text whose words are looked up together, unless one text has more.
+TEXT_BYTES = 8 << 20
 #: Unknown words encoded as one text, and how the vocabulary spells a space before a word.
 TOGETHER, SPACE_MARK = 500, "Ġ"
 
@@ -53,15 +56,18 @@ UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1d
 
 #: Words that are one pre-token, whatever the age of the pre-tokenizer's tables: Latin letters only.
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+LETTER_LIST = pa.array(filter(LETTERS, map(chr, range(0x250))), pa.large_string())
 
 
 class Encoder:
     """Ids of texts as bytes, by a byte-level tokenizer whose pre-tokens never reach from a word
-    into the single space or line end before the next word.  Words repeat, so their ids are
-    remembered; words not known yet are encoded many at a time, as one text in
-    which their first tokens tell them apart.  A word of letters is a pre-token by itself, so such words
-    are handed over in the vocabulary's own spelling of bytes, cut at blanks, which spares the
-    pre-tokenizer's patterns.  Texts with any other white space are encoded whole."""
+    into the single space or line end before the next word.  Words repeat, within some texts and
+    beyond them: each different word of a few texts is looked up once, and its ids are remembered
+    in two generations of bounded size, so that words in use stay.  Words not known yet are encoded many at
+    a time, as one text in which their first tokens tell them apart.  A word of letters is a pre-token
+    by itself, so such words are handed over in the vocabulary's own spelling of bytes, cut at blanks, which
+    spares the pre-tokenizer's patterns; marks behind a letter at a word's end are a pre-token too
+    and are looked up by themselves.  Texts with any other white space are encoded whole."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -72,15 +78,18 @@ class Encoder:
         rest = iter(range(256, 512))
         self.spelling = {b: b if b in printable else next(rest) for b in range(256)}
         self.spelling[32] = f" {SPACE_MARK}"
-        #: ids by word, for words behind a space and words at the start of a line
-        self.spaced: dict[str, bytes] = {}
-        self.leading: dict[str, bytes] = {}
+        #: ids by part of a text: a word behind a space, a line end and its first word, or (after
+        #: a space, as no word is) marks behind a letter
+        self.fresh: dict[str, bytes] = {"": b""}
+        self.stale: dict[str, bytes] = {}
         self.line_end = self._whole(["\n"])[0]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, i in vocabulary.items():
             self.opens[i] = piece.startswith(SPACE_MARK)
-        self.marks = dict(zip(",.", self._whole([",", "."])))
+        # apostrophes open contractions, and no mark may be cut off an added token
+        added = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = "".join(set(string.punctuation).difference("'_", added))
         self.ends = np.zeros(len(self.opens), bool)
         self.ends[np.frombuffer(self.line_end, "<u4")] = True
 
@@ -107,43 +116,83 @@ class Encoder:
             data = ids.tobytes()
             yield from ((w, data[4 * i:4 * j]) for w, i, j in zip(some, start.tolist(), stop.tolist()))
 
-    def _learn(self, known: dict[str, bytes], missing: set[str], spaced: bool) -> None:
-        # letters and a mark behind them are pre-tokens of their own, and the mark's ids are the
-        # same behind any letter
-        cut = [w for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()]
-        missing.difference_update(cut)
-        missing.update(filterfalse(known.__contains__, [w[:-1] for w in cut]))
-        simple = [w for w in missing if LETTERS(w)] if spaced else []
-        missing.difference_update(simple)
-        known.update(self._together(simple, True, True))
-        known.update(self._together(list(missing), spaced))
-        for w in cut:
-            known[w] = known[w[:-1]] + self.marks[w[-1]]
+    def _learn(self, parts: list[str]) -> None:
+        kinds = {"simple": [], "other": [], "\n": [], " ": []}
+        for p in parts:
+            kinds[p[0] if p[0] in GAPS else "simple" if LETTERS(p) else "other"].append(p)
+        self.fresh.update(self._together(kinds["simple"], True, True))
+        self.fresh.update(self._together(kinds["other"], True))
+        heads = self._together([p[1:] for p in kinds["\n"]], False)
+        self.fresh.update(("\n" + w, self.line_end + ids) for w, ids in heads)
+        self.fresh.update(zip(kinds[" "], self._whole([p[1:] for p in kinds[" "]])))
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts."""
+        if len(self.fresh) > KEEP_WORDS:
+            self.stale, self.fresh = self.fresh, {"": b""}
+        fresh, stale = self.fresh, self.stale
+        found = list(map(fresh.get, parts))
+        unknown = [k for k, ids in enumerate(found) if ids is None]
+        missing = []
+        for k in unknown:
+            part = parts[k]
+            if part in stale:
+                fresh[part] = stale[part]
+            else:
+                missing.append(part)
+        self._learn(missing)
+        for k in unknown:
+            found[k] = fresh[parts[k]]
+        return found
+
+    def _parts(self, words: pa.Array) -> pa.DictionaryArray:
+        """The part before the marks of each word, then the marks behind a letter of each word, empty if none."""
+        stems = pc.ascii_rtrim(words, self.marks)
+        cut = pc.and_(pc.less(pc.binary_length(stems), pc.binary_length(words)),
+                      pc.is_in(pc.utf8_slice_codeunits(stems, -1), value_set=LETTER_LIST))
+        ends = zip(_strings(words.filter(cut)), pc.utf8_length(stems.filter(cut)).to_numpy().tolist())
+        marks = pc.replace_with_mask(pa.repeat(pa.scalar("", pa.large_string()), len(words)), cut,
+                                     pa.array([" " + w[n:] for w, n in ends], pa.large_string()))
+        return pa.concat_arrays([pc.if_else(cut, stems, words), marks]).dictionary_encode()
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        words = cut.flatten().dictionary_encode()
+        parts = self._parts(words.dictionary)
+        ids = self._ids(_strings(parts.dictionary))
+        # the ids of both parts of all words in turn: a part takes n ids of all ids, from first on
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = parts.indices.to_numpy().reshape(2, -1).T[words.indices.to_numpy()].ravel()
+        n, first = size[at], (np.cumsum(size) - size)[at]
+        stop = np.cumsum(n)
+        picked = np.repeat(first - (stop - n), n)
+        picked += np.arange(len(picked))
+        data = np.frombuffer(b"".join(ids), "<u4")[picked].tobytes()
+        edges = (4 * np.concatenate([[0], stop])[2 * cut.offsets.to_numpy().astype(np.int64)]).tolist()
+        return [data[i + len(self.line_end):j] for i, j in zip(edges, edges[1:])]
 
     def payloads(self, texts: list[str | None]) -> list[bytes]:
-        for known in (self.spaced, self.leading):
-            if len(known) > KEEP_WORDS:
-                known.clear()
-        cut, whole, new, first = [], [], set(), set()
-        known, leading = self.spaced, self.leading
-        for t in texts:
-            t = t or ""
-            if t and t[0] not in GAPS and t[-1] not in GAPS and not any(g in t for g in UNUSUAL):
-                lines = []
-                for line in t.split("\n"):
-                    head, *words = line.split(" ")
-                    new.update(words)
-                    first.add(head)
-                    lines.append((head, words))
-                cut.append(lines)
-            else:
-                cut.append(None)
-                whole.append(t)
-        self._learn(known, new.difference(known), True)
-        self._learn(leading, first.difference(leading), False)
-        rest = iter(self._whole(whole))
-        return [next(rest) if lines is None else self.line_end.join(
-            [leading[head] + b"".join(map(known.__getitem__, words)) for head, words in lines]) for lines in cut]
+        texts = [t or "" for t in texts]
+        usual = [bool(t) and t[0] not in GAPS and t[-1] not in GAPS and not any(g in t for g in UNUSUAL) for t in texts]
+        by_word = [t for t, u in zip(texts, usual) if u]
+        cut = iter(self._by_word(by_word) if by_word else [])
+        whole = iter(self._whole([t for t, u in zip(texts, usual) if not u]))
+        return [next(cut if u else whole) for u in usual]
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _runs(texts: pa.Array, most: int = TEXT_BYTES):
+    """(start, number) of neighbouring rows that hold about ``most`` bytes or are one row."""
+    end = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(end):
+        before = end[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(end, before + most, "right")))
+        yield start, stop - start
+        start = stop
 
 
 def _skippable(magic: int, data: bytes) -> bytes:
@@ -239,8 +288,8 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, doc_id: str = "doc_
             return pa.RecordBatch.from_pylist([{"name": name, "part": part, "seq": seq, "n_docs": len(held),
                                                 "n_tokens": size // 4}], schema=made)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                some = batch.slice(k, 256)
+            for k, n in _runs(batch.column(1)):
+                some = batch.slice(k, n)
                 for i, payload in zip(some.column(0).to_pylist(), encoder.payloads(some.column(1).to_pylist())):
                     held.append((i, payload + end))
                     size += len(payload) + 4

@@ -330,6 +330,64 @@ def test_word_wise_encoding_is_the_library_s(text):
     assert np.frombuffer(_ENCODER.payloads([text])[0], "<u4").tolist() == expected
 
 
+@pytest.fixture
+def handed(monkeypatch):
+    """An encoder and the list of words that it hands to the tokenizer."""
+    with open(tokenizers.path("byte_bpe_50k.json")) as f:
+        encoder = tokenfile.Encoder(f.read())
+    words, together = [], encoder._together
+
+    def counted(some, *args):
+        words.extend(some)
+        return together(some, *args)
+    monkeypatch.setattr(encoder, "_together", counted)
+    return encoder, words
+
+
+def _library(encoder, texts):
+    return [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def _ids(encoder, texts):
+    return [np.frombuffer(p, "<u4").tolist() for p in encoder.payloads(texts)]
+
+
+def test_a_word_is_encoded_once_whatever_marks_are_behind_it(handed):
+    encoder, words = handed
+    texts = ["the stone, stone. stone### stone.%%% stone\nstone!! (stone) été&&&", None, "a  b", "", "a stone;\nthe été $$$ stone"]
+    for _ in range(2):
+        assert _ids(encoder, texts) == _library(encoder, texts)
+    assert sorted(words) == sorted(["stone", "(stone", "été", "$$$"] + ["the", "stone", "a"])      # behind a space, after a line end
+
+
+def test_words_in_use_stay_remembered(handed, monkeypatch):
+    encoder, words = handed
+    monkeypatch.setattr(tokenfile, "KEEP_WORDS", 40)
+    for i in range(20):
+        texts = ["x common, " + " ".join(f"w{i}o{k}" for k in range(30))]
+        assert _ids(encoder, texts) == _library(encoder, texts)
+        assert len(encoder.fresh) + len(encoder.stale) < 200
+    assert words.count("common") == 1
+
+
+def test_words_with_marks_and_added_tokens_beside_each_other(handed):
+    encoder, _ = handed
+    some = ["<|endoftext|>", "a<|endoftext|>", "<|endoftext|>,", "endoftext|>", "x>", "x|", "don't,", "it's", "'s,", "a'", "a_", "a_,", "_", ",",
+            "é!!", "日,", "日", "1,", "1.5", "a,b.", "A,,,'", "\u0250,", "\u01c5!", "😀.", "ß)", "...", "e\u0301,", "\u200b,"]
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(some) + rng.choice([" ", "\n", ""], p=[0.7, 0.2, 0.1]) for _ in range(rng.integers(1, 12))).strip()
+             for _ in range(2000)]
+    assert _ids(encoder, texts) == _library(encoder, texts)
+
+
+def test_rows_encoded_together_are_bounded_by_their_bytes():
+    import pyarrow as pa
+    texts = pa.array(["é" * 30, None, "", "b" * 200, "c" * 40, "d" * 60, "e"])
+    assert list(tokenfile._runs(texts, 100)) == [(0, 3), (3, 1), (4, 2), (6, 1)]
+    assert list(tokenfile._runs(texts.slice(2, 2), 100)) == [(0, 1), (1, 1)]
+    assert list(tokenfile._runs(pa.array([], pa.string()), 100)) == []
+
+
 # ------------------------------------------------------------------------------ SentencePiece
 @pytest.fixture(scope="module")
 def machines():
