@@ -7,6 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from faultline.catalog import models
 from faultline.operators import ml
 from faultline.sources import io
 
@@ -49,6 +50,38 @@ def test_training_stops_at_the_best_round(spark):
         [t.numNodes for t in m.stages[-1].trees] == [t.numNodes for t in long.stages[-1].trees[:kept]]
 
 
+def test_the_first_rounds_are_those_of_a_shorter_training(spark, tmp_path):
+    df = spark.createDataFrame(readings())
+    short, long = (ml.train_boosted(df, ["good", "noise"], TARGET, "A", weighted=False, max_iter=n) for n in (3, 8))
+    cut = ml.PipelineModel([*long.stages[:-1], ml.first_rounds(long.stages[-1], 3)])
+    want, got = short.stages[-1], cut.stages[-1]
+    assert got.getNumTrees == got.getMaxIter() == 3 and long.stages[-1].getNumTrees == 8
+    assert got.featureImportances == want.featureImportances and got.treeWeights == want.treeWeights
+    cut.write().overwrite().save(str(tmp_path / "cut"))
+    scores = [[r.p for r in ml.score(m, df, ["good", "noise"], TARGET, "A").orderBy("device", "date").collect()]
+              for m in (short, cut, ml.PipelineModel.load(str(tmp_path / "cut")))]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_importances_are_those_of_a_whole_training(spark, monkeypatch):
+    """The registered query of I11 stops by its validation rows and not by a bound."""
+    pdf = readings(devices=60)
+    rng = np.random.default_rng(7)
+    for c in "abcd":
+        pdf[c] = rng.normal(size=len(pdf))
+    pdf[TARGET] = (pdf.a * pdf.b + pdf.c * pdf.d + 0.5 * pdf.a > 0).astype(int)
+    monkeypatch.setattr(models, "_features", lambda *_: spark.createDataFrame(pdf))
+    seen, select, best, report = {"losses": []}, ml.select_top_features, ml.best_round, ml.feature_importance
+    monkeypatch.setattr(ml, "select_top_features", lambda *a, **k: seen.update(trees=k["num_trees"]) or select(*a, **k))
+    monkeypatch.setattr(ml, "best_round", lambda losses, patience: seen["losses"].append(losses) or best(losses, patience))
+    monkeypatch.setattr(ml, "feature_importance", lambda m, feats: seen.update(model=m.stages[-1]) or report(m, feats))
+    families = models.i11(spark, None).collect()
+    assert sum(r["n_features"] for r in families) == 7
+    keep, stopped = ml.best_round(seen["losses"][-1], ml.PATIENCE)
+    assert stopped and seen["model"].getNumTrees == keep > models.STOPPED_ROUNDS
+    assert seen["trees"] == models.SOURCE_TREES == 400
+
+
 def test_medians_come_from_training_rows_alone(spark):
     df = spark.createDataFrame(readings())
     train = df.where("date < '2020-01-19'")
